@@ -115,41 +115,90 @@ def dense_ids(df: DataFrame, name: str, policy: SkewPolicy = DEFAULT_POLICY, cop
     return single.unionByName(copies)
 
 
-def medians(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY
+def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str], kind: str) -> DataFrame:
+    """Non-null values of the columns as rows (by..., feature, value)."""
+    typed = df.select(*by, *[F.col(c).cast(kind).alias(c) for c in columns])
+    return typed.unpivot(list(by), list(columns), "feature", "value").where(F.col("value").isNotNull())
+
+
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    fractions: Sequence[float],
+    by: Sequence[str] = (),
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Exact median of each column, per group if `by` is given: rows (by..., feature, n, median).
+    """Exact quantiles with linear interpolation: rows (by..., feature, n, fraction, value).
 
     The built-in exact percentile merges all distinct values of a group in one task. Here values are
-    counted first, and running counts find the middle one or two.
+    counted first, and running counts find the one or two at each rank.
     """
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        list(by), list(columns), "feature", "value"
-    )
     groups = [*by, "feature"]
-    counts = long.where(F.col("value").isNotNull()).groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("__n"))
+    counts = long_values(df, columns, by, "double").groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("__n"))
     upto = running(counts, groups, "value", {"__upto": F.col("__n")}, policy=policy)
     totals = counts.groupBy(*groups).agg(F.sum("__n").alias("n"))
-    joined = upto.join(totals, groups)
-    before, n = F.col("__upto") - F.col("__n"), F.col("n")
-    covers = lambda place: (before < place) & (place <= F.col("__upto"))
-    low, high = F.floor((n + 1) / 2), F.floor((n + 2) / 2)
+    place = (F.col("n") - 1) * F.col("fraction")
+    ranks = totals.select(
+        *groups, "n", F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")
+    ).select(*groups, "n", "fraction", (F.floor(place) + 1).alias("__low"), (place - F.floor(place)).alias("__part"))
+    # One row per group on the right; the fractions stay inside it so that the join adds no rows.
+    wanted = ranks.groupBy(*groups).agg(F.collect_list(F.struct("n", "fraction", "__low", "__part")).alias("__wanted"))
+    before = F.col("__upto") - F.col("__n")
+    covers = lambda rank: (before < rank) & (rank <= F.col("__upto"))
+    hits = F.filter("__wanted", lambda w: covers(w["__low"]) | covers(F.least(w["__low"] + 1, w["n"])))
+    found = upto.join(wanted, groups).select(*groups, "value", F.explode(hits).alias("__w"))
+    low, high = F.min("value"), F.max("value")
     return (
-        joined.where(covers(low) | covers(high))
-        .groupBy(*groups, "n")
-        .agg(((F.min("value") + F.max("value")) / 2).alias("median"))
+        found.groupBy(*groups, F.col("__w.n").alias("n"), F.col("__w.fraction").alias("fraction"))
+        .agg((low + (high - low) * F.first("__w.__part")).alias("value"))
     )
 
 
+def medians(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Exact medians: rows (by..., feature, n, median)."""
+    return quantiles(df, columns, [0.5], by, policy).select(*by, "feature", "n", F.col("value").alias("median"))
+
+
 def modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Most frequent non-null value of each column as text; the smallest one among equals."""
-    long = df.select(*by, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        list(by), list(columns), "feature", "value"
-    )
-    counts = long.where(F.col("value").isNotNull()).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("__n"))
+    counts = long_values(df, columns, by, "string").groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("__n"))
     return counts.groupBy(*by, "feature").agg(
         F.min_by("value", F.struct(-F.col("__n"), F.col("value"))).alias("mode"), F.max("__n").alias("n")
     )
 
 
-__all__ = ["running", "dense_ids", "medians", "modes"]
+def describe_all(df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """One row per column: count; mean, std, min, quartiles and max of numbers; unique, top and freq of
+    everything else."""
+    is_number = lambda kind: kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("dec")
+    numbers = [c for c, kind in df.dtypes if is_number(kind)]
+    others = [c for c, kind in df.dtypes if not is_number(kind)]
+    parts = []
+    if numbers:
+        moments = long_values(df, numbers, [], "double").groupBy("feature").agg(
+            F.count("value").alias("count"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        )
+        names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+        at = quantiles(df, numbers, list(names), policy=policy).groupBy("feature").agg(
+            *[F.max(F.when(F.col("fraction") == f, F.col("value"))).alias(n) for f, n in names.items()]
+        )
+        parts.append(moments.join(at, "feature"))
+    if others:
+        counts = long_values(df, others, [], "string").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("__n"))
+        parts.append(
+            counts.groupBy("feature").agg(
+                F.sum("__n").alias("count"),
+                F.count(F.lit(1)).alias("unique"),
+                F.min_by("value", F.struct(-F.col("__n"), F.col("value"))).alias("top"),
+                F.max("__n").alias("freq"),
+            )
+        )
+    columns = "feature count unique top freq mean std min q25 q50 q75 max".split()
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return out.select(*[c for c in columns if c in out.columns])

@@ -45,24 +45,29 @@ class HeavyKey:
     key: tuple
     weight: float
     splits: int
+    extra: tuple = ()
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY, weight: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    policy: SkewPolicy = DEFAULT_POLICY,
+    weight: Column | None = None,
+    extra: Sequence[str] = (),
 ) -> list[HeavyKey]:
     """Keys above the floor and above one share of the total. Runs one job over the key columns.
 
     Only the `parts` largest keys are looked at: any key left out holds less than one share. So the
     list is bounded by `parts` and the splits add up to at most twice that. A null in a key column
-    is a key value of its own.
+    is a key value of its own. `extra` columns are returned with each key (their maximum).
     """
     parts = policy.shares(df.sparkSession)
     weight = F.lit(1) if weight is None else weight
     seen = Observation()
     sums = (
-        df.select(*keys, weight.cast("double").alias("__w"))
+        df.select(*keys, *extra, weight.cast("double").alias("__w"))
         .groupBy(*keys)
-        .agg(F.sum("__w").alias("__w"))
+        .agg(F.sum("__w").alias("__w"), *[F.max(c).alias(c) for c in extra])
         .observe(seen, F.sum("__w").alias("total"), F.count(F.lit(1)).alias("n"))
     )
     top: list[Row] = sums.where(F.col("__w") > policy.floor).orderBy(F.desc("__w")).limit(parts).collect()
@@ -70,7 +75,9 @@ def heavy_keys(
         return []
     share = max(policy.floor, seen.get["total"] / parts)
     return [
-        HeavyKey(tuple(r[k] for k in keys), r["__w"], min(parts, -int(-r["__w"] // share)))
+        HeavyKey(
+            tuple(r[k] for k in keys), r["__w"], min(parts, -int(-r["__w"] // share)), tuple(r[c] for c in extra)
+        )
         for r in top
         if r["__w"] > share
     ]

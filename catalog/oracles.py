@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from carelattice.operators.perturb import NICKNAMES
+
 from .views import sql_views
 
 
@@ -99,5 +101,270 @@ def temporal() -> dict[str, str]:
     }
 
 
+# -- the noisy second list, restated -----------------------------------------------------------
+
+
+def _bits(field: str, key: str = "patient_id") -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {key}, '42', '{field}')), 1, 8) AS BIGINT)"
+
+
+def _hit(field: str, rate: float) -> str:
+    return f"{_bits(field)} / 4294967296.0::DOUBLE < {rate}"
+
+
+def _noisy_name(column: str) -> str:
+    plain = f"translate({column}, '0123456789', '')"
+    nicks = (
+        f"CASE lower({plain})" + "".join(f" WHEN '{k}' THEN {list(v)}" for k, v in NICKNAMES.items()) + " END"
+    )
+    nick = f"(({nicks})[{_bits(column + '.which')} % len({nicks}) + 1])"
+    at = f"({_bits(column + '.at')} % (length({plain}) - 1) + 1)"
+    return f"""CASE
+        WHEN {nicks} IS NOT NULL AND {_hit(column + '.nick', 0.5)} THEN upper({nick}[1]) || substr({nick}, 2)
+        WHEN length({plain}) > 3 AND {_hit(column + '.swap', 0.4)}
+          THEN substr({plain}, 1, {at} - 1) || substr({plain}, {at} + 1, 1) || substr({plain}, {at}, 1)
+            || substr({plain}, {at} + 2)
+        ELSE {plain} END"""
+
+
+def linkage_views() -> dict[str, str]:
+    places = "list_filter(range(1, length(ssn) + 1), lambda i: substr(ssn, i, 1) BETWEEN '0' AND '9')"
+    at = f"({places})[{_bits('ssn.at')} % len({places}) + 1]"
+    parts = "string_split(dob, '-')"
+    return {
+        "v_drawn": """
+            SELECT * FROM (SELECT *, count(*) OVER () AS n,
+                row_number() OVER (ORDER BY md5(concat_ws('|', patient_id, '42', 'sample'))) AS rn
+              FROM v_person_a) WHERE rn <= round(0.4 * n)""",
+        "v_noisy": f"""
+            SELECT 'B-' || substr(md5(concat_ws('|', patient_id, '42', 'id')), 1, 12) AS system_b_id,
+              patient_id AS true_patient_id,
+              {_noisy_name("first")} AS first,
+              {_noisy_name("last")} AS last,
+              CASE WHEN len({parts}) = 3 AND ({parts})[2] <> ({parts})[3] AND {_hit("dob.swap", 0.03)}
+                THEN concat_ws('-', ({parts})[1], ({parts})[3], ({parts})[2]) ELSE dob END AS dob,
+              CASE WHEN {_hit("ssn.missing", 0.25)} THEN NULL
+                WHEN {_hit("ssn.digit", 0.15)} AND length(ssn) > 0
+                  THEN substr(ssn, 1, {at} - 1) || CAST({_bits("ssn.to")} % 10 AS VARCHAR) || substr(ssn, {at} + 1)
+                ELSE ssn END AS ssn,
+              CASE WHEN length(zip) >= 5 AND {_hit("zip.cut", 0.2)} THEN substr(zip, 1, 4) ELSE zip END AS zip
+            FROM v_drawn""",
+        "v_b": "SELECT system_b_id, first, last, dob, ssn, zip FROM v_noisy",
+        "v_truth": "SELECT system_b_id, true_patient_id FROM v_noisy",
+        "v_rule": _rule_sql("lower({})"),
+        "v_blocks_a": """
+            SELECT *, coalesce(substr(dob, 1, 4), '') AS birth_year, coalesce(substr(zip, 1, 3), '') AS zip3
+            FROM v_person_a""",
+        "v_blocks_b": """
+            SELECT *, coalesce(substr(dob, 1, 4), '') AS birth_year, coalesce(substr(zip, 1, 3), '') AS zip3
+            FROM v_b""",
+        "v_pair": """
+            SELECT b.system_b_id, a.patient_id,
+              CAST(coalesce(t.true_patient_id = a.patient_id, false) AS INTEGER) AS is_match,
+              jaro_winkler_similarity(lower(coalesce(a.first, 'nan')), lower(coalesce(b.first, 'nan'))) AS first_sim,
+              jaro_winkler_similarity(lower(coalesce(a.last, 'nan')), lower(coalesce(b.last, 'nan'))) AS last_sim,
+              jaro_winkler_similarity(coalesce(a.zip, 'nan'), coalesce(b.zip, 'nan')) AS zip_sim,
+              1.0::DOUBLE AS dob_year_match,
+              CASE WHEN a.ssn <> '' AND b.ssn <> '' AND a.ssn = b.ssn THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ssn_agree,
+              CASE WHEN a.ssn <> '' AND b.ssn <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ssn_both_present
+            FROM v_blocks_b b JOIN v_blocks_a a ON a.birth_year = b.birth_year AND a.zip3 = b.zip3
+              LEFT JOIN v_truth t ON t.system_b_id = b.system_b_id""",
+        "v_scored": """
+            SELECT *, round(1 / (1 + exp(-(-12.0 + first_sim * 6.0 + last_sim * 7.0 + zip_sim * 2.0
+              + dob_year_match * 0.5 + ssn_agree * 5.0 + ssn_both_present * -1.0)::DOUBLE)), 9) AS score
+            FROM v_pair""",
+        "v_best": """
+            SELECT system_b_id, patient_id AS matched_patient_id, score
+            FROM (SELECT *, row_number() OVER (PARTITION BY system_b_id ORDER BY score DESC, patient_id) AS rn
+              FROM v_scored) WHERE rn = 1 AND score >= 0.5""",
+    }
+
+
+def _rule_sql(clean: str) -> str:
+    last = f"{clean.format('a.last')} IS NOT DISTINCT FROM {clean.format('b.last')}"
+    first = f"substr({clean.format('a.first')}, 1, 3) IS NOT DISTINCT FROM substr({clean.format('b.first')}, 1, 3)"
+    return f"""
+        SELECT b.system_b_id, min(a.patient_id) AS matched_patient_id
+        FROM v_b b JOIN v_person_a a ON a.dob = b.dob AND
+          CASE WHEN a.ssn <> '' AND b.ssn <> '' THEN a.ssn = b.ssn
+            ELSE {last} AND {first}
+              AND substr(a.zip, 1, 5) IS NOT DISTINCT FROM substr(b.zip, 1, 5) END
+        GROUP BY b.system_b_id"""
+
+
+def linking() -> dict[str, str]:
+    prf = """round_even(p, 4)::DOUBLE AS precision, round_even(r, 4)::DOUBLE AS recall,
+        round_even(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 4)::DOUBLE AS f1"""
+    return {
+        "perturbed_people": "SELECT * FROM v_b",
+        "perturbed_truth": "SELECT * FROM v_truth",
+        "deterministic_match": "SELECT * FROM v_rule",
+        "deterministic_match_normalized": _rule_sql("lower(translate({}, '0123456789', ''))"),
+        "deterministic_eval": f"""
+            SELECT n AS total_system_b_records, m AS predicted_matches, tp AS true_positives,
+              m - tp AS false_positives, n - m AS false_negatives_unmatched, n - tp AS false_negatives_total, {prf}
+            FROM (SELECT *, coalesce(tp / m::DOUBLE, 0) AS p, coalesce(tp / n::DOUBLE, 0) AS r FROM
+              (SELECT (SELECT count(*) FROM v_b) AS n, count(*) AS m,
+                count(*) FILTER (WHERE matched_patient_id = true_patient_id) AS tp
+               FROM v_rule LEFT JOIN v_truth USING (system_b_id)))""",
+        "block_stats": """
+            SELECT birth_year, zip3, n_a, n_b, n_a * n_b AS pairs, birth_year = '' OR zip3 = '' AS has_missing_key
+            FROM (SELECT birth_year, zip3, count(*) AS n_a FROM v_blocks_a GROUP BY ALL)
+            JOIN (SELECT birth_year, zip3, count(*) AS n_b FROM v_blocks_b GROUP BY ALL) USING (birth_year, zip3)""",
+        "blocking_coverage": """
+            SELECT count(*) AS candidate_pairs, CAST(sum(is_match) AS BIGINT) AS true_pairs_in_block,
+              (SELECT count(*) FROM v_b) AS total_system_b_records,
+              round_even(sum(is_match) / (SELECT count(*) FROM v_b)::DOUBLE, 4)::DOUBLE AS share_in_block
+            FROM v_pair""",
+        "candidate_pairs": """
+            SELECT system_b_id, patient_id, is_match, round(first_sim, 6) AS first_sim, round(last_sim, 6) AS last_sim,
+              round(zip_sim, 6) AS zip_sim, dob_year_match, ssn_agree, ssn_both_present
+            FROM v_pair""",
+        "best_match": "SELECT system_b_id, matched_patient_id, round(score, 6) AS score FROM v_best",
+        "best_match_eval": """
+            SELECT n AS total_system_b_records, m AS matched, c AS correct,
+              round_even(c / m::DOUBLE, 4)::DOUBLE AS precision, round_even(c / n::DOUBLE, 4)::DOUBLE AS recall
+            FROM (SELECT (SELECT count(*) FROM v_b) AS n, count(*) AS m,
+                count(*) FILTER (WHERE matched_patient_id = true_patient_id) AS c
+              FROM v_best JOIN v_truth USING (system_b_id))""",
+        "part_name_similarity": """
+            SELECT p_partkey, round(jaro_winkler_similarity(lower(p_name), lower(p_type)), 6) AS similarity
+            FROM part""",
+    }
+
+
+# -- evaluation --------------------------------------------------------------------------------
+
+
+def _tail(z: str) -> str:
+    """P(Z > z) by the series phi(z) * sum z^(2k+1) / (2k+1)!!, good for |z| < 6."""
+    series = (
+        f"list_sum(list_transform(range(0, 120), lambda k: exp((2 * k + 1) * ln(abs({z}) + 1e-300)"
+        " + (k + 1) * ln(2) + lgamma(k + 2) - lgamma(2 * k + 3))))"
+    )
+    half = f"exp(-{z} * {z} / 2) / sqrt(2 * pi()) * {series}"
+    return f"CASE WHEN {z} > 6 THEN 0 WHEN {z} < -6 THEN 1 ELSE 0.5 - sign({z}) * {half} END"
+
+
+def _u_test(source: str, label: str, score: str, by: str = "") -> str:
+    """n1, n0, u, z per group of `by` (a column list ending in a comma, or nothing)."""
+    part = f"PARTITION BY {by.rstrip(', ')}" if by else ""
+    group = f"GROUP BY {by.rstrip(', ')}" if by else ""
+    return f"""
+        SELECT {by} n1, n0, u, (u - n1 * n0 / 2 - 0.5)
+            / sqrt(n1 * n0 / 12 * ((n1 + n0 + 1) - ties / ((n1 + n0) * (n1 + n0 - 1)))) AS z
+        FROM (SELECT {by} n1, n0, ties, ranks - n1 * (n1 + 1) / 2 AS u FROM
+          (SELECT {by} sum(pos)::DOUBLE AS n1, sum(n - pos)::DOUBLE AS n0, sum(pos * avg_rank) AS ranks,
+             sum(n::DOUBLE * n * n - n) AS ties
+           FROM (SELECT {by} score, n, pos,
+               sum(n) OVER ({part} ORDER BY score) - (n - 1) / 2.0::DOUBLE AS avg_rank
+             FROM (SELECT {by} {score} AS score, count(*) AS n, sum({label}) AS pos FROM {source}
+               GROUP BY {by} {score}))
+           {group}))"""
+
+
+def _ap(by: str = "") -> str:
+    part = f"PARTITION BY {by.rstrip(', ')}" if by else ""
+    group = f"GROUP BY {by.rstrip(', ')}" if by else ""
+    return f"""
+        SELECT {by} sum(pos * precision) / sum(pos) AS ap FROM
+          (SELECT {by} score, n, pos, tp, cum - tp AS fp, tp / cum::DOUBLE AS precision FROM
+            (SELECT {by} score, n, pos, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS cum
+             FROM (SELECT {by} score, count(*) AS n, CAST(sum(label) AS BIGINT) AS pos FROM v_pred GROUP BY {by} score)
+             WINDOW w AS ({part} ORDER BY score DESC)))
+        {group}"""
+
+
+def _binary(by: str = "", digits: int = 4) -> str:
+    group = f"GROUP BY {by.rstrip(', ')}" if by else ""
+    return f"""
+        SELECT {by} n, tp, fp, fn, tp + fp AS predicted_positive, tp + fn AS actual_positive,
+          round_even(p, {digits})::DOUBLE AS precision, round_even(r, {digits})::DOUBLE AS recall,
+          round_even(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, {digits})::DOUBLE AS f1
+        FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END AS p,
+            CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END AS r
+          FROM (SELECT {by} count(*) AS n, count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
+              count(*) FILTER (WHERE score >= 0.5 AND label = 0) AS fp,
+              count(*) FILTER (WHERE score < 0.5 AND label = 1) AS fn
+            FROM v_pred {group}))"""
+
+
+def evaluation() -> dict[str, str]:
+    split = "CAST('0x' || substr(md5(concat_ws('|', patient_id, '42', 'split')), 1, 8) AS BIGINT)"
+    numbers = ("o_custkey", "o_totalprice")
+    texts = ("o_orderstatus", "o_orderpriority")
+    described = [
+        f"""SELECT '{c}' AS feature, count({c}) AS count, CAST(NULL AS BIGINT) AS "unique", NULL AS top,
+            CAST(NULL AS BIGINT) AS freq, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+            round(min({c})::DOUBLE, 4) AS min, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS q25,
+            round(quantile_cont({c}::DOUBLE, 0.5), 4) AS q50, round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q75,
+            round(max({c})::DOUBLE, 4) AS max FROM orders"""
+        for c in numbers
+    ] + [
+        f"""SELECT '{c}', sum(n)::BIGINT, count(*), arg_min(v, (-n, v)), max(n), NULL, NULL, NULL, NULL, NULL, NULL, NULL
+            FROM (SELECT {c} AS v, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY {c})"""
+        for c in texts
+    ]
+    return {
+        "binary_metrics": _binary(),
+        "binary_metrics_by_language": _binary("lang,"),
+        "precision_recall_steps": """
+            SELECT score, n, pos, tp, cum - tp AS fp, round(tp / cum::DOUBLE, 6) AS precision
+            FROM (SELECT score, n, pos, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS cum
+              FROM (SELECT score, count(*) AS n, CAST(sum(label) AS BIGINT) AS pos FROM v_pred GROUP BY score)
+              WINDOW w AS (ORDER BY score DESC))""",
+        "average_precision": f"SELECT round(ap, 6) AS average_precision FROM ({_ap()})",
+        "average_ranks": """
+            SELECT score, count(*) AS n, CAST(sum(label) AS BIGINT) AS pos, avg(rn) AS average_rank
+            FROM (SELECT score, label, row_number() OVER (ORDER BY score) AS rn FROM v_pred) GROUP BY score""",
+        "roc_auc": f"SELECT round(u / (n1 * n0), 6) AS roc_auc FROM ({_u_test('v_pred', 'label', 'score')})",
+        "mann_whitney_u": f"""
+            SELECT n1::BIGINT AS n1, n0::BIGINT AS n0, u, round(z, 6) AS z, round({_tail("z")}, 6) AS p_value
+            FROM ({_u_test('v_pred', 'label', 'score')})""",
+        "model_comparison_by_language": f"""
+            SELECT b.lang AS model, b.precision, b.recall, b.f1, round_even(a.ap, 6)::DOUBLE AS pr_auc,
+              round_even(u.u / (u.n1 * u.n0), 6)::DOUBLE AS roc_auc
+            FROM ({_binary('lang,', 6)}) b JOIN ({_ap('lang,')}) a ON a.lang = b.lang
+              JOIN ({_u_test('v_pred', 'label', 'score', 'lang,')}) u ON u.lang = b.lang""",
+        "class_weights": """
+            SELECT label, count(*) AS n, round((SELECT count(*) FROM v_pred) / (2.0::DOUBLE * count(*)), 6) AS weight
+            FROM v_pred GROUP BY label""",
+        "label_rate": """
+            SELECT lang, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, round(avg(label), 6) AS positive_rate
+            FROM v_pred GROUP BY lang""",
+        "group_split": f"""
+            SELECT encounter_id, patient_id, {split} / 4294967296.0::DOUBLE < 0.25 AS is_test FROM v_encounter""",
+        "group_split_exact": """
+            SELECT encounter_id, patient_id, rn <= ceil(0.25 * n) AS is_test
+            FROM v_encounter JOIN (SELECT patient_id, count(*) OVER () AS n,
+                row_number() OVER (ORDER BY md5(concat_ws('|', patient_id, '42', 'split'))) AS rn
+              FROM (SELECT DISTINCT patient_id FROM v_encounter)) USING (patient_id)""",
+        "median_by_label": """
+            SELECT label, 'n_chars' AS feature, count(*) AS n, median(n_chars)::DOUBLE AS median FROM v_pred GROUP BY label
+            UNION ALL
+            SELECT label, 'score', count(*), median(score) FROM v_pred GROUP BY label""",
+        "readmission_hypothesis": f"""
+            SELECT n1::BIGINT AS n1, n0::BIGINT AS n0, u, round(u / (n1 * n0), 6) AS roc_auc, round(z, 6) AS z,
+              round({_tail("z")}, 6) AS p_value, {_tail("z")} < 0.05 AS reject_h0,
+              (SELECT median(v)::DOUBLE FROM v_tested WHERE label = 1) AS median_positive,
+              (SELECT median(v)::DOUBLE FROM v_tested WHERE label = 0) AS median_negative
+            FROM ({_u_test('v_tested', 'label', 'v')})""",
+        "describe_orders": " UNION ALL ".join(described),
+    }
+
+
+def evaluation_views() -> dict[str, str]:
+    return {
+        "v_tested": """
+            SELECT CASE WHEN EXISTS (SELECT 1 FROM v_stay e WHERE e.patient_id = s.patient_id
+                AND e.encounter_id <> s.encounter_id AND e.start_ts > s.stop_ts
+                AND e.start_ts <= s.stop_ts + INTERVAL 30 DAYS) THEN 1 ELSE 0 END AS label,
+              (SELECT count(*) FROM v_stay f WHERE f.patient_id = s.patient_id AND f.start_ts < s.start_ts) AS v
+            FROM v_stay s"""
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {name: with_views(sql) for group in (temporal(),) for name, sql in group.items()}
+    extra = {**linkage_views(), **evaluation_views()}
+    groups = (temporal(), linking(), evaluation())
+    return {name: with_views(sql, extra) for group in groups for name, sql in group.items()}

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelattice.functions import text
 from carelattice.functions.dates import micros
-from carelattice.operators import temporal
-from carelattice.plans import readmission
+from carelattice.operators import linkage, metrics, perturb, sampling, temporal
+from carelattice.operators.running import describe_all, medians
+from carelattice.plans import modelling, readmission
 
 from .views import Tables
 
@@ -135,3 +137,188 @@ def training_frame(t: Tables) -> DataFrame:
         "ethnicity",
         F.round("age_at_encounter", 6).alias("age_at_encounter"),
     )
+
+
+# -- linkage -----------------------------------------------------------------------------------
+
+
+def second_list(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return perturb.second_list(t.person_a())
+
+
+@query
+def perturbed_people(t: Tables) -> DataFrame:
+    return second_list(t)[0]
+
+
+@query
+def perturbed_truth(t: Tables) -> DataFrame:
+    return second_list(t)[1]
+
+
+@query
+def deterministic_match(t: Tables) -> DataFrame:
+    return linkage.match_by_rules(t.person_a(), second_list(t)[0])
+
+
+@query
+def deterministic_match_normalized(t: Tables) -> DataFrame:
+    return linkage.match_by_rules(t.person_a(), second_list(t)[0], normalize_names=True)
+
+
+@query
+def deterministic_eval(t: Tables) -> DataFrame:
+    b, truth = second_list(t)
+    return metrics.linkage_metrics(linkage.match_by_rules(t.person_a(), b), truth, b)
+
+
+@query
+def block_stats(t: Tables) -> DataFrame:
+    return linkage.block_stats(t.person_a(), second_list(t)[0])
+
+
+@query
+def blocking_coverage(t: Tables) -> DataFrame:
+    b, truth = second_list(t)
+    return linkage.blocking_coverage(t.person_a(), b, truth)
+
+
+@query
+def candidate_pairs(t: Tables) -> DataFrame:
+    b, truth = second_list(t)
+    pairs = linkage.candidate_pairs(t.person_a(), b, truth)
+    similar = {c: F.round(c, 6) for c in ("first_sim", "last_sim", "zip_sim")}
+    return pairs.withColumns(similar)
+
+
+# A fixed scorer, so that the pick can be checked; fitted ones are in the model queries.
+PAIR_WEIGHTS = {
+    "first_sim": 6.0,
+    "last_sim": 7.0,
+    "zip_sim": 2.0,
+    "dob_year_match": 0.5,
+    "ssn_agree": 5.0,
+    "ssn_both_present": -1.0,
+}
+PAIR_INTERCEPT = -12.0
+
+
+def _best(t: Tables, b: DataFrame) -> DataFrame:
+    # Rounded before ranking: the last digit of a sum is not the same in every engine.
+    return linkage.best_matches(t.person_a(), b, F.round(linkage.logistic(PAIR_WEIGHTS, PAIR_INTERCEPT), 9))
+
+
+@query
+def best_match(t: Tables) -> DataFrame:
+    return _best(t, second_list(t)[0]).withColumn("score", F.round("score", 6))
+
+
+@query
+def best_match_eval(t: Tables) -> DataFrame:
+    b, truth = second_list(t)
+    return metrics.end_to_end(_best(t, b), truth, b)
+
+
+@query
+def part_name_similarity(t: Tables) -> DataFrame:
+    """Jaro-Winkler over two columns of a whole table."""
+    similarity = text.jaro_winkler(F.lower("p_name"), F.lower("p_type"))
+    return t.raw("part").select("p_partkey", F.round(similarity, 6).alias("similarity"))
+
+
+# -- evaluation --------------------------------------------------------------------------------
+
+
+@query
+def binary_metrics(t: Tables) -> DataFrame:
+    return metrics.binary_metrics(t.predictions(), "label", "score")
+
+
+@query
+def binary_metrics_by_language(t: Tables) -> DataFrame:
+    return metrics.binary_metrics(t.predictions(), "label", "score", ["lang"])
+
+
+@query
+def precision_recall_steps(t: Tables) -> DataFrame:
+    steps = metrics.precision_recall_steps(t.predictions(), "label", "score")
+    return steps.withColumn("precision", F.round("precision", 6))
+
+
+@query
+def average_precision(t: Tables) -> DataFrame:
+    return metrics.average_precision(t.predictions(), "label", "score").select(
+        F.round("average_precision", 6).alias("average_precision")
+    )
+
+
+@query
+def average_ranks(t: Tables) -> DataFrame:
+    return metrics.average_ranks(t.predictions(), "label", "score")
+
+
+@query
+def roc_auc(t: Tables) -> DataFrame:
+    return metrics.roc_auc(t.predictions(), "label", "score").select(F.round("roc_auc", 6).alias("roc_auc"))
+
+
+@query
+def mann_whitney_u(t: Tables) -> DataFrame:
+    return metrics.mann_whitney(t.predictions(), "label", "score").select(
+        "n1", "n0", "u", F.round("z", 6).alias("z"), F.round("p_value", 6).alias("p_value")
+    )
+
+
+@query
+def model_comparison_by_language(t: Tables) -> DataFrame:
+    """The comparison table, with languages standing in for models."""
+    return metrics.model_comparison(t.predictions(), "label", "score", "lang", digits=6)
+
+
+@query
+def class_weights(t: Tables) -> DataFrame:
+    return metrics.class_weights(t.predictions(), "label").withColumn("weight", F.round("weight", 6))
+
+
+@query
+def label_rate(t: Tables) -> DataFrame:
+    return metrics.label_rate(t.predictions(), "label", ["lang"]).withColumn(
+        "positive_rate", F.round("positive_rate", 6)
+    )
+
+
+@query
+def group_split(t: Tables) -> DataFrame:
+    return sampling.split_groups(t.encounter(), "patient_id", 0.25, 42).select("encounter_id", "patient_id", "is_test")
+
+
+@query
+def group_split_exact(t: Tables) -> DataFrame:
+    split = sampling.split_groups(t.encounter(), "patient_id", 0.25, 42, exact=True)
+    return split.select("encounter_id", "patient_id", "is_test")
+
+
+@query
+def median_by_label(t: Tables) -> DataFrame:
+    return medians(t.predictions(), ["n_chars", "score"], ["label"])
+
+
+@query
+def readmission_hypothesis(t: Tables) -> DataFrame:
+    """Do readmitted patients have more prior stays? Rank test and medians on the labelled stays."""
+    counted = temporal.prior_counts(
+        readmission.label_readmissions(t.encounter()),
+        "patient_id",
+        micros(F.col("start_ts")),
+        [readmission.encounter_facts(t.encounter())],
+    )
+    test = modelling.hypothesis_test(counted, "readmitted_30d", "prior_inpatient_count")
+    return test.withColumns({c: F.round(c, 6) for c in ("roc_auc", "z", "p_value")})
+
+
+@query
+def describe_orders(t: Tables) -> DataFrame:
+    """Summary of all columns of a table."""
+    columns = ["o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+    described = describe_all(t.raw("orders").select(*columns))
+    return described.withColumns({c: F.round(c, 4) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")})
