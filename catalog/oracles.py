@@ -6,7 +6,7 @@ import re
 
 from carelattice.operators.perturb import NICKNAMES
 
-from .views import sql_views
+from .views import LAB_BY_LINE, _sql_case, sql_views
 
 
 def with_views(body: str, extra: dict[str, str] | None = None) -> str:
@@ -364,7 +364,128 @@ def evaluation_views() -> dict[str, str]:
     }
 
 
+# -- warehouse ---------------------------------------------------------------------------------
+
+
+def warehouse() -> dict[str, str]:
+    lines = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"
+    lab = _sql_case(LAB_BY_LINE, "l_linenumber")
+    first = "arg_min(coalesce(description, ''), (rank, description))"
+    orphans = [
+        ("fact_encounter", "patient_id", "dim_patient", "orders", "o_custkey", "SELECT c_custkey FROM customer"),
+        ("fact_encounter", "organization_id", "dim_organization", "orders", "o_custkey", "SELECT s_suppkey FROM supplier"),
+        (
+            "fact_encounter",
+            "code_system,code",
+            "dim_code",
+            "orders",
+            "o_orderpriority[1]",
+            "SELECT code FROM v_raw_code WHERE code_system = 'SNOMED-CT'",
+        ),
+    ]
+    for fact, where in (("fact_condition", "WHERE l_linestatus = 'O'"), ("fact_procedure", "")):
+        source = f"(SELECT * FROM {lines} {where})"
+        orphans += [
+            (fact, "patient_id", "dim_patient", source, "o_custkey", "SELECT c_custkey FROM customer"),
+            (fact, "encounter_id", "fact_encounter", source, "l_orderkey", "SELECT o_orderkey FROM orders"),
+            (fact, "code_system,code", "dim_code", source, "CAST(l_partkey AS VARCHAR)", "SELECT code FROM v_raw_code"),
+        ]
+    keys = {
+        "customer": "c_custkey",
+        "orders": "o_orderkey",
+        "lineitem": "l_orderkey, l_linenumber",
+        "events": "event_id",
+        "labels": "doc_id",
+    }
+    tables = (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+        "conversations"
+    ).split()
+    typed = [
+        ("dim_patient", "customer", {"birth_date": 0, "death_date": 0, "lat": 0, "lon": 0}),
+        (
+            "fact_encounter",
+            "orders",
+            {"start_ts": 0, "stop_ts": 0, "base_cost": 0, "total_claim_cost": 0, "payer_coverage": "count(*)"},
+        ),
+        ("fact_condition", "lineitem WHERE l_linestatus = 'O'", {"start_date": 0, "stop_date": 0}),
+        ("fact_procedure", "lineitem", {"start_ts": 0, "stop_ts": 0, "base_cost": 0}),
+        (
+            "fact_medication",
+            "lineitem WHERE l_linestatus = 'F'",
+            {"start_ts": 0, "stop_ts": 0, "base_cost": 0, "dispenses": 0, "total_cost": 0},
+        ),
+        ("fact_observation", "lineitem", {"obs_date": 0}),
+    ]
+    return {
+        "dim_code": f"SELECT code_system, code, {first} AS description FROM v_raw_code GROUP BY code_system, code",
+        "dim_code_with_aliases": f"""
+            SELECT code_system, code, {first} AS description
+            FROM (SELECT * REPLACE (replace(code_system, 'SNOMED-CT', 'SNOMED') AS code_system) FROM v_raw_code)
+            GROUP BY code_system, code""".replace(
+            "SELECT code_system, code,", "SELECT replace(code_system, 'SNOMED', 'SNOMED-CT') AS code_system, code,", 1
+        ),
+        "dim_patient": """
+            SELECT CAST(c_custkey AS VARCHAR) AS patient_id,
+              DATE '1930-01-01' + CAST((c_custkey * 37) % 22000 AS INTEGER) AS birth_date, CAST(NULL AS DATE) AS death_date,
+              CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, lower(c_mktsegment) AS race,
+              NULL AS ethnicity, NULL AS marital_status, n_name AS city, n_name AS state, n_name AS county,
+              lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip,
+              CASE WHEN abs(c_acctbal) < 1000 THEN c_acctbal END AS lat, CAST(NULL AS DOUBLE) AS lon
+            FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey""",
+        "dim_organization": """
+            SELECT CAST(s_suppkey AS VARCHAR) AS organization_id, s_name AS name, NULL AS city,
+              CAST(s_nationkey AS VARCHAR) AS state, NULL AS zip FROM supplier""",
+        "fact_encounter": """
+            SELECT CAST(o_orderkey AS VARCHAR) AS encounter_id, CAST(o_custkey AS VARCHAR) AS patient_id,
+              CAST(o_custkey AS VARCHAR) AS organization_id, CAST(o_orderdate AS VARCHAR) AS start_ts,
+              CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS VARCHAR) END AS stop_ts,
+              lower(o_orderpriority) AS encounter_class, 'SNOMED-CT' AS code_system, o_orderpriority[1] AS code,
+              o_totalprice AS base_cost, o_totalprice AS total_claim_cost, CAST(NULL AS DOUBLE) AS payer_coverage
+            FROM orders""",
+        "fact_medication": f"""
+            SELECT CAST(o_custkey AS VARCHAR) AS patient_id, CAST(l_orderkey AS VARCHAR) AS encounter_id,
+              CAST(l_shipdate AS VARCHAR) AS start_ts, CAST(NULL AS VARCHAR) AS stop_ts, 'RxNorm' AS code_system,
+              CAST(l_partkey AS VARCHAR) AS code, l_extendedprice AS base_cost, CAST(l_quantity AS INTEGER) AS dispenses,
+              l_extendedprice AS total_cost
+            FROM {lines} WHERE l_linestatus = 'F'""",
+        "fact_observation": f"""
+            SELECT CAST(o_custkey AS VARCHAR) AS patient_id, CAST(l_orderkey AS VARCHAR) AS encounter_id,
+              CAST(l_shipdate AS VARCHAR) AS obs_date, p_type AS category, 'LOINC' AS code_system, {lab} AS code,
+              CASE WHEN l_discount = 0 THEN 'coded' ELSE CAST(l_quantity AS VARCHAR) END AS value,
+              lower(l_returnflag) AS units
+            FROM {lines}""",
+        "parse_report": " UNION ALL ".join(
+            f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, "
+            + (
+                "count(*) FILTER (WHERE abs(c_acctbal) >= 1000)"
+                if (table, c) == ("dim_patient", "lat")
+                else f"CAST({bad} AS BIGINT)"
+            )
+            + f" AS unparsed FROM {source}"
+            for table, source, columns in typed
+            for c, bad in columns.items()
+        ),
+        "surrogate_keys": f"""
+            SELECT patient_id, start_date, code, row_number() OVER (ORDER BY substr(h, 1, 15), h) AS condition_id
+            FROM (SELECT *, md5('{{"patient_id":' || patient_id || ',"start_date":"' || start_date || '","code":"' || code
+                || '"}}') AS h FROM v_condition)""",
+        "orphan_check": " UNION ALL ".join(
+            f"""SELECT '{fact}' AS "table", '{columns}' AS columns, '{target}' AS target, count(*) AS orphan_rows,
+                count(DISTINCT {key}) AS orphan_keys FROM {source} WHERE {key} NOT IN ({known})"""
+            for fact, columns, target, source, key, known in orphans
+        ),
+        "key_check": " UNION ALL ".join(
+            f"""SELECT '{t}' AS "table", sum(n)::BIGINT AS rows, count(*) FILTER (WHERE n > 1) AS duplicate_keys,
+                coalesce(sum(n) FILTER (WHERE n > 1), 0)::BIGINT AS duplicate_rows, 0::BIGINT AS rows_missing_required
+                FROM (SELECT {k}, count(*) AS n FROM {t} GROUP BY {k})"""
+            for t, k in keys.items()
+        ),
+        "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in tables),
+    }
+
+
 def all_sql() -> dict[str, str]:
     extra = {**linkage_views(), **evaluation_views()}
-    groups = (temporal(), linking(), evaluation())
+    groups = (temporal(), linking(), evaluation(), warehouse())
     return {name: with_views(sql, extra) for group in groups for name, sql in group.items()}

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from carelattice.functions import text
 from carelattice.functions.dates import micros
-from carelattice.operators import linkage, metrics, perturb, sampling, temporal
-from carelattice.operators.running import describe_all, medians
-from carelattice.plans import modelling, readmission
+from carelattice.operators import linkage, metrics, perturb, quality, sampling, temporal
+from carelattice.operators.running import dense_ids, describe_all, medians
+from carelattice.plans import load, modelling, readmission
 
 from .views import Tables
 
@@ -322,3 +322,94 @@ def describe_orders(t: Tables) -> DataFrame:
     columns = ["o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
     described = describe_all(t.raw("orders").select(*columns))
     return described.withColumns({c: F.round(c, 4) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")})
+
+
+# -- warehouse ---------------------------------------------------------------------------------
+
+
+@query
+def dim_code(t: Tables) -> DataFrame:
+    return load.code_dimension(t.exports())
+
+
+@query
+def dim_code_with_aliases(t: Tables) -> DataFrame:
+    return load.code_dimension(t.exports(), aliases={"SNOMED": "SNOMED-CT"})
+
+
+@query
+def dim_patient(t: Tables) -> DataFrame:
+    typed = load.typed_table(t.exports(), "dim_patient")
+    return typed.withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
+
+
+@query
+def dim_organization(t: Tables) -> DataFrame:
+    return load.typed_table(t.exports(), "dim_organization")
+
+
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+@query
+def fact_encounter(t: Tables) -> DataFrame:
+    typed = load.typed_table(t.exports(), "fact_encounter")
+    costs = {c: F.col(c).cast("double") for c in ("base_cost", "total_claim_cost", "payer_coverage")}
+    return _as_text(typed, "start_ts", "stop_ts").withColumns(costs)
+
+
+@query
+def fact_medication(t: Tables) -> DataFrame:
+    typed = load.typed_table(t.exports(), "fact_medication")
+    costs = {c: F.col(c).cast("double") for c in ("base_cost", "total_cost")}
+    return _as_text(typed, "start_ts", "stop_ts").withColumns(costs)
+
+
+@query
+def fact_observation(t: Tables) -> DataFrame:
+    return _as_text(load.typed_table(t.exports(), "fact_observation"), "obs_date")
+
+
+@query
+def parse_report(t: Tables) -> DataFrame:
+    return load.parse_report(t.exports())
+
+
+@query
+def surrogate_keys(t: Tables) -> DataFrame:
+    """Dense ids over rows that repeat: conditions by patient, day and code."""
+    return dense_ids(t.condition(), "condition_id")
+
+
+@query
+def orphan_check(t: Tables) -> DataFrame:
+    """References between the typed tables; organizations do not cover all encounters."""
+    raw = t.exports()
+    names = ("dim_patient", "dim_organization", "fact_encounter", "fact_condition", "fact_procedure")
+    typed = {name: load.typed_table(raw, name) for name in names}
+    return quality.orphan_report(typed | {"dim_code": load.code_dimension(raw)})
+
+
+@query
+def key_check(t: Tables) -> DataFrame:
+    """Keys of the supplied tables; line numbers repeat within an order."""
+    keys = {
+        "customer": ["c_custkey"],
+        "orders": ["o_orderkey"],
+        "lineitem": ["l_orderkey", "l_linenumber"],
+        "events": ["event_id"],
+        "labels": ["doc_id"],
+    }
+    return quality.key_report({name: t.raw(name) for name in keys}, keys, {})
+
+
+SUPPLIED = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+@query
+def table_counts(t: Tables) -> DataFrame:
+    return quality.table_counts({name: t.raw(name) for name in SUPPLIED})

@@ -138,6 +138,92 @@ class Tables:
             F.when(k % 41 != 0, zip_code).alias("zip"),
         )
 
+    # -- raw exports ---------------------------------------------------------------------------
+
+    def exports(self) -> dict[str, DataFrame]:
+        """The seven raw text tables of an export, over whole source tables."""
+        text = lambda c: F.col(c).cast("string")
+        iso = lambda c: F.date_format(F.col(c).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        day = lambda c: F.date_format(F.col(c).cast("timestamp"), "yyyy-MM-dd")
+        o, p, s = self.raw("orders"), self.raw("part"), self.raw("supplier")
+        nations = self.raw("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+        lines = self._lines().join(p, F.col("l_partkey") == F.col("p_partkey"))
+        base = {
+            "PATIENT": text("o_custkey"),
+            "ENCOUNTER": text("l_orderkey"),
+            "CODE": text("l_partkey"),
+            "DESCRIPTION": F.col("p_name"),
+        }
+        put = lambda df, **columns: df.select(*[c.alias(n) for n, c in columns.items()])
+        nothing = F.lit(None).cast("string")
+        # Parts of brands 1-5 are written under another spelling of the coding system.
+        system = F.when(F.col("p_brand").isin(*[f"Brand#{i}" for i in range(1, 6)]), "SNOMED").otherwise("SNOMED-CT")
+        dated = {"START": iso("l_shipdate"), "STOP": nothing}
+        return {
+            "patients": put(
+                self.raw("customer").join(nations, "c_nationkey", "left"),
+                Id=text("c_custkey"),
+                BIRTHDATE=F.date_add(F.lit("1930-01-01").cast("date"), ((F.col("c_custkey") * 37) % 22000).cast("int")).cast(
+                    "string"
+                ),
+                DEATHDATE=nothing,
+                GENDER=F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M"),
+                RACE=F.lower("c_mktsegment"),
+                ETHNICITY=nothing,
+                MARITAL=nothing,
+                CITY=F.col("n_name"),
+                STATE=F.col("n_name"),
+                COUNTY=F.col("n_name"),
+                ZIP=F.lpad(text("c_nationkey"), 5, "0"),
+                LAT=text("c_acctbal"),
+                LON=nothing,
+            ),
+            "organizations": put(
+                s, Id=text("s_suppkey"), NAME=F.col("s_name"), CITY=nothing, STATE=text("s_nationkey"), ZIP=nothing
+            ),
+            "encounters": put(
+                o,
+                Id=text("o_orderkey"),
+                PATIENT=text("o_custkey"),
+                ORGANIZATION=text("o_custkey"),
+                START=iso("o_orderdate"),
+                STOP=F.when(F.col("o_orderstatus") == "F", iso("o_orderdate")),
+                ENCOUNTERCLASS=F.lower("o_orderpriority"),
+                CODE=F.substring("o_orderpriority", 1, 1),
+                DESCRIPTION=F.col("o_orderpriority"),
+                BASE_ENCOUNTER_COST=text("o_totalprice"),
+                TOTAL_CLAIM_COST=text("o_totalprice"),
+                PAYER_COVERAGE=F.lit("n.a."),
+            ),
+            "conditions": put(
+                lines.where("l_linestatus = 'O'"), **(base | {"START": day("l_shipdate"), "STOP": nothing, "SYSTEM": system})
+            ),
+            "procedures": put(lines, **(base | dated | {"SYSTEM": system, "BASE_COST": text("l_extendedprice")})),
+            "medications": put(
+                lines.where("l_linestatus = 'F'"),
+                **(
+                    base
+                    | dated
+                    | {
+                        "BASE_COST": text("l_extendedprice"),
+                        "DISPENSES": F.col("l_quantity").cast("bigint").cast("string"),
+                        "TOTALCOST": text("l_extendedprice"),
+                    }
+                ),
+            ),
+            "observations": put(
+                self._lines().join(p, F.col("l_partkey") == F.col("p_partkey")),
+                PATIENT=base["PATIENT"],
+                ENCOUNTER=base["ENCOUNTER"],
+                DATE=iso("l_shipdate"),
+                CATEGORY=F.col("p_type"),
+                CODE=lookup(LAB_BY_LINE, F.col("l_linenumber")),
+                DESCRIPTION=F.col("p_brand"),
+                VALUE=F.when(F.col("l_discount") == 0, "coded").otherwise(text("l_quantity")),
+                UNITS=F.lower("l_returnflag"),
+            ),
+        }
+
     # -- evaluation and log --------------------------------------------------------------------
 
     def predictions(self) -> DataFrame:
@@ -234,6 +320,16 @@ def sql_views() -> dict[str, str]:
               CASE WHEN {k} % 41 <> 0
                 THEN lpad(CAST({n} * 1371 + 501 + {k} % 4 AS VARCHAR), 5, '0') END AS zip
             FROM customer""",
+        "v_raw_code": f"""
+            SELECT CASE WHEN p_brand IN ({', '.join(f"'Brand#{i}'" for i in range(1, 6))})
+                THEN 'SNOMED' ELSE 'SNOMED-CT' END AS code_system, CAST(l_partkey AS VARCHAR) AS code,
+              p_name AS description, CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END AS rank
+            FROM {lines} JOIN part ON l_partkey = p_partkey
+            UNION ALL SELECT 'SNOMED-CT', o_orderpriority[1], o_orderpriority, 2 FROM orders
+            UNION ALL SELECT 'RxNorm', CAST(l_partkey AS VARCHAR), p_name, 3
+            FROM {lines} JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F'
+            UNION ALL SELECT 'LOINC', {_sql_case(LAB_BY_LINE, "l_linenumber")}, p_brand, 4
+            FROM {lines} JOIN part ON l_partkey = p_partkey""",
         "v_pred": """
             SELECT labels.doc_id, lang, quality AS label, n_chars, (n_chars % 101) / 100.0::DOUBLE AS score
             FROM labels JOIN documents USING (doc_id)""",
