@@ -87,16 +87,22 @@ def binary_metrics(
     by: Sequence[str] = (),
     threshold: float = MATCH_THRESHOLD,
     digits: int | None = 4,
+    weight: Column | None = None,
 ) -> DataFrame:
-    """Counts, precision, recall and F1 of class 1 at a threshold, per group if `by` is given."""
+    """Counts, precision, recall and F1 of class 1 at a threshold, per group if `by` is given.
+
+    `weight` is the number of cases a row stands for.
+    """
     called, true = F.col(score) >= threshold, F.col(label) == 1
+    times = F.lit(1).cast("bigint") if weight is None else weight
+    total = lambda condition: F.coalesce(F.sum(F.when(condition, times)), F.lit(0))
     counts = scored.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(called & true).alias("tp"),
-        F.count_if(called & ~true).alias("fp"),
-        F.count_if(~called & true).alias("fn"),
-        F.count_if(called).alias("predicted_positive"),
-        F.count_if(true).alias("actual_positive"),
+        total(F.lit(True)).alias("n"),
+        total(called & true).alias("tp"),
+        total(called & ~true).alias("fp"),
+        total(~called & true).alias("fn"),
+        total(called).alias("predicted_positive"),
+        total(true).alias("actual_positive"),
     )
     return _with_prf(counts, "tp", "predicted_positive", "actual_positive", digits)
 

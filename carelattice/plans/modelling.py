@@ -2,13 +2,312 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import (
+    GBTClassifier,
+    LogisticRegression,
+    MultilayerPerceptronClassifier,
+    RandomForestClassifier,
+)
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.linkage import one_row
-from ..operators.metrics import mann_whitney
-from ..operators.running import medians
+from ..functions.draws import uniform
+from ..operators.linkage import B_ID, logistic, one_row
+from ..operators.metrics import binary_metrics, mann_whitney, model_comparison
+from ..operators.running import medians, modes
+from ..operators.sampling import split_groups
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
+from ..schemas import CATEGORICAL_FEATURES, MATCH_THRESHOLD, NUMERIC_FEATURES, PAIR_FEATURES, SEED, TARGET
+
+FEATURES, WEIGHT = "features", "__weight"
+
+
+# -- preparation -------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Fills:
+    """What missing values are replaced by, and how numbers are scaled: one entry per column."""
+
+    numbers: Mapping[str, float]
+    texts: Mapping[str, str]
+    means: Mapping[str, float]
+    deviations: Mapping[str, float]
+
+
+def fit_fills(
+    df: DataFrame,
+    numeric: Sequence[str] = NUMERIC_FEATURES,
+    categorical: Sequence[str] = CATEGORICAL_FEATURES,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> Fills:
+    """Exact medians, most frequent texts, and mean and population deviation after filling.
+
+    What comes to the driver is one row per column.
+    """
+    numbers = {r["feature"]: r["median"] for r in medians(df, numeric, policy=policy).collect()}
+    texts = {r["feature"]: r["mode"] for r in modes(df, categorical).collect()} if categorical else {}
+    numbers = {c: numbers.get(c, 0.0) for c in numeric}
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(numbers[c])) for c in numeric}
+    moments = df.agg(
+        *[F.avg(v).alias(f"mean_{c}") for c, v in filled.items()],
+        *[F.stddev_pop(v).alias(f"dev_{c}") for c, v in filled.items()],
+    ).first()
+    return Fills(
+        numbers,
+        {c: texts.get(c, "") for c in categorical},
+        {c: moments[f"mean_{c}"] or 0.0 for c in numeric},
+        # A constant column is only centred.
+        {c: moments[f"dev_{c}"] or 1.0 for c in numeric},
+    )
+
+
+def filled_columns(fills: Fills) -> dict[str, Column]:
+    numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills.numbers.items()}
+    return numbers | {c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.texts.items()}
+
+
+def scaled_columns(fills: Fills) -> dict[str, Column]:
+    """Filled numbers, centred and divided by the population deviation."""
+    filled = filled_columns(fills)
+    return {c: (filled[c] - F.lit(fills.means[c])) / F.lit(fills.deviations[c]) for c in fills.numbers}
+
+
+def preparation(fills: Fills) -> Pipeline:
+    """Fill, scale, one-hot and assemble. The first step is SQL text, so the fitted whole can be saved.
+
+    A category not seen in training becomes the zero vector.
+    """
+    number = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
+    quote = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    scaled = [
+        f"(coalesce(CAST(`{c}` AS DOUBLE), {number(v)}) - {number(fills.means[c])})"
+        f" / {number(fills.deviations[c])} AS `{c}__z`"
+        for c, v in fills.numbers.items()
+    ]
+    texts = [f"coalesce(`{c}`, {quote(v)}) AS `{c}__f`" for c, v in fills.texts.items()]
+    names = list(fills.texts)
+    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(scaled + texts)} FROM __THIS__")]
+    if names:
+        stages += [
+            StringIndexer(
+                inputCols=[f"{c}__f" for c in names],
+                outputCols=[f"{c}__i" for c in names],
+                handleInvalid="keep",
+                stringOrderType="alphabetAsc",
+            ),
+            OneHotEncoder(
+                inputCols=[f"{c}__i" for c in names], outputCols=[f"{c}__h" for c in names], dropLast=True
+            ),
+        ]
+    inputs = [f"{c}__z" for c in fills.numbers] + [f"{c}__h" for c in names]
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol=FEATURES)])
+
+
+# -- weights and balance -----------------------------------------------------------------------
+
+
+def balanced_weight(df: DataFrame, label: str, weight: Column | None = None) -> tuple[Column, float]:
+    """(weight column n / (2 * n_class), total weight). One small job."""
+    rows = F.lit(1) if weight is None else weight
+    counts = {r[label]: float(r["n"]) for r in df.groupBy(label).agg(F.sum(rows).alias("n")).collect()}
+    n = sum(counts.values())
+    of = F.when(F.col(label) == 1, F.lit(n / (2 * counts.get(1, n)))).otherwise(F.lit(n / (2 * counts.get(0, n))))
+    return of * rows, n
+
+
+def oversampled(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
+    """Rows of the smaller class repeated until the classes are about even; nothing is left out.
+
+    For learners without row weights. A fractional number of copies is settled by a draw on the key.
+    """
+    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    if len(counts) < 2:
+        return df
+    most = max(counts.values())
+    times = F.lit(1.0)
+    for value, n in counts.items():
+        times = F.when(F.col(label) == value, F.lit(most / n)).otherwise(times)
+    whole = F.floor(times + uniform(F.col(key), seed, "copies")).cast("int")
+    return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(whole, F.lit(1))))).drop("__copy")
+
+
+def logistic_regression(total_weight: float, max_iter: int, label: str, c: float = 1.0) -> LogisticRegression:
+    """L2 with inverse strength `c` on the summed loss; Spark averages the loss, hence the division."""
+    return LogisticRegression(
+        featuresCol=FEATURES,
+        labelCol=label,
+        weightCol=WEIGHT,
+        maxIter=max_iter,
+        regParam=1.0 / (c * total_weight),
+        elasticNetParam=0.0,
+        standardization=False,
+        tol=1e-8,
+    )
+
+
+# -- pair classifier ---------------------------------------------------------------------------
+
+
+@dataclass
+class PairModel:
+    model: PipelineModel
+    metrics: DataFrame
+    weights: DataFrame
+
+
+def train_pairs(
+    pairs: DataFrame, features: Sequence[str] = PAIR_FEATURES, test_fraction: float = 0.3, seed: int = SEED
+) -> PairModel:
+    """Balanced logistic regression on candidate pairs; all pairs of a B record fall on one side.
+
+    Pairs with equal features, label and side enter once, weighted by their number: the loss is the
+    same sum, over far fewer rows than there are pairs.
+    """
+    split = split_groups(pairs, B_ID, test_fraction, seed)
+    grouped = split.groupBy(*features, "is_match", "is_test").agg(F.count(F.lit(1)).alias("n")).persist()
+    try:
+        train = grouped.where(~F.col("is_test"))
+        weight, total = balanced_weight(train, "is_match", F.col("n"))
+        assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+        fitted = Pipeline(stages=[assembler, logistic_regression(total, 100, "is_match")]).fit(
+            train.withColumn(WEIGHT, weight)
+        )
+    finally:
+        grouped.unpersist()
+    test = with_score(fitted, grouped.where("is_test"))
+    held_out = binary_metrics(test, "is_match", "score", weight=F.col("n"))
+    sizes = grouped.agg(F.sum("n").alias("candidate_pairs_total"))
+    measured = one_row(sizes, held_out).select(
+        "candidate_pairs_total",
+        F.col("n").alias("candidate_pairs_test"),
+        F.col("precision").alias("test_precision"),
+        F.col("recall").alias("test_recall"),
+        F.col("f1").alias("test_f1"),
+    )
+    return PairModel(fitted, measured, learned_weights(fitted, features, pairs))
+
+
+def learned_weights(fitted: PipelineModel, features: Sequence[str], like: DataFrame, digits: int = 3) -> DataFrame:
+    """(feature, weight) rows of the fitted logistic regression."""
+    values = [round(float(w), digits) for w in fitted.stages[-1].coefficients]
+    return like.sparkSession.createDataFrame(list(zip(features, values)), "feature string, weight double")
+
+
+def score_expression(fitted: PipelineModel, features: Sequence[str] = PAIR_FEATURES) -> Column:
+    """The fitted logistic regression as a plain column over the features."""
+    last = fitted.stages[-1]
+    return logistic(dict(zip(features, last.coefficients)), last.intercept)
+
+
+# -- risk classifiers --------------------------------------------------------------------------
+
+
+def with_score(fitted: Transformer, df: DataFrame) -> DataFrame:
+    """`df` with the probability of class 1 as `score`."""
+    scored = fitted.transform(df)
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], vector_to_array("probability")[1].alias("score"))
+
+
+@dataclass(frozen=True)
+class Learner:
+    """A classifier to be fitted on prepared rows; `weighted` says whether it takes row weights."""
+
+    make: Callable[[float, int], Estimator]
+    weighted: bool = True
+
+
+def risk_learners(label: str = TARGET, seed: int = SEED, trees: int = 300, depth: int = 12) -> dict[str, Learner]:
+    """The four compared classifiers, by name; each takes (total weight, number of inputs)."""
+    common = {"featuresCol": FEATURES, "labelCol": label}
+    return {
+        "logistic_regression": Learner(lambda total, _: logistic_regression(total, 1000, label)),
+        "random_forest": Learner(
+            lambda *_: RandomForestClassifier(
+                **common, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, maxBins=64, seed=seed
+            )
+        ),
+        "gradient_boosted_trees": Learner(
+            lambda *_: GBTClassifier(
+                **common, weightCol=WEIGHT, maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, seed=seed
+            )
+        ),
+        # Sigmoid units, no dropout and no row weights in this learner: balanced by repetition instead.
+        "neural_network_mlp": Learner(
+            lambda _, inputs: MultilayerPerceptronClassifier(
+                **common, layers=[inputs, 32, 16, 2], maxIter=100, blockSize=64, seed=seed
+            ),
+            weighted=False,
+        ),
+    }
+
+
+def fit_risk_models(
+    train: DataFrame,
+    learners: Mapping[str, Learner] | None = None,
+    numeric: Sequence[str] = NUMERIC_FEATURES,
+    categorical: Sequence[str] = CATEGORICAL_FEATURES,
+    label: str = TARGET,
+    key: str = "encounter_id",
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> dict[str, PipelineModel]:
+    """Fit all learners on one shared preparation; each result scores raw rows and can be saved."""
+    learners = risk_learners(label) if learners is None else learners
+    prepared = preparation(fit_fills(train, numeric, categorical, policy)).fit(train)
+    weight, total = balanced_weight(train, label)
+    rows = prepared.transform(train.withColumn(WEIGHT, weight)).select(
+        key, F.col(label).cast("double").alias(label), WEIGHT, FEATURES
+    )
+    rows.persist()
+    try:
+        inputs = len(rows.select(FEATURES).first()[FEATURES])
+        return {
+            name: PipelineModel(
+                [
+                    *prepared.stages,
+                    learner.make(total, inputs).fit(rows if learner.weighted else oversampled(rows, label, key)),
+                ]
+            )
+            for name, learner in learners.items()
+        }
+    finally:
+        rows.unpersist()
+
+
+def compare_models(
+    models: Mapping[str, Model], test: DataFrame, label: str = TARGET, digits: int = 3, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """The comparison table over held-out rows, best first."""
+    scored = [
+        with_score(fitted, test).select(F.lit(name).alias("model"), F.col(label), "score")
+        for name, fitted in models.items()
+    ]
+    return model_comparison(reduce(DataFrame.unionByName, scored), label, "score", digits=digits, policy=policy)
+
+
+def split_by_patient(frame: DataFrame, test_fraction: float = 0.25, seed: int = SEED, exact: bool = False):
+    """(train, test), all stays of a patient on one side."""
+    split = split_groups(frame, "patient_id", test_fraction, seed, exact)
+    return split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
+
+
+def save_models(models: Mapping[str, PipelineModel], folder: str) -> None:
+    for name, fitted in models.items():
+        fitted.write().overwrite().save(f"{folder.rstrip('/')}/{name}")
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+# -- hypothesis --------------------------------------------------------------------------------
 
 
 def hypothesis_test(

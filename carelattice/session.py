@@ -32,3 +32,11 @@ def build_session(app: str = "carelattice", master: str | None = None, **conf: s
     for name, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder all executors can reach: below what the cluster names in `spark.checkpoint.dir`."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return f"{root.rstrip('/')}/{name}"

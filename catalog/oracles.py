@@ -485,7 +485,79 @@ def warehouse() -> dict[str, str]:
     }
 
 
+# -- models and scoring ------------------------------------------------------------------------
+
+
+def scoring() -> dict[str, str]:
+    numbers = ("prior_inpatient_count", "bmi", "glucose", "hba1c", "age_at_encounter", "base_cost")
+    texts = ("gender", "race")
+    filled_number = {c: f"coalesce({c}::DOUBLE, (SELECT median({c}::DOUBLE) FROM v_frame))" for c in numbers}
+    filled_text = {
+        c: f"coalesce({c}, (SELECT arg_min({c}, (-n, {c})) FROM (SELECT {c}, count(*) AS n FROM v_frame "
+        f"WHERE {c} IS NOT NULL GROUP BY {c})))"
+        for c in texts
+    }
+    scaled = ", ".join(
+        f"round(({e} - (SELECT avg({e}) FROM v_frame)) / (SELECT stddev_pop({e}) FROM v_frame), 6) AS {c}"
+        for c, e in filled_number.items()
+    )
+    one_hot = " UNION ALL ".join(
+        f"""SELECT encounter_id, '{c}' AS feature, slot FROM (SELECT encounter_id, {e} AS v FROM v_frame)
+            JOIN (SELECT v, row_number() OVER (ORDER BY v) - 1 AS slot FROM (SELECT DISTINCT {e} AS v FROM v_frame))
+            USING (v)"""
+        for c, e in filled_text.items()
+    )
+    return {
+        "impute_values": "SELECT encounter_id, "
+        + ", ".join(
+            f"round({e}, 6) AS {c}" if c == "age_at_encounter" else f"{e} AS {c}"
+            for c, e in (filled_number | filled_text).items()
+        )
+        + " FROM v_frame",
+        "scale_values": f"SELECT encounter_id, {scaled} FROM v_frame",
+        "one_hot_values": one_hot,
+        "match_scores": "SELECT system_b_id, round(score, 6) AS score, score >= 0.5 AS is_match FROM v_request",
+        "match_log": """
+            SELECT 'match' AS kind, a_name || ' <-> ' || b_name AS input_summary, round(score, 6) AS score
+            FROM v_request""",
+        "risk_log": """
+            SELECT 'risk' AS kind, concat('age=', coalesce(CAST(CAST(floor(age_at_encounter) AS BIGINT) AS VARCHAR), 'None'),
+                ', prior_inpatient=', prior_inpatient_count) AS input_summary,
+              round(prior_inpatient_count / (prior_encounter_count + 1)::DOUBLE, 6) AS score
+            FROM v_frame""",
+        "prediction_summary": """
+            SELECT kind, count(*) AS n, round(avg(score), 6) AS avg_score, round(min(score), 6) AS min_score,
+              round(max(score), 6) AS max_score
+            FROM v_log GROUP BY kind""",
+        "recent_predictions": """
+            SELECT id, kind, input_summary, round(score, 6) AS score, CAST(created_at AS VARCHAR) AS created_at
+            FROM v_log ORDER BY v_log.created_at DESC, id DESC LIMIT 25""",
+    }
+
+
+def scoring_views() -> dict[str, str]:
+    return {
+        "v_frame": temporal()["training_frame"].replace("round(date_diff", "(date_diff").replace("/ 365.25, 6)", "/ 365.25)"),
+        "v_request": """
+            SELECT p.system_b_id, score, concat_ws(' ', a.first, a.last) AS a_name, concat_ws(' ', b.first, b.last) AS b_name
+            FROM (SELECT *, 1 / (1 + exp(-(-12.0 + first_sim * 6.0 + last_sim * 7.0 + zip_sim * 2.0
+                + dob_year_match * 0.5 + ssn_agree * 5.0 + ssn_both_present * -1.0)::DOUBLE)) AS score
+              FROM (SELECT b.system_b_id, a.patient_id,
+                  jaro_winkler_similarity(lower(a.first), lower(b.first)) AS first_sim,
+                  jaro_winkler_similarity(lower(a.last), lower(b.last)) AS last_sim,
+                  jaro_winkler_similarity(a.zip, b.zip) AS zip_sim,
+                  CASE WHEN substr(a.dob, 1, 4) = substr(b.dob, 1, 4) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS dob_year_match,
+                  CASE WHEN a.ssn <> '' AND b.ssn <> '' AND a.ssn = b.ssn THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ssn_agree,
+                  CASE WHEN a.ssn <> '' AND b.ssn <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ssn_both_present
+                FROM v_truth t JOIN v_person_a a ON a.patient_id = t.true_patient_id
+                  JOIN v_b b ON b.system_b_id = t.system_b_id
+                WHERE a.first IS NOT NULL AND a.last IS NOT NULL AND a.dob IS NOT NULL AND a.zip IS NOT NULL
+                  AND b.first IS NOT NULL AND b.last IS NOT NULL AND b.dob IS NOT NULL AND b.zip IS NOT NULL)) p
+              JOIN v_person_a a ON a.patient_id = p.patient_id JOIN v_b b ON b.system_b_id = p.system_b_id""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    extra = {**linkage_views(), **evaluation_views()}
-    groups = (temporal(), linking(), evaluation(), warehouse())
+    extra = {**linkage_views(), **evaluation_views(), **scoring_views()}
+    groups = (temporal(), linking(), evaluation(), warehouse(), scoring())
     return {name: with_views(sql, extra) for group in groups for name, sql in group.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from carelattice.functions import text
 from carelattice.functions.dates import micros
 from carelattice.operators import linkage, metrics, perturb, quality, sampling, temporal
 from carelattice.operators.running import dense_ids, describe_all, medians
-from carelattice.plans import load, modelling, readmission
+from carelattice.plans import linking, load, modelling, readmission, scoring
 
 from .views import Tables
 
@@ -413,3 +414,129 @@ SUPPLIED = (
 @query
 def table_counts(t: Tables) -> DataFrame:
     return quality.table_counts({name: t.raw(name) for name in SUPPLIED})
+
+
+# -- models and scoring ------------------------------------------------------------------------
+
+NUMBERS = ("prior_inpatient_count", "bmi", "glucose", "hba1c", "age_at_encounter", "base_cost")
+TEXTS = ("gender", "race")
+
+
+@query
+def impute_values(t: Tables) -> DataFrame:
+    """Exact medians and most frequent texts filled in, on the training frame."""
+    stays = frame(t)
+    filled = modelling.filled_columns(modelling.fit_fills(stays, NUMBERS, TEXTS))
+    out = stays.select("encounter_id", *[c.alias(n) for n, c in filled.items()])
+    return out.withColumn("age_at_encounter", F.round("age_at_encounter", 6))
+
+
+@query
+def scale_values(t: Tables) -> DataFrame:
+    stays = frame(t)
+    scaled = modelling.scaled_columns(modelling.fit_fills(stays, NUMBERS, TEXTS))
+    return stays.select("encounter_id", *[F.round(c, 6).alias(n) for n, c in scaled.items()])
+
+
+@query
+def one_hot_values(t: Tables) -> DataFrame:
+    """One row per stay and set slot of the encoded categories."""
+    stays = frame(t).select("encounter_id", *NUMBERS, *TEXTS)
+    prepared = modelling.preparation(modelling.fit_fills(stays, NUMBERS, TEXTS)).fit(stays).transform(stays)
+    slots = [
+        F.posexplode(vector_to_array(f"{c}__h")).alias("slot", "value") for c in TEXTS
+    ]
+    parts = [
+        prepared.select("encounter_id", F.lit(c).alias("feature"), slot).where("value = 1").select(
+            "encounter_id", "feature", F.col("slot").cast("bigint").alias("slot")
+        )
+        for c, slot in zip(TEXTS, slots)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _pairs(t: Tables) -> DataFrame:
+    b, truth = second_list(t)
+    return linkage.candidate_pairs(t.person_a(), b, truth)
+
+
+@query
+def pair_model_metrics(t: Tables) -> DataFrame:
+    return modelling.train_pairs(_pairs(t)).metrics
+
+
+@query
+def pair_model_weights(t: Tables) -> DataFrame:
+    return modelling.train_pairs(_pairs(t)).weights
+
+
+@query
+def fitted_best_match(t: Tables) -> DataFrame:
+    b, truth = second_list(t)
+    return linking.link_by_model(t.person_a(), b, truth).matches
+
+
+@query
+def fitted_best_match_eval(t: Tables) -> DataFrame:
+    b, truth = second_list(t)
+    return linking.link_by_model(t.person_a(), b, truth).overall
+
+
+@query
+def model_comparison(t: Tables) -> DataFrame:
+    train, test = modelling.split_by_patient(frame(t))
+    return modelling.compare_models(modelling.fit_risk_models(train), test)
+
+
+@query
+def risk_scores(t: Tables) -> DataFrame:
+    """Readmission score of every stay under the logistic regression."""
+    stays = frame(t)
+    learners = {"logistic_regression": modelling.risk_learners()["logistic_regression"]}
+    fitted = modelling.fit_risk_models(modelling.split_by_patient(stays)[0], learners)["logistic_regression"]
+    return scoring.shown(scoring.score_risk(stays, fitted)).select("encounter_id", "score")
+
+
+def _requests(t: Tables) -> DataFrame:
+    """True pairs as scoring requests."""
+    b, truth = second_list(t)
+    person = lambda: F.struct("first", "last", "dob", "zip", "ssn")
+    left = t.person_a().select(F.col("patient_id").alias("true_patient_id"), person().alias("record_a"))
+    right = b.select("system_b_id", person().alias("record_b"))
+    return truth.join(left, "true_patient_id").join(right, "system_b_id")
+
+
+@query
+def match_scores(t: Tables) -> DataFrame:
+    scored = scoring.score_pairs(_requests(t), linkage.logistic(PAIR_WEIGHTS, PAIR_INTERCEPT))
+    return scored.select("system_b_id", F.round("score", 6).alias("score"), "is_match")
+
+
+@query
+def match_log(t: Tables) -> DataFrame:
+    scored = scoring.score_pairs(_requests(t), linkage.logistic(PAIR_WEIGHTS, PAIR_INTERCEPT))
+    log = scoring.as_log(scored, "match", scoring.pair_summary())
+    return log.select("kind", "input_summary", F.round("score", 6).alias("score"))
+
+
+@query
+def risk_log(t: Tables) -> DataFrame:
+    """Log rows of all stays, with the share of prior stays as a score."""
+    stays = frame(t).withColumn("age_at_encounter", F.floor("age_at_encounter"))
+    scored = stays.withColumn("score", F.col("prior_inpatient_count") / (F.col("prior_encounter_count") + 1))
+    log = scoring.as_log(scored, "risk", scoring.risk_summary())
+    return log.select("kind", "input_summary", F.round("score", 6).alias("score"))
+
+
+@query
+def prediction_summary(t: Tables) -> DataFrame:
+    summary = scoring.log_summary(t.log())
+    return summary.withColumns({c: F.round(c, 6) for c in ("avg_score", "min_score", "max_score")})
+
+
+@query
+def recent_predictions(t: Tables) -> DataFrame:
+    recent = scoring.recent_predictions(t.log())
+    return recent.select(
+        "id", "kind", "input_summary", F.round("score", 6).alias("score"), F.col("created_at").cast("string")
+    )

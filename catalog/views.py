@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from carelattice.session import configure
 
@@ -26,6 +27,8 @@ FAMILY_NAMES = (
 CONDITION_BY_FLAG = {"A": "44054006", "R": "38341003", "N": "195662009"}
 LAB_BY_LINE = {1: "39156-5", 2: "8480-6", 3: "8462-4", 4: "8867-4", 5: "2339-0", 6: "4548-4", 7: "2093-3"}
 
+_SCHEMAS: dict[str, StructType] = {}
+
 
 class Tables:
     """Supplied tables under one folder, and the views over them."""
@@ -35,7 +38,11 @@ class Tables:
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        # Known schemas save the footer job of every further read.
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # -- clinical ------------------------------------------------------------------------------
 
