@@ -151,7 +151,11 @@ def average_ranks(
     scored: DataFrame, label: str, score: str, by: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
     """Per distinct score: rows, positives, and the rank its rows share (1-based, mean over ties)."""
-    steps = score_steps(scored, label, score, by, False, policy)
+    return average_rank_of(score_steps(scored, label, score, by, False, policy), by)
+
+
+def average_rank_of(steps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Average ranks from ascending score steps."""
     return steps.select(
         *by, "score", "n", "pos", (F.col("cum_n") - (F.col("n") - 1) / F.lit(2.0)).alias("average_rank")
     )
@@ -182,7 +186,11 @@ def mann_whitney(
 
     Normal approximation with tie and continuity correction, for samples beyond a handful.
     """
-    ranks = average_ranks(scored, label, score, by, policy)
+    return rank_test(average_ranks(scored, label, score, by, policy), by)
+
+
+def rank_test(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The test of `mann_whitney` from average ranks."""
     n_double = F.col("n").cast("double")
     sums = ranks.groupBy(*by).agg(
         F.coalesce(F.sum("pos"), F.lit(0)).alias("n1"),
@@ -214,21 +222,39 @@ def roc_auc(
 
 
 def model_comparison(
-    scored: DataFrame, label: str, score: str, model: str = "model", digits: int = 3, policy: SkewPolicy = DEFAULT_POLICY
+    scored: DataFrame,
+    label: str,
+    score: str,
+    model: str = "model",
+    digits: int = 3,
+    threshold: float = MATCH_THRESHOLD,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """One row per model: precision, recall, f1, pr_auc, roc_auc; best pr_auc first.
 
-    Takes the scores of all models as rows, so one pass serves every model.
+    Takes the scores of all models as rows. All figures come from one table of distinct scores with
+    running counts, so the scored rows are grouped once.
     """
-    at = binary_metrics(scored, label, score, [model], digits=digits).select(model, "precision", "recall", "f1")
-    ap = average_precision(scored, label, score, [model], policy)
-    auc = roc_auc(scored, label, score, [model], policy)
-    joined = at.join(ap, model).join(auc, model)
-    return joined.select(
+    steps = score_steps(scored, label, score, [model], True, policy)
+    n, pos, cum_n = F.col("n"), F.col("pos"), F.col("cum_n")
+    called = F.col("score") >= threshold
+    sums = steps.groupBy(model).agg(
+        F.sum(n).alias("n"),
+        F.sum(pos).alias("actual_positive"),
+        F.coalesce(F.sum(F.when(called, n)), F.lit(0)).alias("predicted_positive"),
+        F.coalesce(F.sum(F.when(called, pos)), F.lit(0)).alias("tp"),
+        F.sum(pos * F.col("cum_pos") / cum_n).alias("__ap"),
+        # Rank from the top, to be turned around.
+        F.sum(pos * (cum_n - (n - 1) / F.lit(2.0))).alias("__from_top"),
+    )
+    n1, rows = F.col("actual_positive").cast("double"), F.col("n").cast("double")
+    u = n1 * (rows + 1) - F.col("__from_top") - n1 * (n1 + 1) / 2
+    whole = _with_prf(sums, "tp", "predicted_positive", "actual_positive", digits)
+    return whole.select(
         F.col(model).alias("model"),
         "precision",
         "recall",
         "f1",
-        F.bround("average_precision", digits).alias("pr_auc"),
-        F.bround("roc_auc", digits).alias("roc_auc"),
+        F.bround(_ratio(F.col("__ap"), n1), digits).alias("pr_auc"),
+        F.bround(F.try_divide(u, n1 * (rows - n1)), digits).alias("roc_auc"),
     ).orderBy(F.desc("pr_auc"), "model")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,7 +55,8 @@ def heavy_keys(
     weight: Column | None = None,
     extra: Sequence[str] = (),
 ) -> list[HeavyKey]:
-    """Keys above the floor and above one share of the total. Runs one job over the key columns.
+    """Keys above the floor and above one share of the total. Runs one job over the key columns, and
+    one for the total if any key is above the floor.
 
     Only the `parts` largest keys are looked at: any key left out holds less than one share. So the
     list is bounded by `parts` and the splits add up to at most twice that. A null in a key column
@@ -63,17 +64,12 @@ def heavy_keys(
     """
     parts = policy.shares(df.sparkSession)
     weight = F.lit(1) if weight is None else weight
-    seen = Observation()
-    sums = (
-        df.select(*keys, *extra, weight.cast("double").alias("__w"))
-        .groupBy(*keys)
-        .agg(F.sum("__w").alias("__w"), *[F.max(c).alias(c) for c in extra])
-        .observe(seen, F.sum("__w").alias("total"), F.count(F.lit(1)).alias("n"))
-    )
+    rows = df.select(*keys, *extra, weight.cast("double").alias("__w"))
+    sums = rows.groupBy(*keys).agg(F.sum("__w").alias("__w"), *[F.max(c).alias(c) for c in extra])
     top: list[Row] = sums.where(F.col("__w") > policy.floor).orderBy(F.desc("__w")).limit(parts).collect()
     if not top:
         return []
-    share = max(policy.floor, seen.get["total"] / parts)
+    share = max(policy.floor, rows.agg(F.sum("__w")).first()[0] / parts)
     return [
         HeavyKey(
             tuple(r[k] for k in keys), r["__w"], min(parts, -int(-r["__w"] // share)), tuple(r[c] for c in extra)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import uniform
 from ..operators.linkage import B_ID, logistic, one_row
-from ..operators.metrics import binary_metrics, mann_whitney, model_comparison
+from ..operators.metrics import average_rank_of, binary_metrics, model_comparison, rank_test, score_steps
 from ..operators.running import medians, modes
 from ..operators.sampling import split_groups
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
@@ -149,7 +149,6 @@ def logistic_regression(total_weight: float, max_iter: int, label: str, c: float
         regParam=1.0 / (c * total_weight),
         elasticNetParam=0.0,
         standardization=False,
-        tol=1e-8,
     )
 
 
@@ -180,21 +179,27 @@ def train_pairs(
         fitted = Pipeline(stages=[assembler, logistic_regression(total, 100, "is_match")]).fit(
             train.withColumn(WEIGHT, weight)
         )
+        test = with_score(fitted, grouped.where("is_test"))
+        held_out = binary_metrics(test, "is_match", "score", weight=F.col("n"))
+        sizes = grouped.agg(F.sum("n").alias("candidate_pairs_total"))
+        measured = one_row(sizes, held_out).select(
+            "candidate_pairs_total",
+            F.col("n").alias("candidate_pairs_test"),
+            F.col("precision").alias("test_precision"),
+            F.col("recall").alias("test_recall"),
+            F.col("f1").alias("test_f1"),
+        )
+        measured = settled(measured)
     finally:
         grouped.unpersist()
-    test = with_score(fitted, grouped.where("is_test"))
-    held_out = binary_metrics(test, "is_match", "score", weight=F.col("n"))
-    sizes = grouped.agg(F.sum("n").alias("candidate_pairs_total"))
-    measured = one_row(sizes, held_out).select(
-        "candidate_pairs_total",
-        F.col("n").alias("candidate_pairs_test"),
-        F.col("precision").alias("test_precision"),
-        F.col("recall").alias("test_recall"),
-        F.col("f1").alias("test_f1"),
-    )
     return PairModel(fitted, measured, learned_weights(fitted, features, pairs))
 
 
+def settled(summary: DataFrame) -> DataFrame:
+    """A summary of a few rows, evaluated now: what it was computed from need not be kept."""
+    return summary.sparkSession.createDataFrame(summary.collect(), summary.schema)
+
+
 def learned_weights(fitted: PipelineModel, features: Sequence[str], like: DataFrame, digits: int = 3) -> DataFrame:
     """(feature, weight) rows of the fitted logistic regression."""
     values = [round(float(w), digits) for w in fitted.stages[-1].coefficients]
@@ -210,10 +215,10 @@ def score_expression(fitted: PipelineModel, features: Sequence[str] = PAIR_FEATU
 # -- risk classifiers --------------------------------------------------------------------------
 
 
-def with_score(fitted: Transformer, df: DataFrame) -> DataFrame:
-    """`df` with the probability of class 1 as `score`."""
+def with_score(fitted: Transformer, df: DataFrame, name: str = "score") -> DataFrame:
+    """`df` with the probability of class 1 as a further column."""
     scored = fitted.transform(df)
-    return scored.select(*[F.col(f"`{c}`") for c in df.columns], vector_to_array("probability")[1].alias("score"))
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], vector_to_array("probability")[1].alias(name))
 
 
 @dataclass(frozen=True)
@@ -231,7 +236,7 @@ def risk_learners(label: str = TARGET, seed: int = SEED, trees: int = 300, depth
         "logistic_regression": Learner(lambda total, _: logistic_regression(total, 1000, label)),
         "random_forest": Learner(
             lambda *_: RandomForestClassifier(
-                **common, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, maxBins=64, seed=seed
+                **common, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, seed=seed
             )
         ),
         "gradient_boosted_trees": Learner(
@@ -260,13 +265,15 @@ def fit_risk_models(
 ) -> dict[str, PipelineModel]:
     """Fit all learners on one shared preparation; each result scores raw rows and can be saved."""
     learners = risk_learners(label) if learners is None else learners
-    prepared = preparation(fit_fills(train, numeric, categorical, policy)).fit(train)
-    weight, total = balanced_weight(train, label)
-    rows = prepared.transform(train.withColumn(WEIGHT, weight)).select(
-        key, F.col(label).cast("double").alias(label), WEIGHT, FEATURES
-    )
-    rows.persist()
+    used = train.select(key, label, *numeric, *categorical).persist()
+    rows = None
     try:
+        prepared = preparation(fit_fills(used, numeric, categorical, policy)).fit(used)
+        weight, total = balanced_weight(used, label)
+        rows = prepared.transform(used.withColumn(WEIGHT, weight)).select(
+            key, F.col(label).cast("double").alias(label), WEIGHT, FEATURES
+        )
+        rows.persist()
         inputs = len(rows.select(FEATURES).first()[FEATURES])
         return {
             name: PipelineModel(
@@ -278,18 +285,31 @@ def fit_risk_models(
             for name, learner in learners.items()
         }
     finally:
-        rows.unpersist()
+        for kept in (rows, used):
+            if kept is not None:
+                kept.unpersist()
 
 
 def compare_models(
     models: Mapping[str, Model], test: DataFrame, label: str = TARGET, digits: int = 3, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """The comparison table over held-out rows, best first."""
-    scored = [
-        with_score(fitted, test).select(F.lit(name).alias("model"), F.col(label), "score")
-        for name, fitted in models.items()
-    ]
-    return model_comparison(reduce(DataFrame.unionByName, scored), label, "score", digits=digits, policy=policy)
+    """The comparison table over held-out rows, best first; evaluated at once.
+
+    The models score side by side, so the rows are read once whatever their number.
+    """
+    scored = test
+    for name, fitted in models.items():
+        scored = with_score(fitted, scored, f"__score_{name}")
+    long = scored.select(label, *[F.col(f"__score_{name}").alias(name) for name in models]).unpivot(
+        [label], list(models), "model", "score"
+    )
+    long.persist()
+    try:
+        return settled(model_comparison(long, label, "score", digits=digits, policy=policy)).orderBy(
+            F.desc("pr_auc"), "model"
+        )
+    finally:
+        long.unpersist()
 
 
 def split_by_patient(frame: DataFrame, test_fraction: float = 0.25, seed: int = SEED, exact: bool = False):
@@ -313,11 +333,23 @@ def load_model(path: str) -> PipelineModel:
 def hypothesis_test(
     frame: DataFrame, label: str, value: str, alpha: float = 0.05, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """One row: rank test of `value` being larger where label = 1, the verdict, and both medians."""
-    test = mann_whitney(frame, label, value, policy=policy)
-    middle = medians(frame, [value], [label], policy)
-    sides = middle.agg(
-        F.max(F.when(F.col(label) == 1, F.col("median"))).alias("median_positive"),
-        F.max(F.when(F.col(label) == 0, F.col("median"))).alias("median_negative"),
+    """One row: rank test of `value` being larger where label = 1, the verdict, and both medians.
+
+    Everything is read off one table of distinct values with running counts.
+    """
+    steps = score_steps(frame, label, value, policy=policy)
+    test = rank_test(average_rank_of(steps))
+    ones, all_rows = F.col("cum_pos"), F.col("cum_n")
+    totals = steps.agg(F.sum("pos").alias("ones"), F.sum(F.col("n") - F.col("pos")).alias("zeros"))
+
+    def middle(upto: Column, total: Column) -> Column:
+        reach = lambda rank: F.min(F.when(upto >= rank, F.col("score")))
+        return (reach(F.floor((total + 1) / 2)) + reach(F.floor((total + 2) / 2))) / 2
+
+    sides = steps.select(
+        "*", totals.select("ones").scalar().alias("ones"), totals.select("zeros").scalar().alias("zeros")
+    ).agg(
+        middle(ones, F.col("ones")).alias("median_positive"),
+        middle(all_rows - ones, F.col("zeros")).alias("median_negative"),
     )
     return one_row(test.withColumn("reject_h0", F.col("p_value") < alpha), sides)
