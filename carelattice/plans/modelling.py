@@ -24,7 +24,8 @@ from ..operators.metrics import average_rank_of, binary_metrics, model_compariso
 from ..operators.running import medians, modes
 from ..operators.sampling import split_groups
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
-from ..schemas import CATEGORICAL_FEATURES, MATCH_THRESHOLD, NUMERIC_FEATURES, PAIR_FEATURES, SEED, TARGET
+from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, PAIR_FEATURES, SEED, TARGET
+from ..session import cut_lineage
 
 FEATURES, WEIGHT = "features", "__weight"
 
@@ -171,28 +172,32 @@ def train_pairs(
     same sum, over far fewer rows than there are pairs.
     """
     split = split_groups(pairs, B_ID, test_fraction, seed)
-    grouped = split.groupBy(*features, "is_match", "is_test").agg(F.count(F.lit(1)).alias("n")).persist()
-    try:
-        train = grouped.where(~F.col("is_test"))
-        weight, total = balanced_weight(train, "is_match", F.col("n"))
-        assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
-        fitted = Pipeline(stages=[assembler, logistic_regression(total, 100, "is_match")]).fit(
-            train.withColumn(WEIGHT, weight)
-        )
-        test = with_score(fitted, grouped.where("is_test"))
-        held_out = binary_metrics(test, "is_match", "score", weight=F.col("n"))
-        sizes = grouped.agg(F.sum("n").alias("candidate_pairs_total"))
-        measured = one_row(sizes, held_out).select(
-            "candidate_pairs_total",
-            F.col("n").alias("candidate_pairs_test"),
-            F.col("precision").alias("test_precision"),
-            F.col("recall").alias("test_recall"),
-            F.col("f1").alias("test_f1"),
-        )
-        measured = settled(measured)
-    finally:
-        grouped.unpersist()
-    return PairModel(fitted, measured, learned_weights(fitted, features, pairs))
+    grouped = cut_lineage(split.groupBy(*features, "is_match", "is_test").agg(F.count(F.lit(1)).alias("n")))
+    train = grouped.where(~F.col("is_test"))
+    weight, total = balanced_weight(train, "is_match", F.col("n"))
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+    fitted = Pipeline(stages=[assembler, logistic_regression(total, 100, "is_match")]).fit(
+        few_tasks(train.withColumn(WEIGHT, weight), train.count())
+    )
+    test = with_score(fitted, grouped.where("is_test"))
+    held_out = binary_metrics(test, "is_match", "score", weight=F.col("n"))
+    sizes = grouped.agg(F.sum("n").alias("candidate_pairs_total"))
+    measured = one_row(sizes, held_out).select(
+        "candidate_pairs_total",
+        F.col("n").alias("candidate_pairs_test"),
+        F.col("precision").alias("test_precision"),
+        F.col("recall").alias("test_recall"),
+        F.col("f1").alias("test_f1"),
+    )
+    return PairModel(fitted, settled(measured), learned_weights(fitted, features, pairs))
+
+
+ROWS_PER_TASK = 4_000
+
+
+def few_tasks(df: DataFrame, n: float) -> DataFrame:
+    """Not more tasks than `n` rows are worth, for loops whose every step starts all tasks again."""
+    return df.coalesce(max(1, round(n / ROWS_PER_TASK)))
 
 
 def settled(summary: DataFrame) -> DataFrame:
@@ -265,15 +270,14 @@ def fit_risk_models(
 ) -> dict[str, PipelineModel]:
     """Fit all learners on one shared preparation; each result scores raw rows and can be saved."""
     learners = risk_learners(label) if learners is None else learners
-    used = train.select(key, label, *numeric, *categorical).persist()
-    rows = None
+    used = cut_lineage(train.select(key, label, *numeric, *categorical))
+    prepared = preparation(fit_fills(used, numeric, categorical, policy)).fit(used)
+    weight, total = balanced_weight(used, label)
+    ready = prepared.transform(used.withColumn(WEIGHT, weight)).select(
+        key, F.col(label).cast("double").alias(label), WEIGHT, FEATURES
+    )
+    rows = cut_lineage(few_tasks(ready, total)).persist()
     try:
-        prepared = preparation(fit_fills(used, numeric, categorical, policy)).fit(used)
-        weight, total = balanced_weight(used, label)
-        rows = prepared.transform(used.withColumn(WEIGHT, weight)).select(
-            key, F.col(label).cast("double").alias(label), WEIGHT, FEATURES
-        )
-        rows.persist()
         inputs = len(rows.select(FEATURES).first()[FEATURES])
         return {
             name: PipelineModel(
@@ -285,9 +289,7 @@ def fit_risk_models(
             for name, learner in learners.items()
         }
     finally:
-        for kept in (rows, used):
-            if kept is not None:
-                kept.unpersist()
+        rows.unpersist()
 
 
 def compare_models(
@@ -303,13 +305,10 @@ def compare_models(
     long = scored.select(label, *[F.col(f"__score_{name}").alias(name) for name in models]).unpivot(
         [label], list(models), "model", "score"
     )
-    long.persist()
-    try:
-        return settled(model_comparison(long, label, "score", digits=digits, policy=policy)).orderBy(
-            F.desc("pr_auc"), "model"
-        )
-    finally:
-        long.unpersist()
+    long = cut_lineage(long)
+    return settled(model_comparison(long, label, "score", digits=digits, policy=policy)).orderBy(
+        F.desc("pr_auc"), "model"
+    )
 
 
 def split_by_patient(frame: DataFrame, test_fraction: float = 0.25, seed: int = SEED, exact: bool = False):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so they can also be applied to a session someone else made.
 RUNTIME_CONF = {
@@ -29,7 +31,8 @@ def build_session(app: str = "carelattice", master: str | None = None, **conf: s
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**RUNTIME_CONF, **conf}.items():
+    start_conf = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for name, value in {**RUNTIME_CONF, **start_conf, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -40,3 +43,28 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{root.rstrip('/')}/{name}"
+
+
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The checkpoint folder of the session. Where the cluster names none, a local session gets a folder
+    of its own, and any other session has none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if root is None and context.master.startswith("local"):
+            root = tempfile.mkdtemp(prefix="checkpoint-")
+        if root is not None:
+            context.setCheckpointDir(root)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """`df` written to the checkpoint folder and read back, for loops that run many jobs over it.
+
+    Tasks of such loops then carry a short plan instead of everything that led to `df`, and a lost
+    executor costs a read, not a recomputation. Without a checkpoint folder `df` is kept in executors'
+    memory and disk.
+    """
+    if checkpoint_dir(df.sparkSession) is None:
+        return df.persist()
+    return df.checkpoint()
