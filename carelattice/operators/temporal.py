@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +22,27 @@ from .skew import DEFAULT_POLICY, HeavyKey, SkewPolicy, heavy_keys, same_key, sp
 _INCLUSIVE_FACT, _PROBE, _STRICT_FACT, _LATE_PROBE = range(4)
 
 
+@dataclass(frozen=True)
+class Reading:
+    """A number per row, told apart by a code: `names` maps codes to output columns. Rows of other codes
+    and rows without a number are no readings."""
+
+    code: Column
+    value: Column
+    names: Mapping[str, str]
+
+
+def single_reading(name: str, value: Column) -> Reading:
+    """Every row is the same reading."""
+    return Reading(F.lit(name), value, {name: name})
+
+
 @dataclass(frozen=True)
 class Facts:
     """Dated rows of one source.
 
-    `at`: microseconds. `counts`: name -> condition; a name may recur in several sources.
-    `readings`: name -> number, null where the row is no such reading; a row holds one reading at most
-    (list the source twice for more). `strict`: whether a fact at
+    `at`: microseconds. `counts`: name -> condition; a name may recur in several sources. `reading`: the
+    number a row tells, if any (list the source twice for two). `strict`: whether a fact at
     exactly the probe's instant is unknown to it. `rank` orders readings of one instant; the highest
     wins.
     """
@@ -35,7 +50,7 @@ class Facts:
     rows: DataFrame
     at: Column
     counts: Mapping[str, Column] = field(default_factory=dict)
-    readings: Mapping[str, Column] = field(default_factory=dict)
+    reading: Reading | None = None
     strict: bool = True
     rank: Column | None = None
 
@@ -63,11 +78,11 @@ def point_in_time(
     an entity or an instant are known to nobody.
 
     Facts travel as (entity, place in time, bits of the counts they add to, reading number, value),
-    so the width of the shuffle does not grow with the number of outputs. Runs a small job to find
-    heavy entities.
+    so the width of the shuffle does not grow with the number of outputs. Facts that share a frame are
+    read from it in one pass. Runs a job over the entity column to find heavy entities.
     """
     counts = list(dict.fromkeys(n for f in facts for n in f.counts))
-    readings = list(dict.fromkeys(n for f in facts for n in f.readings))
+    readings = list(dict.fromkeys(n for f in facts if f.reading for n in f.reading.names.values()))
     if len(counts) > 62:
         raise ValueError("at most 62 counts in one pass")
     names = list(probes)
@@ -75,10 +90,7 @@ def point_in_time(
         raise ValueError("several probes need a key to come back together")
     payload = [c for c in index.columns if c not in (entity, key)]
 
-    known = [_fact_rows(f, entity, counts, readings) for f in facts]
-    history = known[0]
-    for more in known[1:]:
-        history = history.unionByName(more)
+    history = reduce(DataFrame.unionByName, _histories(facts, entity, counts, readings))
     asked = _probe_rows(index, probes, payload)
 
     wanted_counts = {c: F.coalesce(F.getbit("__bits", F.lit(counts.index(c))).cast("bigint"), F.lit(0)) for c in counts}
@@ -87,7 +99,7 @@ def point_in_time(
     sums = {c: e for c, e in wanted_counts.items() if c in needed}
     latest = {r: e for r, e in wanted_readings.items() if r in needed}
 
-    heavy = heavy_keys(history.select(entity).unionAll(asked.select(entity)), [entity], policy)
+    heavy = heavy_keys(_entities(index, facts, entity, len(names)), [entity], policy, F.col("__times"))
     if not heavy:
         timeline = history.unionByName(asked, allowMissingColumns=True)
         state = running(timeline, [entity], "__place", sums, latest, tie=["__rank", "__value"], heavy=[])
@@ -104,20 +116,58 @@ def point_in_time(
     return whole.select(*index.columns, *outputs)
 
 
-def _fact_rows(f: Facts, entity: str, counts: list[str], readings: list[str]) -> DataFrame:
-    place = f.at * 4 + (_STRICT_FACT if f.strict else _INCLUSIVE_FACT)
+def _entities(index: DataFrame, facts: Sequence[Facts], entity: str, probes: int) -> DataFrame:
+    """Entity and number of timeline rows it may get, of every source row; reads no other column."""
+    sources: dict[int, list] = {id(index): [index, probes]}
+    for f in facts:
+        sources.setdefault(id(f.rows), [f.rows, 0])[1] += 1
+    counted = [df.select(F.col(entity), F.lit(n).alias("__times")) for df, n in sources.values()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _histories(facts: Sequence[Facts], entity: str, counts: list[str], readings: list[str]) -> list[DataFrame]:
+    """Timeline rows of all facts. Facts over one and the same frame are read in one pass."""
+    by_source: dict[int, list[Facts]] = {}
+    for f in facts:
+        by_source.setdefault(id(f.rows), []).append(f)
+    return [_fact_rows(group, entity, counts, readings) for group in by_source.values()]
+
+
+def _fact_rows(group: Sequence[Facts], entity: str, counts: list[str], readings: list[str]) -> DataFrame:
+    rows = group[0].rows.where(F.col(entity).isNotNull())
+    ranks = [f.rank for f in group if f.rank is not None]
+    rank_type = rows.select(ranks[0].alias("rank")).schema["rank"].dataType if ranks else "bigint"
+    marks = [_mark(f, counts, readings, rank_type) for f in group]
+    if len(marks) == 1:
+        placed = rows.select(F.col(entity), marks[0].alias("__mark"))
+    else:
+        placed = rows.select(F.col(entity), F.explode(F.array(*marks)).alias("__mark"))
+    told = placed.select(entity, "__mark.*")
+    if not ranks:
+        told = told.withColumn("__rank", F.lit(None))
+    known = F.col("__slot").isNotNull() | (F.col("__bits") != 0)
+    return told.where(F.col("__place").isNotNull() & known)
+
+
+def _mark(f: Facts, counts: list[str], readings: list[str], rank_type) -> Column:
+    """What one fact puts on the timeline."""
     bits = F.lit(0).cast("bigint")
     for name, condition in f.counts.items():
-        bits = bits.bitwiseOR(F.when(condition, F.lit(1 << counts.index(name))).otherwise(F.lit(0)).cast("bigint"))
-    base = [F.col(entity).alias(entity), place.alias("__place"), F.lit(None if f.rank is None else f.rank).alias("__rank")]
-    keep = F.col(entity).isNotNull() & F.col("__place").isNotNull()
-    if not f.readings:
-        none = [F.lit(None).cast("int").alias("__slot"), F.lit(None).cast("double").alias("__value")]
-        return f.rows.select(*base, bits.alias("__bits"), *none).where(keep & (F.col("__bits") != 0))
-    slot = F.coalesce(*[F.when(v.isNotNull(), F.lit(readings.index(n))) for n, v in f.readings.items()])
-    value = F.coalesce(*[v.cast("double") for v in f.readings.values()])
-    rows = f.rows.select(*base, bits.alias("__bits"), slot.alias("__slot"), value.alias("__value"))
-    return rows.where(keep & (F.col("__slot").isNotNull() | (F.col("__bits") != 0)))
+        bits = bits.bitwiseOR(F.when(condition, F.lit(1 << counts.index(name)).cast("bigint")).otherwise(F.lit(0)))
+    none = F.lit(None)
+    slot = value = none
+    if f.reading is not None:
+        # A constant map, so that the code is worked out once per row.
+        slots = F.create_map(*[F.lit(x) for c, n in f.reading.names.items() for x in (c, readings.index(n))])
+        value = f.reading.value
+        slot = F.when(value.isNotNull(), F.try_element_at(slots, f.reading.code))
+    return F.struct(
+        (f.at * 4 + (_STRICT_FACT if f.strict else _INCLUSIVE_FACT)).alias("__place"),
+        (none if f.rank is None else f.rank).cast(rank_type).alias("__rank"),
+        bits.alias("__bits"),
+        slot.cast("int").alias("__slot"),
+        value.cast("double").alias("__value"),
+    )
 
 
 def _probe_rows(index: DataFrame, probes: Mapping[str, Probe], payload: list[str]) -> DataFrame:
@@ -195,7 +245,7 @@ def as_of(
 ) -> DataFrame:
     """Add one column per reading of `facts`: the last value at or before `at` (strictly before if
     the facts are strict)."""
-    names = list(dict.fromkeys(n for f in facts for n in f.readings))
+    names = list(dict.fromkeys(n for f in facts if f.reading for n in f.reading.names.values()))
     return point_in_time(index, entity, {"at": Probe(at)}, facts, {n: ("at", n) for n in names}, policy=policy)
 
 
@@ -262,6 +312,6 @@ def next_after(
 
     The as-of timeline with time running backwards: the last event passed is the next one in time.
     """
-    later = Facts(events, -event_at, readings={"__next": event_at})
+    later = Facts(events, -event_at, reading=single_reading("__next", event_at))
     found = point_in_time(index, entity, {"at": Probe(-at)}, [later], {"__next": ("at", "__next")}, policy=policy)
     return found.select(*index.columns, F.timestamp_micros(F.col("__next").cast("bigint")).alias(name))

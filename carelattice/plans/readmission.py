@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import DAY_MICROS, age_in_years, lenient_double, lenient_timestamp, micros
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
-from ..operators.temporal import Facts, Probe, exists_within, point_in_time, restarted, within_days_probes
+from ..operators.temporal import (
+    Facts,
+    Probe,
+    Reading,
+    exists_within,
+    point_in_time,
+    restarted,
+    within_days_probes,
+)
 from ..schemas import CHRONIC_CODES, COUNT_FEATURES, TARGET, VITAL_CODES
 
 STAY_COLUMNS = ("encounter_id", "patient_id", "start_ts", "stop_ts", "base_cost", "total_claim_cost")
@@ -69,7 +77,7 @@ def reading_facts(
     return Facts(
         observations.where(F.col("code").isin(*codes)),
         micros(at),
-        readings={name: F.when(F.col("code") == code, value) for code, name in codes.items()},
+        reading=Reading(F.col("code"), value, codes),
         strict=not allow_exact,
         rank=F.col("observation_id"),
     )
@@ -93,19 +101,31 @@ def training_frame(
     chronic_codes: Sequence[str] = CHRONIC_CODES,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Label, prior counts, last vitals and demographics for every stay.
-
-    All counts, readings and the label come from one timeline per patient: one shuffle and one sort.
-    """
-    encounters = tables["fact_encounter"]
-    stays = inpatient_stays(encounters)
+    """Label, prior counts, last vitals and demographics for every stay, from the warehouse tables."""
     facts = [
-        encounter_facts(encounters),
         condition_facts(tables["fact_condition"], chronic_codes),
         dated_facts(tables["fact_procedure"], "prior_procedure_count"),
         dated_facts(tables["fact_medication"], "prior_medication_count"),
         reading_facts(tables["fact_observation"], codes, allow_exact),
     ]
+    return assemble(tables["fact_encounter"], facts, tables["dim_patient"], days, day_cutoff, codes, policy)
+
+
+def assemble(
+    encounters: DataFrame,
+    facts: Sequence[Facts],
+    patients: DataFrame,
+    days: int = 30,
+    day_cutoff: bool = False,
+    codes: Mapping[str, str] = VITAL_CODES,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """The training frame from encounters and any facts that supply the other counts and readings.
+
+    All counts, readings and the label come from one timeline per patient: one shuffle and one sort.
+    """
+    stays = inpatient_stays(encounters)
+    facts = [encounter_facts(encounters), *facts]
     probes = {
         "start": Probe(micros(F.col("start_ts"))),
         **within_days_probes(F.col("start_ts"), F.col("stop_ts"), days, day_cutoff),
@@ -117,7 +137,7 @@ def training_frame(
         F.col("__by_stop"), F.col("__by_end"), F.col("start_ts"), F.col("stop_ts"), days, day_cutoff
     )
     labelled = known.select(*STAY_COLUMNS, label.alias(TARGET), *COUNT_FEATURES, *codes.values())
-    return attach_demographics(labelled, tables["dim_patient"])
+    return attach_demographics(labelled, patients)
 
 
 def observed_until(frame: DataFrame, until: str, days: int = 30) -> DataFrame:

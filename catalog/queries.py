@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelattice.functions import text
-from carelattice.functions.dates import micros
+from carelattice.functions.dates import DAY_MICROS, micros
 from carelattice.operators import linkage, metrics, perturb, quality, sampling, temporal
 from carelattice.operators.running import dense_ids, describe_all, medians
 from carelattice.plans import linking, load, modelling, readmission, scoring
+from carelattice.schemas import CHRONIC_CODES, VITAL_CODES
 
 from .views import Tables
 
@@ -45,8 +46,44 @@ def readmitted_day_cutoff(t: Tables) -> DataFrame:
     return _labelled(t, True)
 
 
+def line_facts(t: Tables) -> list[temporal.Facts]:
+    """Procedures, medications, conditions and lab readings, all read off one pass over the lines."""
+    lines = t.lines()
+    finished, open_ = F.col("l_linestatus") == "F", F.col("l_linestatus") == "O"
+    dated = temporal.Facts(
+        lines, micros(F.col("at")), {"prior_procedure_count": F.lit(True), "prior_medication_count": finished}
+    )
+    # Conditions are dated by day: known from the next midnight on.
+    diagnosed = temporal.Facts(
+        lines,
+        micros(F.to_date("at")) + DAY_MICROS - 1,
+        {
+            "prior_condition_count": open_,
+            "chronic_condition_count": open_ & t.line_condition().isin(*CHRONIC_CODES),
+        },
+    )
+    number = F.when(F.col("l_discount") != 0, F.col("l_quantity"))
+    measured = temporal.Facts(
+        lines,
+        micros(F.col("at")),
+        reading=temporal.Reading(t.line_lab(), number, VITAL_CODES),
+        strict=False,
+        rank=t.line_reading_id(),
+    )
+    return [dated, diagnosed, measured]
+
+
 @query
 def prior_counts(t: Tables) -> DataFrame:
+    stays = readmission.inpatient_stays(t.encounter())
+    facts = [readmission.encounter_facts(t.encounter()), *line_facts(t)[:2]]
+    counted = temporal.prior_counts(stays, "patient_id", micros(F.col("start_ts")), facts)
+    return counted.select("encounter_id", *readmission.COUNT_FEATURES)
+
+
+@query
+def prior_counts_by_table(t: Tables) -> DataFrame:
+    """The same counts from separate fact tables, as a warehouse holds them."""
     stays = readmission.inpatient_stays(t.encounter())
     facts = [
         readmission.encounter_facts(t.encounter()),
@@ -83,8 +120,8 @@ def as_of_join(t: Tables) -> DataFrame:
     """One code with the instant of the reading, against the ASOF join of the check engine."""
     events = t.event().where("code = 'view'").where(F.col("value").try_cast("double").isNotNull())
     at = micros(F.col("obs_date"))
-    value = temporal.Facts(events, at, readings={"last_view": F.col("value").try_cast("double")}, strict=False)
-    seen = temporal.Facts(events, at, readings={"seen_us": at}, strict=False)
+    value = temporal.Facts(events, at, reading=temporal.single_reading("last_view", F.col("value").try_cast("double")), strict=False)
+    seen = temporal.Facts(events, at, reading=temporal.single_reading("seen_us", at), strict=False)
     found = temporal.as_of(t.visit(), "patient_id", micros(F.col("start_ts")), [value, seen])
     seen_at = F.timestamp_micros(F.col("seen_us").cast("bigint")).cast("string")
     return found.select("visit_id", "last_view", seen_at.alias("seen_at"))
@@ -109,6 +146,11 @@ def demographics(t: Tables) -> DataFrame:
 
 def frame(t: Tables) -> DataFrame:
     """The training frame over the stand-in views."""
+    return readmission.assemble(t.encounter(), line_facts(t), t.patient())
+
+
+def frame_by_table(t: Tables) -> DataFrame:
+    """The same from separate fact tables."""
     return readmission.training_frame(
         {
             "fact_encounter": t.encounter(),
@@ -123,7 +165,16 @@ def frame(t: Tables) -> DataFrame:
 
 @query
 def training_frame(t: Tables) -> DataFrame:
-    return frame(t).select(
+    return _frame_columns(frame(t))
+
+
+@query
+def training_frame_by_table(t: Tables) -> DataFrame:
+    return _frame_columns(frame_by_table(t))
+
+
+def _frame_columns(df: DataFrame) -> DataFrame:
+    return df.select(
         "encounter_id",
         "patient_id",
         F.to_date("start_ts").alias("start_day"),

@@ -63,36 +63,42 @@ class Tables:
             (F.col("o_totalprice") * 2).alias("total_claim_cost"),
         )
 
-    def _lines(self) -> DataFrame:
-        l, o = self.raw("lineitem"), self.raw("orders").select("o_orderkey", "o_custkey")
+    def lines(self) -> DataFrame:
+        l, o = self.raw("lineitem"), self.raw("orders").select("o_orderkey", F.col("o_custkey").alias("patient_id"))
         return l.join(o, l["l_orderkey"] == o["o_orderkey"]).withColumn("at", F.col("l_shipdate").cast("timestamp"))
 
+    def line_condition(self) -> Column:
+        return lookup(CONDITION_BY_FLAG, F.col("l_returnflag"))
+
+    def line_lab(self) -> Column:
+        return lookup(LAB_BY_LINE, F.col("l_linenumber"))
+
+    def line_reading_id(self) -> Column:
+        keys = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+        return F.concat_ws("-", *keys, F.col("l_quantity").cast("bigint").cast("string"))
+
     def procedure(self) -> DataFrame:
-        return self._lines().select(F.col("o_custkey").alias("patient_id"), F.col("at").alias("start_ts"))
+        return self.lines().select("patient_id", F.col("at").alias("start_ts"))
 
     def medication(self) -> DataFrame:
-        return self._lines().where("l_linestatus = 'F'").select(
-            F.col("o_custkey").alias("patient_id"), F.col("at").alias("start_ts")
+        return self.lines().where("l_linestatus = 'F'").select(
+            "patient_id", F.col("at").alias("start_ts")
         )
 
     def condition(self) -> DataFrame:
-        return self._lines().where("l_linestatus = 'O'").select(
-            F.col("o_custkey").alias("patient_id"),
+        return self.lines().where("l_linestatus = 'O'").select(
+            "patient_id",
             F.to_date("at").alias("start_date"),
-            lookup(CONDITION_BY_FLAG, F.col("l_returnflag")).alias("code"),
+            self.line_condition().alias("code"),
         )
 
     def lab(self) -> DataFrame:
         """Readings from lines; a zero discount stands for a coded, non-numeric value."""
-        return self._lines().select(
-            F.concat_ws(
-                "-",
-                *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-                F.col("l_quantity").cast("bigint").cast("string"),
-            ).alias("observation_id"),
-            F.col("o_custkey").alias("patient_id"),
+        return self.lines().select(
+            self.line_reading_id().alias("observation_id"),
+            "patient_id",
             F.col("at").alias("obs_date"),
-            lookup(LAB_BY_LINE, F.col("l_linenumber")).alias("code"),
+            self.line_lab().alias("code"),
             F.when(F.col("l_discount") == 0, "coded").otherwise(F.col("l_quantity").cast("string")).alias("value"),
         )
 
@@ -154,9 +160,9 @@ class Tables:
         day = lambda c: F.date_format(F.col(c).cast("timestamp"), "yyyy-MM-dd")
         o, p, s = self.raw("orders"), self.raw("part"), self.raw("supplier")
         nations = self.raw("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-        lines = self._lines().join(p, F.col("l_partkey") == F.col("p_partkey"))
+        lines = self.lines().join(p, F.col("l_partkey") == F.col("p_partkey"))
         base = {
-            "PATIENT": text("o_custkey"),
+            "PATIENT": text("patient_id"),
             "ENCOUNTER": text("l_orderkey"),
             "CODE": text("l_partkey"),
             "DESCRIPTION": F.col("p_name"),
@@ -219,7 +225,7 @@ class Tables:
                 ),
             ),
             "observations": put(
-                self._lines().join(p, F.col("l_partkey") == F.col("p_partkey")),
+                self.lines().join(p, F.col("l_partkey") == F.col("p_partkey")),
                 PATIENT=base["PATIENT"],
                 ENCOUNTER=base["ENCOUNTER"],
                 DATE=iso("l_shipdate"),
@@ -255,11 +261,8 @@ class Tables:
 
 
 def lookup(values: dict, key: Column) -> Column:
-    """A fixed mapping as a CASE expression."""
-    out = F.lit(None).cast("string")
-    for k, v in values.items():
-        out = F.when(key == k, v).otherwise(out)
-    return out
+    """A fixed mapping as a constant map."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), key)
 
 
 # -- the same views as SQL ---------------------------------------------------------------------

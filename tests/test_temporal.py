@@ -96,7 +96,7 @@ def test_counts_and_readings_brute_force(spark, policy):
         temporal.Facts(
             r,
             micros(F.col("ts")),
-            readings={c: F.when(F.col("code") == c, F.col("v")) for c in "xy"},
+            reading=temporal.Reading(F.col("code"), F.col("v"), {"x": "x", "y": "y"}),
             strict=False,
             rank=F.col("rid"),
         ),
