@@ -197,10 +197,12 @@ def _paired(
     features: Mapping[str, Feature],
     block: Mapping[str, BlockKey],
     grids: Sequence[tuple],
+    carried_a: Sequence[str] = (),
+    carried_b: Sequence[str] = (),
 ) -> DataFrame:
     keys = list(block)
-    left = with_block(a, block).select(*keys, F.col(A_ID), F.struct(*PERSON_COLUMNS).alias("__a"))
-    right = with_block(b, block).select(*keys, F.col(B_ID), F.struct(*PERSON_COLUMNS).alias("__b"))
+    left = with_block(a, block).select(*keys, F.col(A_ID), F.struct(*PERSON_COLUMNS).alias("__a"), *carried_a)
+    right = with_block(b, block).select(*keys, F.col(B_ID), F.struct(*PERSON_COLUMNS).alias("__b"), *carried_b)
     if truth is not None:
         right = right.join(truth.select(B_ID, "true_patient_id"), B_ID, "left")
     on = list(keys)
@@ -214,7 +216,12 @@ def _paired(
     if truth is not None:
         label = [F.coalesce(F.col("true_patient_id") == F.col(A_ID), F.lit(False)).cast("int").alias("is_match")]
     return pairs.select(
-        B_ID, A_ID, *label, *[f(F.col("__a"), F.col("__b")).alias(name) for name, f in features.items()]
+        B_ID,
+        A_ID,
+        *label,
+        *[f(F.col("__a"), F.col("__b")).alias(name) for name, f in features.items()],
+        *carried_a,
+        *carried_b,
     )
 
 
@@ -231,6 +238,58 @@ def _spread(
     return joined.select("*", repeated).withColumn("__cell", cell).drop("__rows", "__columns", "__other")
 
 
+def weighted_pairs(
+    a: DataFrame,
+    b: DataFrame,
+    truth: DataFrame,
+    side: str,
+    features: Mapping[str, Feature] = DEFAULT_FEATURES,
+    block: Mapping[str, BlockKey] = DEFAULT_BLOCK,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """The candidate pairs as a frequency table: features, `is_match`, `side`, n.
+
+    Says the same as grouping `candidate_pairs` by these columns, for anything that treats equal pairs
+    alike, such as fitting a classifier. `side` is a column of `b`, the split. Records with equal
+    contents are compared once and stand for the product of their numbers, so a group of copies on both
+    sides costs one comparison instead of all its pairs. True pairs are counted from the truth.
+    """
+    few_a = a.groupBy(*PERSON_COLUMNS).agg(F.min(A_ID).alias(A_ID), F.count(F.lit(1)).alias("__n_a"))
+    few_b = b.groupBy(*PERSON_COLUMNS, side).agg(F.min(B_ID).alias(B_ID), F.count(F.lit(1)).alias("__n_b"))
+    grids = _heavy_blocks(few_a, few_b, block, policy)
+    compared = _paired(few_a, few_b, None, features, block, grids, ["__n_a"], [side, "__n_b"])
+    true_pairs = _true_content_pairs(a, b, truth, few_a, few_b, side)
+    n, hits = F.col("__n_a") * F.col("__n_b"), F.coalesce(F.col("__hits"), F.lit(0))
+    split = F.explode(
+        F.array(
+            F.struct(F.lit(1).alias("is_match"), hits.alias("n")),
+            F.struct(F.lit(0).alias("is_match"), (n - hits).alias("n")),
+        )
+    )
+    told = compared.join(true_pairs, [A_ID, B_ID], "left").select(*features, side, split.alias("__s"))
+    rows = told.select(*features, side, "__s.*").where(F.col("n") > 0)
+    return rows.groupBy(*features, "is_match", side).agg(F.sum("n").alias("n"))
+
+
+def _true_content_pairs(
+    a: DataFrame, b: DataFrame, truth: DataFrame, few_a: DataFrame, few_b: DataFrame, side: str
+) -> DataFrame:
+    """Per pair of contents (named by their lowest ids): how many true pairs it holds."""
+    suffixed = lambda df, mark, extra=(): df.select(
+        *[F.col(c).alias(f"{c}{mark}") for c in PERSON_COLUMNS], *extra
+    )
+    left = suffixed(a, "_a", [F.col(A_ID).alias("true_patient_id")])
+    right = suffixed(b, "_b", [B_ID, side])
+    contents = truth.join(left, "true_patient_id").join(right, B_ID)
+    keys_a, keys_b = [f"{c}_a" for c in PERSON_COLUMNS], [f"{c}_b" for c in PERSON_COLUMNS]
+    counted = contents.groupBy(*keys_a, *keys_b, side).agg(F.count(F.lit(1)).alias("__hits"))
+    names_a = suffixed(few_a, "_a", [A_ID])
+    names_b = suffixed(few_b, "_b", [B_ID, side])
+    named = counted.join(names_a, same_key(counted, names_a, keys_a)).select(counted["*"], A_ID)
+    named = named.join(names_b, same_key(named, names_b, [*keys_b, side]))
+    return named.select(A_ID, B_ID, "__hits")
+
+
 # -- scoring -----------------------------------------------------------------------------------
 
 

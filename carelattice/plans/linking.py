@@ -33,8 +33,7 @@ def link_by_model(a: DataFrame, b: DataFrame, truth: DataFrame, policy: SkewPoli
 
     `held_out` is measured on records not trained on; `overall` covers all records, training included.
     """
-    pairs = linkage.candidate_pairs(a, b, truth, policy=policy)
-    fitted = modelling.train_pairs(pairs)
+    fitted = modelling.train_lists(a, b, truth, policy=policy)
     score = modelling.score_expression(fitted.model)
     matches = linkage.best_matches(a, b, score, policy=policy)
     return Linked(

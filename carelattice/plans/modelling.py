@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import uniform
-from ..operators.linkage import B_ID, logistic, one_row
+from ..operators.linkage import B_ID, logistic, one_row, weighted_pairs
 from ..operators.metrics import average_rank_of, binary_metrics, model_comparison, rank_test, score_steps
 from ..operators.running import medians, modes
 from ..operators.sampling import split_groups
@@ -172,7 +172,30 @@ def train_pairs(
     same sum, over far fewer rows than there are pairs.
     """
     split = split_groups(pairs, B_ID, test_fraction, seed)
-    grouped = cut_lineage(split.groupBy(*features, "is_match", "is_test").agg(F.count(F.lit(1)).alias("n")))
+    return train_weighted_pairs(
+        split.groupBy(*features, "is_match", "is_test").agg(F.count(F.lit(1)).alias("n")), features
+    )
+
+
+def train_lists(
+    a: DataFrame,
+    b: DataFrame,
+    truth: DataFrame,
+    test_fraction: float = 0.3,
+    seed: int = SEED,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> PairModel:
+    """As `train_pairs` over all candidate pairs of two lists, without forming pairs of copies.
+
+    The split covers all B records, also those without a candidate.
+    """
+    split = split_groups(b, B_ID, test_fraction, seed)
+    return train_weighted_pairs(weighted_pairs(a, split, truth, "is_test", policy=policy))
+
+
+def train_weighted_pairs(weighted: DataFrame, features: Sequence[str] = PAIR_FEATURES) -> PairModel:
+    """Fit and measure on a frequency table of pairs: features, is_match, is_test, n."""
+    grouped = cut_lineage(weighted)
     train = grouped.where(~F.col("is_test"))
     weight, total = balanced_weight(train, "is_match", F.col("n"))
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
@@ -189,7 +212,7 @@ def train_pairs(
         F.col("recall").alias("test_recall"),
         F.col("f1").alias("test_f1"),
     )
-    return PairModel(fitted, settled(measured), learned_weights(fitted, features, pairs))
+    return PairModel(fitted, settled(measured), learned_weights(fitted, features, grouped))
 
 
 ROWS_PER_TASK = 4_000

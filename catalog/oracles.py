@@ -221,6 +221,11 @@ def linking() -> dict[str, str]:
             SELECT system_b_id, patient_id, is_match, round(first_sim, 6) AS first_sim, round(last_sim, 6) AS last_sim,
               round(zip_sim, 6) AS zip_sim, dob_year_match, ssn_agree, ssn_both_present
             FROM v_pair""",
+        "weighted_pairs": f"""
+            SELECT round(first_sim, 6) AS first_sim, round(last_sim, 6) AS last_sim, round(zip_sim, 6) AS zip_sim,
+              dob_year_match, ssn_agree, ssn_both_present, is_match,
+              {_bits("split", "system_b_id")} / 4294967296.0::DOUBLE < 0.3 AS is_test, count(*) AS n
+            FROM v_pair GROUP BY ALL""",
         "best_match": "SELECT system_b_id, matched_patient_id, round(score, 6) AS score FROM v_best",
         "best_match_eval": """
             SELECT n AS total_system_b_records, m AS matched, c AS correct,

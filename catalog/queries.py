@@ -506,19 +506,27 @@ def one_hot_values(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _pairs(t: Tables) -> DataFrame:
+@query
+def weighted_pairs(t: Tables) -> DataFrame:
+    """The candidate pairs as a frequency table, by held-out split."""
     b, truth = second_list(t)
-    return linkage.candidate_pairs(t.person_a(), b, truth)
+    b = sampling.split_groups(b, "system_b_id", 0.3, 42)
+    table = linkage.weighted_pairs(t.person_a(), b, truth, "is_test")
+    similar = [F.round(c, 6).alias(c) for c in ("first_sim", "last_sim", "zip_sim")]
+    names = ("dob_year_match", "ssn_agree", "ssn_both_present", "is_match", "is_test")
+    return table.groupBy(*similar, *names).agg(F.sum("n").alias("n"))
 
 
 @query
 def pair_model_metrics(t: Tables) -> DataFrame:
-    return modelling.train_pairs(_pairs(t)).metrics
+    b, truth = second_list(t)
+    return modelling.train_lists(t.person_a(), b, truth).metrics
 
 
 @query
 def pair_model_weights(t: Tables) -> DataFrame:
-    return modelling.train_pairs(_pairs(t)).weights
+    b, truth = second_list(t)
+    return modelling.train_lists(t.person_a(), b, truth).weights
 
 
 @query

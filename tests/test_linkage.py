@@ -118,6 +118,18 @@ def test_best_match_is_the_same_with_heavy_blocks(spark):
         assert (-r["score"], r["matched_patient_id"]) == best and r["score"] >= 0.5
 
 
+@pytest.mark.parametrize("policy", [SkewPolicy(), HEAVY])
+def test_weighted_pairs_say_the_same_as_all_pairs(spark, policy):
+    a, b = people(spark, crowd(7, 70, "a"), crowd(8, 60, "b"))
+    truth = spark.createDataFrame([(f"b{i:03d}", f"a{i:03d}") for i in range(60)], "system_b_id string, true_patient_id string")
+    b = sampling.split_groups(b, "system_b_id", 0.3, 42)
+    names = [*linkage.DEFAULT_FEATURES, "is_match", "is_test"]
+    pairs = linkage.candidate_pairs(a, b, truth).join(b.select("system_b_id", "is_test"), "system_b_id")
+    want = pairs.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).select(*names, "n").collect()
+    got = linkage.weighted_pairs(a, b, truth, "is_test", policy=policy).select(*names, "n").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_missing_names_count_as_equal_or_as_nothing(spark):
     df = spark.createDataFrame([(("x",), (None,)), ((None,), (None,))], "a struct<first:string>, b struct<first:string>")
     equal = linkage.name_similarity("first")(F.col("a"), F.col("b"))
