@@ -86,29 +86,36 @@ def _carry(
 
 
 def dense_ids(df: DataFrame, name: str, policy: SkewPolicy = DEFAULT_POLICY, copies_per_row: int = 100_000) -> DataFrame:
-    """Add surrogate keys 1..n in a repeatable order. Runs small jobs to find where to cut.
+    """Add surrogate keys 1..n in a repeatable order.
 
-    The order is that of a hash over all columns, so ids depend on the rows alone, not on files,
-    partitions or retries. Identical rows are counted first and get a run of consecutive ids, so a
-    group of copies is one row until the very end; it is then unfolded in blocks of at most
-    `copies_per_row` ids, spread over tasks.
+    The order is that of a digest over all columns, so ids depend on the rows alone, not on files,
+    partitions or retries. Digests are evenly spread, so equal ranges of them make even chunks; how many
+    rows lie in each chunk is counted first, without moving the rows. Identical rows are merged and get
+    a run of consecutive ids, so a group of copies is one row until the very end; it is then unfolded
+    in blocks of at most `copies_per_row` ids, spread over tasks.
     """
     columns = df.columns
+    parts = policy.shares(df.sparkSession)
     whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
-    counted = (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__hash", F.md5(whole))
-        # 60 bits of the digest as a number to cut along; the digest itself breaks ties.
-        .withColumn("__order", F.conv(F.substring("__hash", 1, 15), 16, 10).cast("bigint"))
+    leading = F.conv(F.substring("__hash", 1, 12), 16, 10).cast("bigint")  # 48 bits
+    hashed = df.withColumn("__hash", F.md5(whole)).withColumn(CHUNK, F.floor(leading / F.lit(2**48 / parts)).cast("int"))
+    # At most `parts` rows, so one task may order them.
+    sizes = hashed.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(CHUNK, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    counted = hashed.groupBy(*columns, "__hash", CHUNK).agg(F.count(F.lit(1)).alias("__n"))
+    inside = Window.partitionBy(CHUNK).orderBy("__hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = (
+        counted.withColumn("__upto", F.sum("__n").over(inside))
+        .join(F.broadcast(starts), CHUNK)
+        .select(*columns, "__n", (F.col("__start") + F.col("__upto")).alias("__upto"))
     )
-    upto = running(counted, [], "__order", {"__upto": F.col("__n")}, tie=["__hash"], policy=policy)
     first = F.col("__upto") - F.col("__n") + 1
     single = upto.where(F.col("__n") == 1).select(F.col("__upto").alias(name), *columns)
     blocks = (
         upto.where(F.col("__n") > 1)
         .select(*columns, "__upto", F.explode(F.sequence(first, F.col("__upto"), F.lit(copies_per_row))).alias("__from"))
-        .repartition(*columns, "__from")
+        .repartition("__from")
     )
     last = F.least(F.col("__from") + copies_per_row - 1, F.col("__upto"))
     copies = blocks.select(F.explode(F.sequence(F.col("__from"), last)).alias(name), *columns)

@@ -435,13 +435,13 @@ def warehouse() -> dict[str, str]:
             SELECT CAST(c_custkey AS VARCHAR) AS patient_id,
               DATE '1930-01-01' + CAST((c_custkey * 37) % 22000 AS INTEGER) AS birth_date, CAST(NULL AS DATE) AS death_date,
               CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, lower(c_mktsegment) AS race,
-              NULL AS ethnicity, NULL AS marital_status, n_name AS city, n_name AS state, n_name AS county,
+              CAST(NULL AS VARCHAR) AS ethnicity, CAST(NULL AS VARCHAR) AS marital_status, n_name AS city, n_name AS state, n_name AS county,
               lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip,
               CASE WHEN abs(c_acctbal) < 1000 THEN c_acctbal END AS lat, CAST(NULL AS DOUBLE) AS lon
             FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey""",
         "dim_organization": """
-            SELECT CAST(s_suppkey AS VARCHAR) AS organization_id, s_name AS name, NULL AS city,
-              CAST(s_nationkey AS VARCHAR) AS state, NULL AS zip FROM supplier""",
+            SELECT CAST(s_suppkey AS VARCHAR) AS organization_id, s_name AS name, CAST(NULL AS VARCHAR) AS city,
+              CAST(s_nationkey AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS zip FROM supplier""",
         "fact_encounter": """
             SELECT CAST(o_orderkey AS VARCHAR) AS encounter_id, CAST(o_custkey AS VARCHAR) AS patient_id,
               CAST(o_custkey AS VARCHAR) AS organization_id, CAST(o_orderdate AS VARCHAR) AS start_ts,
