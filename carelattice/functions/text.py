@@ -79,42 +79,41 @@ def jaro_winkler(left: Column, right: Column) -> Column:
 
 
 def _jaro(t: Column) -> Column:
-    def step(acc: Column, i: Column) -> Column:
-        def mark(found: Column) -> Column:
-            used = F.struct(
-                F.overlay(acc["rest"], F.lit(USED), i + found["at"] - 1, F.lit(1)).alias("rest"),
-                F.concat(acc["matched"], found["char"]).alias("matched"),
-            )
-            return F.when(found["at"] > 0, used).otherwise(acc)
+    # One text holds everything: padding, the right string, padding, and the characters matched so far.
+    # No window reaches beyond the second padding.
+    padded = F.concat(F.repeat(F.lit(USED), t["reach"]), t["right"], F.repeat(F.lit(USED), t["n_left"] + t["reach"]))
 
+    def step(text: Column, i: Column) -> Column:
         char = F.substring(t["left"], i, F.lit(1))
-        window = F.substring(acc["rest"], i, t["width"])
-        at = F.call_function("locate", char, window)
-        return _let(F.struct(at.alias("at"), char.alias("char")), mark)
+        at = F.call_function("locate", char, F.substring(text, i, t["width"]))
+        taken = F.concat(F.overlay(text, F.lit(USED), i + at - 1, F.lit(1)), char)
+        return F.when(at > 0, taken).otherwise(text)
 
-    def score(acc: Column) -> Column:
+    def score(text: Column) -> Column:
+        matched = F.substring(text, 2 * t["reach"] + t["n_left"] + t["n_right"] + 1, t["n_left"])
         # The marker stands where the right string lost a character; read those in order.
         lost = F.filter(
             F.sequence(F.lit(1), t["n_right"]),
-            lambda j: F.substring(acc["rest"], j + t["reach"], F.lit(1)) == USED,
+            lambda j: F.substring(text, j + t["reach"], F.lit(1)) == USED,
         )
-        return _let(lost, lambda positions: ratio(acc["matched"], positions))
+        return _let(F.struct(matched.alias("matched"), lost.alias("lost")), ratio)
 
-    def ratio(matched: Column, positions: Column) -> Column:
-        m = F.size(positions)
+    def ratio(found: Column) -> Column:
+        m = F.size(found["lost"])
         out_of_place = F.aggregate(
             F.sequence(F.lit(1), m),
             F.lit(0),
             lambda n, k: n
             + (
-                F.substring(matched, k, F.lit(1)) != F.substring(t["right"], F.element_at(positions, k), F.lit(1))
+                F.substring(found["matched"], k, F.lit(1))
+                != F.substring(t["right"], F.element_at(found["lost"], k), F.lit(1))
             ).cast("int"),
         )
         swaps = F.floor(out_of_place / 2)
-        return F.when(m == 0, F.lit(0.0)).otherwise((m / t["n_left"] + m / t["n_right"] + (m - swaps) / m) / 3)
+        jaro = (m / t["n_left"] + m / t["n_right"] + (m - swaps) / m) / 3
+        return F.when(m == 0, F.lit(0.0)).otherwise(jaro)
 
-    start = F.struct(F.concat(F.repeat(F.lit(USED), t["reach"]), t["right"]).alias("rest"), F.lit("").alias("matched"))
-    return F.aggregate(F.sequence(F.lit(1), t["n_left"]), start, step, score)
+    return F.aggregate(F.sequence(F.lit(1), t["n_left"]), padded, step, score)
 
 
 def _boost(left: Column, right: Column) -> Column:
