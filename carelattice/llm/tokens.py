@@ -22,15 +22,15 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
 #: White space that libraries disagree on.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: A mark after a letter, at the end of a word: both vocabularies split before it.
-LAST_MARK = re.compile(r"(?<=[a-zA-Zà-öø-ÿ])[.,](?=\s|\Z)")
-#: Stands for "no space before this piece" once marks are set apart.
+#: White space other than space, tab and line ends.
+RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: A space beside other white space: such texts are cut by PIECES.
+BROAD_SPACE = [a + b for c in " \n\t\r\v\f" for a, b in ((" ", c), (c, " "))]
+#: Marks the first piece of a text, which has no space before it.
 GLUE = "\x01"
-#: A space beside other white space: the pieces are then cut by PIECES.
-BROAD_SPACE = re.compile(r" \s|\s ")
 PIECES = re.compile(r"\s+(?!\S)| ?\S+|\s")
 #: Distinct pieces remembered by one Python worker; beyond it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 
 def default_path(name: str) -> str:
@@ -59,6 +59,7 @@ class Encoder:
         self.words = self.tokenizer.normalizer is not None
         self.pattern = regex.compile(WORD_PATTERN if self.words else BYTE_PATTERN)
         self.alphabet = _byte_alphabet()
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.pieces: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.atoms: dict[str, bytes] = {}
@@ -70,14 +71,18 @@ class Encoder:
         found = self.atoms.get(atom)
         if found is None:
             mapped = atom.encode().decode("latin-1").translate(self.alphabet)
-            found = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped))
-            self.atoms[atom] = found
+            found = self.atoms[atom] = b"".join([self.bytes_of[t.id] for t in self.model.tokenize(mapped)])
         return found
 
     def _piece(self, piece: str) -> bytes:
         if piece and max(piece) >= "Ā":
             return self._whole(piece)
-        return b"".join(map(self._atom, self.pattern.findall(piece.lower() if self.words else piece)))
+        if self.words:
+            piece = piece.lower()
+        # Letters alone, with or without the space before them, are one match of either pattern.
+        if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+            return self._atom(piece)
+        return b"".join(map(self._atom, self.pattern.findall(piece)))
 
     def _spaced(self, piece: str) -> bytes:
         """A piece that was cut at the space before it, unless it is glued."""
@@ -98,16 +103,14 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if ODD_SPACE.search(text):
+        rare = RARE_SPACE.search(text) is not None
+        if rare and ODD_SPACE.search(text):
             return self._whole(text)
         if self.words:
-            if text.isascii():
-                text = text.lower()
-            return self._joined(LAST_MARK.sub(r" \g<0>", text).split(), self.pieces, self._piece)
-        if BROAD_SPACE.search(text) or GLUE in text:
+            return self._joined((text.lower() if text.isascii() else text).split(), self.pieces, self._piece)
+        if rare or GLUE in text or any(map(text.__contains__, BROAD_SPACE)):
             return self._joined(PIECES.findall(text), self.pieces, self._piece)
-        # The text's first piece has no space before it either.
-        pieces = LAST_MARK.sub(" \x01\\g<0>", text).split(" ")
+        pieces = text.split(" ")
         pieces[0] = GLUE + pieces[0]
         return self._joined(pieces, self.spaced, self._spaced)
 
