@@ -6,8 +6,8 @@ compared. Shingles are ordered by the number of documents that have them, then b
 shingles, a partner must share one of the rarest n - ceil(percent n / 100) + 1. Shingles of one document only come
 first and have no partner, so a set with that many of its own is out at once and sends nothing.
 
-Within a prefix shingle, classes in order of size form a chain; the chain's pairs are verified first and joined to
-components. Only classes of different components under one shingle are then paired. So a group of near copies costs about
+Within a prefix shingle, the class where it stands earliest is the hub of a star; the stars' pairs are verified first and
+joined to components. Only classes of different components under one shingle are then paired. So a group of near copies costs about
 one pair a class, and yet no link between components is lost. Pairs pass the length filter, the positional filter
 (what both sets have left after the shared shingle) and the suffix filter (parts of both sets on either side of a pivot), and are
 verified once. Shingles are compared by 64-bit hashes, sets by 128-bit ones.
@@ -173,10 +173,8 @@ def linked_classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     classes = stored(classes, "classes")
     prefixes = stored(_prefixes(classes, percent), "prefixes")
 
-    # Chains: per shingle, classes in order of size, each with the next. Only digests and sizes are sorted.
-    heavy = _chained(prefixes)
-    chain = stored(_filtered(heavy, percent), "chain")
-    links = stored(_verified(chain, classes, percent), "links-1")
+    star = stored(_filtered(_starred(prefixes), percent), "stars")
+    links = stored(_verified(star, classes, percent), "links-1")
     found = components(links)
 
     # Whatever shares a shingle across components.
@@ -188,61 +186,22 @@ def linked_classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     left = member.join(present, "key").where("root < other")
     right = member.select("key", F.col("root").alias("other"), F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("at").alias("at_b"))
     pairs = left.select("key", "other", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("at").alias("at_a"))
-    crossing = _filtered(pairs.join(right, ["key", "other"]), percent).join(chain, ["a", "b"], "left_anti")
+    crossing = _filtered(pairs.join(right, ["key", "other"]), percent).join(star, ["a", "b"], "left_anti")
     more = stored(_verified(crossing, classes, percent), "links-2")
     if more.isEmpty():
         return links, found
     return links.unionByName(more), components(links.unionByName(more))
 
 
-def _chained(prefixes: DataFrame) -> DataFrame:
-    """Neighbours in order of size under every shingle. A shingle may be in the prefix of any number of classes, so the
-    order is cut into ranges of the whole sorted table; the first of a range follows the last of the one before."""
-    ranged = prefixes.repartitionByRange("key", "n", "digest").sortWithinPartitions("key", "n", "digest")
-
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, last, first = TaskContext.get().partitionId(), None, None
-        for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "n", "at")), strict=True))
-            if not rows:
-                continue
-            first = first or rows[0]
-            follow = zip(([last] if last else []) + rows, rows if last else rows[1:], strict=False)
-            pairs = [(1, *a[1:], *b[1:], part) for a, b in follow if a[0] == b[0]]
-            last = rows[-1]
-            yield _pair_batch(pairs)
-        if first:  # the range's ends, to be joined with its neighbours'
-            yield _pair_batch([(0, *first[1:], *last[1:], part)], first[0], last[0])
-
-    schema = "inner_pair int, a binary, na long, at_a long, b binary, nb long, at_b long, part int, key_a long, key_b long"
-    found = stored(ranged.mapInArrow(pair, schema), "chained")
-    inner = found.where("inner_pair = 1")
-    # One row per partition; partitions without rows are skipped by taking the next that has any.
-    ends = found.where("inner_pair = 0").collect()
-    ends.sort(key=lambda r: r["part"])
-    bridges = [
-        (x["b"], x["nb"], x["at_b"], y["a"], y["na"], y["at_a"])
-        for x, y in zip(ends, ends[1:])
-        if x["key_b"] == y["key_a"]
-    ]
-    columns = ["a", "na", "at_a", "b", "nb", "at_b"]
-    if not bridges:
-        return inner.select(*columns)
-    added = prefixes.sparkSession.createDataFrame(
-        bridges, "a binary, na long, at_a long, b binary, nb long, at_b long"
-    )
-    return inner.select(*columns).unionByName(added)
-
-
-def _pair_batch(rows: list[tuple], key_a: int | None = None, key_b: int | None = None) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-    names = ["inner_pair", "a", "na", "at_a", "b", "nb", "at_b", "part"]
-    columns = list(zip(*rows, strict=True)) or [()] * 8
-    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-    arrays += [pa.array([x] * len(rows), pa.int64()) for x in (key_a, key_b)]
-    return pa.RecordBatch.from_arrays(arrays, [*names, "key_a", "key_b"])
+def _starred(prefixes: DataFrame) -> DataFrame:
+    """Under every shingle, each class with the class that stands there earliest for its size: the fewer rare shingles
+    a set has before it, the more sets it can link with."""
+    place = (F.col("at") / F.col("n")).alias("place")
+    first = prefixes.groupBy("key").agg(F.min(F.struct(place, "digest", "n", "at")).alias("hub"))
+    return prefixes.join(first, "key").select(
+        F.col("digest").alias("a"), F.col("n").alias("na"), F.col("at").alias("at_a"),
+        F.col("hub.digest").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.at").alias("at_b"),
+    )
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
