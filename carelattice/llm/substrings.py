@@ -45,8 +45,8 @@ class _Doc:
     """A document's word hashes, and the anchor of each of its windows."""
 
     def __init__(self, text: bytes, size: int, span: int):
-        self.words = text.split()
-        self.h = hash_words(self.words)
+        self.text = text
+        self.h = hash_words(text.split())
         self.g = grams(self.h, span)
         self.windows = max(0, len(self.h) - size + 1)
         self.anchor = _slid(self.g, size - span + 1, np.minimum) if self.windows else self.g[:0]
@@ -105,6 +105,24 @@ class _Block:
         self.edges = np.searchsorted(bucket[self.order], np.arange(n + 1))
 
 
+def _covered(windows, first, last, which, begin, flat, size: int, n_words: int) -> np.ndarray:
+    """Words of a document that some later window covers. Runs that were not sent repeat an earlier one whole."""
+    if not len(first):
+        return np.zeros(n_words, bool)
+    again = np.zeros(windows + 1, np.int64)
+    whole = which < 0
+    np.add.at(again, first[whole], 1)
+    np.add.at(again, last[whole] + 1, -1)
+    later = np.cumsum(again)[:-1] > 0
+    first, length, source = first[~whole], (last - first + 1)[~whole], begin[which[~whole]]
+    step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    later[np.repeat(first, length) + step] |= flat[np.repeat(source, length) + step] == 1
+    # A word is covered if any of the last `size` windows up to its place is later.
+    before = np.concatenate([[0], np.cumsum(later)])
+    place = np.arange(n_words)
+    return before[np.minimum(place + 1, windows)] > before[np.clip(place - size + 1, 0, windows)]
+
+
 def _answer(size: int):
     """Of every window sent to this group: 1 unless it is the first of its words."""
 
@@ -208,18 +226,15 @@ def remove_repeats(docs: DataFrame, min_words: int = 20, heavy: int = 20_000) ->
         begin[own.order] = np.cumsum(windows[own.order]) - windows[own.order]
         out: list[tuple] = []
         for (doc_id, _), doc, (first, last, which) in zip(rows, own.docs, own.own, strict=True):
-            steps = np.zeros(len(doc.words) + 1, np.int64)
-            for a, b, k in zip(first.tolist(), last.tolist(), which.tolist(), strict=True):
-                again = np.arange(a, b + 1)
-                if k >= 0:
-                    again = again[flat[begin[k] : begin[k] + b - a + 1] == 1]
-                np.add.at(steps, again, 1)
-                np.add.at(steps, again + size, -1)
-            gone = np.cumsum(steps)[:-1] > 0
-            edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-            spans = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)]
-            kept = b" ".join([w for w, g in zip(doc.words, gone.tolist(), strict=True) if not g])
-            out.append((doc_id, len(doc.words), int(gone.sum()), spans, kept))
+            words = doc.text.split()
+            gone = _covered(doc.windows, first, last, which, begin, flat, size, len(words))
+            edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
+            spans = [{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2], strict=True)]
+            kept, at = [], 0
+            for a, b in zip(edge[::2], edge[1::2], strict=True):
+                kept += words[at:a]
+                at = b
+            out.append((doc_id, len(words), int(gone.sum()), spans, b" ".join(kept + words[at:])))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary()]
         columns = list(zip(*out, strict=True)) or [()] * 5
         names = ["doc_id", "n_words", "n_removed", "spans", "kept"]
