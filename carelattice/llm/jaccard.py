@@ -180,10 +180,16 @@ def linked_classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     # Whatever shares a shingle across components.
     member = prefixes.join(found, F.col("digest") == F.col("node"), "left")
     member = stored(member.select("key", "digest", "n", "at", F.coalesce("root", "digest").alias("root")), "members")
-    present = member.select("key", "root").distinct()
+    # What a component has under a shingle decides whether a class could link with any of it.
+    slack = F.max((100 + percent) * (F.col("n") - F.col("at")) - percent * F.col("n")).alias("slack")
+    present = member.groupBy("key", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"), slack)
     mixed = present.groupBy("key").agg(F.count("*").alias("roots")).where("roots > 1").select("key")
-    present = present.join(mixed, "key").select("key", F.col("root").alias("other"))
-    left = member.join(present, "key").where("root < other")
+    present = present.join(mixed, "key").withColumnRenamed("root", "other")
+    n, least = F.col("n"), F.greatest(F.col("low"), F.ceil(F.col("n") * percent / 100))
+    possible = (100 * n >= percent * F.col("low")) & (100 * F.col("high") >= percent * n) & (F.col("slack") >= percent * n)
+    rest = (100 + percent) * (n - F.col("at")) >= percent * (n + least)
+    left = member.join(present, (member["key"] == present["key"]) & (F.col("root") < F.col("other")) & possible & rest)
+    left = left.drop(present["key"])
     right = member.select("key", F.col("root").alias("other"), F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("at").alias("at_b"))
     pairs = left.select("key", "other", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("at").alias("at_a"))
     crossing = _filtered(pairs.join(right, ["key", "other"]), percent).join(star, ["a", "b"], "left_anti")
