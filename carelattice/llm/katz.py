@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    counted, documents, hash_words, in_blocks, joined, mix, pack, pack_sorted, parted, prepare, rows_of,
+    counted, hash_words, in_blocks, joined, mix, pack, pack_sorted, parted, prepare, rows_of,
     scratch, unpack, unpack_sorted, bucket_edges,
 )
 
@@ -309,7 +309,11 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     """
     spark = docs.sparkSession
     n = prepare(spark)
-    flagged = docs.select("doc_id", "text", F.coalesce("training", F.lit(False)).alias("training"))
+    flagged = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("training", F.lit(False)).alias("training"),
+    )
     blocks = in_blocks(flagged, n, "training")
     scorer = Scorer(n, order)
     tables: list[DataFrame] = []
