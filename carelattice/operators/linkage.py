@@ -321,17 +321,15 @@ def best_matches(
 ) -> DataFrame:
     """Best match of every B record under `score`, a function of the feature columns.
 
-    Where some block is heavy, records that are equal in all compared columns are first reduced to
-    one: equal records of A have equal scores, so the lowest id stands for all, and equal records of B
-    have the same best match. A large group of copies is then compared once.
+    Records that are equal in all columns but their id are first reduced to one, whatever their number:
+    equal records of A have equal scores, so the lowest id stands for all, and equal records of B have
+    the same best match. A large group of copies is then compared once, and blocks and features may read any column.
     """
-    grids = _heavy_blocks(a, b, block, policy)
-    if not grids:
-        return best_per_record(_paired(a, b, None, features, block, []).withColumn("score", score), threshold)
-    few_a = a.groupBy(*PERSON_COLUMNS).agg(F.min(A_ID).alias(A_ID))
-    few_b = b.groupBy(*PERSON_COLUMNS).agg(F.min(B_ID).alias(B_ID))
+    of_a, of_b = ([c for c in df.columns if c != id_] for df, id_ in ((a, A_ID), (b, B_ID)))
+    few_a = a.groupBy(*of_a).agg(F.min(A_ID).alias(A_ID))
+    few_b = b.groupBy(*of_b).agg(F.min(B_ID).alias(B_ID))
     grids = _heavy_blocks(few_a, few_b, block, policy)
     best = best_per_record(_paired(few_a, few_b, None, features, block, grids).withColumn("score", score), threshold)
     # Back to all records: one row per distinct content on the right.
     told = few_b.join(best, B_ID).drop(B_ID)
-    return b.join(told, same_key(b, told, PERSON_COLUMNS)).select(b[B_ID], "matched_patient_id", "score")
+    return b.join(told, same_key(b, told, of_b)).select(b[B_ID], "matched_patient_id", "score")

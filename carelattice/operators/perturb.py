@@ -107,12 +107,12 @@ def second_list(
     seed: int = SEED,
     rates: NoiseRates = NoiseRates(),
     exact: bool = True,
-    id_digits: int = 12,
+    id_digits: int = 32,
 ) -> tuple[DataFrame, DataFrame]:
     """(noisy records, truth) for a share of the people, who have unique `patient_id`.
 
-    `exact` draws round(fraction * n) people and runs small jobs to do so. With 12 hex digits ids
-    begin to collide at some ten million records; take up to 32 for larger lists.
+    `exact` draws round(fraction * n) people and runs small jobs to do so. Ids of fewer than 32 hex digits are
+    shorter but collide sooner: with 12 digits at some ten million records.
     """
     draw = sample_exact if exact else sample_threshold
     drawn = draw(people, "patient_id", fraction, seed)

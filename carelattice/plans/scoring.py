@@ -68,6 +68,14 @@ def score_pairs(
     return scored.withColumn("is_match", F.col("score") >= threshold)
 
 
+def rejected_pairs(requests: DataFrame) -> DataFrame:
+    """The requests that `score_pairs` leaves out, with `reason`: the sides' missing fields."""
+    missing = [
+        F.when(F.col(f"{side}.{c}").isNull(), F.lit(f"{side}.{c}")) for side in ("record_a", "record_b") for c in REQUIRED_PERSON_FIELDS
+    ]
+    return requests.where(~is_complete_pair()).withColumn("reason", F.concat_ws(", ", *missing))
+
+
 def score_risk(requests: DataFrame, model: Model) -> DataFrame:
     """Stays with their readmission score; missing fields are filled as in training."""
     return with_score(model, requests)

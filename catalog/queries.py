@@ -195,7 +195,7 @@ def _frame_columns(df: DataFrame) -> DataFrame:
 
 
 def second_list(t: Tables) -> tuple[DataFrame, DataFrame]:
-    return perturb.second_list(t.person_a())
+    return perturb.second_list(t.person_a(), id_digits=12)
 
 
 @query

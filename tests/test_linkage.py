@@ -118,6 +118,16 @@ def test_best_match_is_the_same_with_heavy_blocks(spark):
         assert (-r["score"], r["matched_patient_id"]) == best and r["score"] >= 0.5
 
 
+def test_best_match_may_block_on_any_column(spark):
+    a, b = people(spark, crowd(5, 40, "a"), crowd(6, 40, "b"))
+    town = F.when(F.substring("zip", 1, 1) == "8", "x").otherwise("y").alias("town")
+    a, b = a.select("*", town), b.select("*", town)
+    score = (F.col("first_sim") + F.col("last_sim") + F.col("zip_sim")) / 3
+    block = {"by_town": lambda c: c("town")}
+    plain = linkage.best_matches(a, b, score, block=block).collect()
+    assert plain and sorted(plain) == sorted(linkage.best_matches(a, b, score, block=block, policy=HEAVY).collect())
+
+
 @pytest.mark.parametrize("policy", [SkewPolicy(), HEAVY])
 def test_weighted_pairs_say_the_same_as_all_pairs(spark, policy):
     a, b = people(spark, crowd(7, 70, "a"), crowd(8, 60, "b"))

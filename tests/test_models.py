@@ -167,3 +167,16 @@ def test_stream_risk_with_a_fitted_model(spark, fitted, tmp_path):
     streaming.stream_risk_scores(spark, str(tmp_path / "inbox"), model, log, once=True).awaitTermination(120)
     row = spark.read.parquet(log).first()
     assert (row["kind"], row["input_summary"]) == ("risk", "age=63.0, prior_inpatient=2.0")
+
+
+def test_rejected_pairs_name_what_is_missing(spark):
+    person = "struct<first:string, last:string, dob:string, zip:string, ssn:string>"
+    whole, lame = ("A", "B", "2000-01-01", "1", None), ("A", None, "2000-01-01", None, "9")
+    requests = spark.createDataFrame(
+        [(1, whole, whole), (2, whole, lame), (3, None, whole)], f"request int, record_a {person}, record_b {person}"
+    )
+    told = {r["request"]: r["reason"] for r in scoring.rejected_pairs(requests).collect()}
+    assert told == {
+        2: "record_b.last, record_b.zip",
+        3: "record_a.first, record_a.last, record_a.dob, record_a.zip",
+    }
