@@ -88,15 +88,17 @@ def _carry(
 def dense_ids(df: DataFrame, name: str, policy: SkewPolicy = DEFAULT_POLICY, copies_per_row: int = 100_000) -> DataFrame:
     """Add surrogate keys 1..n in a repeatable order.
 
-    The order is that of a digest over all columns, so ids depend on the rows alone, not on files,
-    partitions or retries. Digests are evenly spread, so equal ranges of them make even chunks; how many
+    The order is that of a digest over the exact text of all columns (instants to the microsecond), so ids
+    depend on the rows alone, not on files, partitions or retries. Digests are evenly spread, so equal ranges of them make even chunks; how many
     rows lie in each chunk is counted first, without moving the rows. Identical rows are merged and get
     a run of consecutive ids, so a group of copies is one row until the very end; it is then unfolded
     in blocks of at most `copies_per_row` ids, spread over tasks.
     """
     columns = df.columns
     parts = policy.shares(df.sparkSession)
-    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    formats = {"ignoreNullFields": "false", "timestampFormat": exact + "XXX", "timestampNTZFormat": exact}
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), formats)
     leading = F.conv(F.substring("__hash", 1, 12), 16, 10).cast("bigint")  # 48 bits
     hashed = df.withColumn("__hash", F.md5(whole)).withColumn(CHUNK, F.floor(leading / F.lit(2**48 / parts)).cast("int"))
     # At most `parts` rows, so one task may order them.
@@ -104,7 +106,7 @@ def dense_ids(df: DataFrame, name: str, policy: SkewPolicy = DEFAULT_POLICY, cop
     before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(CHUNK, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
     counted = hashed.groupBy(*columns, "__hash", CHUNK).agg(F.count(F.lit(1)).alias("__n"))
-    inside = Window.partitionBy(CHUNK).orderBy("__hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(CHUNK).orderBy("__hash", *[F.col(f"`{c}`") for c in columns]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto = (
         counted.withColumn("__upto", F.sum("__n").over(inside))
         .join(F.broadcast(starts), CHUNK)

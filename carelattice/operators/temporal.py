@@ -25,16 +25,18 @@ _INCLUSIVE_FACT, _PROBE, _STRICT_FACT, _LATE_PROBE = range(4)
 @dataclass(frozen=True)
 class Reading:
     """A number per row, told apart by a code: `names` maps codes to output columns. Rows of other codes
-    and rows without a number are no readings."""
+    and rows without a number are no readings. `kind` is the type numbers are carried in, one for all
+    readings that are asked for together; whole numbers beyond 2^53 need `bigint`."""
 
     code: Column
     value: Column
     names: Mapping[str, str]
+    kind: str = "double"
 
 
-def single_reading(name: str, value: Column) -> Reading:
+def single_reading(name: str, value: Column, kind: str = "double") -> Reading:
     """Every row is the same reading."""
-    return Reading(F.lit(name), value, {name: name})
+    return Reading(F.lit(name), value, {name: name}, kind)
 
 
 @dataclass(frozen=True)
@@ -74,8 +76,9 @@ def point_in_time(
 ) -> DataFrame:
     """Index rows with `outputs`: column name -> (probe, count or reading).
 
-    `key` identifies index rows; only needed with more than one probe. Counts are 0 and readings null where nothing is known. Facts without
-    an entity or an instant are known to nobody.
+    `key` tells index rows apart; only needed with more than one probe. It need not be unique: rows that
+    share a key come back each with its own answers, and identical rows as often as they went in. Counts
+    are 0 and readings null where nothing is known. Facts without an entity or an instant are known to nobody.
 
     Facts travel as (entity, place in time, bits of the counts they add to, reading number, value),
     so the width of the shuffle does not grow with the number of outputs. Facts that share a frame are
@@ -88,6 +91,8 @@ def point_in_time(
     names = list(probes)
     if len(names) > 1 and key is None:
         raise ValueError("several probes need a key to come back together")
+    if len({f.reading.kind for f in facts if f.reading}) > 1:
+        raise ValueError("readings of one pass need one kind")
     payload = [c for c in index.columns if c not in (entity, key)]
 
     history = reduce(DataFrame.unionByName, _histories(facts, entity, counts, readings))
@@ -110,10 +115,13 @@ def point_in_time(
         return answered.select(*index.columns, *[F.col(m).alias(o) for o, (_, m) in outputs.items()])
     # Bring the probes of one index row together; they are co-located by entity already.
     at = lambda probe, measure: F.max(F.when(F.col("__probe") == names.index(probe), F.col(measure)))
-    whole = answered.groupBy(entity, key).agg(
-        *[F.max(c).alias(c) for c in payload], *[at(p, m).alias(o) for o, (p, m) in outputs.items()]
+    whole = answered.groupBy(entity, key, "__row").agg(
+        *[F.max(c).alias(c) for c in payload],
+        *[at(p, m).alias(o) for o, (p, m) in outputs.items()],
+        F.count_if(F.col("__probe") == 0).alias("__copies"),
     )
-    return whole.select(*index.columns, *outputs)
+    each = whole.select("*", F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy"))
+    return each.select(*index.columns, *outputs)
 
 
 def _entities(index: DataFrame, facts: Sequence[Facts], entity: str, probes: int) -> DataFrame:
@@ -130,14 +138,15 @@ def _histories(facts: Sequence[Facts], entity: str, counts: list[str], readings:
     by_source: dict[int, list[Facts]] = {}
     for f in facts:
         by_source.setdefault(id(f.rows), []).append(f)
-    return [_fact_rows(group, entity, counts, readings) for group in by_source.values()]
+    kind = next((f.reading.kind for f in facts if f.reading), "double")
+    return [_fact_rows(group, entity, counts, readings, kind) for group in by_source.values()]
 
 
-def _fact_rows(group: Sequence[Facts], entity: str, counts: list[str], readings: list[str]) -> DataFrame:
+def _fact_rows(group: Sequence[Facts], entity: str, counts: list[str], readings: list[str], kind: str) -> DataFrame:
     rows = group[0].rows.where(F.col(entity).isNotNull())
     ranks = [f.rank for f in group if f.rank is not None]
     rank_type = rows.select(ranks[0].alias("rank")).schema["rank"].dataType if ranks else "bigint"
-    marks = [_mark(f, counts, readings, rank_type) for f in group]
+    marks = [_mark(f, counts, readings, rank_type, kind) for f in group]
     if len(marks) == 1:
         placed = rows.select(F.col(entity), marks[0].alias("__mark"))
     else:
@@ -149,7 +158,7 @@ def _fact_rows(group: Sequence[Facts], entity: str, counts: list[str], readings:
     return told.where(F.col("__place").isNotNull() & known)
 
 
-def _mark(f: Facts, counts: list[str], readings: list[str], rank_type) -> Column:
+def _mark(f: Facts, counts: list[str], readings: list[str], rank_type, kind: str) -> Column:
     """What one fact puts on the timeline."""
     bits = F.lit(0).cast("bigint")
     for name, condition in f.counts.items():
@@ -166,12 +175,13 @@ def _mark(f: Facts, counts: list[str], readings: list[str], rank_type) -> Column
         (none if f.rank is None else f.rank).cast(rank_type).alias("__rank"),
         bits.alias("__bits"),
         slot.cast("int").alias("__slot"),
-        value.cast("double").alias("__value"),
+        value.cast(kind).alias("__value"),
     )
 
 
 def _probe_rows(index: DataFrame, probes: Mapping[str, Probe], payload: list[str]) -> DataFrame:
-    """One row per index row and probe; only the first probe carries the other columns."""
+    """One row per index row and probe; only the first probe carries the other columns. `__row` is a digest
+    of the whole index row."""
     places = [
         F.struct(
             F.lit(i).alias("__probe"),
@@ -183,7 +193,10 @@ def _probe_rows(index: DataFrame, probes: Mapping[str, Probe], payload: list[str
         return index.select("*", places[0].alias("__p")).select(*index.columns, "__p.*")
     first = F.col("__p.__probe") == 0
     kept = [F.when(first, F.col(c)).alias(c) if c in payload else F.col(c) for c in index.columns]
-    return index.select("*", F.explode(F.array(*places)).alias("__p")).select(*kept, "__p.*")
+    # A hash passes over nulls, so where they are is hashed too.
+    row = F.xxhash64(*index.columns, *[F.col(c).isNull() for c in index.columns])
+    asked = index.select("*", row.alias("__row"), F.explode(F.array(*places)).alias("__p"))
+    return asked.select(*kept, "__row", "__p.*")
 
 
 def _with_heavy(
@@ -312,6 +325,6 @@ def next_after(
 
     The as-of timeline with time running backwards: the last event passed is the next one in time.
     """
-    later = Facts(events, -event_at, reading=single_reading("__next", event_at))
+    later = Facts(events, -event_at, reading=single_reading("__next", event_at, "bigint"))
     found = point_in_time(index, entity, {"at": Probe(-at)}, [later], {"__next": ("at", "__next")}, policy=policy)
-    return found.select(*index.columns, F.timestamp_micros(F.col("__next").cast("bigint")).alias(name))
+    return found.select(*index.columns, F.timestamp_micros(F.col("__next")).alias(name))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from carelattice.operators.perturb import NICKNAMES
+from carelattice.schemas import CHRONIC_CODES
 
 from .views import LAB_BY_LINE, _sql_case, sql_views
 
@@ -25,30 +26,39 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     return (f"WITH {head}\n" if head else "") + body.strip()
 
 
-def temporal() -> dict[str, str]:
-    def label(window: str) -> str:
-        return f"""
-        SELECT encounter_id, patient_id, CAST(start_ts AS DATE) AS start_day,
-          CASE WHEN EXISTS (SELECT 1 FROM v_stay e2 WHERE e2.patient_id = e1.patient_id
-            AND e2.encounter_id <> e1.encounter_id AND e2.start_ts > e1.stop_ts AND {window})
-            THEN 1 ELSE 0 END AS readmitted_30d
-        FROM v_stay e1"""
-
-    counts = """
-      (SELECT count(*) FROM v_encounter f WHERE f.patient_id = s.patient_id AND f.start_ts < s.start_ts)
-        AS prior_encounter_count,
-      (SELECT count(*) FROM v_stay f WHERE f.patient_id = s.patient_id AND f.start_ts < s.start_ts)
-        AS prior_inpatient_count,
-      (SELECT count(*) FROM v_condition f WHERE f.patient_id = s.patient_id
-        AND f.start_date < CAST(s.start_ts AS DATE)) AS prior_condition_count,
-      (SELECT count(*) FROM v_condition f WHERE f.patient_id = s.patient_id
-        AND f.start_date < CAST(s.start_ts AS DATE)
-        AND f.code IN ('44054006', '38341003', '13645005', '88805009')) AS chronic_condition_count,
-      (SELECT count(*) FROM v_procedure f WHERE f.patient_id = s.patient_id AND f.start_ts < s.start_ts)
-        AS prior_procedure_count,
-      (SELECT count(*) FROM v_medication f WHERE f.patient_id = s.patient_id AND f.start_ts < s.start_ts)
-        AS prior_medication_count"""
+def cohort_views() -> dict[str, str]:
+    """Label and prior counts of every stay. The first start after a stop decides the label: if that one lies
+    outside the follow-up, all later ones do. No supplied stay stops before it starts, so none follows itself."""
+    chronic = ", ".join(f"'{c}'" for c in CHRONIC_CODES)
+    kinds = {
+        "encounter": "SELECT patient_id, start_ts, encounter_class FROM v_encounter",
+        "inpatient": "SELECT patient_id, start_ts, NULL FROM v_stay",
+        "procedure": "SELECT patient_id, start_ts, NULL FROM v_procedure",
+        "medication": "SELECT patient_id, start_ts, NULL FROM v_medication",
+        # A day is over when the next one begins.
+        "condition": "SELECT patient_id, start_date + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND, code FROM v_condition",
+    }
+    past = " UNION ALL ".join(f"SELECT '{k}' AS kind, * FROM ({sql}) t(patient_id, known_at, code)" for k, sql in kinds.items())
+    number = lambda kind, more="": f"count(*) FILTER (WHERE kind = '{kind}'{more})"
+    return {
+        "v_start": "SELECT patient_id, start_ts AS next_start FROM v_stay GROUP BY ALL",
+        "v_label": """
+            SELECT s.encounter_id, s.patient_id, CAST(s.start_ts AS DATE) AS start_day,
+              CAST(coalesce(next_start - s.stop_ts <= INTERVAL 30 DAYS, false) AS INTEGER) AS readmitted_30d,
+              CAST(coalesce(date_diff('day', s.stop_ts, next_start) < 30, false) AS INTEGER) AS readmitted_by_day
+            FROM v_stay s ASOF LEFT JOIN v_start n ON s.patient_id = n.patient_id AND s.stop_ts < n.next_start""",
+        "v_past": past,
+        "v_prior": f"""
+            SELECT encounter_id, {number("encounter")} AS prior_encounter_count,
+              {number("inpatient")} AS prior_inpatient_count, {number("condition")} AS prior_condition_count,
+              {number("condition", f" AND code IN ({chronic})")} AS chronic_condition_count,
+              {number("procedure")} AS prior_procedure_count, {number("medication")} AS prior_medication_count
+            FROM v_stay LEFT JOIN v_past ON v_past.patient_id = v_stay.patient_id AND known_at < start_ts
+            GROUP BY encounter_id""",
+    }
+
 
+def temporal() -> dict[str, str]:
     def last_reading(source: str, code: str, name: str, op: str = "<=") -> str:
         return f"""(SELECT arg_max(r.v, (r.obs_date, r.observation_id)) FROM
             (SELECT *, TRY_CAST(value AS DOUBLE) AS v FROM {source} WHERE code = '{code}') r
@@ -65,9 +75,9 @@ def temporal() -> dict[str, str]:
     }
     readings = ", ".join(last_reading("v_lab", c, n) for c, n in vitals.items())
     queries = {
-        "readmitted_within_30d": label("e2.start_ts <= e1.stop_ts + INTERVAL 30 DAYS"),
-        "readmitted_day_cutoff": label("CAST(e2.start_ts AS DATE) < CAST(e1.stop_ts AS DATE) + 30"),
-        "prior_counts": f"SELECT s.encounter_id, {counts} FROM v_stay s",
+        "readmitted_within_30d": "SELECT encounter_id, patient_id, start_day, readmitted_30d FROM v_label",
+        "readmitted_day_cutoff": "SELECT encounter_id, patient_id, start_day, readmitted_by_day AS readmitted_30d FROM v_label",
+        "prior_counts": "SELECT * FROM v_prior",
         "as_of_readings": "SELECT s.visit_id, "
         + ", ".join(last_reading("v_event", k, f"last_{k}") for k in kinds)
         + " FROM v_visit s",
@@ -92,12 +102,12 @@ def temporal() -> dict[str, str]:
         "training_frame": f"""
             SELECT s.encounter_id, s.patient_id, CAST(s.start_ts AS DATE) AS start_day,
               CAST(s.stop_ts AS DATE) AS stop_day, s.base_cost, s.total_claim_cost,
-              CASE WHEN EXISTS (SELECT 1 FROM v_stay e2 WHERE e2.patient_id = s.patient_id
-                AND e2.encounter_id <> s.encounter_id AND e2.start_ts > s.stop_ts
-                AND e2.start_ts <= s.stop_ts + INTERVAL 30 DAYS) THEN 1 ELSE 0 END AS readmitted_30d,
-              {counts}, {readings}, p.gender, p.race, p.ethnicity,
+              readmitted_30d, v_prior.* EXCLUDE (encounter_id),
+              {readings}, p.gender, p.race, p.ethnicity,
               round(date_diff('day', p.birth_date, CAST(s.start_ts AS DATE)) / 365.25, 6) AS age_at_encounter
-            FROM v_stay s LEFT JOIN v_patient p ON p.patient_id = s.patient_id""",
+            FROM v_stay s JOIN v_label ON v_label.encounter_id = s.encounter_id
+              JOIN v_prior ON v_prior.encounter_id = s.encounter_id
+              LEFT JOIN v_patient p ON p.patient_id = s.patient_id""",
     }
     return queries | {f"{name}_by_table": queries[name] for name in ("prior_counts", "training_frame")}
 
@@ -362,11 +372,7 @@ def evaluation() -> dict[str, str]:
 def evaluation_views() -> dict[str, str]:
     return {
         "v_tested": """
-            SELECT CASE WHEN EXISTS (SELECT 1 FROM v_stay e WHERE e.patient_id = s.patient_id
-                AND e.encounter_id <> s.encounter_id AND e.start_ts > s.stop_ts
-                AND e.start_ts <= s.stop_ts + INTERVAL 30 DAYS) THEN 1 ELSE 0 END AS label,
-              (SELECT count(*) FROM v_stay f WHERE f.patient_id = s.patient_id AND f.start_ts < s.start_ts) AS v
-            FROM v_stay s"""
+            SELECT readmitted_30d AS label, prior_inpatient_count AS v FROM v_label JOIN v_prior USING (encounter_id)"""
     }
 
 
@@ -564,6 +570,6 @@ def scoring_views() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    extra = {**linkage_views(), **evaluation_views(), **scoring_views()}
+    extra = {**cohort_views(), **linkage_views(), **evaluation_views(), **scoring_views()}
     groups = (temporal(), linking(), evaluation(), warehouse(), scoring())
     return {name: with_views(sql, extra) for group in groups for name, sql in group.items()}
