@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import CHUNK, DEFAULT_POLICY, HeavyKey, SkewPolicy, add_chunks, heavy_keys, same_key
+from .skew import CHUNK, DEFAULT_POLICY, HeavyKey, SkewPolicy, add_chunks, heavy_keys, same_key, split_off
 
 
 def running(
@@ -140,26 +140,30 @@ def quantiles(
     """Exact quantiles with linear interpolation: rows (by..., feature, n, fraction, value).
 
     The built-in exact percentile merges all distinct values of a group in one task. Here values are
-    counted first, and running counts find the one or two at each rank.
+    counted first, and running counts find the one or two at each rank. Totals of ordinary groups come from the
+    window that counts; those of heavy groups, at most as many as there are shares, are broadcast. So the
+    counted values are shuffled once.
     """
     groups = [*by, "feature"]
     counts = long_values(df, columns, by, "double").groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("__n"))
-    upto = running(counts, groups, "value", {"__upto": F.col("__n")}, policy=policy)
-    totals = counts.groupBy(*groups).agg(F.sum("__n").alias("n"))
-    place = (F.col("n") - 1) * F.col("fraction")
-    ranks = totals.select(
-        *groups, "n", F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")
-    ).select(*groups, "n", "fraction", (F.floor(place) + 1).alias("__low"), (place - F.floor(place)).alias("__part"))
-    # One row per group on the right; the fractions stay inside it so that the join adds no rows.
-    wanted = ranks.groupBy(*groups).agg(F.collect_list(F.struct("n", "fraction", "__low", "__part")).alias("__wanted"))
+    heavy = heavy_keys(counts, groups, policy)
+    rest, hot = split_off(counts, groups, heavy) if heavy else (counts, None)
+    upto = {"__upto": F.col("__n")}
+    ranked = running(rest, groups, "value", upto, heavy=[]).withColumn("n", F.sum("__n").over(Window.partitionBy(*groups)))
+    if hot is not None:
+        totals = F.broadcast(hot.groupBy(*groups).agg(F.sum("__n").alias("n")))
+        ranks = running(hot, groups, "value", upto, heavy=heavy)
+        placed = ranks.join(totals, same_key(ranks, totals, groups)).select(ranks["*"], totals["n"])
+        ranked = ranked.unionByName(placed.select(*ranked.columns))
     before = F.col("__upto") - F.col("__n")
     covers = lambda rank: (before < rank) & (rank <= F.col("__upto"))
-    hits = F.filter("__wanted", lambda w: covers(w["__low"]) | covers(F.least(w["__low"] + 1, w["n"])))
-    found = upto.join(wanted, groups).select(*groups, "value", F.explode(hits).alias("__w"))
-    low, high = F.min("value"), F.max("value")
-    return (
-        found.groupBy(*groups, F.col("__w.n").alias("n"), F.col("__w.fraction").alias("fraction"))
-        .agg((low + (high - low) * F.first("__w.__part")).alias("value"))
+    asked = F.array(*[F.struct(F.lit(float(f)).alias("fraction"), ((F.col("n") - 1) * float(f)).alias("place")) for f in fractions])
+    low = lambda w: F.floor(w["place"]) + 1
+    hits = F.filter(asked, lambda w: covers(low(w)) | covers(F.least(low(w) + 1, F.col("n"))))
+    found = ranked.select(*groups, "value", "n", F.explode(hits).alias("__w"))
+    least, most, part = F.min("value"), F.max("value"), F.first("__w.place") - F.floor(F.first("__w.place"))
+    return found.groupBy(*groups, "n", F.col("__w.fraction").alias("fraction")).agg(
+        (least + (most - least) * part).alias("value")
     )
 
 

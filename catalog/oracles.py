@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from carelattice.operators.perturb import NICKNAMES
-from carelattice.schemas import CHRONIC_CODES
+from carelattice.schemas import CATEGORICAL_FEATURES, CHRONIC_CODES, NUMERIC_FEATURES
 
 from .views import LAB_BY_LINE, _sql_case, sql_views
 
@@ -307,8 +307,8 @@ def _binary(by: str = "", digits: int = 4) -> str:
 
 def evaluation() -> dict[str, str]:
     split = "CAST('0x' || substr(md5(concat_ws('|', patient_id, '42', 'split')), 1, 8) AS BIGINT)"
-    numbers = ("o_custkey", "o_totalprice")
-    texts = ("o_orderstatus", "o_orderpriority")
+    numbers = ("o_orderkey", "o_custkey", "o_totalprice")
+    texts = ("o_orderstatus", "o_orderpriority", "o_orderdate")
     described = [
         f"""SELECT '{c}' AS feature, count({c}) AS count, CAST(NULL AS BIGINT) AS "unique", NULL AS top,
             CAST(NULL AS BIGINT) AS freq, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
@@ -318,7 +318,7 @@ def evaluation() -> dict[str, str]:
         for c in numbers
     ] + [
         f"""SELECT '{c}', sum(n)::BIGINT, count(*), arg_min(v, (-n, v)), max(n), NULL, NULL, NULL, NULL, NULL, NULL, NULL
-            FROM (SELECT {c} AS v, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY {c})"""
+            FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY {c})"""
         for c in texts
     ]
     return {
@@ -395,24 +395,46 @@ def warehouse() -> dict[str, str]:
             "SELECT code FROM v_raw_code WHERE code_system = 'SNOMED-CT'",
         ),
     ]
-    for fact, where in (("fact_condition", "WHERE l_linestatus = 'O'"), ("fact_procedure", "")):
+    by_fact = {
+        "fact_condition": "WHERE l_linestatus = 'O'",
+        "fact_procedure": "",
+        "fact_medication": "WHERE l_linestatus = 'F'",
+        "fact_observation": "",
+    }
+    for fact, where in by_fact.items():
+        code = lab if fact == "fact_observation" else "CAST(l_partkey AS VARCHAR)"
         source = f"(SELECT * FROM {lines} {where})"
         orphans += [
             (fact, "patient_id", "dim_patient", source, "o_custkey", "SELECT c_custkey FROM customer"),
             (fact, "encounter_id", "fact_encounter", source, "l_orderkey", "SELECT o_orderkey FROM orders"),
-            (fact, "code_system,code", "dim_code", source, "CAST(l_partkey AS VARCHAR)", "SELECT code FROM v_raw_code"),
+            (fact, "code_system,code", "dim_code", source, code, "SELECT code FROM v_raw_code"),
         ]
     keys = {
+        "region": "r_regionkey",
+        "nation": "n_nationkey",
         "customer": "c_custkey",
+        "supplier": "s_suppkey",
+        "part": "p_partkey",
         "orders": "o_orderkey",
         "lineitem": "l_orderkey, l_linenumber",
         "events": "event_id",
+        "documents": "doc_id",
+        "embeddings": "vec_id",
+        "pages": "page_id",
+        "benchmark": "item_id",
         "labels": "doc_id",
+        "conversations": "conv_id, turn",
+    }
+    missing = {
+        "documents": "text IS NULL OR lang IS NULL OR source IS NULL",
+        "conversations": "role IS NULL OR text IS NULL",
+        "v_person_a": "first IS NULL OR ssn IS NULL OR zip IS NULL",
+        "v_encounter": "stop_ts IS NULL",
     }
-    tables = (
-        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-        "conversations"
-    ).split()
+    checked = keys | {"v_person_a": "patient_id", "v_encounter": "encounter_id"}
+    brands = ", ".join(f"'Brand#{i}'" for i in range(1, 6))
+    system = f"CASE WHEN p_brand IN ({brands}) THEN 'SNOMED' ELSE 'SNOMED-CT' END"
+    line = "CAST(o_custkey AS VARCHAR) AS patient_id, CAST(l_orderkey AS VARCHAR) AS encounter_id"
     typed = [
         ("dim_patient", "customer", {"birth_date": 0, "death_date": 0, "lat": 0, "lon": 0}),
         (
@@ -455,6 +477,14 @@ def warehouse() -> dict[str, str]:
               lower(o_orderpriority) AS encounter_class, 'SNOMED-CT' AS code_system, o_orderpriority[1] AS code,
               o_totalprice AS base_cost, o_totalprice AS total_claim_cost, CAST(NULL AS DOUBLE) AS payer_coverage
             FROM orders""",
+        "fact_condition": f"""
+            SELECT {line}, CAST(l_shipdate AS DATE) AS start_date, CAST(NULL AS DATE) AS stop_date,
+              {system} AS code_system, CAST(l_partkey AS VARCHAR) AS code
+            FROM {lines} WHERE l_linestatus = 'O'""",
+        "fact_procedure": f"""
+            SELECT {line}, CAST(l_shipdate AS VARCHAR) AS start_ts, CAST(NULL AS VARCHAR) AS stop_ts,
+              {system} AS code_system, CAST(l_partkey AS VARCHAR) AS code, l_extendedprice AS base_cost
+            FROM {lines}""",
         "fact_medication": f"""
             SELECT CAST(o_custkey AS VARCHAR) AS patient_id, CAST(l_orderkey AS VARCHAR) AS encounter_id,
               CAST(l_shipdate AS VARCHAR) AS start_ts, CAST(NULL AS VARCHAR) AS stop_ts, 'RxNorm' AS code_system,
@@ -482,18 +512,24 @@ def warehouse() -> dict[str, str]:
             SELECT patient_id, start_date, code, row_number() OVER (ORDER BY substr(h, 1, 15), h) AS condition_id
             FROM (SELECT *, md5('{{"patient_id":' || patient_id || ',"start_date":"' || start_date || '","code":"' || code
                 || '"}}') AS h FROM v_condition)""",
+        "surrogate_keys_events": """
+            SELECT user_id, event_type, epoch_us(seen) AS seen, row_number() OVER (ORDER BY substr(h, 1, 15), h) AS row_id
+            FROM (SELECT *, md5('{"user_id":' || user_id || ',"event_type":"' || event_type || '","seen":"'
+                || strftime(seen, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}') AS h
+              FROM (SELECT user_id, event_type, ts + to_microseconds(event_id % 1000) AS seen FROM events))""",
         "orphan_check": " UNION ALL ".join(
             f"""SELECT '{fact}' AS "table", '{columns}' AS columns, '{target}' AS target, count(*) AS orphan_rows,
                 count(DISTINCT {key}) AS orphan_keys FROM {source} WHERE {key} NOT IN ({known})"""
             for fact, columns, target, source, key, known in orphans
         ),
         "key_check": " UNION ALL ".join(
-            f"""SELECT '{t}' AS "table", sum(n)::BIGINT AS rows, count(*) FILTER (WHERE n > 1) AS duplicate_keys,
-                coalesce(sum(n) FILTER (WHERE n > 1), 0)::BIGINT AS duplicate_rows, 0::BIGINT AS rows_missing_required
-                FROM (SELECT {k}, count(*) AS n FROM {t} GROUP BY {k})"""
-            for t, k in keys.items()
+            f"""SELECT '{t.removeprefix("v_")}' AS "table", sum(n)::BIGINT AS rows,
+                count(*) FILTER (WHERE n > 1) AS duplicate_keys,
+                coalesce(sum(n) FILTER (WHERE n > 1), 0)::BIGINT AS duplicate_rows, sum(m)::BIGINT AS rows_missing_required
+                FROM (SELECT {k}, count(*) AS n, count(*) FILTER (WHERE {missing.get(t, "false")}) AS m FROM {t} GROUP BY {k})"""
+            for t, k in checked.items()
         ),
-        "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in tables),
+        "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in keys),
     }
 
 
@@ -501,8 +537,7 @@ def warehouse() -> dict[str, str]:
 
 
 def scoring() -> dict[str, str]:
-    numbers = ("prior_inpatient_count", "bmi", "glucose", "hba1c", "age_at_encounter", "base_cost")
-    texts = ("gender", "race")
+    numbers, texts = NUMERIC_FEATURES, CATEGORICAL_FEATURES
     filled_number = {c: f"coalesce({c}::DOUBLE, (SELECT median({c}::DOUBLE) FROM v_frame))" for c in numbers}
     filled_text = {
         c: f"coalesce({c}, (SELECT arg_min({c}, (-n, {c})) FROM (SELECT {c}, count(*) AS n FROM v_frame "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from carelattice.functions.dates import DAY_MICROS, micros
 from carelattice.operators import linkage, metrics, perturb, quality, sampling, temporal
 from carelattice.operators.running import dense_ids, describe_all, medians
 from carelattice.plans import linking, load, modelling, readmission, scoring
-from carelattice.schemas import CHRONIC_CODES, VITAL_CODES
+from carelattice.schemas import CATEGORICAL_FEATURES, CHRONIC_CODES, NUMERIC_FEATURES, PRIMARY_KEYS, VITAL_CODES
 
 from .views import Tables
 
@@ -371,8 +372,7 @@ def readmission_hypothesis(t: Tables) -> DataFrame:
 @query
 def describe_orders(t: Tables) -> DataFrame:
     """Summary of all columns of a table."""
-    columns = ["o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
-    described = describe_all(t.raw("orders").select(*columns))
+    described = describe_all(t.raw("orders"))
     return described.withColumns({c: F.round(c, 4) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")})
 
 
@@ -411,6 +411,17 @@ def fact_encounter(t: Tables) -> DataFrame:
     return _as_text(typed, "start_ts", "stop_ts").withColumns(costs)
 
 
+@query
+def fact_condition(t: Tables) -> DataFrame:
+    return load.typed_table(t.exports(), "fact_condition")
+
+
+@query
+def fact_procedure(t: Tables) -> DataFrame:
+    typed = load.typed_table(t.exports(), "fact_procedure")
+    return _as_text(typed, "start_ts", "stop_ts").withColumn("base_cost", F.col("base_cost").cast("double"))
+
+
 @query
 def fact_medication(t: Tables) -> DataFrame:
     typed = load.typed_table(t.exports(), "fact_medication")
@@ -434,43 +445,64 @@ def surrogate_keys(t: Tables) -> DataFrame:
     return dense_ids(t.condition(), "condition_id")
 
 
+@query
+def surrogate_keys_events(t: Tables) -> DataFrame:
+    """Dense ids over rows that differ by microseconds."""
+    apart = F.make_dt_interval(secs=(F.col("event_id") % 1000).cast("decimal(18,6)") / 1000000)
+    at = (F.col("ts").cast("timestamp") + apart).alias("seen")
+    ids = dense_ids(t.raw("events").select("user_id", "event_type", at), "row_id")
+    return ids.withColumn("seen", F.unix_micros("seen"))
+
+
 @query
 def orphan_check(t: Tables) -> DataFrame:
-    """References between the typed tables; organizations do not cover all encounters."""
+    """All declared references between the typed tables; organizations do not cover all encounters."""
     raw = t.exports()
-    names = ("dim_patient", "dim_organization", "fact_encounter", "fact_condition", "fact_procedure")
-    typed = {name: load.typed_table(raw, name) for name in names}
+    typed = {name: load.typed_table(raw, name) for name in PRIMARY_KEYS if name != "dim_code"}
     return quality.orphan_report(typed | {"dim_code": load.code_dimension(raw)})
 
 
+# Keys of the supplied tables.
+KEYS = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey"],
+    "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
+    "part": ["p_partkey"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+    "embeddings": ["vec_id"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
+}
+
+
 @query
 def key_check(t: Tables) -> DataFrame:
-    """Keys of the supplied tables; line numbers repeat within an order."""
-    keys = {
-        "customer": ["c_custkey"],
-        "orders": ["o_orderkey"],
-        "lineitem": ["l_orderkey", "l_linenumber"],
-        "events": ["event_id"],
-        "labels": ["doc_id"],
+    """Keys of all supplied tables (line numbers repeat within an order), and two views that lack required values."""
+    tables = {name: t.raw(name) for name in KEYS} | {"person_a": t.person_a(), "encounter": t.encounter()}
+    keys = KEYS | {"person_a": ["patient_id"], "encounter": ["encounter_id"]}
+    required = {
+        "documents": ["doc_id", "text", "lang", "source"],
+        "conversations": ["conv_id", "turn", "role", "text"],
+        "person_a": ["first", "ssn", "zip"],
+        "encounter": ["start_ts", "stop_ts"],
     }
-    return quality.key_report({name: t.raw(name) for name in keys}, keys, {})
-
-
-SUPPLIED = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-    "conversations"
-).split()
+    return quality.key_report(tables, keys, required)
 
 
 @query
 def table_counts(t: Tables) -> DataFrame:
-    return quality.table_counts({name: t.raw(name) for name in SUPPLIED})
+    return quality.table_counts({name: t.raw(name) for name in KEYS})
 
 
 # -- models and scoring ------------------------------------------------------------------------
 
-NUMBERS = ("prior_inpatient_count", "bmi", "glucose", "hba1c", "age_at_encounter", "base_cost")
-TEXTS = ("gender", "race")
+NUMBERS, TEXTS = NUMERIC_FEATURES, CATEGORICAL_FEATURES
 
 
 @query
@@ -503,7 +535,7 @@ def one_hot_values(t: Tables) -> DataFrame:
         )
         for c, slot in zip(TEXTS, slots)
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

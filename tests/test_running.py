@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import statistics
 from collections import Counter
 
 import pytest
@@ -99,3 +100,22 @@ def test_describe_all(spark):
     assert got["n"]["count"] == 3 and got["n"]["q50"] == 2.0 and got["n"]["q75"] == 3.0
     assert got["d"]["count"] == 2 and got["d"]["mean"] == 5.0
     assert (got["t"]["unique"], got["t"]["top"], got["t"]["freq"]) == (2, "u", 2)
+
+
+def test_ids_of_rows_apart_by_microseconds_do_not_depend_on_partitions(spark):
+    rows = spark.range(600).selectExpr("timestamp_micros(1600000000000000 + id) AS seen", "id % 2 AS side")
+    one, eight = (
+        {(r["us"], r["side"], r["n"]) for r in dense_ids(rows.repartition(p), "n").selectExpr("unix_micros(seen) us", "side", "n").collect()}
+        for p in (1, 8)
+    )
+    assert one == eight and sorted(n for *_, n in one) == list(range(1, 601))
+
+
+def test_quantiles_shuffle_counted_values_once(spark):
+    df = spark.range(500).selectExpr("id % 3 AS g", "CAST(id % 50 AS DOUBLE) AS v")
+    for policy in (SkewPolicy(), SkewPolicy(floor=8, parts=5)):
+        got = {r["g"]: r["median"] for r in medians(df, ["v"], ["g"], policy).collect()}
+        want = {g: statistics.median([i % 50 for i in range(500) if i % 3 == g]) for g in range(3)}
+        assert got == want
+    plan = medians(df, ["v"], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

@@ -201,3 +201,24 @@ def test_observed_until(spark):
     frame = readmission.training_frame(make_tables(spark))
     kept = readmission.observed_until(frame, "2020-02-05 00:00:00")
     assert {r["encounter_id"] for r in kept.collect()} == {"e1", "e5"}
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_rows_that_share_a_key_keep_their_own_answers(spark, policy):
+    rows = [("k", "hot", T0, T0 + DAY), ("k", "hot", T0 + 60 * DAY, T0 + 61 * DAY), ("k", "hot", T0 + 80 * DAY, None)]
+    rows += [("k", "hot", T0, T0 + DAY)] + [("n", None, T0, T0 + DAY)] * 2 + [(f"e{i}", "hot", T0, T0) for i in range(30)]
+    df = stays_frame(spark, rows)
+    got = temporal.exists_within(df, "patient_id", "encounter_id", "start_ts", "stop_ts", policy=policy).collect()
+    assert len(got) == len(rows)
+    shared = sorted((r["start_ts"], r["readmitted_30d"]) for r in got if r["encounter_id"] == "k")
+    assert shared == [(T0, 0), (T0, 0), (T0 + 60 * DAY, 1), (T0 + 80 * DAY, 0)]
+
+
+def test_next_after_is_exact_far_in_the_future(spark):
+    far = datetime(9999, 12, 31, 23, 59, 59, 1)
+    events = spark.createDataFrame([("a", far)], "p string, ts timestamp")
+    index = spark.createDataFrame([("a", T0)], "p string, at timestamp")
+    got = temporal.next_after(index, "p", micros(F.col("at")), events, micros(F.col("ts"))).select(
+        micros(F.col("next_ts")).alias("next")
+    )
+    assert got.first()["next"] == events.select(micros(F.col("ts")).alias("next")).first()["next"]
