@@ -45,16 +45,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The checkpoint folder of the session. Where the cluster names none, a local session gets a folder
-    of its own, and any other session has none."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder of the session: what `spark.checkpoint.dir` names, which a cluster must set. Only a
+    local session without one gets a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if root is None and context.master.startswith("local"):
             root = tempfile.mkdtemp(prefix="checkpoint-")
-        if root is not None:
-            context.setCheckpointDir(root)
+        if root is None:
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        context.setCheckpointDir(root)
     return context.getCheckpointDir()
 
 
@@ -62,9 +63,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written to the checkpoint folder and read back, for loops that run many jobs over it.
 
     Tasks of such loops then carry a short plan instead of everything that led to `df`, and a lost
-    executor costs a read, not a recomputation. Without a checkpoint folder `df` is kept in executors'
-    memory and disk.
+    executor costs a read, not a recomputation.
     """
-    if checkpoint_dir(df.sparkSession) is None:
-        return df.persist()
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
