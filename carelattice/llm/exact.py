@@ -4,8 +4,8 @@ Documents come in batches (ranges of doc_id, as they were taken in). Every batch
 snapshot with one filter per bucket of digests, built once and stored. A batch's distinct digests are screened by
 the filters of the snapshots before it: what no filter knows is new. Positives join the exact digests of those
 snapshots, which removes the filter's false alarms. Copies inside one batch are grouped before any of this, so a
-group of copies travels as one row per batch. Last, the texts of every group are compared byte by byte, by grouping on
-the text itself. Two texts are equal if they are identical after each run of `[\\x20\\x09-\\x0D]` became one space.
+group of copies travels as one row per batch. Last, texts of one digest are compared byte by byte, by grouping on
+the text itself; every text is shuffled once for this, merged per task before, the same at every size. Two texts are equal if they are identical after each run of `[\\x20\\x09-\\x0D]` became one space.
 
 Null texts are empty, and empty texts are copies of each other. A null doc_id counts as the smallest. Repeated rows are
 rows of one group. An empty table gives an empty result.
@@ -153,19 +153,19 @@ def exact_groups(docs: DataFrame, batches: int = 4) -> DataFrame:
     groups = across.unionByName(inside).groupBy("sha").agg(F.min("first").alias("first"), F.sum("n").alias("size"))
     groups = stored(groups.where("size > 1"), "groups")
 
-    # Byte check: grouping on the text shows whether one digest stands for several texts.
-    member = digests(docs).join(groups.select("sha"), "sha", "left_semi")
-    texts = member.groupBy("sha", "norm").agg(first, F.count("*").alias("size"))
-    clash = texts.groupBy("sha").agg(F.count("*").alias("texts")).where("texts > 1")
+    # Byte check: the texts of each digest, merged per task before they meet, so that a group of copies is one row a
+    # task. Only a digest that several texts share is left, and such a digest is always among the groups.
+    texts = digests(docs).select("sha", "norm").distinct()
+    clash = texts.groupBy("sha").agg(F.count("*").alias("texts")).where("texts > 1").select("sha")
     clash = stored(clash, "clashes")
     if clash.isEmpty():
         found = known.join(groups, "sha", "left")
     else:
         # Digests that several texts share: these rows are grouped by their texts instead.
-        split = texts.join(clash.select("sha"), "sha", "left_semi")
-        rows = digests(docs).join(clash.select("sha"), "sha", "left_semi")
+        rows = digests(docs).join(clash, "sha", "left_semi")
+        split = rows.groupBy("sha", "norm").agg(first, F.count("*").alias("size"))
         found = (
-            known.join(clash.select("sha"), "sha", "left_anti").join(groups, "sha", "left").drop("batch")
+            known.join(clash, "sha", "left_anti").join(groups, "sha", "left").drop("batch")
         ).unionByName(rows.join(split, ["sha", "norm"]).select("sha", "doc_id", "first", "size"))
     keep = F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
     return found.select(

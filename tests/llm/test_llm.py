@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from carelattice.llm import decontamination, exact, jaccard, katz, packing, quality, substrings, token_files, toxicity, warc
@@ -70,6 +71,20 @@ def test_exact_groups(docs, none):
     assert exact.exact_groups(none).count() == 0 and exact.keep_first(none).count() == 0
 
 
+def test_texts_that_share_a_digest_stay_apart(docs, monkeypatch):
+    groups = defaultdict(list)
+    for i, t, *_ in rows():
+        groups[SPACES.sub(b" ", (t or "").encode())].append(i)
+    want = Counter()
+    for ids in groups.values():
+        keep = min(ids, key=lambda i: (i is not None, i or 0))
+        want.update((i, keep, len(ids), i == keep) for i in ids)
+    whole = exact.digests
+    weak = F.concat(F.lpad((F.length("norm") % 2).cast("string"), 15, "0"), F.lit("0"))
+    monkeypatch.setattr(exact, "digests", lambda d: whole(d).withColumn("sha", weak))
+    assert got(exact.exact_groups(docs), "doc_id", "keep_id", "group_size", "kept") == want
+
+
 def test_fuse_filter():
     rng = np.random.default_rng(1)
     for n in (1, 2, 10, 1000, 30_000):
