@@ -3,8 +3,9 @@
 A text becomes a template: numbers, units after a number, and names (capitalised words inside a sentence) become typed
 placeholders, other words stay, in lower case and without signs around them. Windows of `window` template tokens of the
 benchmark, of which at least `literal` are words, are looked up in all documents. Windows on one diagonal
-(document place minus item place) make a match, and its slots must be consistent: one value of the item stands
-for one value of the document and the other way round. A match that covers at least `coverage` of an item's
+(document place minus item place) make a match, and its slots must be consistent, each kind for itself: one value of the
+item stands for one value of the document, and for names also the other way round. A diagonal is cut at slots that
+contradict others, and the best consistent stretch is the match. A match that covers at least `coverage` of an item's
 tokens, or `run` tokens, marks the document. An item shorter than a window is one window of its own length, if it has
 `literal` words; a shorter one is too general to be looked for.
 
@@ -18,6 +19,7 @@ and text) once. Null item_ids and doc_ids are allowed and reported. Empty tables
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +43,8 @@ SIGNS = ".,;:!?\"'()[]{}<>|*_`"
 ENDS = (".", "!", "?", ":")
 _NUM, _UNIT, _NAME = (np.uint64(xxhash.xxh3_64_intdigest(x)) & ~np.uint64(15) for x in (b"\0n", b"\0u", b"\0p"))
 _IS_NUM, _IS_UNIT, _IS_CAPITAL, _IS_END = (np.uint64(1 << i) for i in range(4))
+#: Kinds of placeholders.
+NUMERIC, MEASURE, NAME = 1, 2, 3
 REMEMBERED = 400_000
 
 MATCHES = "row long, doc_id long, item_id long, covered int, item_tokens int, slots int, changed_slots int"
@@ -71,7 +75,7 @@ _CODES = _Codes()
 
 
 def template(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of the template, and whether each is a placeholder."""
+    """Token hashes of the template, and the kind of each placeholder (0 for a word)."""
     code = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
     number = (code & _IS_NUM) > 0
     after_number = np.concatenate([[False], number[:-1]]) if len(words) else number
@@ -80,13 +84,51 @@ def template(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     name = ((code & _IS_CAPITAL) > 0) & inside & ~number & ~unit
     out = code & ~np.uint64(15)
     out = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, out)))
-    return out, number | unit | name
+    return out, np.where(number, NUMERIC, np.where(unit, MEASURE, np.where(name, NAME, 0)))
 
 
 def value(word: bytes) -> str:
     return word.decode("utf-8", "replace").strip(SIGNS).lower()
 
 
+def consistent(places: list[int], slots: list[tuple[int, int, str, str]]) -> list[list[int]]:
+    """`places` cut at the slots (place, kind, value, value in the document) that contradict others, in three ways: at slots
+    that differ from the most frequent (then first) mapping of their value; anew from every contradiction to the slots
+    since the last cut; and at all changed slots, as unchanged words never contradict each other."""
+
+    def clash(maps: dict, kind: int, mine: str, theirs: str) -> bool:
+        return maps.get((kind, mine), theirs) != theirs or kind == NAME and maps.get((-kind, theirs), mine) != mine
+
+    def put(maps: dict, kind: int, mine: str, theirs: str) -> None:
+        maps[kind, mine] = theirs
+        maps[-kind, theirs] = mine
+
+    main: dict = {}
+    for (kind, mine, theirs), _ in Counter(s[1:] for s in slots).most_common():
+        if not clash(main, kind, mine, theirs):
+            put(main, kind, mine, theirs)
+    rare = {p for p, *slot in slots if clash(main, *slot)}
+    if not rare:
+        return [places]
+    since: dict = {}
+    begins = set()
+    for p, *slot in slots:
+        if clash(since, *slot):
+            begins.add(p)
+            since = {}
+        put(since, *slot)
+    changed = {p for p, _, mine, theirs in slots if mine != theirs}
+    parts: list[list[int]] = []
+    for out, at in ((rare, rare), (set(), begins), (changed, changed)):
+        parts.append([])
+        for p in places:
+            if p in at:
+                parts.append([])
+            if p not in out:
+                parts[-1].append(p)
+    return [p for p in parts if p]
+
+
 class Benchmark:
     """The windows of a block of items, sorted by hash."""
 
@@ -102,7 +144,7 @@ class Benchmark:
             if len(words) < literal:
                 continue
             g = grams(tokens, size)
-            plain = np.convolve(~slot, np.ones(size, int), "valid") >= literal
+            plain = np.convolve(slot == 0, np.ones(size, int), "valid") >= literal
             own = np.flatnonzero(plain)
             found[size].append(np.stack([g[own], np.full(len(own), at, np.uint64), own.astype(np.uint64)]))
         self.index = {}
@@ -127,21 +169,19 @@ class Benchmark:
                     hits.setdefault((int(item), at - int(place)), set()).update(range(int(place), int(place) + size))
         best: dict[int, tuple[int, int, int, int, int]] = {}
         for (item, shift), covered in hits.items():
-            forth: dict[str, str] = {}
-            back: dict[str, str] = {}
-            slots = changed = 0
-            consistent = True
-            for p in covered:
-                if self.slots[item][p]:
-                    mine, theirs = value(self.words[item][p]), value(words[p + shift])
-                    consistent &= forth.setdefault(mine, theirs) == theirs and back.setdefault(theirs, mine) == mine
-                    slots += 1
-                    changed += mine != theirs
-            if consistent:
-                found = (item, len(covered), len(self.words[item]), slots, changed)
+            for part in self._stretches(item, shift, sorted(covered), words):
+                changed = [value(self.words[item][p]) != value(words[p + shift]) for p in part if self.slots[item][p]]
+                found = (item, len(part), len(self.words[item]), len(changed), sum(changed))
                 best[item] = max(best.get(item, found), found, key=lambda m: (m[1], -m[4]))
         return sorted(best.values())
 
+    def _stretches(self, item: int, shift: int, places: list[int], words: list[bytes]) -> list[list[int]]:
+        """Parts of a diagonal without contradiction."""
+        slots = [
+            (p, int(self.slots[item][p]), value(self.words[item][p]), value(words[p + shift])) for p in places if self.slots[item][p]
+        ]
+        return consistent(places, slots)
+
 
 def benchmark_matches(
     docs: DataFrame,

@@ -282,6 +282,19 @@ def test_template_matches(spark, docs, none):
     assert decontamination.benchmark_matches(none, items).count() == 0
 
 
+def test_a_contradicting_slot_cuts_the_match():
+    long = " ".join(f"plain{i} words{i} here{i} Anna Smith then{i}" if i in (1, 4, 8) else f"more{i} words{i} come{i}" for i in range(10))
+    index = decontamination.Benchmark([(1, long.encode())], 8, 5)
+    at = long.index("Anna", long.index("Anna") + 1)
+    for wrong in (long[:at] + "Anma" + long[at + 4 :], long.replace("Anna", "Anma", 1)):
+        assert max(m[1] for m in index.matches(wrong.encode().split())) >= 20
+    two = "so then the farmer sold 5 apples and 7 pears to a friend who came by"
+    index = decontamination.Benchmark([(1, two.encode())], 8, 5)
+    assert index.matches(two.replace("5", "4").replace("7", "4").encode().split()) == [(0, 16, 16, 2, 2)]
+    index = decontamination.Benchmark([(1, two.replace("7", "5").encode())], 8, 5)
+    assert index.matches(two.encode().split())[0][1] >= 8
+
+
 def test_fixity_audit(spark):
     schema = "page_id long, url string, html string, digest string, node long"
     first = [(i, f"http://x/{i}", "b" * (i % 50), "d", 1) for i in range(3000)] + [(7, None, None, None, None), (None, "u", "h", None, None)]
