@@ -6,8 +6,10 @@ benchmark, of which at least `literal` are words, are looked up in all documents
 (document place minus item place) make a match, and its slots must be consistent, each kind for itself: one value of the
 item stands for one value of the document, and for names also the other way round. A diagonal is cut at slots that
 contradict others, and the best consistent stretch is the match. A match that covers at least `coverage` of an item's
-tokens, or `run` tokens, marks the document. An item shorter than a window is one window of its own length, if it has
-`literal` words; a shorter one is too general to be looked for.
+words, or `run` words, marks the document. Beside the templates, windows of the plain words (in lower case, without signs
+around them, nothing replaced) are looked up whatever they hold, so that verbatim copies of lists, tables and titles are
+found in any letter case. An item shorter than a window is one window of its own length: verbatim however short it is, as a
+template if it has `literal` words. An item's first word is looked up as a word and, if it is capitalised, as a name.
 
 The benchmark is a query set: it is read in blocks of `block_items`, and each block's sorted window hashes go to all
 tasks. So what is sent at once is bounded however large the benchmark is; documents are never shuffled for the search.
@@ -21,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +61,7 @@ class _Codes(dict):
             self.clear()
         raw = word.decode("utf-8", "replace")
         core = raw.strip(SIGNS)
-        low = core.lower()
+        low = core.lower() or raw
         glued = GLUED.fullmatch(low)
         number = bool(NUMBER.fullmatch(core)) or bool(glued and glued[2] in UNITS)
         flags = (
@@ -74,21 +77,36 @@ class _Codes(dict):
 _CODES = _Codes()
 
 
-def template(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of the template, and the kind of each placeholder (0 for a word)."""
+@dataclass
+class Form:
+    """Tokens of a text: their hashes, first words, numbers of words and kinds of placeholder (0 for a word)."""
+
+    tokens: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+    kinds: np.ndarray
+
+
+def forms(words: list[bytes], firsts: np.ndarray, opening: bool = False) -> list[Form]:
+    """The template and the plain form (every word for itself, in lower case) of texts that begin at `firsts`.
+    With `opening`, a text's first word may be a name, as it is in a document after a word without end mark."""
     code = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
+    plain = code & ~np.uint64(15)
+    first = np.zeros(len(words), bool)
+    first[firsts] = True
     number = (code & _IS_NUM) > 0
-    after_number = np.concatenate([[False], number[:-1]]) if len(words) else number
-    inside = np.concatenate([[False], (code[:-1] & _IS_END) == 0]) if len(words) else number
-    unit = ((code & _IS_UNIT) > 0) & after_number
+    unit = ((code & _IS_UNIT) > 0) & np.roll(number, 1) & ~first & ~number
+    inside = np.where(first, opening, np.roll((code & _IS_END) == 0, 1))
     name = ((code & _IS_CAPITAL) > 0) & inside & ~number & ~unit
-    out = code & ~np.uint64(15)
-    out = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, out)))
-    return out, np.where(number, NUMERIC, np.where(unit, MEASURE, np.where(name, NAME, 0)))
+    out = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, plain)))
+    kinds = np.where(number, NUMERIC, np.where(unit, MEASURE, np.where(name, NAME, 0)))
+    every = np.arange(len(words))
+    one = np.ones(len(words), np.int64)
+    return [Form(out, every, one, kinds), Form(plain, every, one, np.zeros(len(words), np.int64))]
 
 
-def value(word: bytes) -> str:
-    return word.decode("utf-8", "replace").strip(SIGNS).lower()
+def value(words: list[bytes]) -> str:
+    return " ".join(w.decode("utf-8", "replace").strip(SIGNS).lower() for w in words)
 
 
 def consistent(places: list[int], slots: list[tuple[int, int, str, str]]) -> list[list[int]]:
@@ -129,58 +147,102 @@ def consistent(places: list[int], slots: list[tuple[int, int, str, str]]) -> lis
     return [p for p in parts if p]
 
 
+class Index:
+    """Windows of one size, sorted by hash, each with its item's form and place in it."""
+
+    def __init__(self, keys: np.ndarray, forms_: np.ndarray, places: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.forms, self.places = keys[order], forms_[order], places[order]
+        self.mask = np.uint64((1 << max(16, len(keys).bit_length() + 4)) - 1)
+        self.low = np.zeros(int(self.mask) + 1, bool)
+        self.low[keys & self.mask] = True
+
+    def hits(self, g: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(place in `g`, form, place in the form) of equal windows."""
+        maybe = np.flatnonzero(self.low[g & self.mask])
+        begin, end = (np.searchsorted(self.keys, g[maybe], side) for side in ("left", "right"))
+        some = begin < end
+        for at, i, j in zip(maybe[some].tolist(), begin[some].tolist(), end[some].tolist(), strict=True):
+            for f, place in zip(self.forms[i:j].tolist(), self.places[i:j].tolist(), strict=True):
+                yield at, f, place
+
+
 class Benchmark:
-    """The windows of a block of items, sorted by hash."""
+    """The windows of a block of items: of their templates, of which `literal` tokens are words, and of their plain forms."""
 
     def __init__(self, items: list[tuple[int | None, bytes]], window: int, literal: int):
         self.ids = [i for i, _ in items]
         self.words = [t.split() for _, t in items]
-        self.slots, self.sizes = [], sorted({min(window, len(w)) for w in self.words if len(w) >= literal})
-        found: dict[int, list[np.ndarray]] = {s: [] for s in self.sizes}
+        self.forms: list[tuple[int, Form]] = []
+        found: dict[tuple[int, int], list[tuple[np.ndarray, ...]]] = {}
         for at, words in enumerate(self.words):
-            tokens, slot = template(words)
-            self.slots.append(slot)
-            size = min(window, len(words))
-            if len(words) < literal:
+            if not words:
                 continue
-            g = grams(tokens, size)
-            plain = np.convolve(slot == 0, np.ones(size, int), "valid") >= literal
-            own = np.flatnonzero(plain)
-            found[size].append(np.stack([g[own], np.full(len(own), at, np.uint64), own.astype(np.uint64)]))
-        self.index = {}
-        for size, parts in found.items():
-            if all_ := [p for p in parts if p.shape[1]]:
-                table = np.concatenate(all_, axis=1)
-                table = table[:, np.argsort(table[0], kind="stable")]
-                self.index[size] = (*table, np.isin(np.arange(1 << 16), table[0] & np.uint64(0xFFFF)))
+            (usual, plain), (opened, _) = (forms(words, np.zeros(1, int), opening) for opening in (False, True))
+            for kind, form in ((0, usual), (1, plain), *([(0, opened)] if opened.kinds[0] != usual.kinds[0] else [])):
+                size = min(window, len(form.tokens))
+                g = grams(form.tokens, size)
+                own = np.arange(len(g))
+                if kind == 0:
+                    own = own[np.convolve(form.kinds == 0, np.ones(size, int), "valid") >= literal]
+                if form is opened:
+                    own = own[own < window]
+                found.setdefault((kind, size), []).append((g[own], np.full(len(own), len(self.forms)), own))
+                self.forms.append((at, form))
+        self.index = {
+            key: Index(*map(np.concatenate, zip(*parts, strict=True))) for key, parts in found.items() if any(len(p[0]) for p in parts)
+        }
 
     def matches(self, words: list[bytes]) -> list[tuple[int, int, int, int, int]]:
-        """(item, covered tokens, item tokens, slots, changed slots) of every consistent match; the best of an item."""
-        tokens, slot = template(words)
-        hits: dict[tuple[int, int], set[int]] = {}
-        for size, (keys, items, places, low) in self.index.items():
-            g = grams(tokens, size)
-            maybe = np.flatnonzero(low[g & np.uint64(0xFFFF)]) if len(g) else ()
-            if not len(maybe):
+        """(item, covered words, item words, slots, changed slots) of every consistent match; the best of an item."""
+        return self.matches_of([words])[0]
+
+    def matches_of(self, texts: list[list[bytes]]) -> list[list[tuple[int, int, int, int, int]]]:
+        """The matches of each text."""
+        out: list[list[tuple[int, int, int, int, int]]] = [[] for _ in texts]
+        full = [i for i, t in enumerate(texts) if t]
+        words = [w for i in full for w in texts[i]]
+        if not words:
+            return out
+        firsts = np.cumsum([0, *(len(texts[i]) for i in full[:-1])])
+        own = forms(words, firsts)
+        # Per text and item: diagonal -> place in the item -> (place in all words, words here, words there, kind).
+        hits: dict[tuple[int, int], dict[int, dict[int, tuple[int, int, int, int]]]] = {}
+        for (kind, size), index in self.index.items():
+            mine = own[kind]
+            if len(mine.tokens) < size:
                 continue
-            begin, end = (np.searchsorted(keys, g[maybe], side) for side in ("left", "right"))
-            for at, i, j in zip(maybe[begin < end].tolist(), begin[begin < end].tolist(), end[begin < end].tolist(), strict=True):
-                for item, place in zip(items[i:j].tolist(), places[i:j].tolist(), strict=True):
-                    hits.setdefault((int(item), at - int(place)), set()).update(range(int(place), int(place) + size))
-        best: dict[int, tuple[int, int, int, int, int]] = {}
-        for (item, shift), covered in hits.items():
-            for part in self._stretches(item, shift, sorted(covered), words):
-                changed = [value(self.words[item][p]) != value(words[p + shift]) for p in part if self.slots[item][p]]
-                found = (item, len(part), len(self.words[item]), len(changed), sum(changed))
-                best[item] = max(best.get(item, found), found, key=lambda m: (m[1], -m[4]))
-        return sorted(best.values())
-
-    def _stretches(self, item: int, shift: int, places: list[int], words: list[bytes]) -> list[list[int]]:
-        """Parts of a diagonal without contradiction."""
-        slots = [
-            (p, int(self.slots[item][p]), value(self.words[item][p]), value(words[p + shift])) for p in places if self.slots[item][p]
-        ]
-        return consistent(places, slots)
+            text = np.searchsorted(firsts, mine.starts, "right") - 1
+            for at, f, place in index.hits(grams(mine.tokens, size)):
+                if text[at] != text[at + size - 1]:
+                    continue
+                item, form = self.forms[f]
+                diagonals = hits.setdefault((int(text[at]), item), {})
+                for i, j in zip(range(at, at + size), range(place, place + size), strict=True):
+                    q, p = int(mine.starts[i]), int(form.starts[j])
+                    slot = int(form.kinds[j]) and int(mine.kinds[i])
+                    pairs = diagonals.setdefault(q - p, {})
+                    if slot or p not in pairs:
+                        pairs[p] = (q, int(form.lengths[j]), int(mine.lengths[i]), slot)
+        for (at, item), diagonals in sorted(hits.items()):
+            best = None
+            for pairs in diagonals.values():
+                found = self._best(item, pairs, words)
+                best = max(best or found, found, key=lambda m: (m[1], -m[4]))
+            out[full[at]].append(best)
+        return out
+
+    def _best(self, item: int, pairs: dict[int, tuple[int, int, int, int]], words: list[bytes]) -> tuple[int, int, int, int, int]:
+        """The best stretch without contradiction."""
+        mine = self.words[item]
+        values = {p: (value(mine[p : p + n]), value(words[q : q + m])) for p, (q, n, m, kind) in pairs.items() if kind}
+        best = (item, 0, len(mine), 0, 0)
+        for part in consistent(sorted(pairs), [(p, pairs[p][3], *values[p]) for p in sorted(values)]):
+            covered = {x for p in part for x in range(p, p + pairs[p][1])}
+            changed = [values[p][0] != values[p][1] for p in part if p in values]
+            found = (item, len(covered), len(mine), len(changed), sum(changed))
+            best = max(best, found, key=lambda m: (m[1], -m[4]))
+        return best
 
 
 def benchmark_matches(
@@ -207,6 +269,18 @@ def benchmark_matches(
     return found
 
 
+def _chunks(rows: Iterator[tuple], size: int = 16_000) -> Iterator[list[tuple]]:
+    """Rows with the words of their texts, in lists of about `size` words."""
+    some, n = [], 0
+    for row, doc_id, text in rows:
+        some.append((row, doc_id, text.split()))
+        n += len(some[-1][2])
+        if n >= size:
+            yield some
+            some, n = [], 0
+    yield some
+
+
 def _search(sent, coverage: float, run: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
@@ -214,10 +288,11 @@ def _search(sent, coverage: float, run: int):
         names = [x.split()[0] for x in MATCHES.split(", ")]
         for batch in batches:
             out = []
-            for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True):
-                for item, covered, *rest in items.matches(text.split()):
-                    if covered >= coverage * rest[0] or covered >= run:
-                        out.append((row, doc_id, items.ids[item], covered, *rest))
+            for rows in _chunks(zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True)):
+                for (row, doc_id, _), found in zip(rows, items.matches_of([r[2] for r in rows]), strict=True):
+                    for item, covered, *rest in found:
+                        if covered >= coverage * rest[0] or covered >= run:
+                            out.append((row, doc_id, items.ids[item], covered, *rest))
             columns = list(zip(*out, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 

@@ -295,6 +295,20 @@ def test_a_contradicting_slot_cuts_the_match():
     assert index.matches(two.encode().split())[0][1] >= 8
 
 
+def test_verbatim_copies_without_literal_words():
+    items = ["3 + 4 = 7 and 12 - 5 = 7", "Anna Bob Carl Dora Emil Fritz Gina Hans Ida", "The Old Man And The Sea Is A Book", "Why Paris", "== ## =="]
+    items.append("Which river runs through the town")
+    index = decontamination.Benchmark([(i, t.encode()) for i, t in enumerate(items)], 8, 5)
+    for i, item in enumerate(items):
+        n = len(item.split())
+        for text in (item, f"A heading\n{item} more", f"some {item.upper()}", item.lower()):
+            assert (i, n, n) in [m[:3] for m in index.matches(text.encode().split())]
+    assert index.matches(b"") == [] and index.matches_of([b"Why".split(), b"Paris".split()]) == [[], []]
+    # With one window only, a changed number after a heading.
+    index = decontamination.Benchmark([(1, b"Which river runs 7 miles through the town")], 8, 5)
+    assert index.matches(b"A heading Which river runs 9 miles through the town".split())[0][1:3] == (8, 8)
+
+
 def test_fixity_audit(spark):
     schema = "page_id long, url string, html string, digest string, node long"
     first = [(i, f"http://x/{i}", "b" * (i % 50), "d", 1) for i in range(3000)] + [(7, None, None, None, None), (None, "u", "h", None, None)]
