@@ -1,10 +1,11 @@
 """Benchmark decontamination by templates: questions are found again even with other numbers, names and units.
 
-A text becomes a template: numbers, units after a number, and names (capitalised words inside a sentence) become typed
-placeholders, other words stay, in lower case and without signs around them. Windows of `window` template tokens of the
+A text becomes a template: a number with the unit after it (or glued to it), and a run of names (capitalised words inside
+a sentence), become one typed placeholder each, other words stay, in lower case and without signs around them. Windows of `window` template tokens of the
 benchmark, of which at least `literal` are words, are looked up in all documents. Windows on one diagonal
-(document place minus item place) make a match, and its slots must be consistent, each kind for itself: one value of the
-item stands for one value of the document, and for names also the other way round. A diagonal is cut at slots that
+(document place minus item place), and those on diagonals at most `window` away, so that inserted, lost or split words
+divide nothing, make a match, and its slots must be consistent, each kind for itself: one value of the
+item stands for one value of the document, and for names also the other way round. It is cut at slots that
 contradict others, and the best consistent stretch is the match. A match that covers at least `coverage` of an item's
 words, or `run` words, marks the document. Beside the templates, windows of the plain words (in lower case, without signs
 around them, nothing replaced) are looked up whatever they hold, so that verbatim copies of lists, tables and titles are
@@ -21,6 +22,7 @@ and text) once. Null item_ids and doc_ids are allowed and reported. Empty tables
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,10 +46,10 @@ UNITS = frozenset(
 )
 SIGNS = ".,;:!?\"'()[]{}<>|*_`"
 ENDS = (".", "!", "?", ":")
-_NUM, _UNIT, _NAME = (np.uint64(xxhash.xxh3_64_intdigest(x)) & ~np.uint64(15) for x in (b"\0n", b"\0u", b"\0p"))
+_NUM, _NAME = (np.uint64(xxhash.xxh3_64_intdigest(x)) & ~np.uint64(15) for x in (b"\0n", b"\0p"))
 _IS_NUM, _IS_UNIT, _IS_CAPITAL, _IS_END = (np.uint64(1 << i) for i in range(4))
 #: Kinds of placeholders.
-NUMERIC, MEASURE, NAME = 1, 2, 3
+NUMERIC, NAME = 1, 2
 REMEMBERED = 400_000
 
 MATCHES = "row long, doc_id long, item_id long, covered int, item_tokens int, slots int, changed_slots int"
@@ -62,14 +64,13 @@ class _Codes(dict):
         raw = word.decode("utf-8", "replace")
         core = raw.strip(SIGNS)
         low = core.lower() or raw
-        glued = GLUED.fullmatch(low)
-        number = bool(NUMBER.fullmatch(core)) or bool(glued and glued[2] in UNITS)
-        flags = (
-            int(number)
-            | (low in UNITS) << 1
-            | (core[:1].isupper() and core[1:].islower()) << 2
-            | raw.rstrip("\"')]}").endswith(ENDS) << 3
-        )
+        number = end = False
+        if not core.isalpha():
+            glued = GLUED.fullmatch(low)
+            number = bool(NUMBER.fullmatch(core)) or bool(glued and glued[2] in UNITS)
+        if len(core) < len(raw):
+            end = raw.rstrip("\"')]}").endswith(ENDS)
+        flags = int(number) | (low in UNITS) << 1 | (core[:1].isupper() and core[1:].islower()) << 2 | end << 3
         found = self[word] = xxhash.xxh3_64_intdigest(low.encode()) & ~15 | flags
         return found
 
@@ -98,15 +99,23 @@ def forms(words: list[bytes], firsts: np.ndarray, opening: bool = False) -> list
     unit = ((code & _IS_UNIT) > 0) & np.roll(number, 1) & ~first & ~number
     inside = np.where(first, opening, np.roll((code & _IS_END) == 0, 1))
     name = ((code & _IS_CAPITAL) > 0) & inside & ~number & ~unit
-    out = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, plain)))
-    kinds = np.where(number, NUMERIC, np.where(unit, MEASURE, np.where(name, NAME, 0)))
+    out = np.where(number, _NUM, np.where(name, _NAME, plain))
+    kinds = np.where(number, NUMERIC, np.where(name, NAME, 0))
+    # A number with its unit, and a run of names, are one token.
     every = np.arange(len(words))
-    one = np.ones(len(words), np.int64)
-    return [Form(out, every, one, kinds), Form(plain, every, one, np.zeros(len(words), np.int64))]
+    starts = np.flatnonzero(first | ~(unit | name & np.roll(name, 1)))
+    lengths = np.diff(starts, append=len(words))
+    return [
+        Form(out[starts], starts, lengths, kinds[starts]),
+        Form(plain, every, np.ones(len(words), np.int64), np.zeros(len(words), np.int64)),
+    ]
 
 
 def value(words: list[bytes]) -> str:
-    return " ".join(w.decode("utf-8", "replace").strip(SIGNS).lower() for w in words)
+    """What a placeholder stands for, '12km' and '12 km' alike."""
+    said = " ".join(w.decode("utf-8", "replace").strip(SIGNS).lower() for w in words)
+    glued = GLUED.fullmatch(said)
+    return f"{glued[1]} {glued[2]}" if glued and glued[2] in UNITS else said
 
 
 def consistent(places: list[int], slots: list[tuple[int, int, str, str]]) -> list[list[int]]:
@@ -147,6 +156,21 @@ def consistent(places: list[int], slots: list[tuple[int, int, str, str]]) -> lis
     return [p for p in parts if p]
 
 
+def joined(diagonals: dict[int, dict[int, tuple]], reach: int) -> Iterator[dict[int, tuple]]:
+    """For each diagonal its places, and those that only diagonals at most `reach` away hold, the nearest first."""
+    order = sorted(diagonals)
+    i = 0
+    for shift in order:
+        while order[i] < shift - reach:
+            i += 1
+        near = order[i : bisect_right(order, shift + reach)]
+        pairs: dict[int, tuple] = {}
+        for d in sorted(near, key=lambda d: (abs(d - shift), d)):
+            for p, pair in diagonals[d].items():
+                pairs.setdefault(p, pair)
+        yield pairs
+
+
 class Index:
     """Windows of one size, sorted by hash, each with its item's form and place in it."""
 
@@ -171,6 +195,7 @@ class Benchmark:
     """The windows of a block of items: of their templates, of which `literal` tokens are words, and of their plain forms."""
 
     def __init__(self, items: list[tuple[int | None, bytes]], window: int, literal: int):
+        self.window = window
         self.ids = [i for i, _ in items]
         self.words = [t.split() for _, t in items]
         self.forms: list[tuple[int, Form]] = []
@@ -206,13 +231,14 @@ class Benchmark:
             return out
         firsts = np.cumsum([0, *(len(texts[i]) for i in full[:-1])])
         own = forms(words, firsts)
+        texts_of = [np.searchsorted(firsts, form.starts, "right") - 1 for form in own]
         # Per text and item: diagonal -> place in the item -> (place in all words, words here, words there, kind).
         hits: dict[tuple[int, int], dict[int, dict[int, tuple[int, int, int, int]]]] = {}
         for (kind, size), index in self.index.items():
             mine = own[kind]
             if len(mine.tokens) < size:
                 continue
-            text = np.searchsorted(firsts, mine.starts, "right") - 1
+            text = texts_of[kind]
             for at, f, place in index.hits(grams(mine.tokens, size)):
                 if text[at] != text[at + size - 1]:
                     continue
@@ -225,11 +251,8 @@ class Benchmark:
                     if slot or p not in pairs:
                         pairs[p] = (q, int(form.lengths[j]), int(mine.lengths[i]), slot)
         for (at, item), diagonals in sorted(hits.items()):
-            best = None
-            for pairs in diagonals.values():
-                found = self._best(item, pairs, words)
-                best = max(best or found, found, key=lambda m: (m[1], -m[4]))
-            out[full[at]].append(best)
+            found = (self._best(item, pairs, words) for pairs in joined(diagonals, self.window))
+            out[full[at]].append(max(found, key=lambda m: (m[1], -m[4])))
         return out
 
     def _best(self, item: int, pairs: dict[int, tuple[int, int, int, int]], words: list[bytes]) -> tuple[int, int, int, int, int]:

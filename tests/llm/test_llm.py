@@ -309,6 +309,18 @@ def test_verbatim_copies_without_literal_words():
     assert index.matches(b"A heading Which river runs 9 miles through the town".split())[0][1:3] == (8, 8)
 
 
+def test_changes_of_length_divide_no_match():
+    item = "a man walks from Paris to the old mill and back in 3 hours while his dog runs 12 km with no rest at all on the way"
+    index = decontamination.Benchmark([(1, item.encode())], 8, 5)
+    n = len(item.split())
+    told = item.replace("Paris", "New York").replace("12 km", "15km").replace("3 hours", "4h")
+    assert index.matches(told.encode().split())[0] == (0, n, n, 3, 3)
+    parts = [" ".join(f"{c}{i}" for i in range(10)) for c in "xyz"]
+    index = decontamination.Benchmark([(1, " ".join(parts).encode())], 8, 5)
+    for text in (" added ".join(parts), " ".join(p[: p.rindex(" ")] for p in parts)):
+        assert index.matches(text.encode().split())[0][1] >= 27
+
+
 def test_fixity_audit(spark):
     schema = "page_id long, url string, html string, digest string, node long"
     first = [(i, f"http://x/{i}", "b" * (i % 50), "d", 1) for i in range(3000)] + [(7, None, None, None, None), (None, "u", "h", None, None)]
