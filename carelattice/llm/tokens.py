@@ -2,8 +2,8 @@
 
 Both supported vocabularies split a text before merging, and no merge crosses a split; at certain white
 space the split is sure. So a text is cut there, each distinct piece is encoded once per worker, and the ids
-of a text are the joined ids of its pieces. Pieces outside Latin-1, and texts with unusual white space, go
-through the tokenizer's whole pipeline.
+of a text are the joined ids of its pieces. Pieces outside Latin-1, and texts with unusual white space or with an
+added token such as <|endoftext|> (one id, as the library does by default), go through the tokenizer's whole pipeline.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: The library finds these in a text before it normalises and splits it.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.words = self.tokenizer.normalizer is not None
         self.pattern = regex.compile(WORD_PATTERN if self.words else BYTE_PATTERN)
@@ -103,6 +104,8 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(map(text.__contains__, self.added)):
+            return self._whole(text)
         rare = RARE_SPACE.search(text) is not None
         if rare and ODD_SPACE.search(text):
             return self._whole(text)

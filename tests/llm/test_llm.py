@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from carelattice.llm import decontamination, exact, jaccard, katz, packing, quality, substrings, token_files, toxicity, warc
@@ -200,6 +201,18 @@ def test_encoder_equals_whole_tokenizer():
             assert encoder.encode(text) == encoder._whole(text)
 
 
+def test_encoder_equals_untouched_tokenizer():
+    rng = random.Random(5)
+    letters = [*"aAz's.  \n\t1²éΣς\x1c\xa0日|<>", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext"]
+    for name, ids in (("word_bpe_49k.json", [23435, 49407, 2411]), ("byte_bpe_50k.json", [21943, 220, 50256, 2318])):
+        encoder, untouched = Encoder(default_path(name)), Tokenizer.from_file(default_path(name))
+        told = ["foo <|endoftext|> bar", *("".join(rng.choices(letters, k=rng.randint(0, 20))) for _ in range(3000))]
+        for text in told:
+            want = untouched.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == want
+        assert untouched.encode(told[0], add_special_tokens=False).ids == ids
+
+
 def test_elias_fano():
     rng = np.random.default_rng(5)
     for n, bound in ((1, 1), (1, 10**6), (300, 300), (300, 10**6), (5000, 20_000)):
