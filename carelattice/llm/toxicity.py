@@ -1,12 +1,12 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier on its posteriors.
 
 Voters are lexicons and patterns that fire or do not fire on a text. The lexicons are words that are far more frequent
-in toxic than in other training texts, dealt round by rank, and a general list of insults; patterns are
+in toxic than in other training texts, counted over all of these, dealt round by rank, and a general list of insults; patterns are
 shouting, runs of exclamation marks, and an insult near "you". The label model explains how often every combination of
 voters fires over *all* documents by a hidden class with per-class firing rates; pairs of voters that are
 correlated within a class share one joint table. Training labels anchor the classes: their rows count as known. EM
 gives every combination a posterior. A linear classifier over distinct word forms and voters is then fitted to the
-posteriors on a bounded sample, half of it likely toxic, reweighted to the true shares.
+posteriors on a bounded sample, half of it labelled or else likely toxic, reweighted to the true shares.
 
 Empty and null texts fire nothing and get the classifier's base score. Without labels the general insults alone anchor
 the classes. An empty table gives an empty result. Repeated rows are scored each.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -221,18 +222,68 @@ def _telling_words(docs: DataFrame, tag: str, share: float, odds: float, both: b
     return sorted(found)
 
 
-def mine_lexicon(docs: DataFrame, labels: DataFrame, bound: int = 8000, share: float = 0.01) -> list[bytes]:
-    """Words that mark toxic texts in a bounded sample of labelled rows (doc_id, toxic), the strongest first."""
-    rows = labels.where("toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    sample = F.broadcast(hash_sample(rows, bound))
-    return [w for _, w in _telling_words(documents(docs).join(sample, "doc_id"), "toxic", share, 30.0, False)]
+def _one_label(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic, once per labelled document."""
+    return labels.where("toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+
+
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """(word, c1, c0): in how many toxic and other texts of `docs` (text, toxic) a word form occurs, added up per task first."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, tuple[bytes, ...]] = {}
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def sums() -> pa.RecordBatch:
+            words = list({**counts[0], **counts[1]})
+            columns = [pa.array(words, pa.binary()), *(pa.array([c[w] for w in words], pa.int64()) for c in (counts[1], counts[0]))]
+            for c in counts:
+                c.clear()
+            return pa.RecordBatch.from_arrays(columns, ["word", "c1", "c0"])
+
+        for batch in batches:
+            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                own: set[bytes] = set()
+                for w in set(text.split()):
+                    if w not in known:
+                        known[w] = tuple(forms(w))
+                    own.update(known[w])
+                counts[toxic].update(own - {b""})
+                if len(counts[0]) + len(counts[1]) > REMEMBERED:
+                    yield sums()
+                if len(known) > REMEMBERED:
+                    known.clear()
+        yield sums()
+
+    rows = docs.select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("binary").alias("text"))
+    parts = rows.mapInArrow(emit, "word binary, c1 long, c0 long")
+    return parts.groupBy("word").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
+
+
+def mine_lexicon(docs: DataFrame, labels: DataFrame, support: int = 3, odds: float = 30.0, surprise: float = 30.0) -> list[bytes]:
+    """Words that mark toxic texts, counted over all labelled rows (doc_id, toxic), the strongest first: in at least
+    `support` toxic texts, with odds `odds` times those of other texts, and not by chance (likelihood ratio of the texts that
+    hold the word, `surprise`, so that the rarer toxic texts are, the fewer of them tell). Only such words go to the driver."""
+    rows = documents(docs).join(_one_label(labels), "doc_id")
+    totals = dict(rows.select("doc_id", F.col("toxic").cast("int")).groupBy("toxic").count().collect())
+    n1, n0 = totals.get(1, 0), totals.get(0, 0)
+    if not n1 or not n0:
+        return []
+    c1, c0 = F.col("c1"), F.col("c0")
+    logit = lambda c, n: F.log((c + 0.5) / (n + 0.5 - c))
+    part = lambda c, n: F.when(c > 0, c * F.log(c * (n1 + n0) / ((c1 + c0) * n))).otherwise(0.0)
+    ratio = 2 * (part(c1, n1) + part(c0, n0))
+    counts = _word_counts(rows).where(c1 >= support)
+    found = counts.select("word", (logit(c1, n1) - logit(c0, n0)).alias("gap"), ratio.alias("ratio"))
+    found = found.where((F.col("gap") >= math.log(odds)) & (F.col("ratio") >= surprise)).select("word", "gap").collect()
+    return [w for _, w in sorted((-gap, bytes(w)) for w, gap in found)]
 
 
 def learn(docs: DataFrame, labels: DataFrame, bound: int = 8000) -> tuple[Classifier, LabelModel]:
-    """Lexicons, label model and classifier; fits look at `bound` labelled rows and `bound` documents at most, the
-    label model's counts at all documents."""
+    """Lexicons, label model and classifier; lexicons come from all labelled rows, the label model's counts from all
+    documents, and only the linear fit looks at `bound` documents at most, half of them labelled or else likely toxic."""
     prepare(docs.sparkSession)
-    masks = voter_masks(mine_lexicon(docs, labels, bound))
+    masks = voter_masks(mine_lexicon(docs, labels))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _Memory(masks)
@@ -243,7 +294,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 8000) -> tuple[Classi
     texts = documents(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
     voted = stored(texts.mapInArrow(vote, "doc_id long, votes int"), "votes")
     counts = dict(voted.groupBy("votes").count().collect())  # at most one row per combination of voters
-    own = labels.where("toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    own = _one_label(labels)
     known = {(v, y): n for v, y, n in voted.join(own, "doc_id").groupBy("votes", "toxic").count().collect()}
     if not counts:
         return Classifier(masks, {}, np.zeros(0), np.zeros(len(VOTERS)), 0.0), LabelModel(0.5, [], [])
@@ -252,10 +303,13 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 8000) -> tuple[Classi
     patterns = np.array(sorted(counts), np.int64)
     posterior = model.posterior(patterns)
     likely = [int(p) for p, q in zip(patterns, posterior, strict=True) if q >= 0.5]
-    sides = [(1, voted.where(F.col("votes").isin(likely))), (0, voted.where(~F.col("votes").isin(likely)))]
-    sizes = [sum(counts[p] for p in counts if (p in set(likely)) == bool(y)) for y, _ in sides]
+    side = F.coalesce("toxic", F.col("votes").isin(likely).cast("int")).cast("int")
+    sided = voted.join(own, "doc_id", "left").select("doc_id", "votes", side.alias("side"))
+    sizes_of = dict(sided.groupBy("side").count().collect())
+    sides = [(y, sided.where(F.col("side") == y)) for y in (1, 0)]
+    sizes = [sizes_of.get(y, 0) for y, _ in sides]
     chosen = [
-        hash_sample(rows, bound // 2, size).select("doc_id", "votes", F.lit(y).alias("side"))
+        hash_sample(rows, bound // 2, size).select("doc_id", "votes", "side")
         for (y, rows), size in zip(sides, sizes, strict=True)
     ]
     ids = F.broadcast(chosen[0].unionByName(chosen[1]).dropDuplicates(["doc_id"]))

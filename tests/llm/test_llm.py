@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from carelattice.llm import decontamination, exact, jaccard, katz, packing, quality, substrings, token_files, toxicity, warc
+from carelattice.llm.common import documents
 from carelattice.llm.features import STATS
 from carelattice.llm.tokens import Encoder, default_path
 
@@ -391,6 +392,18 @@ def test_toxicity_and_quality(spark, none):
     assert fitted.edges.shape[0] == len(STATS)
 
 
+def test_lexicons_count_all_labelled_rows(spark):
+    # 20,000 labelled rows, 0.5 % toxic, marked by ten words of which each is in one toxic text of ten.
+    made = [(i, f"the river n{i % 49} walks " + (f"vilemark{chr(97 + i // 200 % 10)}" if i % 200 == 0 else "by light")) for i in range(20_000)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 200 == 0)) for i, _ in made], "doc_id long, toxic int")
+    lexicon = toxicity.mine_lexicon(docs, labels)
+    assert {f"vilemark{c}".encode() for c in "abcdefghij"} <= set(lexicon)
+    assert all(w.startswith(b"vilem"[: len(w.rstrip(b"*"))]) for w in lexicon)
+    rows = documents(docs).join(labels, "doc_id")
+    assert {r[0]: tuple(r[1:]) for r in toxicity._word_counts(rows).collect()}[b"river"] == (100, 19_900)
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     docs, labels = labelled(spark)
     made = [(i, t, "en", "s", 1) for i, t, _ in docs.where("doc_id is not null").dropDuplicates(["doc_id"]).collect()]
