@@ -260,7 +260,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
 
 
-def mine_lexicon(docs: DataFrame, labels: DataFrame, support: int = 3, odds: float = 30.0, surprise: float = 30.0) -> list[bytes]:
+def mine_lexicon(docs: DataFrame, labels: DataFrame, support: int = 3, odds: float = 30.0, surprise: float = 15.0) -> list[bytes]:
     """Words that mark toxic texts, counted over all labelled rows (doc_id, toxic), the strongest first: in at least
     `support` toxic texts, with odds `odds` times those of other texts, and not by chance (likelihood ratio of the texts that
     hold the word, `surprise`, so that the rarer toxic texts are, the fewer of them tell). Only such words go to the driver."""
