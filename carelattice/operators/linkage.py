@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,29 @@ from ..functions.text import (
     strip_digits,
     zip3,
 )
-from ..schemas import MATCH_THRESHOLD, PERSON_COLUMNS
-from .skew import DEFAULT_POLICY, SkewPolicy, heavy_keys, key_frame, same_key
+from ..schemas import MATCH_THRESHOLD
+from ..session import cut_lineage
+from .running import prefix_sums
+from .skew import DEFAULT_POLICY, SkewPolicy, same_key
 
 A_ID, B_ID = "patient_id", "system_b_id"
 
-Feature = Callable[[Column, Column], Column]
+
+class Side:
+    """One record of a pair: `side["first"]` is its column under a name that clashes with nothing. Remembers what was read."""
+
+    def __init__(self, mark: str):
+        self.mark = mark
+        self.read: list[str] = []
+
+    def __getitem__(self, column: str) -> Column:
+        if column not in self.read:
+            self.read.append(column)
+        return F.col(f"{self.mark}{column}")
+
+
+#: Both take a `Side`, or a struct column with the record's fields.
+Feature = Callable[[Side, Side], Column]
 BlockKey = Callable[[Callable[[str], Column]], Column]
 
 
@@ -96,7 +114,7 @@ def name_similarity(column: str, lower: bool = True, missing: str | None = "nan"
     """Jaro-Winkler similarity of one column. Missing enters as the text `missing`, so that two
     missing values count as equal; with `missing=None` a missing value gives 0.0 instead."""
 
-    def build(a: Column, b: Column) -> Column:
+    def build(a: Side, b: Side) -> Column:
         sides = [x[column] if missing is None else missing_as_text(x[column], missing) for x in (a, b)]
         if lower:
             sides = [F.lower(s) for s in sides]
@@ -105,7 +123,7 @@ def name_similarity(column: str, lower: bool = True, missing: str | None = "nan"
     return build
 
 
-def _both_ssn(a: Column, b: Column) -> Column:
+def _both_ssn(a: Side, b: Side) -> Column:
     return blank_to_null(a["ssn"]).isNotNull() & blank_to_null(b["ssn"]).isNotNull()
 
 
@@ -120,21 +138,30 @@ DEFAULT_FEATURES: dict[str, Feature] = {
 }
 
 
+def block_columns(block: Mapping[str, BlockKey]) -> list[str]:
+    """Names of the block keys inside this module; those given by the caller may clash with the records' columns."""
+    return [f"__block_{i}" for i in range(len(block))]
+
+
 def with_block(df: DataFrame, block: Mapping[str, BlockKey] = DEFAULT_BLOCK) -> DataFrame:
-    return df.select("*", *[key(F.col).alias(name) for name, key in block.items()])
+    return df.select("*", *[key(F.col).alias(n) for n, key in zip(block_columns(block), block.values(), strict=True)])
 
 
-def block_stats(a: DataFrame, b: DataFrame, block: Mapping[str, BlockKey] = DEFAULT_BLOCK) -> DataFrame:
-    """Per block present on both sides: rows of A, rows of B, pairs, and whether a key is missing."""
-    keys = list(block)
+def _block_sizes(a: DataFrame, b: DataFrame, block: Mapping[str, BlockKey]) -> DataFrame:
+    keys = block_columns(block)
     n_a = with_block(a, block).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_a"))
     n_b = with_block(b, block).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_b"))
+    return n_a.join(n_b, keys).select(*keys, "n_a", "n_b", (F.col("n_a") * F.col("n_b")).alias("pairs"))
+
+
+def block_stats(a: DataFrame, b: DataFrame, block: Mapping[str, BlockKey] = DEFAULT_BLOCK) -> DataFrame:
+    """Per block present on both sides: rows of A, rows of B, pairs, and whether a key is missing."""
+    keys = block_columns(block)
     missing = F.lit(False)
     for k in keys:
         missing = missing | (F.col(k) == "")
-    return n_a.join(n_b, keys).select(
-        *keys, "n_a", "n_b", (F.col("n_a") * F.col("n_b")).alias("pairs"), missing.alias("has_missing_key")
-    )
+    named = [F.col(k).alias(n) for k, n in zip(keys, block, strict=True)]
+    return _block_sizes(a, b, block).select(*named, "n_a", "n_b", "pairs", missing.alias("has_missing_key"))
 
 
 def blocking_coverage(
@@ -144,8 +171,8 @@ def blocking_coverage(
 
     Counted from block sizes and from the true pairs alone; no pair is formed.
     """
-    keys = list(block)
-    totals = block_stats(a, b, block).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("candidate_pairs"))
+    keys = block_columns(block)
+    totals = _block_sizes(a, b, block).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("candidate_pairs"))
     left = with_block(b, block).select(B_ID, *keys).join(truth, B_ID)
     right = with_block(a, block).select(F.col(A_ID).alias("true_patient_id"), *keys)
     found = left.join(right, ["true_patient_id", *keys]).agg(F.count(F.lit(1)).alias("true_pairs_in_block"))
@@ -172,22 +199,64 @@ def candidate_pairs(
 ) -> DataFrame:
     """Every pair within a block: ids, `is_match` if truth is given, and one column per feature.
 
-    A block with a large share of all pairs is laid out as a grid: each row of A goes to one grid row
-    and each row of B to one grid column, repeated along the other side, so every pair still meets
-    exactly once, in one of many tasks. Finding such blocks takes one job over the block keys.
+    Features and block keys may read any column of the lists. Tasks are cut by the number of pairs, see `tiles`.
+    """
+    return _paired(a, b, truth, features, block, tiles(a, b, block, policy))
+
+
+#: Pairs that are worth a task of their own.
+PAIRS_PER_TASK = 2_000
+
+
+@dataclass(frozen=True)
+class Tiles:
+    """Where the pairs of every block are formed. `table` has one row per block: its keys, its grid (`__rows` of A against
+    `__columns` of B), its first tile and the number of tiles it takes."""
+
+    tasks: int
+    table: DataFrame
+
+
+def tiles(a: DataFrame, b: DataFrame, block: Mapping[str, BlockKey], policy: SkewPolicy = DEFAULT_POLICY) -> Tiles:
+    """Cut all pairs of all blocks into tasks of equal numbers of pairs.
+
+    The blocks' pair counts are laid end to end by a prefix sum and the line is cut at equal steps. A block shorter than
+    a step goes to the tile it begins in, so a tile holds less than two steps of such blocks. A longer one becomes a grid of
+    about as many cells as it has steps, each the size of a step: every row of A goes to one grid row, every row of B to
+    one grid column, repeated along the other side, so each pair meets exactly once. Only block sizes are looked at
+    for it: two aggregations of the key columns, and `policy.parts` sums that reach the driver.
     """
-    return _paired(a, b, truth, features, block, _heavy_blocks(a, b, block, policy))
+    keys = block_columns(block)
+    sizes = cut_lineage(_block_sizes(a, b, block))
+    laid, total = prefix_sums(sizes, keys, F.col("pairs"), "__start", policy.shares(a.sparkSession))
+    tasks = max(1, min(policy.shares(a.sparkSession), math.ceil(total / PAIRS_PER_TASK)))
+    step = max(1.0, total / tasks)
+    cells = F.greatest(F.lit(1), F.ceil(F.col("pairs") / step))
+    rows = F.least(cells, F.col("n_a"), F.greatest(F.lit(1), F.round(F.sqrt(cells * F.col("n_a") / F.col("n_b")))))
+    table = (
+        laid.withColumn("__cells", cells.cast("int"))
+        .withColumn("__rows", rows.cast("int"))
+        .withColumn("__columns", F.ceil(F.col("__cells") / F.col("__rows")).cast("int"))
+        .withColumn("__first", F.least(F.floor(F.col("__start") / step), F.lit(tasks - 1)).cast("int"))
+    )
+    return Tiles(tasks, table.select(*keys, "__cells", "__rows", "__columns", "__first"))
+
+
+def _read(features: Mapping[str, Feature], block: Mapping[str, BlockKey]) -> tuple[dict[str, Column], list[str], list[str]]:
+    """The feature columns over two sides, and the columns of A and of B that features and block keys read."""
+    sides = Side("__a_"), Side("__b_")
+    built = {name: f(*sides) for name, f in features.items()}
+    seen: list[str] = []
+    for key in block.values():
+        key(lambda c: seen.append(c) or F.col(c))
+    of_a, of_b = (list(dict.fromkeys([*side.read, *seen])) for side in sides)
+    return built, of_a, of_b
 
 
-def _heavy_blocks(a: DataFrame, b: DataFrame, block: Mapping[str, BlockKey], policy: SkewPolicy) -> list[tuple]:
-    """(key..., grid rows, grid columns) of blocks with more than one share of the pairs."""
-    stats = block_stats(a, b, block)
-    grids = []
-    for h in heavy_keys(stats, list(block), policy, F.col("pairs"), extra=["n_a", "n_b"]):
-        n_a, n_b = h.extra
-        rows = min(h.splits, max(1, round(math.sqrt(h.splits * n_a / n_b))))
-        grids.append((*h.key, rows, math.ceil(h.splits / rows)))
-    return grids
+def _side(df: DataFrame, mark: str, id_: str, read: Sequence[str], block: Mapping[str, BlockKey], carried: Sequence[str] = ()) -> DataFrame:
+    """Block keys, id, the columns read under marked names, and further columns as they are."""
+    columns = [F.col(c).alias(f"{mark}{c}") for c in read]
+    return with_block(df, block).select(*block_columns(block), F.col(id_), *columns, *carried)
 
 
 def _paired(
@@ -196,46 +265,35 @@ def _paired(
     truth: DataFrame | None,
     features: Mapping[str, Feature],
     block: Mapping[str, BlockKey],
-    grids: Sequence[tuple],
+    cut: Tiles,
     carried_a: Sequence[str] = (),
     carried_b: Sequence[str] = (),
 ) -> DataFrame:
-    keys = list(block)
-    left = with_block(a, block).select(*keys, F.col(A_ID), F.struct(*PERSON_COLUMNS).alias("__a"), *carried_a)
-    right = with_block(b, block).select(*keys, F.col(B_ID), F.struct(*PERSON_COLUMNS).alias("__b"), *carried_b)
+    built, of_a, of_b = _read(features, block)
+    left, right = _side(a, "__a_", A_ID, of_a, block, carried_a), _side(b, "__b_", B_ID, of_b, block, carried_b)
     if truth is not None:
         right = right.join(truth.select(B_ID, "true_patient_id"), B_ID, "left")
-    on = list(keys)
-    if grids:
-        table = key_frame(left, keys, grids, "__rows int, __columns int")
-        left = _spread(left, table, keys, A_ID, own="__rows", other="__columns", by_row=True)
-        right = _spread(right, table, keys, B_ID, own="__columns", other="__rows", by_row=False)
-        on.append("__cell")
-    pairs = left.join(right, on)
+    left, right = _spread(left, cut, block, A_ID, by_row=True), _spread(right, cut, block, B_ID, by_row=False)
+    pairs = left.join(right, ["__tile", "__cell", *block_columns(block)])
     label = []
     if truth is not None:
         label = [F.coalesce(F.col("true_patient_id") == F.col(A_ID), F.lit(False)).cast("int").alias("is_match")]
-    return pairs.select(
-        B_ID,
-        A_ID,
-        *label,
-        *[f(F.col("__a"), F.col("__b")).alias(name) for name, f in features.items()],
-        *carried_a,
-        *carried_b,
-    )
+    return pairs.select(B_ID, A_ID, *label, *[f.alias(name) for name, f in built.items()], *carried_a, *carried_b)
 
 
-def _spread(
-    side: DataFrame, table: DataFrame, keys: Sequence[str], key: str, own: str, other: str, by_row: bool
-) -> DataFrame:
-    """Add the grid cells a record takes part in; the grid table is bounded by the number of shares."""
-    joined = side.join(F.broadcast(table), list(keys), "left")
-    mine = F.pmod(F.xxhash64(key), F.coalesce(F.col(own), F.lit(1))).cast("int")
-    repeated = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)).alias("__other")
-    cell = (mine * F.coalesce(F.col(other), F.lit(1)) + F.col("__other")) if by_row else (
-        F.col("__other") * F.coalesce(F.col(own), F.lit(1)) + mine
-    )
-    return joined.select("*", repeated).withColumn("__cell", cell).drop("__rows", "__columns", "__other")
+def _spread(side: DataFrame, cut: Tiles, block: Mapping[str, BlockKey], key: str, by_row: bool) -> DataFrame:
+    """Send every record to the tiles it takes part in; records of blocks without a partner stay behind."""
+    own, other = ("__rows", "__columns") if by_row else ("__columns", "__rows")
+    joined = side.join(cut.table, block_columns(block))
+    mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
+    repeated = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("__other")
+    row, column = (mine, F.col("__other")) if by_row else (F.col("__other"), mine)
+    celled = joined.select("*", repeated).withColumn("__cell", row * F.col("__columns") + column)
+    # A grid has at most a few cells more than the block has steps: they share tiles.
+    inside = F.floor(F.col("__cell") * F.col("__cells") / (F.col("__rows") * F.col("__columns")))
+    tile = F.least(F.col("__first") + inside, F.lit(cut.tasks - 1)).cast("int").alias("__tile")
+    kept = [c for c in side.columns]
+    return celled.select(tile, "__cell", *kept).repartitionById(cut.tasks, F.col("__tile"))
 
 
 def weighted_pairs(
@@ -250,44 +308,31 @@ def weighted_pairs(
     """The candidate pairs as a frequency table: features, `is_match`, `side`, n.
 
     Says the same as grouping `candidate_pairs` by these columns, for anything that treats equal pairs
-    alike, such as fitting a classifier. `side` is a column of `b`, the split. Records with equal
-    contents are compared once and stand for the product of their numbers, so a group of copies on both
-    sides costs one comparison instead of all its pairs. True pairs are counted from the truth.
-    """
-    few_a = a.groupBy(*PERSON_COLUMNS).agg(F.min(A_ID).alias(A_ID), F.count(F.lit(1)).alias("__n_a"))
-    few_b = b.groupBy(*PERSON_COLUMNS, side).agg(F.min(B_ID).alias(B_ID), F.count(F.lit(1)).alias("__n_b"))
-    grids = _heavy_blocks(few_a, few_b, block, policy)
-    compared = _paired(few_a, few_b, None, features, block, grids, ["__n_a"], [side, "__n_b"])
-    true_pairs = _true_content_pairs(a, b, truth, few_a, few_b, side)
-    n, hits = F.col("__n_a") * F.col("__n_b"), F.coalesce(F.col("__hits"), F.lit(0))
-    split = F.explode(
-        F.array(
-            F.struct(F.lit(1).alias("is_match"), hits.alias("n")),
-            F.struct(F.lit(0).alias("is_match"), (n - hits).alias("n")),
-        )
-    )
-    told = compared.join(true_pairs, [A_ID, B_ID], "left").select(*features, side, split.alias("__s"))
-    rows = told.select(*features, side, "__s.*").where(F.col("n") > 0)
-    return rows.groupBy(*features, "is_match", side).agg(F.sum("n").alias("n"))
-
+    alike, such as fitting a classifier. `side` is a column of `b`, the split. Records that are equal in all columns
+    read are compared once and stand for the product of their numbers, so a group of copies on both sides costs one
+    comparison instead of all its pairs.
 
-def _true_content_pairs(
-    a: DataFrame, b: DataFrame, truth: DataFrame, few_a: DataFrame, few_b: DataFrame, side: str
-) -> DataFrame:
-    """Per pair of contents (named by their lowest ids): how many true pairs it holds."""
-    suffixed = lambda df, mark, extra=(): df.select(
-        *[F.col(c).alias(f"{c}{mark}") for c in PERSON_COLUMNS], *extra
+    Counting is signed, so no pair is looked up: every pair counts as no match where it is formed, and each true pair,
+    formed from the truth alone, counts once as a match and minus once as none. Pairs leave their task added up.
+    """
+    built, of_a, of_b = _read(features, block)
+    few_a = a.groupBy(*of_a).agg(F.min(A_ID).alias(A_ID), F.count(F.lit(1)).alias("__n_a"))
+    few_b = b.groupBy(*dict.fromkeys([*of_b, side])).agg(F.min(B_ID).alias(B_ID), F.count(F.lit(1)).alias("__n_b"))
+    cut = tiles(few_a, few_b, block, policy)
+    split = F.col(side).alias("__side")
+    compared = _paired(few_a, few_b.withColumn("__side", split), None, features, block, cut, ["__n_a"], ["__side", "__n_b"])
+    formed = compared.select(*built, "__side", F.lit(0).alias("is_match"), (F.col("__n_a") * F.col("__n_b")).alias("n"))
+
+    left = _side(a, "__a_", A_ID, of_a, block).withColumnRenamed(A_ID, "true_patient_id")
+    right = _side(b.withColumn("__side", split), "__b_", B_ID, of_b, block, ["__side"])
+    true = truth.select(B_ID, "true_patient_id").join(right, B_ID).join(left, ["true_patient_id", *block_columns(block)])
+    signs = F.explode(
+        F.array(*[F.struct(F.lit(m).alias("is_match"), F.lit(n).cast("long").alias("n")) for m, n in ((1, 1), (0, -1))])
     )
-    left = suffixed(a, "_a", [F.col(A_ID).alias("true_patient_id")])
-    right = suffixed(b, "_b", [B_ID, side])
-    contents = truth.join(left, "true_patient_id").join(right, B_ID)
-    keys_a, keys_b = [f"{c}_a" for c in PERSON_COLUMNS], [f"{c}_b" for c in PERSON_COLUMNS]
-    counted = contents.groupBy(*keys_a, *keys_b, side).agg(F.count(F.lit(1)).alias("__hits"))
-    names_a = suffixed(few_a, "_a", [A_ID])
-    names_b = suffixed(few_b, "_b", [B_ID, side])
-    named = counted.join(names_a, same_key(counted, names_a, keys_a)).select(counted["*"], A_ID)
-    named = named.join(names_b, same_key(named, names_b, [*keys_b, side]))
-    return named.select(A_ID, B_ID, "__hits")
+    matched = true.select(*[f.alias(name) for name, f in built.items()], "__side").select("*", signs.alias("__s"))
+    counted = formed.unionByName(matched.select(*built, "__side", "__s.*"))
+    summed = counted.groupBy(*built, "is_match", "__side").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+    return summed.withColumnRenamed("__side", side).select(*built, "is_match", side, "n")
 
 
 # -- scoring -----------------------------------------------------------------------------------
@@ -321,15 +366,15 @@ def best_matches(
 ) -> DataFrame:
     """Best match of every B record under `score`, a function of the feature columns.
 
-    Records that are equal in all columns but their id are first reduced to one, whatever their number:
-    equal records of A have equal scores, so the lowest id stands for all, and equal records of B have
-    the same best match. A large group of copies is then compared once, and blocks and features may read any column.
+    Records that are equal in all columns read are first reduced to one, whatever their number: equal records
+    of A have equal scores, so the lowest id stands for all, and equal records of B have the same best match. A large
+    group of copies is then compared once. Blocks and features may read any column.
     """
-    of_a, of_b = ([c for c in df.columns if c != id_] for df, id_ in ((a, A_ID), (b, B_ID)))
+    _, of_a, of_b = _read(features, block)
     few_a = a.groupBy(*of_a).agg(F.min(A_ID).alias(A_ID))
     few_b = b.groupBy(*of_b).agg(F.min(B_ID).alias(B_ID))
-    grids = _heavy_blocks(few_a, few_b, block, policy)
-    best = best_per_record(_paired(few_a, few_b, None, features, block, grids).withColumn("score", score), threshold)
+    cut = tiles(few_a, few_b, block, policy)
+    best = best_per_record(_paired(few_a, few_b, None, features, block, cut).withColumn("score", score), threshold)
     # Back to all records: one row per distinct content on the right.
     told = few_b.join(best, B_ID).drop(B_ID)
     return b.join(told, same_key(b, told, of_b)).select(b[B_ID], "matched_patient_id", "score")

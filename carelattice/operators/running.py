@@ -167,6 +167,28 @@ def quantiles(
     )
 
 
+def prefix_sums(df: DataFrame, keys: Sequence[str], value: Column, name: str, parts: int) -> tuple[DataFrame, float]:
+    """(`df` with the sum of `value` over all rows before it, the sum over all rows), in some fixed order of the unique
+    `keys`.
+
+    Two levels: rows are dealt to `parts` buckets by a hash of the keys; the buckets' sums come to the driver and become
+    offsets, and a window adds up inside each bucket. `df` is read twice, so it should be checkpointed.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+    rows = df.withColumn("__bucket", bucket).withColumn("__value", value)
+    sums = {r["__bucket"]: r["__sum"] for r in rows.groupBy("__bucket").agg(F.sum("__value").alias("__sum")).collect()}
+    offsets, total = [], 0
+    for b in sorted(sums):
+        offsets.append((b, total))
+        total += sums[b] or 0
+    kind = "double" if isinstance(total, float) else "long"
+    table = F.broadcast(df.sparkSession.createDataFrame(offsets, f"__bucket int, __offset {kind}"))
+    w = Window.partitionBy("__bucket").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__value").over(w), F.lit(0))
+    inner = rows.withColumn("__before", before).join(table, "__bucket")
+    return inner.select(*df.columns, (F.col("__before") + F.col("__offset")).alias(name)), total
+
+
 def medians(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:

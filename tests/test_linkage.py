@@ -140,6 +140,59 @@ def test_weighted_pairs_say_the_same_as_all_pairs(spark, policy):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
+SAME = {"same": lambda x, y: F.when(x["first"] == y["first"], 1.0).otherwise(0.0)}
+
+
+def test_tasks_follow_pairs_not_bytes(spark):
+    """One block with half of all pairs, some middling and many small ones: all tasks form about as many pairs."""
+    sizes = [300, *[80] * 10, *[5] * 200]
+    rows = [(f"{k}-{i}", f"n{i % 7}", str(k)) for k, n in enumerate(sizes) for i in range(n)]
+    a = spark.createDataFrame(rows, "patient_id string, first string, town string")
+    b = a.withColumnRenamed("patient_id", "system_b_id")
+    pairs = linkage.candidate_pairs(a, b, None, SAME, {"town": lambda r: r("town")}, SkewPolicy(parts=40))
+    total = sum(n * n for n in sizes)
+    loads = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(loads) == total == pairs.distinct().count()
+    assert len(loads) >= 36 and max(loads) < 3 * total / 40
+    assert linkage.candidate_pairs(a.limit(0), b, None, SAME, {"town": lambda r: r("town")}).count() == 0
+
+
+def test_equal_pairs_are_added_up_before_they_are_sent(spark):
+    a, b = people(spark, crowd(7, 70, "a"), crowd(8, 60, "b"))
+    truth = spark.createDataFrame([("b001", "a001")], "system_b_id string, true_patient_id string")
+    table = linkage.weighted_pairs(a, b.withColumn("is_test", F.lit(False)), truth, "is_test")
+    plan = table._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(plan) if "Join" in line and "__tile" in line]
+    assert len(joins) == 1  # pairs are formed once, and looked up nowhere
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    above, low = [], depth(plan[joins[0]])
+    for line in reversed(plan[: joins[0]]):
+        if depth(line) < low:
+            above.append(line.lstrip(" :+-").split("(")[0].split(" ")[0])
+            low = depth(line)
+    assert above[:3] == ["Project", "Union", "HashAggregate"] or above[:2] == ["Project", "HashAggregate"], above
+    assert "Join" not in "".join(above)
+
+
+def test_blocks_and_features_over_any_column(spark):
+    """Columns beside the usual ones, a block key named like a column, and a record's columns named like internal ones."""
+    more = lambda df: df.select("*", F.lower("last").alias("birth_year"), F.substring("zip", 1, 1).alias("town"), F.lit(1).alias("n"))
+    a, b = (more(df) for df in people(spark, crowd(15, 40, "a"), crowd(16, 30, "b")))
+    block = {"birth_year": lambda r: r("birth_year"), "last": lambda r: F.upper(r("town"))}
+    features = {"town_sim": linkage.name_similarity("town"), **SAME}
+    rows = [[r.asDict() for r in df.collect()] for df in (a, b)]
+    key = lambda r: (r["birth_year"], r["town"])
+    want = sorted((y["system_b_id"], x["patient_id"]) for x in rows[0] for y in rows[1] if key(x) == key(y) and None not in key(x))
+    truth = spark.createDataFrame(list(dict(want).items()), "system_b_id string, true_patient_id string")
+    pairs = linkage.candidate_pairs(a, b, truth, features, block)
+    assert sorted((r["system_b_id"], r["patient_id"]) for r in pairs.collect()) == want and want
+    table = linkage.weighted_pairs(a, b.withColumn("held", F.col("system_b_id") < "b015"), truth, "held", features, block)
+    assert table.agg(F.sum("n")).first()[0] == len(want)
+    assert table.where("is_match = 1").agg(F.sum("n")).first()[0] == pairs.where("is_match = 1").count() == len(dict(want))
+    best = linkage.best_matches(a, b, F.col("town_sim"), features, block).collect()
+    assert {r["system_b_id"] for r in best} == {p[0] for p in want}
+
+
 def test_missing_names_count_as_equal_or_as_nothing(spark):
     df = spark.createDataFrame([(("x",), (None,)), ((None,), (None,))], "a struct<first:string>, b struct<first:string>")
     equal = linkage.name_similarity("first")(F.col("a"), F.col("b"))
