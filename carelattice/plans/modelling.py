@@ -1,30 +1,27 @@
-"""Fitting and comparing the pair and risk classifiers with Spark ML."""
+"""Fitting and comparing the pair and risk classifiers: an exact logistic regression (see `logit`), and Spark ML learners."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
-
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from dataclasses import dataclass, field
+from typing import Protocol
+
+from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import uniform
-from ..operators.linkage import B_ID, logistic, one_row, weighted_pairs
+from ..operators.linkage import B_ID, one_row, weighted_pairs
 from ..operators.metrics import average_rank_of, binary_metrics, model_comparison, rank_test, score_steps
 from ..operators.running import medians, modes
 from ..operators.sampling import split_groups
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
 from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, PAIR_FEATURES, SEED, TARGET
 from ..session import cut_lineage
+from .logit import SCORE, Logit, fit_logit
 
 FEATURES, WEIGHT = "features", "__weight"
 
@@ -34,12 +31,13 @@ FEATURES, WEIGHT = "features", "__weight"
 
 @dataclass(frozen=True)
 class Fills:
-    """What missing values are replaced by, and how numbers are scaled: one entry per column."""
+    """What missing values are replaced by, how numbers are scaled, and which texts become columns: one entry per column."""
 
     numbers: Mapping[str, float]
     texts: Mapping[str, str]
     means: Mapping[str, float]
     deviations: Mapping[str, float]
+    categories: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
 
 def fit_fills(
@@ -48,67 +46,80 @@ def fit_fills(
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> Fills:
-    """Exact medians, most frequent texts, and mean and population deviation after filling.
+    """Exact medians, most frequent texts, mean and population deviation after filling, and the texts after filling.
 
-    What comes to the driver is one row per column.
+    What comes to the driver is one row per column, and the different texts of each categorical column.
     """
     numbers = {r["feature"]: r["median"] for r in medians(df, numeric, policy=policy).collect()}
     texts = {r["feature"]: r["mode"] for r in modes(df, categorical).collect()} if categorical else {}
     numbers = {c: numbers.get(c, 0.0) for c in numeric}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(numbers[c])) for c in numeric}
+    texts = {c: texts.get(c, "") for c in categorical}
+    filled = {c: F.expr(v) for c, v in filled_sql(numbers, texts).items()}
     moments = df.agg(
-        *[F.avg(v).alias(f"mean_{c}") for c, v in filled.items()],
-        *[F.stddev_pop(v).alias(f"dev_{c}") for c, v in filled.items()],
+        *[F.avg(filled[c]).alias(f"mean_{c}") for c in numeric],
+        *[F.stddev_pop(filled[c]).alias(f"dev_{c}") for c in numeric],
+        *[F.array_sort(F.collect_set(filled[c])).alias(f"all_{c}") for c in categorical],
     ).first()
     return Fills(
         numbers,
-        {c: texts.get(c, "") for c in categorical},
+        texts,
         {c: moments[f"mean_{c}"] or 0.0 for c in numeric},
         # A constant column is only centred.
         {c: moments[f"dev_{c}"] or 1.0 for c in numeric},
+        {c: tuple(moments[f"all_{c}"]) for c in categorical},
     )
 
 
+def _number(value: float) -> str:
+    return f"CAST('{float(value)!r}' AS DOUBLE)"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def filled_sql(numbers: Mapping[str, float], texts: Mapping[str, str]) -> dict[str, str]:
+    """SQL text of the filled columns."""
+    return {c: f"coalesce(CAST(`{c}` AS DOUBLE), {_number(v)})" for c, v in numbers.items()} | {
+        c: f"coalesce(`{c}`, {_text(v)})" for c, v in texts.items()
+    }
+
+
+def design_sql(fills: Fills) -> list[tuple[str, str]]:
+    """(name, SQL text) of the model inputs in order: filled numbers, centred and divided by the population deviation,
+    then one 0/1 column per text of each categorical column. A text not seen in training gives zeros."""
+    filled = filled_sql(fills.numbers, fills.texts)
+    scaled = [(c, f"({filled[c]} - {_number(fills.means[c])}) / {_number(fills.deviations[c])}") for c in fills.numbers]
+    flags = [
+        (f"{c}={v}", f"CAST({filled[c]} = {_text(v)} AS DOUBLE)") for c in fills.texts for v in fills.categories[c]
+    ]
+    return scaled + flags
+
+
 def filled_columns(fills: Fills) -> dict[str, Column]:
-    numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills.numbers.items()}
-    return numbers | {c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.texts.items()}
+    return {c: F.expr(v) for c, v in filled_sql(fills.numbers, fills.texts).items()}
 
 
 def scaled_columns(fills: Fills) -> dict[str, Column]:
-    """Filled numbers, centred and divided by the population deviation."""
-    filled = filled_columns(fills)
-    return {c: (filled[c] - F.lit(fills.means[c])) / F.lit(fills.deviations[c]) for c in fills.numbers}
+    """The numeric inputs of the models."""
+    return {c: F.expr(v) for c, v in design_sql(fills) if c in fills.numbers}
 
 
-def preparation(fills: Fills) -> Pipeline:
-    """Fill, scale, one-hot and assemble. The first step is SQL text, so the fitted whole can be saved.
+def input_names(fills: Fills) -> list[str]:
+    """Column names the inputs have behind `preparation`."""
+    return [f"__x{i}" for i in range(len(design_sql(fills)))]
 
-    A category not seen in training becomes the zero vector.
-    """
-    number = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
-    quote = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    scaled = [
-        f"(coalesce(CAST(`{c}` AS DOUBLE), {number(v)}) - {number(fills.means[c])})"
-        f" / {number(fills.deviations[c])} AS `{c}__z`"
-        for c, v in fills.numbers.items()
-    ]
-    texts = [f"coalesce(`{c}`, {quote(v)}) AS `{c}__f`" for c, v in fills.texts.items()]
-    names = list(fills.texts)
-    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(scaled + texts)} FROM __THIS__")]
-    if names:
-        stages += [
-            StringIndexer(
-                inputCols=[f"{c}__f" for c in names],
-                outputCols=[f"{c}__i" for c in names],
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            ),
-            OneHotEncoder(
-                inputCols=[f"{c}__i" for c in names], outputCols=[f"{c}__h" for c in names], dropLast=True
-            ),
+
+def preparation(fills: Fills) -> Pipeline:
+    """The inputs as columns and as one vector. It is SQL text, so the fitted whole can be saved."""
+    names = input_names(fills)
+    columns = ", ".join(f"{sql} AS `{n}`" for n, (_, sql) in zip(names, design_sql(fills), strict=True))
+    return Pipeline(
+        stages=[
+            SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
+            VectorAssembler(inputCols=names, outputCol=FEATURES),
         ]
-    inputs = [f"{c}__z" for c in fills.numbers] + [f"{c}__h" for c in names]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol=FEATURES)])
+    )
 
 
 # -- weights and balance -----------------------------------------------------------------------
@@ -139,25 +150,14 @@ def oversampled(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFr
     return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(whole, F.lit(1))))).drop("__copy")
 
 
-def logistic_regression(total_weight: float, max_iter: int, label: str, c: float = 1.0) -> LogisticRegression:
-    """L2 with inverse strength `c` on the summed loss; Spark averages the loss, hence the division."""
-    return LogisticRegression(
-        featuresCol=FEATURES,
-        labelCol=label,
-        weightCol=WEIGHT,
-        maxIter=max_iter,
-        regParam=1.0 / (c * total_weight),
-        elasticNetParam=0.0,
-        standardization=False,
-    )
-
-
 # -- pair classifier ---------------------------------------------------------------------------
 
 
 @dataclass
 class PairModel:
-    model: PipelineModel
+    """`model.score()` is the fitted score over the feature columns; `model.pipeline()` can be saved."""
+
+    model: Logit
     metrics: DataFrame
     weights: DataFrame
 
@@ -196,12 +196,9 @@ def train_weighted_pairs(weighted: DataFrame, features: Sequence[str] = PAIR_FEA
     """Fit and measure on a frequency table of pairs: features, is_match, is_test, n."""
     grouped = cut_lineage(weighted)
     train = grouped.where(~F.col("is_test"))
-    weight, total = balanced_weight(train, "is_match", F.col("n"))
-    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
-    fitted = Pipeline(stages=[assembler, logistic_regression(total, 100, "is_match")]).fit(
-        few_tasks(train.withColumn(WEIGHT, weight), train.count())
-    )
-    test = with_score(fitted, grouped.where("is_test"))
+    weight, _ = balanced_weight(train, "is_match", F.col("n"))
+    fitted = fit_logit(train, [(c, F.col(c)) for c in features], F.col("is_match"), weight)
+    test = grouped.where("is_test").withColumn("score", fitted.score())
     held_out = binary_metrics(test, "is_match", "score", weight=F.col("n"))
     sizes = grouped.agg(F.sum("n").alias("candidate_pairs_total"))
     measured = one_row(sizes, held_out).select(
@@ -211,15 +208,7 @@ def train_weighted_pairs(weighted: DataFrame, features: Sequence[str] = PAIR_FEA
         F.col("recall").alias("test_recall"),
         F.col("f1").alias("test_f1"),
     )
-    return PairModel(fitted, settled(measured), learned_weights(fitted, features, grouped))
-
-
-ROWS_PER_TASK = 4_000
-
-
-def few_tasks(df: DataFrame, n: float) -> DataFrame:
-    """Not more tasks than `n` rows are worth, for loops whose every step starts all tasks again."""
-    return df.coalesce(max(1, round(n / ROWS_PER_TASK)))
+    return PairModel(fitted, settled(measured), learned_weights(fitted, grouped))
 
 
 def settled(summary: DataFrame) -> DataFrame:
@@ -227,16 +216,10 @@ def settled(summary: DataFrame) -> DataFrame:
     return summary.sparkSession.createDataFrame(summary.collect(), summary.schema)
 
 
-def learned_weights(fitted: PipelineModel, features: Sequence[str], like: DataFrame, digits: int = 3) -> DataFrame:
+def learned_weights(fitted: Logit, like: DataFrame, digits: int = 3) -> DataFrame:
     """(feature, weight) rows of the fitted logistic regression."""
-    values = [round(float(w), digits) for w in fitted.stages[-1].coefficients]
-    return like.sparkSession.createDataFrame(list(zip(features, values)), "feature string, weight double")
-
-
-def score_expression(fitted: PipelineModel, features: Sequence[str] = PAIR_FEATURES) -> Column:
-    """The fitted logistic regression as a plain column over the features."""
-    last = fitted.stages[-1]
-    return logistic(dict(zip(features, last.coefficients)), last.intercept)
+    rows = [(n, round(w, digits) + 0.0) for n, w in zip(fitted.names, fitted.weights, strict=True)]
+    return like.sparkSession.createDataFrame(rows, "feature string, weight double")
 
 
 # -- risk classifiers --------------------------------------------------------------------------
@@ -245,35 +228,57 @@ def score_expression(fitted: PipelineModel, features: Sequence[str] = PAIR_FEATU
 def with_score(fitted: Transformer, df: DataFrame, name: str = "score") -> DataFrame:
     """`df` with the probability of class 1 as a further column."""
     scored = fitted.transform(df)
-    return scored.select(*[F.col(f"`{c}`") for c in df.columns], vector_to_array("probability")[1].alias(name))
+    score = F.col(SCORE) if SCORE in scored.columns else vector_to_array("probability")[1]
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], score.alias(name))
+
+
+class Fits(Protocol):
+    """What learns a stage from prepared rows (`FEATURES`, label, `WEIGHT`)."""
+
+    def fit(self, dataset: DataFrame) -> Transformer: ...
+
+
+@dataclass(frozen=True)
+class ExactLogit:
+    """The logistic regression of `logit` on the prepared columns."""
+
+    inputs: int
+    label: str = TARGET
+    c: float = 1.0
+
+    def fit(self, dataset: DataFrame) -> Transformer:
+        vector = vector_to_array(FEATURES)
+        columns = [(f"__x{i}", vector[i]) for i in range(self.inputs)]
+        return fit_logit(dataset, columns, F.col(self.label), F.col(WEIGHT), self.c).stage()
 
 
 @dataclass(frozen=True)
 class Learner:
-    """A classifier to be fitted on prepared rows; `weighted` says whether it takes row weights."""
+    """A classifier to be fitted on prepared rows, made from the number of inputs; `weighted` says whether it takes row
+    weights."""
 
-    make: Callable[[float, int], Estimator]
+    make: Callable[[int], Fits]
     weighted: bool = True
 
 
 def risk_learners(label: str = TARGET, seed: int = SEED, trees: int = 300, depth: int = 12) -> dict[str, Learner]:
-    """The four compared classifiers, by name; each takes (total weight, number of inputs)."""
+    """The four compared classifiers, by name."""
     common = {"featuresCol": FEATURES, "labelCol": label}
     return {
-        "logistic_regression": Learner(lambda total, _: logistic_regression(total, 1000, label)),
+        "logistic_regression": Learner(lambda inputs: ExactLogit(inputs, label)),
         "random_forest": Learner(
-            lambda *_: RandomForestClassifier(
+            lambda _: RandomForestClassifier(
                 **common, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, seed=seed
             )
         ),
         "gradient_boosted_trees": Learner(
-            lambda *_: GBTClassifier(
+            lambda _: GBTClassifier(
                 **common, weightCol=WEIGHT, maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, seed=seed
             )
         ),
         # Sigmoid units, no dropout and no row weights in this learner: balanced by repetition instead.
         "neural_network_mlp": Learner(
-            lambda _, inputs: MultilayerPerceptronClassifier(
+            lambda inputs: MultilayerPerceptronClassifier(
                 **common, layers=[inputs, 32, 16, 2], maxIter=100, blockSize=64, seed=seed
             ),
             weighted=False,
@@ -289,23 +294,30 @@ def fit_risk_models(
     label: str = TARGET,
     key: str = "encounter_id",
     policy: SkewPolicy = DEFAULT_POLICY,
+    tasks: int = 4,
 ) -> dict[str, PipelineModel]:
-    """Fit all learners on one shared preparation; each result scores raw rows and can be saved."""
+    """Fit all learners on one shared preparation; each result scores raw rows and can be saved.
+
+    Rows without a label are left out. The rows are dealt to `tasks` tasks by a hash of `key` and sorted in them, whatever the
+    cluster or their number, so learners that draw per task give the same model everywhere; set it to what the cluster
+    can run at once.
+    """
     learners = risk_learners(label) if learners is None else learners
-    used = cut_lineage(train.select(key, label, *numeric, *categorical))
-    prepared = preparation(fit_fills(used, numeric, categorical, policy)).fit(used)
-    weight, total = balanced_weight(used, label)
+    used = cut_lineage(train.where(F.col(label).isNotNull()).select(key, label, *numeric, *categorical))
+    fills = fit_fills(used, numeric, categorical, policy)
+    prepared = preparation(fills).fit(used)
+    weight, _ = balanced_weight(used, label)
     ready = prepared.transform(used.withColumn(WEIGHT, weight)).select(
         key, F.col(label).cast("double").alias(label), WEIGHT, FEATURES
     )
-    rows = cut_lineage(few_tasks(ready, total)).persist()
+    rows = cut_lineage(ready.repartition(tasks, key).sortWithinPartitions(key)).persist()
     try:
-        inputs = len(rows.select(FEATURES).first()[FEATURES])
+        inputs = len(input_names(fills))
         return {
             name: PipelineModel(
                 [
                     *prepared.stages,
-                    learner.make(total, inputs).fit(rows if learner.weighted else oversampled(rows, label, key)),
+                    learner.make(inputs).fit(rows if learner.weighted else oversampled(rows, label, key)),
                 ]
             )
             for name, learner in learners.items()
