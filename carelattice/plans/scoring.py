@@ -82,9 +82,8 @@ def score_risk(requests: DataFrame, model: Model) -> DataFrame:
 
 
 def as_log(scored: DataFrame, kind: str, summary: Column, created_at: Column | None = None) -> DataFrame:
-    """Rows of the prediction log."""
+    """Rows for the prediction log; `PredictionLog.append` gives them their ids."""
     return scored.select(
-        F.uuid().alias("id"),
         F.lit(kind).alias("kind"),
         summary.alias("input_summary"),
         F.col("score"),
@@ -92,11 +91,6 @@ def as_log(scored: DataFrame, kind: str, summary: Column, created_at: Column | N
     )
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """Add predictions to the log folder."""
-    log.write.mode("append").parquet(path)
-
-
 def shown(scored: DataFrame, digits: int = 4) -> DataFrame:
     """Scores rounded as they are reported."""
     return scored.withColumn("score", F.bround("score", digits))
@@ -113,5 +107,6 @@ def log_summary(log: DataFrame) -> DataFrame:
 
 
 def recent_predictions(log: DataFrame, limit: int = 25) -> DataFrame:
-    """The latest predictions, newest first; planned as a top-k per task and a merge."""
-    return log.orderBy(F.desc("created_at"), F.desc("id")).limit(limit)
+    """The latest predictions of a log with ids, newest first; planned as a top-k per task and a merge. A
+    `PredictionLog` finds them without reading the rest."""
+    return log.orderBy(F.desc("id")).limit(limit)

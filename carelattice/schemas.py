@@ -115,7 +115,6 @@ GROUND_TRUTH = "system_b_id string, true_patient_id string"
 _PERSON = "struct<first:string,last:string,dob:string,zip:string,ssn:string>"
 PAIR_REQUEST = f"record_a {_PERSON}, record_b {_PERSON}"
 RISK_REQUEST = ", ".join([f"{c} double" for c in NUMERIC_FEATURES] + [f"{c} string" for c in CATEGORICAL_FEATURES])
-PREDICTION = "id string, kind string, input_summary string, score double, created_at timestamp"
 
 SEED = 42
 MATCH_THRESHOLD = 0.5

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +46,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def shared_scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder of the session."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session: what `spark.checkpoint.dir` names, which a cluster must set. Only a
     local session without one gets a folder of its own."""

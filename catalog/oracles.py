@@ -22,7 +22,9 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
                 needed.append(name)
 
     visit(body)
-    head = ",\n".join(f"{name} AS ({views[name]})" for name in needed)
+    # What a recursive fit reads in every step is computed once.
+    kept = lambda name: "MATERIALIZED " if name.startswith("v_fit_") else ""
+    head = ",\n".join(f"{name} AS {kept(name)}({views[name]})" for name in needed)
     return (f"WITH {head}\n" if head else "") + body.strip()
 
 
@@ -148,7 +150,7 @@ def linkage_views() -> dict[str, str]:
                 row_number() OVER (ORDER BY md5(concat_ws('|', patient_id, '42', 'sample'))) AS rn
               FROM v_person_a) WHERE rn <= round(0.4 * n)""",
         "v_noisy": f"""
-            SELECT 'B-' || substr(md5(concat_ws('|', patient_id, '42', 'id')), 1, 12) AS system_b_id,
+            SELECT 'B-' || md5(concat_ws('|', patient_id, '42', 'id')) AS system_b_id,
               patient_id AS true_patient_id,
               {_noisy_name("first")} AS first,
               {_noisy_name("last")} AS last,
@@ -533,6 +535,95 @@ def warehouse() -> dict[str, str]:
     }
 
 
+# -- logistic regression by Newton's method ----------------------------------------------------
+
+
+def newton(source: str, inputs: list[str], label: str, weight: str, steps: int = 30) -> str:
+    """One row with the list `b` (intercept first) that minimises sum(w * log-loss) + |b without intercept|^2 / 2.
+
+    Each recursion adds up the gradient and the weighted Gram matrix over `source` and solves for the step by
+    elimination, one nested query per pivot (the matrix is positive definite).
+    """
+    d = len(inputs)
+    x = ["1.0::DOUBLE", *inputs]
+    z = " + ".join(f"b[{i + 1}] * {c}" for i, c in enumerate(x))
+    columns = ", ".join(f"{c} AS x{i}" for i, c in enumerate(x))
+    sums = [f"sum(w * (y - p) * x{i}) AS g{i}" for i in range(d + 1)]
+    sums += [f"sum(w * p * (1 - p) * x{i} * x{j}) AS h{i}_{j}" for i in range(d + 1) for j in range(i, d + 1)]
+    ridge = lambda i, j: " + 1" if i == j and i else ""
+    rows = ", ".join(
+        "["
+        + ", ".join(f"h{min(i, j)}_{max(i, j)}{ridge(i, j)}" for j in range(d + 1))
+        + f", g{i}{f' - b[{i + 1}]' if i else ''}]"
+        for i in range(d + 1)
+    )
+    solved = f"""SELECT k, b, [{rows}] AS m FROM (
+        SELECT k, b, {", ".join(sums)} FROM (
+          SELECT k, b, {columns}, ({label})::DOUBLE AS y, {weight} AS w, 1 / (1 + exp(-({z}))) AS p
+          FROM newton, {source} WHERE k < {steps}) GROUP BY k, b)"""
+    for p in range(1, d + 2):
+        solved = f"""SELECT k, b, list_transform(m, lambda r, i: list_transform(r, lambda v, j:
+            CASE WHEN i = {p} THEN v / m[{p}][{p}] ELSE v - r[{p}] * m[{p}][j] / m[{p}][{p}] END)) AS m FROM ({solved})"""
+    return f"""WITH RECURSIVE newton AS (
+        SELECT 0 AS k, {[0.0] * (d + 1)}::DOUBLE[] AS b
+        UNION ALL SELECT k + 1, list_transform(b, lambda v, i: v + m[i][{d + 2}]) FROM ({solved}))
+      SELECT b FROM newton WHERE k = {steps}"""
+
+
+PAIR_INPUTS = ["first_sim", "last_sim", "zip_sim", "dob_year_match", "ssn_agree", "ssn_both_present"]
+
+
+def _logistic(names: list[str]) -> str:
+    return "1 / (1 + exp(-(b[1]" + "".join(f" + b[{i}] * {n}" for i, n in enumerate(names, 2)) + ")))"
+
+
+def risk_inputs() -> list[tuple[str, str, str]]:
+    """(name, kind or text, expression over v_fit_frame) of the inputs of the risk models, in order. The categories are those
+    of the supplied customers, who all have them."""
+    numbers = [(c, "", f"(({c}) - m_{c}) / s_{c}") for c in NUMERIC_FEATURES]
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    texts = {"gender": ["F", "M"], "race": segments, "ethnicity": ["hispanic", "nonhispanic"]}
+    return numbers + [(c, v, f"({c} = '{v}')::INTEGER::DOUBLE") for c in CATEGORICAL_FEATURES for v in texts[c]]
+
+
+def model_views() -> dict[str, str]:
+    is_test = f"{_bits('split', '{}')} / 4294967296.0::DOUBLE < {{}}"
+    by_features = ", ".join(PAIR_INPUTS)
+    weight = "n * total / (2.0::DOUBLE * sum(n) OVER (PARTITION BY is_match))"
+    training = is_test.format("patient_id", 0.25)
+    number = lambda c: f"coalesce({c}::DOUBLE, median({c}::DOUBLE) FILTER (NOT is_test) OVER ())"
+    text = lambda c: f"coalesce({c}, mode({c}) FILTER (NOT is_test) OVER ())"
+    moments = ", ".join(
+        f"avg({c}) FILTER (NOT is_test) OVER () AS m_{c}, stddev_pop({c}) FILTER (NOT is_test) OVER () AS s_{c}"
+        for c in NUMERIC_FEATURES
+    )
+    return {
+        "v_fit_counts": f"""
+            SELECT {by_features}, is_match, {is_test.format("system_b_id", 0.3)} AS is_test, count(*) AS n
+            FROM v_pair GROUP BY ALL""",
+        "v_fit_pairs": f"""
+            SELECT *, {weight} AS w FROM (SELECT *, sum(n) OVER () AS total FROM v_fit_counts WHERE NOT is_test)""",
+        "v_fit_pair_model": newton("v_fit_pairs", PAIR_INPUTS, "is_match", "w"),
+        "v_fit_pair_test": f"SELECT *, {_logistic(PAIR_INPUTS)} AS score FROM v_fit_counts, v_fit_pair_model WHERE is_test",
+        "v_fit_best": f"""
+            SELECT system_b_id, patient_id AS matched_patient_id, score
+            FROM (SELECT *, row_number() OVER (PARTITION BY system_b_id ORDER BY score DESC, patient_id) AS rn
+              FROM (SELECT *, {_logistic(PAIR_INPUTS)} AS score FROM v_pair, v_fit_pair_model))
+            WHERE rn = 1 AND score >= 0.5""",
+        "v_fit_frame": f"""
+            SELECT *, CASE WHEN NOT is_test THEN count(*) FILTER (NOT is_test) OVER ()
+                / (2.0::DOUBLE * count(*) FILTER (NOT is_test) OVER (PARTITION BY readmitted_30d)) END AS w, {moments}
+            FROM (SELECT encounter_id, readmitted_30d, is_test, {", ".join(f"{number(c)} AS {c}" for c in NUMERIC_FEATURES)},
+                {", ".join(f"{text(c)} AS {c}" for c in CATEGORICAL_FEATURES)}
+              FROM (SELECT *, {training} AS is_test FROM v_frame))""",
+        "v_fit_inputs": "SELECT encounter_id, readmitted_30d, is_test, w, "
+        + ", ".join(f"{e} AS i{i}" for i, (_, _, e) in enumerate(risk_inputs()))
+        + " FROM v_fit_frame",
+        "v_fit_training": "SELECT * FROM v_fit_inputs WHERE NOT is_test",
+        "v_fit_risk_model": newton("v_fit_training", [f"i{i}" for i in range(len(risk_inputs()))], "readmitted_30d", "w"),
+    }
+
+
 # -- models and scoring ------------------------------------------------------------------------
 
 
@@ -554,7 +645,26 @@ def scoring() -> dict[str, str]:
             USING (v)"""
         for c, e in filled_text.items()
     )
+    inputs = risk_inputs()
     return {
+        "pair_model_weights": f"""
+            SELECT unnest({PAIR_INPUTS}) AS feature, unnest(list_transform(b[2:], lambda v: round(v, 3) + 0.0)) AS weight
+            FROM v_fit_pair_model""",
+        "pair_model_metrics": """
+            SELECT CAST((SELECT sum(n) FROM v_fit_counts) AS BIGINT) AS candidate_pairs_total,
+              CAST(c AS BIGINT) AS candidate_pairs_test, round_even(tp / m, 4)::DOUBLE AS test_precision,
+              round_even(tp / t, 4)::DOUBLE AS test_recall, round_even(2 * tp / (m + t), 4)::DOUBLE AS test_f1
+            FROM (SELECT sum(n) AS c, sum(n) FILTER (score >= 0.5 AND is_match = 1)::DOUBLE AS tp,
+                sum(n) FILTER (score >= 0.5)::DOUBLE AS m, sum(n) FILTER (is_match = 1)::DOUBLE AS t FROM v_fit_pair_test)""",
+        "fitted_best_match": "SELECT system_b_id, matched_patient_id, round(score, 6) AS score FROM v_fit_best",
+        "fitted_best_match_eval": linking()["best_match_eval"].replace("v_best", "v_fit_best"),
+        "risk_scores": f"""
+            SELECT encounter_id, round_even({_logistic([f"i{i}" for i in range(len(inputs))])}, 4)::DOUBLE AS score
+            FROM v_fit_inputs, v_fit_risk_model""",
+        "prepared_vector": " UNION ALL ".join(
+            f"SELECT encounter_id, {i} AS position, round(i{i}, 6) + 0.0 AS value FROM v_fit_inputs WHERE NOT is_test"
+            for i in range(len(inputs))
+        ),
         "impute_values": "SELECT encounter_id, "
         + ", ".join(
             f"round({e}, 6) AS {c}" if c == "age_at_encounter" else f"{e} AS {c}"
@@ -578,12 +688,45 @@ def scoring() -> dict[str, str]:
             FROM v_log GROUP BY kind""",
         "recent_predictions": """
             SELECT id, kind, input_summary, round(score, 6) AS score, CAST(created_at AS VARCHAR) AS created_at
-            FROM v_log ORDER BY v_log.created_at DESC, id DESC LIMIT 25""",
+            FROM v_log ORDER BY id DESC LIMIT 25""",
+        "logged_predictions": "SELECT id, kind, input_summary, round(score, 6) AS score, CAST(created_at AS VARCHAR) AS created_at FROM v_logged",
+        "logged_summary": """
+            SELECT kind, count(*) AS n, round(avg(score), 6) AS avg_score, round(min(score), 6) AS min_score,
+              round(max(score), 6) AS max_score
+            FROM v_log GROUP BY kind""",
+        "logged_recent": """
+            SELECT id, kind, input_summary, round(score, 6) AS score, CAST(created_at AS VARCHAR) AS created_at
+            FROM v_logged ORDER BY id DESC LIMIT 25""",
+        "match_rejects": "SELECT * FROM (SELECT system_b_id, concat_ws(', ', "
+        + ", ".join(
+            f"CASE WHEN {side}.{c} IS NULL THEN 'record_{side}.{c}' END" for side in "ab" for c in ("first", "last", "dob", "zip")
+        )
+        + """) AS reason FROM v_truth JOIN v_person_a a ON a.patient_id = true_patient_id JOIN v_b b USING (system_b_id))
+            WHERE reason <> ''""",
+        "best_match_by_town": """
+            SELECT system_b_id, matched_patient_id, round(score, 6) AS score
+            FROM (SELECT *, row_number() OVER (PARTITION BY system_b_id ORDER BY score DESC, matched_patient_id) AS rn
+              FROM (SELECT system_b_id, a.patient_id AS matched_patient_id,
+                  round(1 / (1 + exp(-(-12.0
+                    + jaro_winkler_similarity(lower(coalesce(a.first, 'nan')), lower(coalesce(b.first, 'nan'))) * 6.0
+                    + jaro_winkler_similarity(lower(coalesce(a.last, 'nan')), lower(coalesce(b.last, 'nan'))) * 7.0
+                    + jaro_winkler_similarity(town_a, town_b) * 2.0)::DOUBLE)), 9) AS score
+                FROM (SELECT *, CASE WHEN true_patient_id::BIGINT % 10 = 0 THEN upper(town) ELSE town END AS town_b
+                    FROM v_b JOIN v_truth USING (system_b_id) JOIN v_town ON v_town.patient_id = true_patient_id) b
+                  JOIN (SELECT v_person_a.*, town AS town_a FROM v_person_a JOIN v_town USING (patient_id)) a
+                    ON lower(town_a) = lower(town_b) AND substr(coalesce(a.zip, ''), 1, 3) = substr(coalesce(b.zip, ''), 1, 3)))
+            WHERE rn = 1 AND score >= 0.5""",
     }
 
 
 def scoring_views() -> dict[str, str]:
     return {
+        "v_town": """
+            SELECT CAST(c_custkey AS VARCHAR) AS patient_id, substr(c_mktsegment, 1, 4) || (c_custkey % 5) AS town
+            FROM customer""",
+        "v_logged": """
+            SELECT row_number() OVER (ORDER BY id % 3 <> 0, created_at, v_log.id) AS id, kind, input_summary, score, created_at
+            FROM v_log""",
         "v_frame": temporal()["training_frame"].replace("round(date_diff", "(date_diff").replace("/ 365.25, 6)", "/ 365.25)"),
         "v_request": """
             SELECT p.system_b_id, score, concat_ws(' ', a.first, a.last) AS a_name, concat_ws(' ', b.first, b.last) AS b_name
@@ -605,6 +748,6 @@ def scoring_views() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    extra = {**cohort_views(), **linkage_views(), **evaluation_views(), **scoring_views()}
+    extra = {**cohort_views(), **linkage_views(), **evaluation_views(), **scoring_views(), **model_views()}
     groups = (temporal(), linking(), evaluation(), warehouse(), scoring())
     return {name: with_views(sql, extra) for group in groups for name, sql in group.items()}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +13,8 @@ from carelattice.functions.dates import DAY_MICROS, micros
 from carelattice.operators import linkage, metrics, perturb, quality, sampling, temporal
 from carelattice.operators.running import dense_ids, describe_all, medians
 from carelattice.plans import linking, load, modelling, readmission, scoring
+from carelattice.session import shared_scratch
+from carelattice.sources.prediction_log import PredictionLog
 from carelattice.schemas import CATEGORICAL_FEATURES, CHRONIC_CODES, NUMERIC_FEATURES, PRIMARY_KEYS, VITAL_CODES
 
 from .views import Tables
@@ -196,7 +197,7 @@ def _frame_columns(df: DataFrame) -> DataFrame:
 
 
 def second_list(t: Tables) -> tuple[DataFrame, DataFrame]:
-    return perturb.second_list(t.person_a(), id_digits=12)
+    return perturb.second_list(t.person_a())
 
 
 @query
@@ -525,17 +526,24 @@ def scale_values(t: Tables) -> DataFrame:
 def one_hot_values(t: Tables) -> DataFrame:
     """One row per stay and set slot of the encoded categories."""
     stays = frame(t).select("encounter_id", *NUMBERS, *TEXTS)
-    prepared = modelling.preparation(modelling.fit_fills(stays, NUMBERS, TEXTS)).fit(stays).transform(stays)
+    fills = modelling.fit_fills(stays, NUMBERS, TEXTS)
+    design = dict(modelling.design_sql(fills))
     slots = [
-        F.posexplode(vector_to_array(f"{c}__h")).alias("slot", "value") for c in TEXTS
-    ]
-    parts = [
-        prepared.select("encounter_id", F.lit(c).alias("feature"), slot).where("value = 1").select(
-            "encounter_id", "feature", F.col("slot").cast("bigint").alias("slot")
-        )
-        for c, slot in zip(TEXTS, slots)
+        F.struct(F.lit(c).alias("feature"), F.lit(i).cast("long").alias("slot"), F.expr(design[f"{c}={v}"]).alias("value"))
+        for c in TEXTS
+        for i, v in enumerate(fills.categories[c])
     ]
-    return reduce(DataFrame.unionByName, parts)
+    told = stays.select("encounter_id", F.explode(F.array(*slots)).alias("s")).where("s.value = 1")
+    return told.select("encounter_id", "s.feature", "s.slot")
+
+
+@query
+def prepared_vector(t: Tables) -> DataFrame:
+    """The whole input vector of the risk models for every training stay, as fitted on these."""
+    stays = modelling.split_by_patient(frame(t))[0].select("encounter_id", *NUMBERS, *TEXTS)
+    prepared = modelling.preparation(modelling.fit_fills(stays, NUMBERS, TEXTS)).fit(stays).transform(stays)
+    told = prepared.select("encounter_id", F.posexplode(vector_to_array(modelling.FEATURES)).alias("position", "value"))
+    return told.withColumn("value", F.round("value", 6) + 0.0)
 
 
 @query
@@ -564,7 +572,7 @@ def pair_model_weights(t: Tables) -> DataFrame:
 @query
 def fitted_best_match(t: Tables) -> DataFrame:
     b, truth = second_list(t)
-    return linking.link_by_model(t.person_a(), b, truth).matches
+    return linking.link_by_model(t.person_a(), b, truth).matches.withColumn("score", F.round("score", 6))
 
 
 @query
@@ -631,3 +639,69 @@ def recent_predictions(t: Tables) -> DataFrame:
     return recent.select(
         "id", "kind", "input_summary", F.round("score", 6).alias("score"), F.col("created_at").cast("string")
     )
+
+
+def _logged(t: Tables) -> PredictionLog:
+    """The events as predictions in a new log: those of every third id first, then the others, then the first batch again."""
+    log = PredictionLog(t.spark, shared_scratch(t.spark, "predictions"))
+    events = t.log()
+    early, late = events.where("id % 3 = 0"), events.where("id % 3 <> 0")
+    for name, rows in (("early", early), ("late", late), ("early", early)):
+        log.append(rows, name, order=["created_at", "id"])
+    return log
+
+
+@query
+def logged_predictions(t: Tables) -> DataFrame:
+    return _logged(t).rows().select(
+        "id", "kind", "input_summary", F.round("score", 6).alias("score"), F.col("created_at").cast("string")
+    )
+
+
+@query
+def logged_summary(t: Tables) -> DataFrame:
+    return _logged(t).summary().withColumns({c: F.round(c, 6) for c in ("avg_score", "min_score", "max_score")})
+
+
+@query
+def logged_recent(t: Tables) -> DataFrame:
+    return _logged(t).recent().select(
+        "id", "kind", "input_summary", F.round("score", 6).alias("score"), F.col("created_at").cast("string")
+    )
+
+
+@query
+def match_rejects(t: Tables) -> DataFrame:
+    """The requests that cannot be scored, and why."""
+    return scoring.rejected_pairs(_requests(t)).select("system_b_id", "reason")
+
+
+def _in_town(b: DataFrame, truth: DataFrame, towns: DataFrame) -> DataFrame:
+    """List B with the town of the true record, or another town for a tenth of the records."""
+    named = b.join(truth, "system_b_id").join(towns.withColumnRenamed("patient_id", "true_patient_id"), "true_patient_id")
+    moved = F.pmod(F.col("true_patient_id").cast("long"), F.lit(10)) == 0
+    return named.withColumn("town", F.when(moved, F.upper("town")).otherwise(F.col("town"))).drop("true_patient_id")
+
+
+@query
+def best_match_by_town(t: Tables) -> DataFrame:
+    """Blocks and features over columns that the lists have besides the usual ones, one named like a column."""
+    towns = t.raw("customer").select(
+        F.col("c_custkey").cast("string").alias("patient_id"),
+        F.concat(F.substring("c_mktsegment", 1, 4), (F.col("c_custkey") % 5).cast("string")).alias("town"),
+    )
+    b, truth = second_list(t)
+    features = {
+        "first_sim": linkage.name_similarity("first"),
+        "last_sim": linkage.name_similarity("last"),
+        "town_sim": linkage.name_similarity("town", lower=False),
+    }
+    score = F.round(linkage.logistic({"first_sim": 6.0, "last_sim": 7.0, "town_sim": 2.0}, -12.0), 9)
+    matches = linkage.best_matches(
+        t.person_a().join(towns, "patient_id"),
+        _in_town(b, truth, towns),
+        score,
+        features,
+        {"zip": lambda r: text.zip3(r("zip")), "town": lambda r: F.lower(r("town"))},
+    )
+    return matches.withColumn("score", F.round("score", 6))

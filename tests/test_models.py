@@ -5,13 +5,17 @@ from __future__ import annotations
 import json
 import math
 import random
+import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from carelattice.operators import linkage, perturb
 from carelattice.plans import linking, modelling, scoring
+from carelattice.plans.logit import fit_logit
 from carelattice.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from carelattice.sources.prediction_log import PredictionLog
 from carelattice.streaming import scoring as streaming
 
 
@@ -61,25 +65,88 @@ def test_save_load_and_missing_fields(spark, fitted, tmp_path):
     assert all(0 < r["score"] < 1 for r in scoring.score_risk(requests, loaded).collect())
 
 
+def labelled(rng, n=150):
+    return [(float(rng.random() < 0.4), rng.gauss(0, 1), rng.gauss(1, 2)) for _ in range(n)]
+
+
+def gradient(rows, weights, fitted, c=1.0):
+    """Of sum(w * log-loss) + |b|^2 / 2c at the fitted coefficients, intercept first."""
+    out = [0.0, *[b / c for b in fitted.weights]]
+    for (y, *x), w in zip(rows, weights):
+        p = 1 / (1 + math.exp(-(fitted.intercept + sum(b * v for b, v in zip(fitted.weights, x)))))
+        for k, v in enumerate([1.0, *x]):
+            out[k] += w * (p - y) * v
+    return out
+
+
+def fit(df, c=1.0, weight=None):
+    return fit_logit(df, [("a", F.col("a")), ("b", F.col("b"))], F.col("y"), F.lit(1.0) if weight is None else weight, c)
+
+
 def test_logistic_regression_minimises_the_summed_loss(spark):
-    """The gradient of sum(w * log-loss) + |b|^2 / 2 vanishes at the fitted coefficients."""
-    rng = random.Random(3)
-    rows = [(float(rng.random() < 0.4), rng.gauss(0, 1), rng.gauss(1, 2)) for _ in range(150)]
+    rows = labelled(random.Random(3))
     df = spark.createDataFrame(rows, "y double, a double, b double")
-    weight, total = modelling.balanced_weight(df, "y")
-    from pyspark.ml.feature import VectorAssembler
-
-    ready = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.withColumn("__weight", weight))
-    model = modelling.logistic_regression(total, 200, "y").fit(ready)
+    weight, _ = modelling.balanced_weight(df, "y")
     n1 = sum(y for y, _, _ in rows)
-    w = {1.0: len(rows) / (2 * n1), 0.0: len(rows) / (2 * (len(rows) - n1))}
-    grads = [0.0, 0.0]
-    for y, *x in rows:
-        p = 1 / (1 + math.exp(-(model.intercept + sum(c * v for c, v in zip(model.coefficients, x)))))
-        for k in range(2):
-            grads[k] += w[y] * (p - y) * x[k]
-    for k in range(2):
-        assert grads[k] + model.coefficients[k] == pytest.approx(0, abs=0.02)
+    weights = [len(rows) / (2 * (n1 if y else len(rows) - n1)) for y, *_ in rows]
+    for c in (1.0, 0.01, 1000.0):
+        fitted = fit(df, c, weight)
+        assert gradient(rows, weights, fitted, c) == pytest.approx([0, 0, 0], abs=1e-8)
+        assert all(b <= a for a, b in zip(fitted.losses, fitted.losses[1:]))
+
+
+def test_logistic_regression_does_not_depend_on_tasks_or_empty_rows(spark):
+    rows = labelled(random.Random(4), 80)
+    one = fit(spark.createDataFrame(rows, "y double, a double, b double").coalesce(1))
+    more = [*rows, (None, 9.0, 9.0), (1.0, None, 2.0), (0.0, 3.0, None)]
+    eight = fit(spark.createDataFrame(more, "y double, a double, b double").repartition(8))
+    assert eight.weights == pytest.approx(one.weights, abs=1e-9)
+    assert eight.intercept == pytest.approx(one.intercept, abs=1e-9)
+    # Rows that stand for several give the same fit as the rows themselves.
+    folded = spark.createDataFrame([(*r, 2.0) for r in rows], "y double, a double, b double, n double")
+    doubled = fit(spark.createDataFrame(rows * 2, "y double, a double, b double"))
+    assert fit(folded, weight=F.col("n")).weights == pytest.approx(doubled.weights, abs=1e-9)
+
+
+def test_logistic_regression_of_separable_constant_or_no_rows(spark):
+    far = spark.createDataFrame([(float(i > 4), 1000.0 * (i - 4.5), 1.0) for i in range(10)], "y double, a double, b double")
+    fitted = fit(far, 1e6)
+    assert all(b <= a + 1e-9 for a, b in zip(fitted.losses, fitted.losses[1:]))
+    scores = [r["s"] for r in far.select(fitted.score().alias("s")).collect()]
+    assert max(scores[:5]) < 0.5 < min(scores[5:])
+    assert abs(fitted.weights[1]) < 1e-6  # a constant carries nothing beside the intercept
+    nothing = fit(far.limit(0))
+    assert (nothing.intercept, nothing.weights) == (0.0, (0.0, 0.0))
+
+
+def test_logistic_regression_as_a_stage(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    df = spark.createDataFrame(labelled(random.Random(5), 60), "y double, a double, b double")
+    fitted = fit(df)
+    fitted.pipeline().write().save(str(tmp_path / "m"))
+    scored = modelling.with_score(PipelineModel.load(str(tmp_path / "m")), df, "s").select("s", fitted.score().alias("t"))
+    assert all(r["s"] == pytest.approx(r["t"], abs=1e-15) for r in scored.collect())
+
+
+def test_rows_without_a_label_are_left_out(spark, stays):
+    learners = {"logistic_regression": modelling.risk_learners()["logistic_regression"]}
+    extra = stays.limit(50).withColumn("readmitted_30d", F.lit(None).cast("int"))
+    one = modelling.fit_risk_models(stays, learners)["logistic_regression"].stages[-1].getStatement()
+    two = modelling.fit_risk_models(stays.unionByName(extra), learners)["logistic_regression"].stages[-1].getStatement()
+    numbers = lambda text: [float(x) for x in re.findall(r"CAST\('([^']*)'", text)]
+    assert numbers(one) == pytest.approx(numbers(two), abs=1e-9)
+
+
+def test_forest_does_not_depend_on_how_rows_arrive(stays):
+    learners = {"random_forest": modelling.risk_learners(trees=5, depth=4)["random_forest"]}
+    # Means are added up in another order, so thresholds agree but for their last digits.
+    rounded = lambda text: re.sub(r"-?\d+\.\d+", lambda m: f"{float(m[0]):.7f}", text.split("\n", 1)[1])
+    trees = [
+        rounded(modelling.fit_risk_models(stays.repartition(n), learners)["random_forest"].stages[-1].toDebugString)
+        for n in (1, 7)
+    ]
+    assert trees[0] == trees[1]
 
 
 def test_oversampling_keeps_all_rows(stays):
@@ -139,13 +206,55 @@ def test_pair_requests_and_log(spark, pair_score, tmp_path):
     assert set(got) == {"Ann Lee <-> Anne Lee", "Bob Lee <-> Zoe Lee"}  # the incomplete pair is not scored
     assert got["Ann Lee <-> Anne Lee"]["score"] > 0.5 > got["Bob Lee <-> Zoe Lee"]["score"]
 
-    log = str(tmp_path / "log")
-    for _ in range(2):
-        scoring.append_log(scoring.as_log(scored, "match", scoring.pair_summary()), log)
-    kept = spark.read.parquet(log)
-    summary = scoring.log_summary(kept).first()
+    log = PredictionLog(spark, str(tmp_path / "log"))
+    rows = scoring.as_log(scored, "match", scoring.pair_summary())
+    assert [log.append(rows, key) for key in ("one", "two", "one")] == [True, True, False]
+    summary = log.summary().first()
     assert (summary["kind"], summary["n"]) == ("match", 4)
-    assert scoring.recent_predictions(kept, 3).count() == 3
+    assert [r["id"] for r in log.recent(3).collect()] == [4, 3, 2]
+
+
+def logged(spark, n, seed, parts=3):
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice(["match", "risk", None]), f"{seed}-{i}", rng.choice([None, rng.random()]), datetime(2024, 1, 1, seed, 0, i))
+        for i in range(n)
+    ]
+    return rows, spark.createDataFrame(rows, "kind string, input_summary string, score double, created_at timestamp").repartition(parts)
+
+
+def test_log_is_written_once_with_increasing_ids(spark, tmp_path):
+    log = PredictionLog(spark, str(tmp_path / "log"))
+    assert log.rows().count() == log.recent().count() == log.summary().count() == 0
+    batches = [logged(spark, n, k, parts) for k, (n, parts) in enumerate([(40, 3), (0, 1), (7, 5), (25, 2)])]
+    for k, (_, df) in enumerate(batches):
+        assert log.append(df, f"b{k}", order=["created_at"] if k % 2 else ())
+        assert not log.append(df, f"b{k}")  # a batch that comes again
+        log = PredictionLog(spark, str(tmp_path / "log"))  # a restart
+    # A batch that broke off before it was entered does not count and is written anew.
+    batches[2][1].selectExpr("0 AS part", "0L AS place", "*").write.parquet(str(tmp_path / "log" / "rows" / "batch=b9"))
+    rows = log.rows().collect()
+    assert sorted(r["id"] for r in rows) == list(range(1, 73))
+    by_id = {r["id"]: r["input_summary"] for r in rows}
+    assert {by_id[i].split("-")[0] for i in range(1, 41)} == {"0"} and {by_id[i].split("-")[0] for i in range(41, 48)} == {"2"}
+    assert [by_id[i] for i in range(48, 73)] == [f"3-{i}" for i in range(25)]  # in the order asked for
+    assert log.append(batches[3][1], "b9") and log.rows().count() == 97
+    want = scoring.log_summary(log.rows()).collect()
+    got = {r["kind"]: tuple(r)[1:] for r in log.summary().collect()}
+    assert {r["kind"]: pytest.approx(tuple(r)[1:]) for r in want} == got
+    assert [r["id"] for r in log.recent(30).collect()] == list(range(97, 67, -1))
+    assert sorted(log.recent(30).collect()) == sorted(scoring.recent_predictions(log.rows(), 30).collect())
+    assert log.recent(1000).count() == 97
+
+
+def test_summary_reads_no_rows_and_recent_few_files(spark, tmp_path):
+    log = PredictionLog(spark, str(tmp_path / "log"))
+    for k in range(6):
+        log.append(logged(spark, 30, k)[1], f"b{k}")
+    assert not any("/rows/" in f for f in log.summary().inputFiles())
+    read = [f for f in log.recent(5).inputFiles() if "/rows/" in f]
+    plan = log.recent(5)._jdf.queryExecution().executedPlan().toString()
+    assert "batch#" in plan and "b0" not in plan.split("PartitionFilters: ")[1].split("]")[0] and read
 
 
 def test_stream_scores_each_request_once(spark, pair_score, tmp_path):
@@ -155,7 +264,8 @@ def test_stream_scores_each_request_once(spark, pair_score, tmp_path):
     for i, line in enumerate(lines):
         (tmp_path / "inbox" / f"{i}.json").write_text(line)
         streaming.stream_pair_scores(spark, inbox, pair_score, log, checkpoint, once=True).awaitTermination(120)
-    rows = spark.read.parquet(log).collect()
+    rows = PredictionLog(spark, log).rows().collect()
+    assert sorted(r["id"] for r in rows) == [1, 2]
     assert sorted(r["input_summary"] for r in rows) == ["Ann Lee <-> Anne Lee", "Bob Lee <-> Zoe Lee"]
 
 
@@ -165,7 +275,7 @@ def test_stream_risk_with_a_fitted_model(spark, fitted, tmp_path):
     model, log = fitted[0]["logistic_regression"], str(tmp_path / "log")
     # Progress goes below the shared folder when no checkpoint is given.
     streaming.stream_risk_scores(spark, str(tmp_path / "inbox"), model, log, once=True).awaitTermination(120)
-    row = spark.read.parquet(log).first()
+    row = PredictionLog(spark, log).rows().first()
     assert (row["kind"], row["input_summary"]) == ("risk", "age=63.0, prior_inpatient=2.0")
 
 
