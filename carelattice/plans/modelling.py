@@ -1,4 +1,5 @@
-"""Fitting and comparing the pair and risk classifiers: an exact logistic regression (see `logit`), and Spark ML learners."""
+"""Fitting and comparing the pair and risk classifiers: an exact logistic regression and leaf-wise boosted trees
+(see `logit`, `boosting`), and learners of Spark ML."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ from ..operators.sampling import split_groups
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
 from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, PAIR_FEATURES, SEED, TARGET
 from ..session import cut_lineage
+from .boosting import fit_boosted
 from .logit import SCORE, Logit, fit_logit
 
 FEATURES, WEIGHT = "features", "__weight"
@@ -252,6 +254,20 @@ class ExactLogit:
         return fit_logit(dataset, columns, F.col(self.label), F.col(WEIGHT), self.c).stage()
 
 
+@dataclass(frozen=True)
+class LeafwiseTrees:
+    """The boosted trees of `boosting` on the prepared columns."""
+
+    inputs: int
+    label: str = TARGET
+    iterations: int = 100
+
+    def fit(self, dataset: DataFrame) -> Transformer:
+        vector = vector_to_array(FEATURES)
+        columns = [(f"__x{i}", vector[i]) for i in range(self.inputs)]
+        return fit_boosted(dataset, columns, F.col(self.label), F.col(WEIGHT), self.iterations).stage()
+
+
 @dataclass(frozen=True)
 class Learner:
     """A classifier to be fitted on prepared rows, made from the number of inputs; `weighted` says whether it takes row
@@ -261,7 +277,9 @@ class Learner:
     weighted: bool = True
 
 
-def risk_learners(label: str = TARGET, seed: int = SEED, trees: int = 300, depth: int = 12) -> dict[str, Learner]:
+def risk_learners(
+    label: str = TARGET, seed: int = SEED, trees: int = 300, depth: int = 12, iterations: int = 100
+) -> dict[str, Learner]:
     """The four compared classifiers, by name."""
     common = {"featuresCol": FEATURES, "labelCol": label}
     return {
@@ -271,11 +289,7 @@ def risk_learners(label: str = TARGET, seed: int = SEED, trees: int = 300, depth
                 **common, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, seed=seed
             )
         ),
-        "gradient_boosted_trees": Learner(
-            lambda _: GBTClassifier(
-                **common, weightCol=WEIGHT, maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, seed=seed
-            )
-        ),
+        "gradient_boosted_trees": Learner(lambda inputs: LeafwiseTrees(inputs, label, iterations)),
         # Sigmoid units, no dropout and no row weights in this learner: balanced by repetition instead.
         "neural_network_mlp": Learner(
             lambda inputs: MultilayerPerceptronClassifier(

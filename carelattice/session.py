@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -46,6 +47,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package. On a cluster it is installed on the executors."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A new path below the checkpoint folder of the session."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -586,6 +586,44 @@ def risk_inputs() -> list[tuple[str, str, str]]:
     return numbers + [(c, v, f"({c} = '{v}')::INTEGER::DOUBLE") for c in CATEGORICAL_FEATURES for v in texts[c]]
 
 
+def boosted_steps(leaves: int = 8, bins: int = 32) -> dict[str, str]:
+    """Views that grow one tree on v_fit_training, best gain first: per step the gains of all cuts of all leaves, the best
+    of them, and the rows' leaves after it. At the base score every probability is a half."""
+    inputs = range(len(risk_inputs()))
+    fractions = [i / bins for i in range(1, bins)]
+    long = " UNION ALL ".join(f"SELECT encounter_id, {i} AS feature, i{i} AS x FROM v_fit_training" for i in inputs)
+    views = {
+        "v_fit_long": long,
+        "v_fit_edges": f"""
+            SELECT feature, unnest(list_distinct(quantile_cont(x, {fractions}))) AS edge FROM v_fit_long GROUP BY feature""",
+        "v_fit_bins": """
+            SELECT l.encounter_id, l.feature, count(e.edge) AS bin
+            FROM v_fit_long l LEFT JOIN v_fit_edges e ON e.feature = l.feature AND e.edge < l.x GROUP BY ALL""",
+        "v_fit_cuts": """
+            SELECT feature, edge, row_number() OVER (PARTITION BY feature ORDER BY edge) - 1 AS bin FROM v_fit_edges""",
+        "v_fit_leaf_0": "SELECT encounter_id, w * (0.5 - readmitted_30d) AS g, w / 4 AS h, '' AS leaf FROM v_fit_training",
+    }
+    for k in range(leaves - 1):
+        views[f"v_fit_best_{k}"] = f"""
+            SELECT * FROM (
+              SELECT leaf, feature, bin, nl, n - nl AS nr,
+                gl * gl / hl + (g - gl) * (g - gl) / (h - hl) - g * g / h AS gain, hl, h - hl AS hr
+              FROM (SELECT leaf, feature, bin, sum(g) OVER u AS gl, sum(h) OVER u AS hl, sum(n) OVER u AS nl,
+                  sum(g) OVER a AS g, sum(h) OVER a AS h, sum(n) OVER a AS n
+                FROM (SELECT leaf, feature, bin, sum(g) AS g, sum(h) AS h, count(*) AS n
+                  FROM v_fit_leaf_{k} JOIN v_fit_bins USING (encounter_id) GROUP BY ALL)
+                WINDOW u AS (PARTITION BY leaf, feature ORDER BY bin), a AS (PARTITION BY leaf, feature))
+              WHERE n > nl)
+            WHERE nl >= 20 AND nr >= 20 AND hl >= 0.001 AND hr >= 0.001 AND gain > 1e-9
+            ORDER BY round(gain, 7) DESC, leaf, feature, bin LIMIT 1"""
+        views[f"v_fit_leaf_{k + 1}"] = f"""
+            SELECT l.encounter_id, l.g, l.h,
+              CASE WHEN l.leaf = b.leaf THEN l.leaf || CASE WHEN x.bin <= b.bin THEN '0' ELSE '1' END ELSE l.leaf END AS leaf
+            FROM v_fit_leaf_{k} l CROSS JOIN v_fit_best_{k} b
+              JOIN v_fit_bins x ON x.encounter_id = l.encounter_id AND x.feature = b.feature"""
+    return views
+
+
 def model_views() -> dict[str, str]:
     is_test = f"{_bits('split', '{}')} / 4294967296.0::DOUBLE < {{}}"
     by_features = ", ".join(PAIR_INPUTS)
@@ -661,6 +699,12 @@ def scoring() -> dict[str, str]:
         "risk_scores": f"""
             SELECT encounter_id, round_even({_logistic([f"i{i}" for i in range(len(inputs))])}, 4)::DOUBLE AS score
             FROM v_fit_inputs, v_fit_risk_model""",
+        "boosted_splits": " UNION ALL ".join(
+            f"""SELECT {k} AS step, leaf AS path, {[c + (f"={v}" if v else "") for c, v, _ in inputs]}[b.feature + 1] AS feature,
+              round(edge, 6) AS threshold, round(gain, 4) AS gain, nl::BIGINT AS n_left, nr::BIGINT AS n_right
+            FROM v_fit_best_{k} b JOIN v_fit_cuts c ON c.feature = b.feature AND c.bin = b.bin"""
+            for k in range(7)
+        ),
         "prepared_vector": " UNION ALL ".join(
             f"SELECT encounter_id, {i} AS position, round(i{i}, 6) + 0.0 AS value FROM v_fit_inputs WHERE NOT is_test"
             for i in range(len(inputs))
@@ -748,6 +792,6 @@ def scoring_views() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    extra = {**cohort_views(), **linkage_views(), **evaluation_views(), **scoring_views(), **model_views()}
+    extra = {**cohort_views(), **linkage_views(), **evaluation_views(), **scoring_views(), **model_views(), **boosted_steps()}
     groups = (temporal(), linking(), evaluation(), warehouse(), scoring())
     return {name: with_views(sql, extra) for group in groups for name, sql in group.items()}

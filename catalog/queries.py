@@ -12,8 +12,8 @@ from carelattice.functions import text
 from carelattice.functions.dates import DAY_MICROS, micros
 from carelattice.operators import linkage, metrics, perturb, quality, sampling, temporal
 from carelattice.operators.running import dense_ids, describe_all, medians
-from carelattice.plans import linking, load, modelling, readmission, scoring
-from carelattice.session import shared_scratch
+from carelattice.plans import boosting, linking, load, modelling, readmission, scoring
+from carelattice.session import cut_lineage, shared_scratch
 from carelattice.sources.prediction_log import PredictionLog
 from carelattice.schemas import CATEGORICAL_FEATURES, CHRONIC_CODES, NUMERIC_FEATURES, PRIMARY_KEYS, VITAL_CODES
 
@@ -587,6 +587,24 @@ def model_comparison(t: Tables) -> DataFrame:
     return modelling.compare_models(modelling.fit_risk_models(train), test)
 
 
+@query
+def boosted_splits(t: Tables) -> DataFrame:
+    """The splits of the first boosted tree with eight leaves, in the order they are made."""
+    train = modelling.split_by_patient(frame(t))[0].where(F.col("readmitted_30d").isNotNull())
+    used = cut_lineage(train.select("readmitted_30d", *NUMBERS, *TEXTS))
+    design = modelling.design_sql(modelling.fit_fills(used, NUMBERS, TEXTS))
+    weight, _ = modelling.balanced_weight(used, "readmitted_30d")
+    inputs = [(n, F.expr(sql)) for n, sql in design]
+    fitted = boosting.fit_boosted(used, inputs, F.col("readmitted_30d"), weight, iterations=1, leaves=8, bins=32)
+    rows = [
+        (k, path, fitted.names[s.feature], round(s.threshold, 6), round(s.gain, 4), s.left, s.right)
+        for k, (path, s) in enumerate(fitted.trees[0].splits.items())
+    ]
+    return t.spark.createDataFrame(
+        rows, "step int, path string, feature string, threshold double, gain double, n_left long, n_right long"
+    )
+
+
 @query
 def risk_scores(t: Tables) -> DataFrame:
     """Readmission score of every stay under the logistic regression."""

@@ -40,7 +40,7 @@ def stays(spark):
 @pytest.fixture(scope="module")
 def fitted(stays):
     train, test = modelling.split_by_patient(stays)
-    return modelling.fit_risk_models(train, modelling.risk_learners(trees=10, depth=4)), test
+    return modelling.fit_risk_models(train, modelling.risk_learners(trees=10, depth=4, iterations=10)), test
 
 
 def test_all_models_beat_chance(fitted):
