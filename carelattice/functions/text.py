@@ -46,7 +46,7 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` worked out once.
 
     Inside higher-order functions Spark does not share common subexpressions; a lambda variable over
@@ -73,7 +73,7 @@ def jaro_winkler(left: Column, right: Column) -> Column:
         reach.alias("reach"),
         (2 * reach + 1).alias("width"),
     )
-    similarity = _let(_let(terms, _jaro), lambda s: F.when(s > 0.7, s + _boost(left, right) * (1 - s)).otherwise(s))
+    similarity = let(let(terms, _jaro), lambda s: F.when(s > 0.7, s + _boost(left, right) * (1 - s)).otherwise(s))
     base = F.when((n_left == 0) | (n_right == 0), F.lit(0.0)).when(left == right, F.lit(1.0)).otherwise(similarity)
     return F.when(left.isNotNull() & right.isNotNull(), base)
 
@@ -96,7 +96,7 @@ def _jaro(t: Column) -> Column:
             F.sequence(F.lit(1), t["n_right"]),
             lambda j: F.substring(text, j + t["reach"], F.lit(1)) == USED,
         )
-        return _let(F.struct(matched.alias("matched"), lost.alias("lost")), ratio)
+        return let(F.struct(matched.alias("matched"), lost.alias("lost")), ratio)
 
     def ratio(found: Column) -> Column:
         m = F.size(found["lost"])

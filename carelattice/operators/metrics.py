@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from ..schemas import MATCH_THRESHOLD
 from .linkage import B_ID, one_row
 from .running import running
@@ -179,12 +180,40 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
+#: The rank test is exact up to so many rows on the smaller side, and so many pairs of rows.
+EXACT_SIDE, EXACT_PAIRS = 8, 400
+
+
+def exact_upper_tail(n1: Column, n0: Column, u: Column) -> Column:
+    """P(U >= u) for samples of n1 and n0 rows without ties, if all orders are as likely.
+
+    The numbers of orders with U = 0, 1, ..., n1 n0 are the coefficients of the product of (1 - q^(n + i)) / (1 - q^i)
+    over i = 1..m, m the smaller and n the larger sample: a fold of m steps over an array of n1 n0 + 1 numbers, each
+    a whole number below 2^53 within the bounds above.
+    """
+    m, n = F.least(n1, n0).cast("int"), F.greatest(n1, n0).cast("int")
+    start = F.transform(F.sequence(F.lit(0), m * n), lambda k: F.when(k == 0, 1.0).otherwise(0.0))
+
+    def divided(a: Column, i: Column) -> Column:
+        terms = lambda k: F.sequence(F.lit(0), F.floor(k / i).cast("int"))
+        return F.transform(a, lambda x, k: F.aggregate(terms(k), F.lit(0.0), lambda t, j: t + F.get(a, k - j * i)))
+
+    def step(a: Column, i: Column) -> Column:
+        multiplied = F.transform(a, lambda x, k: x - F.when(k >= n + i, F.get(a, k - n - i)).otherwise(0.0))
+        return let(multiplied, lambda b: divided(b, i))
+
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda t, x: t + x)
+    ways = F.aggregate(F.sequence(F.lit(1), m), start, step)
+    return let(ways, lambda a: total(F.filter(a, lambda x, k: k >= u)) / total(a))
+
+
 def mann_whitney(
     scored: DataFrame, label: str, score: str, by: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
     """Is `score` larger where label = 1? U, ROC-AUC = U / (n1 * n0), z and one-sided p.
 
-    Normal approximation with tie and continuity correction, for samples beyond a handful.
+    Without ties and with at most `EXACT_SIDE` rows on a side (and `EXACT_PAIRS` pairs) p is exact; otherwise it is the
+    normal approximation with tie and continuity correction.
     """
     return rank_test(average_ranks(scored, label, score, by, policy), by)
 
@@ -203,6 +232,8 @@ def rank_test(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     spread = F.sqrt(n1 * n0 / 12 * ((n + 1) - F.coalesce(F.try_divide(F.col("__ties"), n * (n - 1)), F.lit(0.0))))
     with_u = sums.withColumn("u", F.col("__ranks") - n1 * (n1 + 1) / 2)
     with_z = with_u.withColumn("z", F.try_divide(F.col("u") - n1 * n0 / 2 - 0.5, spread))
+    small = (F.least("n1", "n0").between(1, EXACT_SIDE)) & (F.col("n1") * F.col("n0") <= EXACT_PAIRS) & (F.col("__ties") == 0)
+    exact = exact_upper_tail(F.col("n1"), F.col("n0"), F.col("u"))
     return with_z.select(
         *by,
         "n1",
@@ -210,7 +241,7 @@ def rank_test(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "u",
         F.try_divide(F.col("u"), n1 * n0).alias("roc_auc"),
         "z",
-        upper_tail(F.col("z")).alias("p_value"),
+        F.when(small, exact).otherwise(upper_tail(F.col("z"))).alias("p_value"),
     )
 
 

@@ -339,6 +339,13 @@ def evaluation() -> dict[str, str]:
         "mann_whitney_u": f"""
             SELECT n1::BIGINT AS n1, n0::BIGINT AS n0, u, round(z, 6) AS z, round({_tail("z")}, 6) AS p_value
             FROM ({_u_test('v_pred', 'label', 'score')})""",
+        "rank_test_by_group": f"""
+            SELECT t.c_nationkey, t.part, t.n1::BIGINT AS n1, t.n0::BIGINT AS n0, t.u,
+              CASE WHEN t.n1 * t.n0 > 0 THEN round(t.z, 6) END AS z,
+              round(CASE WHEN t.n1 * t.n0 = 0 THEN NULL WHEN least(t.n1, t.n0) BETWEEN 1 AND 8 AND t.n1 * t.n0 <= 400 AND ties = 0 THEN (
+                  SELECT sum(ways) FILTER (r - j * (j + 1) / 2 >= t.u) / sum(ways) FROM v_orders
+                  WHERE k = t.n1 + t.n0 AND j = least(t.n1, t.n0)) ELSE {_tail("t.z")} END, 6) AS p_value
+            FROM ({_u_test('v_segments', 'label', 'score', 'c_nationkey, part,').replace("SELECT c_nationkey, part, n1, n0, u,", "SELECT c_nationkey, part, n1, n0, u, ties,", 1)}) t""",
         "model_comparison_by_language": f"""
             SELECT b.lang AS model, b.precision, b.recall, b.f1, round_even(a.ap, 6)::DOUBLE AS pr_auc,
               round_even(u.u / (u.n1 * u.n0), 6)::DOUBLE AS roc_auc
@@ -373,6 +380,16 @@ def evaluation() -> dict[str, str]:
 
 def evaluation_views() -> dict[str, str]:
     return {
+        "v_segments": """
+            SELECT c_nationkey, c_custkey % 40 AS part, (c_mktsegment = 'BUILDING')::INTEGER AS label, c_acctbal AS score
+            FROM customer""",
+        # In how many ways j of k ranks add up to r.
+        "v_orders": """
+            WITH RECURSIVE o AS (
+              SELECT 0 AS k, 0 AS j, 0 AS r, 1.0::DOUBLE AS ways
+              UNION ALL SELECT k + 1, j + taken, r + taken * (k + 1) AS sum_of_ranks, sum(ways)
+              FROM o, (VALUES (0), (1)) t(taken) WHERE k < 60 AND j + taken <= 8 GROUP BY k, j, taken, r)
+            SELECT k, j, r, sum(ways) AS ways FROM o GROUP BY k, j, r""",
         "v_tested": """
             SELECT readmitted_30d AS label, prior_inpatient_count AS v FROM v_label JOIN v_prior USING (encounter_id)"""
     }

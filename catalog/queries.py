@@ -323,6 +323,19 @@ def mann_whitney_u(t: Tables) -> DataFrame:
     )
 
 
+@query
+def rank_test_by_group(t: Tables) -> DataFrame:
+    """The rank test in many groups, small ones (exact) and larger ones: do customers of one segment have more?"""
+    customers = t.raw("customer").select(
+        "c_nationkey",
+        (F.col("c_custkey") % 40).alias("part"),
+        (F.col("c_mktsegment") == "BUILDING").cast("int").alias("label"),
+        F.col("c_acctbal").alias("score"),
+    )
+    tested = metrics.mann_whitney(customers, "label", "score", ["c_nationkey", "part"])
+    return tested.select("c_nationkey", "part", "n1", "n0", "u", F.round("z", 6).alias("z"), F.round("p_value", 6).alias("p_value"))
+
+
 @query
 def model_comparison_by_language(t: Tables) -> DataFrame:
     """The comparison table, with languages standing in for models."""

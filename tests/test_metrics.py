@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 
@@ -70,6 +71,32 @@ def test_mann_whitney_p_value(spark):
     assert got["p_value"] == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)))
 
 
+def test_small_samples_are_exact(spark):
+    """Against all ways to choose the ranks of the positives."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for k, (n1, n0) in enumerate([(1, 1), (1, 6), (3, 4), (5, 5), (6, 3), (2, 9), (8, 2), (4, 0), (0, 3), (2, 200), (201, 2), (9, 9)]):
+        scores = rng.sample(range(1000), n1 + n0)
+        rows += [(k, int(i < n1), float(s)) for i, s in enumerate(scores)]
+        if not n1 or not n0:
+            want[k] = None
+            continue
+        ranks = {s: r for r, s in enumerate(sorted(scores), 1)}
+        u = lambda chosen: sum(chosen) - n1 * (n1 + 1) / 2
+        own = u([ranks[s] for s in scores[:n1]])
+        if min(n1, n0) > 8 or n1 > 200:
+            continue
+        few = itertools.combinations(range(1, n1 + n0 + 1), n1)
+        all_u = [u(c) for c in few]
+        want[k] = sum(x >= own for x in all_u) / len(all_u)
+    rows += [(50, y, s) for y, s in ((1, 1.0), (0, 1.0), (1, 2.0), (0, 0.0))]  # a tie: the approximation
+    got = {r["g"]: r for r in metrics.mann_whitney(spark.createDataFrame(rows, "g int, y int, s double"), "y", "s", ["g"]).collect()}
+    for k, p in want.items():
+        assert got[k]["p_value"] == (None if p is None else pytest.approx(p, rel=1e-12)), k
+    for k in (10, 11, 50):  # too many pairs, too many rows on both sides, a tie
+        assert got[k]["p_value"] == pytest.approx(0.5 * math.erfc(got[k]["z"] / math.sqrt(2)), rel=1e-9)
+
+
 def test_upper_tail(spark):
     values = [-9.0, -3.0, -0.5, 0.0, 0.3, 1.0, 2.9, 3.0, 5.0, 8.0, 20.0]
     df = spark.createDataFrame([(v,) for v in values], "z double")
