@@ -15,7 +15,10 @@ from carelattice.operators.running import dense_ids, describe_all, medians
 from carelattice.plans import boosting, linking, load, modelling, readmission, scoring
 from carelattice.session import cut_lineage, shared_scratch
 from carelattice.sources.prediction_log import PredictionLog
-from carelattice.schemas import CATEGORICAL_FEATURES, CHRONIC_CODES, NUMERIC_FEATURES, PRIMARY_KEYS, VITAL_CODES
+from carelattice.sources.text_tables import PERSON_EXPORT, read_exports, read_people, read_second_list, read_truth, write_csv
+from carelattice.sources.warehouse import Warehouse
+from carelattice.schemas import CATEGORICAL_FEATURES, CHRONIC_CODES, NUMERIC_FEATURES, PRIMARY_KEYS, RISK_REQUEST, VITAL_CODES
+from carelattice.streaming import scoring as streaming
 
 from .views import Tables
 
@@ -448,6 +451,47 @@ def fact_observation(t: Tables) -> DataFrame:
     return _as_text(load.typed_table(t.exports(), "fact_observation"), "obs_date")
 
 
+@query
+def loaded_encounters(t: Tables) -> DataFrame:
+    """The encounters by way of files: exported as text, read back, typed, written to a warehouse in two steps, read."""
+    folder = shared_scratch(t.spark, "exports")
+    write_csv(t.exports()["encounters"], f"{folder}/encounters.csv")
+    raw = read_exports(t.spark, folder, {"encounters": load.export_columns()["encounters"]}, single_line=["encounters"])
+    typed = load.typed_table(raw, "fact_encounter")
+    warehouse = Warehouse(t.spark, shared_scratch(t.spark, "warehouse"))
+    first = F.crc32(F.col("encounter_id").cast("binary")) % 2 == 0
+    warehouse.write("fact_encounter", typed.where(first))
+    warehouse.append("fact_encounter", typed.where(~first))
+    costs = {c: F.col(c).cast("double") for c in ("base_cost", "total_claim_cost", "payer_coverage")}
+    return _as_text(warehouse.read("fact_encounter"), "start_ts", "stop_ts").withColumns(costs)
+
+
+@query
+def loaded_counts(t: Tables) -> DataFrame:
+    """Rows of the eight tables of a warehouse that was loaded from text exports."""
+    folder = shared_scratch(t.spark, "exports")
+    exports = t.exports()
+    for name, df in exports.items():
+        write_csv(df, f"{folder}/{name}.csv")
+    warehouse = Warehouse(t.spark, shared_scratch(t.spark, "warehouse"))
+    return load.load_warehouse(t.spark, folder, warehouse, single_line=list(exports))
+
+
+@query
+def deterministic_eval_from_files(t: Tables) -> DataFrame:
+    """The fixed rules on person lists and truth that went through text files."""
+    folder = shared_scratch(t.spark, "people")
+    b, truth = second_list(t)
+    named = {name: raw for raw, name in PERSON_EXPORT.items()}
+    a = t.person_a()
+    write_csv(a.select(*[F.col(c).alias(named[c]) for c in a.columns]), f"{folder}/patients.csv")
+    write_csv(b, f"{folder}/second.csv")
+    write_csv(truth, f"{folder}/truth.csv")
+    b = read_second_list(t.spark, f"{folder}/second.csv")
+    matches = linkage.match_by_rules(read_people(t.spark, f"{folder}/patients.csv"), b)
+    return metrics.linkage_metrics(matches, read_truth(t.spark, f"{folder}/truth.csv"), b)
+
+
 @query
 def parse_report(t: Tables) -> DataFrame:
     return load.parse_report(t.exports())
@@ -627,6 +671,19 @@ def risk_scores(t: Tables) -> DataFrame:
     return scoring.shown(scoring.score_risk(stays, fitted)).select("encounter_id", "score")
 
 
+@query
+def saved_model_scores(t: Tables) -> DataFrame:
+    """The same scores by a model that was saved and loaded, of requests that arrive as JSON."""
+    folder = shared_scratch(t.spark, "served")
+    stays = cut_lineage(frame(t))
+    learners = {"logistic_regression": modelling.risk_learners()["logistic_regression"]}
+    modelling.save_models(modelling.fit_risk_models(modelling.split_by_patient(stays)[0], learners), f"{folder}/models")
+    stays.select("encounter_id", *NUMBERS, *TEXTS).write.json(f"{folder}/requests")
+    requests = scoring.read_requests(t.spark, f"{folder}/requests", f"encounter_id long, {RISK_REQUEST}")
+    fitted = modelling.load_model(f"{folder}/models/logistic_regression")
+    return scoring.shown(scoring.score_risk(requests, fitted)).select("encounter_id", "score")
+
+
 def _requests(t: Tables) -> DataFrame:
     """True pairs as scoring requests."""
     b, truth = second_list(t)
@@ -649,6 +706,18 @@ def match_log(t: Tables) -> DataFrame:
     return log.select("kind", "input_summary", F.round("score", 6).alias("score"))
 
 
+@query
+def streamed_match_log(t: Tables) -> DataFrame:
+    """The log of requests that arrive as files and are scored as a stream."""
+    folder = shared_scratch(t.spark, "stream")
+    _requests(t).select("record_a", "record_b").write.json(f"{folder}/requests")
+    score = linkage.logistic(PAIR_WEIGHTS, PAIR_INTERCEPT)
+    stream = streaming.stream_pair_scores(t.spark, f"{folder}/requests", score, f"{folder}/log", f"{folder}/progress", once=True)
+    stream.awaitTermination()
+    log = PredictionLog(t.spark, f"{folder}/log")
+    return log.rows().select("kind", "input_summary", F.round("score", 6).alias("score"))
+
+
 @query
 def risk_log(t: Tables) -> DataFrame:
     """Log rows of all stays, with the share of prior stays as a score."""
