@@ -2,13 +2,14 @@
 
 Several operators ask one question about very many small keys (words, n-grams, shingles): how often does each
 occur anywhere? Exploding them into rows would shuffle one row per word. Here a *block* of documents (a hash
-of the row, as many blocks as shuffle partitions) reduces its keys to sorted distinct arrays, sends each
+of the row, about `BLOCK_BYTES` of text each) reduces its keys to sorted distinct arrays, sends each
 *bucket* (a range of key hashes) one compressed slice, and gets back a slice of answers in the same order.
 Hot keys cost one entry per block, so no key can fill a task.
 """
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import uuid
@@ -23,8 +24,6 @@ from pyspark.sql import functions as F
 
 from carelattice.session import shared_folder
 
-#: Splits and distinct words remembered by one Python worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
 
 
 def prepare(spark: SparkSession) -> int:
@@ -65,22 +64,112 @@ def remainder(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+# -- memory of a worker ------------------------------------------------------------------------
+
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]):
+    """What a Python worker keeps between batches under `key`. Workers are used again by other operators; each holds one
+    such thing at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker that waits for its next block should hold nothing of the last."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def tidy(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """`work` on one group, with `release` after it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return work(table)
+        finally:
+            release()
+
+    return run
+
+
+def tidy_both(work: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for two grouped tables."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return work(left, right)
+        finally:
+            release()
+
+    return run
+
+
 # -- words -------------------------------------------------------------------------------------
 
-_HASHES: dict[bytes, int] = {}
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_ROOT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+#: Bytes that are hashed at once, and the longest word hashed this way.
+_STRETCH, _LONG = 1 << 18, 256
+
+
+def _powers(base: int) -> np.ndarray:
+    factors = np.full(_STRETCH + _LONG + 1, base, np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, in order."""
-    try:
-        return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        if len(_HASHES) > REMEMBERED:
-            _HASHES.clear()
-        for w in words:
-            if w not in _HASHES:
-                _HASHES[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+_UP, _DOWN = _powers(_ROOT), _powers(pow(_ROOT, -1, 1 << 64))
+
+
+def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` of all texts in a row, and the number of words of each text. With
+    `lower`, A-Z count as a-z.
+
+    A word's hash is the value of its bytes as a polynomial, mixed with its length. All words of a stretch come from one
+    running sum, without a look at single words; longer words are hashed one by one.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    if lower:
+        data = _LOWER[data]
+    solid = np.zeros(len(data) + 2, np.int8)
+    solid[1:-1] = ~_IS_SPACE[data]
+    step = np.diff(solid)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    begins = np.cumsum(sizes + 1) - (sizes + 1)
+    counts = np.diff(np.searchsorted(starts, np.append(begins, len(data))))
+    out = np.empty(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + _STRETCH, _STRETCH))
+    for k, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        if i < j:
+            low = k * _STRETCH
+            part = data[low : low + _STRETCH + _LONG].astype(np.uint64)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((part + np.uint64(1)) * _UP[: len(part)], out=sums[1:])
+            a, b = starts[i:j] - low, np.minimum(ends[i:j] - low, len(part))
+            out[i:j] = (sums[b] - sums[a]) * _DOWN[a]
+    lengths = ends - starts
+    out = mix(out + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    for k in np.flatnonzero(lengths > _LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes())
+    return out, counts
+
+
+def texts_hashes(texts: list[bytes], lower: bool = False) -> list[np.ndarray]:
+    """The word hashes of each text."""
+    hashes, counts = word_hashes(texts, lower)
+    return np.split(hashes, np.cumsum(counts)[:-1]) if len(texts) else []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -144,8 +233,15 @@ def positions(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray,
 # -- blocks ------------------------------------------------------------------------------------
 
 
-def in_blocks(docs: DataFrame, n: int, *extra: str) -> DataFrame:
-    """`docs` (doc_id, text, ...) with their block of `n`, texts as bytes."""
+#: Bytes of text in a block of documents: what one Python worker holds at a time, in some thirty times as much memory.
+BLOCK_BYTES = 6 << 20
+
+
+def in_blocks(docs: DataFrame, *extra: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """`docs` (doc_id, text, ...) with their block, texts as bytes. The number of blocks follows the bytes of all texts,
+    not the session's settings; counting them reads the texts once."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-total // block_bytes))
     return docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"),
         "doc_id",
@@ -226,8 +322,8 @@ def key_counts(blocks: DataFrame, keys_of: Callable[[list[tuple]], np.ndarray],
             ("block", "bucket", "data"),
         )
 
-    asked = blocks.groupBy("block").applyInArrow(ask, REQUEST)
-    return asked.groupBy("bucket").applyInArrow(answer, REPLY)
+    asked = blocks.groupBy("block").applyInArrow(tidy(ask), REQUEST)
+    return asked.groupBy("bucket").applyInArrow(tidy(answer), REPLY)
 
 
 def total_counts(replies: pa.Table) -> np.ndarray:

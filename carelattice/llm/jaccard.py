@@ -26,17 +26,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, grams, hash_words, in_blocks, key_counts, prepare, rows_of, stored, total_counts
+from .common import documents, grams, in_blocks, key_counts, prepare, rows_of, stored, texts_hashes, tidy_both, total_counts
 
 SETS = "doc_id long, n_shingles long, digest binary, shared binary"
 
 
-def shingles(text: bytes, size: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    h = hash_words(text.lower().split())
-    if not len(h):
-        return np.empty(0, np.uint64)
-    return np.unique(grams(h, min(size, len(h))))
+def shingles(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    return [np.unique(grams(h, min(size, len(h)))) if len(h) else h for h in texts_hashes(texts, lower=True)]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -47,14 +44,14 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per row: size and digest of its set, and, where its prefix holds shingles of other documents, all shingles that
     others have too, the rarest first."""
     n = prepare(docs.sparkSession)
-    blocks = in_blocks(documents(docs), n)
+    blocks = in_blocks(documents(docs))
 
     def keys_of(rows: list[tuple]) -> np.ndarray:
-        return np.concatenate([np.empty(0, np.uint64), *(shingles(t, size) for _, t in rows)])
+        return np.concatenate([np.empty(0, np.uint64), *shingles([t for _, t in rows], size)])
 
     def describe(table: pa.Table, replies: pa.Table) -> pa.Table:
         rows = rows_of(table)
-        sets = [shingles(t, size) for _, t in rows]
+        sets = shingles([t for _, t in rows], size)
         keys, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets])), total_counts(replies)
         shared = []
         for s in sets:
@@ -71,7 +68,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
         )
 
     replies = key_counts(blocks, keys_of, n)
-    found = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(describe, SETS)
+    found = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(tidy_both(describe), SETS)
     return stored(found, "shingle-sets")
 
 

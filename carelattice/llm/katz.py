@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    counted, hash_words, in_blocks, joined, mix, pack, pack_sorted, parted, prepare, rows_of,
-    scratch, unpack, unpack_sorted, bucket_edges,
+    counted, in_blocks, joined, mix, pack, pack_sorted, parted, prepare, rows_of,
+    scratch, tidy, tidy_both, unpack, unpack_sorted, bucket_edges, word_hashes,
 )
 
 KEEP = 5  # counts above are taken as they are
@@ -92,15 +92,17 @@ class Tokens:
 
 def _sequences(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes of all texts with their marks, index of the token before each, training flag of each."""
-    parts, train = [], []
-    for _, text, flag in rows:
-        h = hash_words(text.lower().split())
-        parts += [np.array([START]), h, np.array([END])]
-        train.append(np.full(len(h) + 2, bool(flag)))
-    h = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+    words, counts = word_hashes([text for _, text, _ in rows], lower=True)
+    # Every text is preceded by a start mark and followed by an end.
+    starts = np.cumsum(counts + 2) - (counts + 2)
+    h = np.empty(len(words) + 2 * len(rows), np.uint64)
+    solid = np.ones(len(h), bool)
+    for mark, at in ((START, starts), (END, starts + counts + 1)):
+        h[at], solid[at] = mark, False
+    h[solid] = words
     before = np.arange(-1, len(h) - 1)
-    before[h == START] += 1
-    return h, before, np.concatenate(train) if train else np.empty(0, bool)
+    before[starts] += 1
+    return h, before, np.repeat(np.array([bool(flag) for *_, flag in rows], bool), counts + 2)
 
 
 @dataclass
@@ -314,7 +316,7 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce("training", F.lit(False)).alias("training"),
     )
-    blocks = in_blocks(flagged, n, "training")
+    blocks = in_blocks(flagged, "training")
     scorer = Scorer(n, order)
     tables: list[DataFrame] = []
 
@@ -361,13 +363,14 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     for level in range(order):
         grouped = blocks.groupBy("block")
         if level:
-            asked = grouped.cogroup(told(level).groupBy("block")).applyInArrow(requested(_frozen(scorer), level), request)
+            ask = tidy_both(requested(_frozen(scorer), level))
+            asked = grouped.cogroup(told(level).groupBy("block")).applyInArrow(ask, request)
             answer = _answer_grams(n, start, scorer.levels[-1].discounts, level + 1 == order)
         else:
-            asked = grouped.applyInArrow(requested(_frozen(scorer), 0), request)
+            asked = grouped.applyInArrow(tidy(requested(_frozen(scorer), 0)), request)
             answer = _answer_words(n)
         path = scratch(spark, f"katz-{level + 1}")
-        asked.groupBy("bucket").applyInArrow(answer, ANSWER).write.partitionBy("kind").parquet(path)
+        asked.groupBy("bucket").applyInArrow(tidy(answer), ANSWER).write.partitionBy("kind").parquet(path)
         tables.append(spark.read.schema("bucket int, block int, data binary, kind string").parquet(path))
         # One row per bucket, and at most four hot contexts per bucket.
         facts = [np.frombuffer(r[0], np.int64) for r in tables[-1].where("kind = 'counts'").select("data").collect()]
@@ -407,7 +410,7 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
         )
 
     return blocks.groupBy("block").cogroup(told(order).groupBy("block")).applyInArrow(
-        finish,
+        tidy_both(finish),
         "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 

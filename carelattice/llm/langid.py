@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, table_batches
+from .common import held, prepare, table_batches
 
 UNIT = 1 << 16
 MAX_LANGUAGES = 200
@@ -279,16 +279,6 @@ class Coder:
         return out
 
 
-_CODERS: dict[str, Coder] = {}
-
-
-def _coder(key: str, trees) -> Coder:
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(trees.value)
-    return _CODERS[key]
-
-
 def shares(costs: np.ndarray) -> np.ndarray:
     """Posterior share of each language, all alike before the text is read."""
     above = (costs - costs.min(axis=1, keepdims=True)) / UNIT
@@ -307,7 +297,7 @@ def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:
     names = ["doc_id", "lang_pred", "score", "bits"]
 
     def run(rows: list[tuple]) -> pa.RecordBatch:
-        coder = _coder(key, shared)
+        coder = held(key, lambda: Coder(shared.value))
         languages = coder.trees.languages
         coded = [i for i, r in enumerate(rows) if r[1] is not None and languages]
         label, score, bits = [UNKNOWN] * len(rows), [0.0] * len(rows), [None] * len(rows)

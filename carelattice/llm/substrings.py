@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from .common import (
-    REPLY, REQUEST, bucket_edges, documents, grams, hash_words, in_blocks, joined, key_counts, mix, pack, parted,
-    prepare, replies_of, request_table, requests_of, rows_of, total_counts, unpack,
+    REPLY, REQUEST, bucket_edges, documents, grams, in_blocks, joined, key_counts, mix, pack, parted,
+    prepare, replies_of, request_table, requests_of, rows_of, texts_hashes, tidy, tidy_both, total_counts, unpack,
 )
 
 ANCHOR = 8
@@ -44,9 +44,9 @@ def _slid(x: np.ndarray, width: int, take) -> np.ndarray:
 class _Doc:
     """A document's word hashes, and the anchor of each of its windows."""
 
-    def __init__(self, text: bytes, size: int, span: int):
+    def __init__(self, text: bytes, h: np.ndarray, size: int, span: int):
         self.text = text
-        self.h = hash_words(text.split())
+        self.h = h
         self.g = grams(self.h, span)
         self.windows = max(0, len(self.h) - size + 1)
         self.anchor = _slid(self.g, size - span + 1, np.minimum) if self.windows else self.g[:0]
@@ -60,6 +60,11 @@ class _Doc:
         return self.g[_slid(wide, width, np.maximum) == self.g]
 
 
+def _docs(rows: list[tuple], size: int, span: int) -> list[_Doc]:
+    texts = [t for _, t in rows]
+    return [_Doc(t, h, size, span) for t, h in zip(texts, texts_hashes(texts), strict=True)]
+
+
 def _runs(doc: _Doc, counts: np.ndarray, heavy: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last window of each run that may repeat, and whether it is of a heavy anchor."""
     if not doc.windows:
@@ -77,7 +82,7 @@ class _Block:
     """A block's documents and the runs it sends: equal runs once, in an order given by the rows alone."""
 
     def __init__(self, rows: list[tuple], counts: np.ndarray, size: int, span: int, heavy: int, n: int):
-        self.docs = [_Doc(t, size, span) for _, t in rows]
+        self.docs = _docs(rows, size, span)
         keys = np.unique(np.concatenate([np.empty(0, np.uint64), *(d.anchors(size, span) for d in self.docs)]))
         seen: dict[bytes, int] = {}
         self.sent: list[tuple[int, int, int]] = []  # document, first window, last window
@@ -185,10 +190,10 @@ def remove_repeats(docs: DataFrame, min_words: int = 20, heavy: int = 20_000) ->
     """
     n = prepare(docs.sparkSession)
     size, span = min_words, min(ANCHOR, min_words)
-    blocks = in_blocks(documents(docs), n)
+    blocks = in_blocks(documents(docs))
 
     def keys_of(rows: list[tuple]) -> np.ndarray:
-        return np.concatenate([np.empty(0, np.uint64), *(_Doc(t, size, span).anchors(size, span) for _, t in rows)])
+        return np.concatenate([np.empty(0, np.uint64), *(d.anchors(size, span) for d in _docs(rows, size, span))])
 
     def ask(table: pa.Table, replies: pa.Table) -> pa.Table:
         rows = rows_of(table)
@@ -241,7 +246,7 @@ def remove_repeats(docs: DataFrame, min_words: int = 20, heavy: int = 20_000) ->
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     counts = key_counts(blocks, keys_of, n)
-    asked = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(ask, REQUEST)
-    told = asked.groupBy("bucket").applyInArrow(_answer(size), REPLY)
+    asked = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(tidy_both(ask), REQUEST)
+    told = asked.groupBy("bucket").applyInArrow(tidy(_answer(size)), REPLY)
     both = counts.selectExpr("*", "0 level").unionByName(told.selectExpr("*", "1 level"))
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(cut, RESULT)
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(tidy_both(cut), RESULT)

@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 import regex
 
+from .common import held
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: The split patterns of the two vocabularies, as their files state them (fixed values).
@@ -118,11 +120,6 @@ class Encoder:
         return self._joined(pieces, self.spaced, self._spaced)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("encoder", path), lambda: Encoder(path))
