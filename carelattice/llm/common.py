@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelattice.session import shared_folder
@@ -54,9 +54,14 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def as_documents() -> tuple[Column, Column]:
+    """`doc_id` and `text`, null texts as empty ones."""
+    return F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """`doc_id` and `text` of `docs`, null texts as empty ones; other columns are left behind."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return docs.select(*as_documents())
 
 
 def remainder(column: str, modulus: int):

@@ -178,11 +178,15 @@ def exact_groups(docs: DataFrame, batches: int = 4) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, batches: int = 4) -> DataFrame:
-    """The rows of `docs` that stay, with all columns: of equal texts the row with the smallest doc_id, once even
-    where that row is repeated."""
+    """The rows of `docs` that stay, with all columns: of equal texts the row with the smallest doc_id. Where several
+    rows share that doc_id, the one whose columns sort first in order (nulls first, maps aside) stays alone."""
     row_key = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_sha256")
     kept = exact_groups(docs, batches).where("kept").select(row_key.alias("__row_key"))
     sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " "), 256)
     own = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null")), sha)
-    rows = docs.withColumn("__row_key", own).join(kept, "__row_key", "left_semi")
-    return rows.dropDuplicates(["__row_key"]).drop("__row_key")
+    named = next(f"__row_key_{i}" for i in range(len(docs.columns) + 1) if f"__row_key_{i}" not in docs.columns)
+    rows = docs.withColumn(named, own).join(kept.withColumnRenamed("__row_key", named), named, "left_semi")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    sortable = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    one = F.min_by(F.struct(*columns), F.struct(*sortable)).alias("__one")
+    return rows.groupBy(named).agg(one).select(*[F.col("__one")[c].alias(c) for c in docs.columns])

@@ -26,9 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, grams, in_blocks, key_counts, prepare, rows_of, stored, texts_hashes, tidy_both, total_counts
+from .common import as_documents, grams, in_blocks, key_counts, prepare, rows_of, stored, texts_hashes, tidy_both, total_counts
 
-SETS = "doc_id long, n_shingles long, digest binary, shared binary"
+SETS = "doc_id long, row long, n_shingles long, digest binary, shared binary"
+ROW = "__row"
 
 
 def shingles(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -41,17 +42,18 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: size and digest of its set, and, where its prefix holds shingles of other documents, all shingles that
+    """Per row (its number in column `__row`, if there is one): size and digest of its set, and, where its prefix holds shingles of other documents, all shingles that
     others have too, the rarest first."""
     n = prepare(docs.sparkSession)
-    blocks = in_blocks(documents(docs))
+    row = F.col(ROW) if ROW in docs.columns else F.lit(None)
+    blocks = in_blocks(docs.select(*as_documents(), row.cast("long").alias("row")), "row")
 
     def keys_of(rows: list[tuple]) -> np.ndarray:
-        return np.concatenate([np.empty(0, np.uint64), *shingles([t for _, t in rows], size)])
+        return np.concatenate([np.empty(0, np.uint64), *shingles([r[1] for r in rows], size)])
 
     def describe(table: pa.Table, replies: pa.Table) -> pa.Table:
-        rows = rows_of(table)
-        sets = shingles([t for _, t in rows], size)
+        rows = rows_of(table, "row")
+        sets = shingles([r[1] for r in rows], size)
         keys, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets])), total_counts(replies)
         shared = []
         for s in sets:
@@ -62,7 +64,8 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
             else:
                 shared.append(None)
         return pa.table(
-            {"doc_id": pa.array([i for i, _ in rows], pa.int64()), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            {"doc_id": pa.array([r[0] for r in rows], pa.int64()), "row": pa.array([r[2] for r in rows], pa.int64()),
+             "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
              "digest": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
              "shared": pa.array(shared, pa.binary())}
         )
@@ -207,23 +210,36 @@ def _starred(prefixes: DataFrame) -> DataFrame:
     )
 
 
+def _rooted(sets: DataFrame, percent: int) -> DataFrame:
+    """(digest, first, root): per set that is not empty its smallest doc_id and its component."""
+    _, found = linked_classes(sets, percent)
+    own = sets.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"))
+    rooted = own.join(found, F.col("digest") == F.col("node"), "left")
+    return stored(rooted.select("digest", "first", F.coalesce("root", "digest").alias("root")), "rooted")
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     sets = shingle_sets(docs, size, percent)
-    _, found = linked_classes(sets, percent)
-    filled = sets.where("n_shingles > 0")
-    own = filled.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    rooted = own.join(found, F.col("digest") == F.col("node"), "left")
-    rooted = stored(rooted.select("digest", "first", F.coalesce("root", "digest").alias("root")), "rooted")
+    rooted = _rooted(sets, percent)
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component"))
     class_of = rooted.join(lowest, "root").select("digest", "component")
-    joined = filled.join(class_of, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    joined = sets.where("n_shingles > 0").join(class_of, "digest")
     empty = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return joined.unionByName(empty)
+    return joined.select("doc_id", "n_shingles", F.col("component").alias("component_id")).unionByName(empty)
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of their component, with all columns."""
-    own = jaccard_components(docs, size, percent)
-    kept = own.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """One row of each component of `docs`, with all columns: the one with the smallest doc_id (nulls last), of several the
+    one that comes first in the stored table. Rows without a word are components of their own and all stay.
+
+    Rows are told apart by their number in a stored copy of `docs`, so repeated and missing doc_ids make no difference.
+    """
+    named = next(f"{ROW}_{i}" for i in range(len(docs.columns) + 1) if f"{ROW}_{i}" not in docs.columns)
+    numbered = stored(docs.withColumn(named, F.monotonically_increasing_id()), "rows")
+    sets = shingle_sets(numbered.select("doc_id", "text", F.col(named).alias(ROW)), size, percent)
+    rooted = _rooted(sets, percent).select("digest", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    firsts = sets.where("n_shingles > 0").join(rooted, "digest").groupBy("root").agg(F.min(order).alias("first"))
+    kept = firsts.select("first.row").unionByName(sets.where("n_shingles = 0").select("row"))
+    return numbered.join(kept.withColumnRenamed("row", named), named, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

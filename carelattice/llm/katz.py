@@ -20,7 +20,8 @@ occurrence more, which is its mass for the unseen. Unknown words are one class w
 Each level is one round of requests between blocks of documents and buckets of contexts, whose
 result is stored as partitioned tables: the grams and counts ("model"), counts of counts, and the answers. The contexts
 that have more than a quarter of a bucket's share of tokens are spread over all buckets by the next word and added up
-apart; there are at most 4 per bucket.
+apart; there are at most 4 per bucket. Where a context is counted changes nothing in what is counted, so scores
+do not depend on the number of buckets.
 
 Null and empty texts are one token, the end. An empty table gives an empty result; without training rows every score is
 0 (one unknown class). Null doc_ids and null training flags count as held out; repeated rows are texts of their own.
@@ -177,6 +178,11 @@ class Scorer:
         count = _gathered([g[0] for g in got], np.uint32).astype(np.int64)
         ids = _gathered([g[1] for g in got], np.uint64)
         flag = _gathered([g[2] for g in got], np.uint8)
+        if level.hot:  # whether a hot context counts one occurrence more is known from all its buckets together
+            known = np.array(sorted(level.hot), np.uint64)
+            none = np.array([not level.hot[int(c)][0].any() for c in known])
+            at = np.minimum(np.searchsorted(known, asked.context), len(known) - 1)
+            flag = np.where(asked.hot & (known[at] == asked.context), none[at], flag)
         rare = _gathered([g[3] for g in got], np.uint32).reshape(-1, KEEP).astype(float)
         sums = _gathered([g[4] for g in got], np.float64)
         alpha = np.ones(len(count))
