@@ -1,5 +1,5 @@
-"""Fitting and comparing the pair and risk classifiers: an exact logistic regression and leaf-wise boosted trees
-(see `logit`, `boosting`), and learners of Spark ML."""
+"""Fitting and comparing the pair and risk classifiers: an exact logistic regression, leaf-wise boosted trees, a
+small network (see `logit`, `boosting`, `network`), and Spark ML's forest."""
 
 from __future__ import annotations
 
@@ -8,13 +8,12 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import uniform
 from ..operators.linkage import B_ID, one_row, weighted_pairs
 from ..operators.metrics import average_rank_of, binary_metrics, model_comparison, rank_test, score_steps
 from ..operators.running import medians, modes
@@ -24,6 +23,7 @@ from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, PAIR_FEATURES, SEE
 from ..session import cut_lineage
 from .boosting import fit_boosted
 from .logit import SCORE, Logit, fit_logit
+from .network import Training, fit_network
 
 FEATURES, WEIGHT = "features", "__weight"
 
@@ -136,22 +136,6 @@ def balanced_weight(df: DataFrame, label: str, weight: Column | None = None) ->
     return of * rows, n
 
 
-def oversampled(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
-    """Rows of the smaller class repeated until the classes are about even; nothing is left out.
-
-    For learners without row weights. A fractional number of copies is settled by a draw on the key.
-    """
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    if len(counts) < 2:
-        return df
-    most = max(counts.values())
-    times = F.lit(1.0)
-    for value, n in counts.items():
-        times = F.when(F.col(label) == value, F.lit(most / n)).otherwise(times)
-    whole = F.floor(times + uniform(F.col(key), seed, "copies")).cast("int")
-    return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(whole, F.lit(1))))).drop("__copy")
-
-
 # -- pair classifier ---------------------------------------------------------------------------
 
 
@@ -269,34 +253,42 @@ class LeafwiseTrees:
 
 
 @dataclass(frozen=True)
-class Learner:
-    """A classifier to be fitted on prepared rows, made from the number of inputs; `weighted` says whether it takes row
-    weights."""
+class NeuralNetwork:
+    """The network of `network` on the prepared columns."""
+
+    inputs: int
+    label: str = TARGET
+    key: str = "encounter_id"
+    training: Training = Training()
+
+    def fit(self, dataset: DataFrame) -> Transformer:
+        vector = vector_to_array(FEATURES)
+        columns = [(f"__x{i}", vector[i]) for i in range(self.inputs)]
+        return fit_network(dataset, columns, F.col(self.label), F.col(WEIGHT), F.col(self.key), self.training).stage()
+
 
-    make: Callable[[int], Fits]
-    weighted: bool = True
+#: Makes what is to be fitted on prepared rows, from the number of inputs.
+Learner = Callable[[int], Fits]
 
 
 def risk_learners(
-    label: str = TARGET, seed: int = SEED, trees: int = 300, depth: int = 12, iterations: int = 100
+    label: str = TARGET,
+    seed: int = SEED,
+    trees: int = 300,
+    depth: int = 12,
+    iterations: int = 100,
+    key: str = "encounter_id",
+    training: Training = Training(),
 ) -> dict[str, Learner]:
-    """The four compared classifiers, by name."""
+    """The four compared classifiers, by name; all take row weights."""
     common = {"featuresCol": FEATURES, "labelCol": label}
     return {
-        "logistic_regression": Learner(lambda inputs: ExactLogit(inputs, label)),
-        "random_forest": Learner(
-            lambda _: RandomForestClassifier(
-                **common, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, seed=seed
-            )
-        ),
-        "gradient_boosted_trees": Learner(lambda inputs: LeafwiseTrees(inputs, label, iterations)),
-        # Sigmoid units, no dropout and no row weights in this learner: balanced by repetition instead.
-        "neural_network_mlp": Learner(
-            lambda inputs: MultilayerPerceptronClassifier(
-                **common, layers=[inputs, 32, 16, 2], maxIter=100, blockSize=64, seed=seed
-            ),
-            weighted=False,
+        "logistic_regression": lambda inputs: ExactLogit(inputs, label),
+        "random_forest": lambda _: RandomForestClassifier(
+            **common, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, seed=seed
         ),
+        "gradient_boosted_trees": lambda inputs: LeafwiseTrees(inputs, label, iterations),
+        "neural_network_mlp": lambda inputs: NeuralNetwork(inputs, label, key, training),
     }
 
 
@@ -316,7 +308,7 @@ def fit_risk_models(
     cluster or their number, so learners that draw per task give the same model everywhere; set it to what the cluster
     can run at once.
     """
-    learners = risk_learners(label) if learners is None else learners
+    learners = risk_learners(label, key=key) if learners is None else learners
     used = cut_lineage(train.where(F.col(label).isNotNull()).select(key, label, *numeric, *categorical))
     fills = fit_fills(used, numeric, categorical, policy)
     prepared = preparation(fills).fit(used)
@@ -327,15 +319,7 @@ def fit_risk_models(
     rows = cut_lineage(ready.repartition(tasks, key).sortWithinPartitions(key)).persist()
     try:
         inputs = len(input_names(fills))
-        return {
-            name: PipelineModel(
-                [
-                    *prepared.stages,
-                    learner.make(inputs).fit(rows if learner.weighted else oversampled(rows, label, key)),
-                ]
-            )
-            for name, learner in learners.items()
-        }
+        return {name: PipelineModel([*prepared.stages, make(inputs).fit(rows)]) for name, make in learners.items()}
     finally:
         rows.unpersist()
 

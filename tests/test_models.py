@@ -8,11 +8,12 @@ import random
 import re
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from carelattice.operators import linkage, perturb
-from carelattice.plans import linking, modelling, scoring
+from carelattice.plans import linking, modelling, network, scoring
 from carelattice.plans.logit import fit_logit
 from carelattice.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from carelattice.sources.prediction_log import PredictionLog
@@ -149,13 +150,58 @@ def test_forest_does_not_depend_on_how_rows_arrive(stays):
     assert trees[0] == trees[1]
 
 
-def test_oversampling_keeps_all_rows(stays):
-    rare = stays.where("readmitted_30d = 0 OR encounter_id < 'e2'")
-    before = {r["readmitted_30d"]: r["count"] for r in rare.groupBy("readmitted_30d").count().collect()}
-    more = modelling.oversampled(rare, "readmitted_30d", "encounter_id")
-    after = {r["readmitted_30d"]: r["count"] for r in more.groupBy("readmitted_30d").count().collect()}
-    assert more.select("encounter_id").distinct().count() == rare.count()
-    assert after[0] == before[0] and after[1] == pytest.approx(before[0], rel=0.2)
+def forward(layers, x, kept=None):
+    """Plain Python: the output of the network for one row."""
+    for k, (weights, bias) in enumerate(layers):
+        x = [sum(v * weights[i][j] for i, v in enumerate(x)) + bias[j] for j in range(len(bias))]
+        if k < len(layers) - 1:
+            x = [max(v, 0.0) * (kept[j] if kept is not None and k == 0 else 1.0) for j, v in enumerate(x)]
+    return x[0]
+
+
+def test_network_gradient_and_dropout():
+    rng = np.random.default_rng(1)
+    layers = [(w, rng.normal(size=b.shape)) for w, b in network.start((3, 5, 4, 1), 7)]
+    x, y, w = rng.normal(size=(6, 3)), rng.integers(0, 2, 6).astype(float), rng.uniform(0.5, 2, 6)
+    kept = network.kept_units(np.arange(6), 2, 5, 0.4)
+    assert set(np.unique(kept)) <= {0.0, 1 / 0.6}
+    many = network.kept_units(np.arange(20000), 0, 5, 0.4)
+    assert np.abs(many.mean(axis=0) - 1).max() < 0.03 and (kept == network.kept_units(np.arange(6), 2, 5, 0.4)).all()
+    assert (network.kept_units(np.arange(6), 3, 5, 0.4) != kept).any()
+
+    def loss(flat):
+        own = network._layered(flat, (3, 5, 4, 1))
+        z = [forward(own, list(r), k) for r, k in zip(x, kept)]
+        return sum(a * (math.log1p(math.exp(-v)) + (1 - b) * v) for a, b, v in zip(w, y, z)) / 6
+
+    flat = network._flat(layers)
+    got, gradient = network.loss_gradient(layers, x, y, w, kept)
+    assert got == pytest.approx(loss(flat))
+    for i, g in enumerate(network._flat(gradient)):
+        up, down = flat.copy(), flat.copy()
+        up[i] += 1e-6
+        down[i] -= 1e-6
+        assert (loss(up) - loss(down)) / 2e-6 == pytest.approx(g, abs=1e-6)
+
+
+def test_network_does_not_depend_on_tasks(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, float(rng.random() < 0.5), rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(600)]
+    rows = [(i, float((a * b > 0) != (rng.random() < 0.05)), a, b) for i, _, a, b in rows]
+    schema, training = "k long, y double, a double, b double", network.Training((16, 8), rounds=25, batch=16, rate=0.01, shards=3)
+    fit = lambda df: network.fit_network(df, [("a", F.col("a")), ("b", F.col("b"))], F.col("y"), F.lit(1.0), F.col("k"), training)
+    one = fit(spark.createDataFrame(rows, schema).coalesce(1))
+    rng.shuffle(rows)
+    more = [*rows, (9000, None, 1.0, 1.0), (9001, 1.0, None, 1.0)]
+    assert fit(spark.createDataFrame(more, schema).repartition(8)) == one
+    assert one.losses[-1] < 0.7 * one.losses[0]
+    one.stage().write().save(str(tmp_path / "n"))
+    df = spark.createDataFrame(rows, schema)
+    scored = modelling.with_score(modelling.load_model(str(tmp_path / "n")), df).collect()
+    want = [1 / (1 + math.exp(-forward(one.layers(), [r["a"], r["b"]]))) for r in scored]
+    assert [r["score"] for r in scored] == pytest.approx(want, abs=1e-9)
+    assert sum((r["score"] > 0.5) == (r["y"] > 0.5) for r in scored) > 0.85 * len(scored)
+    assert fit(df.limit(0)).losses == ()
 
 
 def people(spark, n=300):
