@@ -122,3 +122,25 @@ def _boost(left: Column, right: Column) -> Column:
     same = [(longest >= k) & (prefix(left, k) == prefix(right, k)) for k in (1, 2, 3, 4)]
     shared = F.when(same[3], 4).when(same[2], 3).when(same[1], 2).when(same[0], 1).otherwise(0)
     return shared * F.lit(0.1)
+
+
+def letter_bits(text: Column) -> Column:
+    """Which characters a text has, as bits; characters of one bit count as one. Null for null."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ascii(c) % 63)
+    letters = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.aggregate(letters, F.lit(0).cast("bigint"), lambda bits, c: bits.bitwiseOR(bit(c)))
+
+
+def jaro_winkler_bound(left: Column, right: Column, left_bits: Column, right_bits: Column) -> Column:
+    """At least `jaro_winkler(left, right)`, without a look at single characters; `*_bits` are `letter_bits`.
+
+    Every character of one side that the other lacks takes away a match, so there are at most m = min(n - lacking) of
+    them, and Jaro's mean is at most (m / n1 + m / n2 + 1) / 3. The boost grows with it and is known exactly.
+    """
+    n_left, n_right = F.length(left), F.length(right)
+    lacking = lambda own, other: F.bit_count(own.bitwiseAND(F.bitwise_not(other)))
+    m = F.least(n_left - lacking(left_bits, right_bits), n_right - lacking(right_bits, left_bits))
+    jaro = (m / n_left + m / n_right + 1) / 3 + F.lit(1e-12)
+    boosted = F.when(jaro > 0.7, jaro + _boost(left, right) * (1 - jaro)).otherwise(jaro)
+    some = F.when((n_left == 0) | (n_right == 0) | (m <= 0), F.lit(0.0)).when(left == right, F.lit(1.0)).otherwise(boosted)
+    return F.when(left.isNotNull() & right.isNotNull(), some)

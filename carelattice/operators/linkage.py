@@ -17,6 +17,8 @@ from ..functions.text import (
     blank_to_null,
     flag,
     jaro_winkler,
+    jaro_winkler_bound,
+    letter_bits,
     missing_as_text,
     prefix,
     strip_digits,
@@ -36,6 +38,12 @@ class Side:
     def __init__(self, mark: str):
         self.mark = mark
         self.read: list[str] = []
+        self.derived: dict[str, Callable[[Callable[[str], Column]], Column]] = {}
+
+    def derive(self, name: str, make: Callable[[Callable[[str], Column]], Column]) -> Column:
+        """A column worked out once per record, before records are paired."""
+        self.derived[name] = make
+        return F.col(f"{self.mark}|{name}")
 
     def __getitem__(self, column: str) -> Column:
         if column not in self.read:
@@ -110,17 +118,33 @@ DEFAULT_BLOCK: dict[str, BlockKey] = {
 }
 
 
-def name_similarity(column: str, lower: bool = True, missing: str | None = "nan") -> Feature:
-    """Jaro-Winkler similarity of one column. Missing enters as the text `missing`, so that two
-    missing values count as equal; with `missing=None` a missing value gives 0.0 instead."""
+@dataclass(frozen=True)
+class NameSimilarity:
+    """Jaro-Winkler similarity of one column as a feature, and a cheap upper bound of it."""
+
+    column: str
+    lower: bool = True
+    missing: str | None = "nan"
+
+    def _text(self, value: Column) -> Column:
+        value = value if self.missing is None else missing_as_text(value, self.missing)
+        return F.lower(value) if self.lower else value
 
-    def build(a: Side, b: Side) -> Column:
-        sides = [x[column] if missing is None else missing_as_text(x[column], missing) for x in (a, b)]
-        if lower:
-            sides = [F.lower(s) for s in sides]
-        return F.coalesce(jaro_winkler(*sides), F.lit(0.0))
+    def __call__(self, a: Side, b: Side) -> Column:
+        return F.coalesce(jaro_winkler(*(self._text(x[self.column]) for x in (a, b))), F.lit(0.0))
 
-    return build
+    def bound(self, a: Side, b: Side) -> Column:
+        """From lengths, which letters either side has, and the shared beginning; letters are noted once per record."""
+        left, right = (self._text(x[self.column]) for x in (a, b))
+        name = f"letters|{self.column}|{self.lower}|{self.missing}"
+        letters = [x.derive(name, lambda r: letter_bits(self._text(r(self.column)))) for x in (a, b)]
+        return F.coalesce(jaro_winkler_bound(left, right, *letters), F.lit(0.0))
+
+
+def name_similarity(column: str, lower: bool = True, missing: str | None = "nan") -> NameSimilarity:
+    """Jaro-Winkler similarity of one column. Missing enters as the text `missing`, so that two
+    missing values count as equal; with `missing=None` a missing value gives 0.0 instead."""
+    return NameSimilarity(column, lower, missing)
 
 
 def _both_ssn(a: Side, b: Side) -> Column:
@@ -253,9 +277,18 @@ def _read(features: Mapping[str, Feature], block: Mapping[str, BlockKey]) -> tup
     return built, of_a, of_b
 
 
-def _side(df: DataFrame, mark: str, id_: str, read: Sequence[str], block: Mapping[str, BlockKey], carried: Sequence[str] = ()) -> DataFrame:
-    """Block keys, id, the columns read under marked names, and further columns as they are."""
+def _side(
+    df: DataFrame,
+    mark: str,
+    id_: str,
+    read: Sequence[str],
+    block: Mapping[str, BlockKey],
+    carried: Sequence[str] = (),
+    derived: Mapping[str, Callable[[Callable[[str], Column]], Column]] | None = None,
+) -> DataFrame:
+    """Block keys, id, the columns read and derived under marked names, and further columns as they are."""
     columns = [F.col(c).alias(f"{mark}{c}") for c in read]
+    columns += [make(F.col).alias(f"{mark}|{name}") for name, make in (derived or {}).items()]
     return with_block(df, block).select(*block_columns(block), F.col(id_), *columns, *carried)
 
 
@@ -268,13 +301,20 @@ def _paired(
     cut: Tiles,
     carried_a: Sequence[str] = (),
     carried_b: Sequence[str] = (),
+    possible: Callable[[Side, Side], Column] | None = None,
 ) -> DataFrame:
+    """The pairs with their features; with `possible`, a condition that is cheaper than these, only where it holds."""
     built, of_a, of_b = _read(features, block)
-    left, right = _side(a, "__a_", A_ID, of_a, block, carried_a), _side(b, "__b_", B_ID, of_b, block, carried_b)
+    sides = Side("__a_"), Side("__b_")
+    passes = None if possible is None else possible(*sides)
+    left = _side(a, "__a_", A_ID, of_a, block, carried_a, sides[0].derived)
+    right = _side(b, "__b_", B_ID, of_b, block, carried_b, sides[1].derived)
     if truth is not None:
         right = right.join(truth.select(B_ID, "true_patient_id"), B_ID, "left")
     left, right = _spread(left, cut, block, A_ID, by_row=True), _spread(right, cut, block, B_ID, by_row=False)
     pairs = left.join(right, ["__tile", "__cell", *block_columns(block)])
+    if passes is not None:
+        pairs = pairs.where(passes)
     label = []
     if truth is not None:
         label = [F.coalesce(F.col("true_patient_id") == F.col(A_ID), F.lit(False)).cast("int").alias("is_match")]
@@ -346,6 +386,38 @@ def logistic(weights: Mapping[str, float], intercept: float) -> Column:
     return 1 / (1 + F.exp(-z))
 
 
+@dataclass(frozen=True)
+class LinearScore:
+    """A logistic score of features by weights, rounded to `digits` if given."""
+
+    weights: Mapping[str, float]
+    intercept: float
+    digits: int | None = None
+
+    def column(self) -> Column:
+        score = logistic(self.weights, self.intercept)
+        return score if self.digits is None else F.round(score, self.digits)
+
+    def may_reach(self, threshold: float, features: Mapping[str, Feature]) -> Callable[[Side, Side], Column]:
+        """Whether a pair's score could be at least `threshold`, from bounds of its features: similarities are between 0
+        and their bound, other features are taken as they are."""
+        if not 0 < threshold < 1:
+            return lambda a, b: F.lit(True)
+        slack = 1e-6 + (10.0**-self.digits / (threshold * (1 - threshold)) if self.digits is not None else 0.0)
+
+        def reaches(a: Side, b: Side) -> Column:
+            most = F.lit(float(self.intercept))
+            for name, weight in self.weights.items():
+                bound = getattr(features[name], "bound", None)
+                if bound is None:
+                    most = most + features[name](a, b) * weight
+                elif weight > 0:
+                    most = most + bound(a, b) * weight
+            return most >= math.log(threshold / (1 - threshold)) - slack
+
+        return reaches
+
+
 def best_per_record(scored: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:
     """(system_b_id, matched_patient_id, score): highest score per B record, lowest patient id among
     equals; the threshold is applied to the pick. Partial aggregation, no window."""
@@ -358,7 +430,7 @@ def best_per_record(scored: DataFrame, threshold: float = MATCH_THRESHOLD) -> Da
 def best_matches(
     a: DataFrame,
     b: DataFrame,
-    score: Column,
+    score: Column | LinearScore,
     features: Mapping[str, Feature] = DEFAULT_FEATURES,
     block: Mapping[str, BlockKey] = DEFAULT_BLOCK,
     threshold: float = MATCH_THRESHOLD,
@@ -368,13 +440,17 @@ def best_matches(
 
     Records that are equal in all columns read are first reduced to one, whatever their number: equal records
     of A have equal scores, so the lowest id stands for all, and equal records of B have the same best match. A large
-    group of copies is then compared once. Blocks and features may read any column.
+    group of copies is then compared once. Blocks and features may read any column. With a `LinearScore`, pairs whose
+    bounds stay below the threshold are dropped before a similarity is worked out; the result is the same.
     """
+    possible = score.may_reach(threshold, features) if isinstance(score, LinearScore) else None
+    score = score.column() if isinstance(score, LinearScore) else score
     _, of_a, of_b = _read(features, block)
     few_a = a.groupBy(*of_a).agg(F.min(A_ID).alias(A_ID))
     few_b = b.groupBy(*of_b).agg(F.min(B_ID).alias(B_ID))
     cut = tiles(few_a, few_b, block, policy)
-    best = best_per_record(_paired(few_a, few_b, None, features, block, cut).withColumn("score", score), threshold)
+    compared = _paired(few_a, few_b, None, features, block, cut, possible=possible)
+    best = best_per_record(compared.withColumn("score", score), threshold)
     # Back to all records: one row per distinct content on the right.
     told = few_b.join(best, B_ID).drop(B_ID)
     return b.join(told, same_key(b, told, of_b)).select(b[B_ID], "matched_patient_id", "score")

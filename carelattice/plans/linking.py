@@ -34,7 +34,8 @@ def link_by_model(a: DataFrame, b: DataFrame, truth: DataFrame, policy: SkewPoli
     `held_out` is measured on records not trained on; `overall` covers all records, training included.
     """
     fitted = modelling.train_lists(a, b, truth, policy=policy)
-    matches = linkage.best_matches(a, b, fitted.model.score(), policy=policy)
+    score = linkage.LinearScore(dict(zip(fitted.model.names, fitted.model.weights, strict=True)), fitted.model.intercept)
+    matches = linkage.best_matches(a, b, score, policy=policy)
     return Linked(
         matches,
         metrics.end_to_end(matches, truth, b),

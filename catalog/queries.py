@@ -262,7 +262,7 @@ PAIR_INTERCEPT = -12.0
 
 def _best(t: Tables, b: DataFrame) -> DataFrame:
     # Rounded before ranking: the last digit of a sum is not the same in every engine.
-    return linkage.best_matches(t.person_a(), b, F.round(linkage.logistic(PAIR_WEIGHTS, PAIR_INTERCEPT), 9))
+    return linkage.best_matches(t.person_a(), b, linkage.LinearScore(PAIR_WEIGHTS, PAIR_INTERCEPT, digits=9))
 
 
 @query
@@ -796,7 +796,7 @@ def best_match_by_town(t: Tables) -> DataFrame:
         "last_sim": linkage.name_similarity("last"),
         "town_sim": linkage.name_similarity("town", lower=False),
     }
-    score = F.round(linkage.logistic({"first_sim": 6.0, "last_sim": 7.0, "town_sim": 2.0}, -12.0), 9)
+    score = linkage.LinearScore({"first_sim": 6.0, "last_sim": 7.0, "town_sim": 2.0}, -12.0, digits=9)
     matches = linkage.best_matches(
         t.person_a().join(towns, "patient_id"),
         _in_town(b, truth, towns),

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from carelattice.functions.text import jaro_winkler
+from carelattice.functions.text import jaro_winkler, jaro_winkler_bound, letter_bits
 from carelattice.operators import linkage, metrics, perturb, sampling
 from carelattice.operators.skew import SkewPolicy
 
@@ -201,6 +201,40 @@ def test_missing_names_count_as_equal_or_as_nothing(spark):
     assert [(r["e"], r["n"]) for r in got] == [(0.0, 0.0), (1.0, 0.0)]
 
 
+def test_similarity_bound_is_never_below(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdeé\u0161 Z") for _ in range(rng.randint(0, 9)))
+    rows = [(word(), word()) for _ in range(1500)] + [("martha", "marhta"), ("", ""), ("a", ""), (None, "x"), ("same", "same")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    bound = jaro_winkler_bound(a, b, letter_bits(a), letter_bits(b))
+    got = df.select("a", "b", jaro_winkler(a, b).alias("s"), bound.alias("most")).collect()
+    assert all((r["s"] is None) == (r["most"] is None) for r in got)
+    assert all(r["s"] <= r["most"] <= 1 + 1e-9 for r in got if r["s"] is not None)
+    assert sum(r["most"] < 0.7 for r in got if r["s"] is not None) > 0.3 * len(got)
+
+
+def test_pairs_that_cannot_reach_the_threshold_are_not_compared(spark):
+    rng = random.Random(13)
+    names = ["Robert", "Chiara", "Omar", "Ingrid", "Svetlana", "Mateus", "Elizabeth", "Bo", None]
+    family = ["Okafor", "Schmidt", "Rossi", "Tanaka", "Kowalski", "Wu", "Fitzgerald"]
+    rows = [(str(i), rng.choice(names), rng.choice(family) + rng.choice(["", "x"]), "1980-01-01", rng.choice(["1", None]), "12345") for i in range(160)]
+    a, b = people(spark, rows[:80], rows[80:])
+    weights = {"first_sim": 6.0, "last_sim": 7.0, "zip_sim": -0.5, "ssn_agree": 1.0}
+    score = linkage.LinearScore(weights, -10.0, digits=9)
+    plain = sorted(linkage.best_matches(a, b, score.column()).collect())
+    assert plain == sorted(linkage.best_matches(a, b, score).collect()) and len(plain) > 20
+    block, features = linkage.DEFAULT_BLOCK, linkage.DEFAULT_FEATURES
+    cut = linkage.tiles(a, b, block)
+    left = linkage._paired(a, b, None, features, block, cut, possible=score.may_reach(0.5, features))
+    every = linkage._paired(a, b, None, features, block, cut).withColumn("score", score.column())
+    assert left.count() <= every.count() / 2
+    assert every.where("score >= 0.5").join(left, ["patient_id", "system_b_id"], "left_anti").isEmpty()
+    # The bound comes first: similarities are worked out above the filter only.
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("first_sim") < plan.index("bit_count")
+
+
 def test_jaro_winkler_equals_the_check_engine(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 9)))
