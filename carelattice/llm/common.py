@@ -93,10 +93,28 @@ def release() -> None:
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy_batches(work: Callable[[Batches], Batches], own: object = None) -> Callable[[Batches], Batches]:
+    """`work` on a task's batches in a worker that holds nothing but what is kept under `own`, with `release` after it."""
+
+    def run(batches: Batches) -> Batches:
+        if own not in _HELD:
+            _HELD.clear()
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
 def tidy(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
-    """`work` on one group, with `release` after it."""
+    """`work` on one group in a worker that holds nothing else, with `release` after it."""
 
     def run(table: pa.Table) -> pa.Table:
+        _HELD.clear()
         try:
             return work(table)
         finally:
@@ -109,6 +127,7 @@ def tidy_both(work: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Ta
     """The same for two grouped tables."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        _HELD.clear()
         try:
             return work(left, right)
         finally:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, grams, prepare
+from .common import documents, grams, held, prepare, tidy_batches
 
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
 GLUED = re.compile(r"([+-]?\d[\d.,]*)([a-z]+)")
@@ -75,9 +75,6 @@ class _Codes(dict):
         return found
 
 
-_CODES = _Codes()
-
-
 @dataclass
 class Form:
     """Tokens of a text: their hashes, first words, numbers of words and kinds of placeholder (0 for a word)."""
@@ -91,7 +88,7 @@ class Form:
 def forms(words: list[bytes], firsts: np.ndarray, opening: bool = False) -> list[Form]:
     """The template and the plain form (every word for itself, in lower case) of texts that begin at `firsts`.
     With `opening`, a text's first word may be a name, as it is in a document after a word without end mark."""
-    code = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
+    code = np.fromiter(map(held("codes", _Codes).__getitem__, words), np.uint64, len(words))
     plain = code & ~np.uint64(15)
     first = np.zeros(len(words), bool)
     first[firsts] = True
@@ -287,7 +284,9 @@ def benchmark_matches(
     for b in range(blocks):
         own = items.where(F.pmod("at", F.lit(blocks)) == b).select("item_id", "text").collect()
         own = Benchmark(sorted(((i, bytes(t)) for i, t in own), key=lambda x: (x[0] is not None, x)), window, literal)
-        part = rows.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(own), coverage, run), MATCHES)
+        part = rows.mapInArrow(
+            tidy_batches(_search(docs.sparkSession.sparkContext.broadcast(own), coverage, run), "codes"), MATCHES
+        )
         found = part if found is None else found.unionByName(part)
     return found
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, pack, prepare, stored, unpack
+from .common import documents, pack, prepare, stored, tidy_batches, unpack
 from .tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row_key long"
@@ -53,7 +53,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_id
             )
 
     rows = documents(docs).withColumn("row_key", F.xxhash64("doc_id", "text"))
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(tidy_batches(cut, ("encoder", vocabulary)), schema)
 
 
 # -- one group ---------------------------------------------------------------------------------

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, prepare, remainder
+from .common import documents, prepare, remainder, tidy_batches
 from .features import STATS, adam, hash_sample, logistic, text_stats
 
 
@@ -110,7 +110,7 @@ def _numbers(docs: DataFrame) -> np.ndarray:
             rows = [text_stats(t, t.split()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], ["x"])
 
-    rows = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(stats, "x array<double>").collect()
+    rows = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(tidy_batches(stats), "x array<double>").collect()
     return np.array(sorted(r[0] for r in rows)).reshape(len(rows), len(STATS))
 
 
@@ -134,7 +134,7 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     rows = documents(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(score, "doc_id long, score double")
+    return rows.mapInArrow(tidy_batches(score), "doc_id long, score double")
 
 
 def training_labels(labels: DataFrame, column: str, folds: int = 5) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, prepare, stored
+from .common import documents, prepare, stored, tidy_batches
 from .tokens import encoder
 
 SAMPLE = 64
@@ -143,7 +143,7 @@ def write_token_files(
         if ids:
             yield flush()
 
-    return stored(ordered.select("doc_id", "text").mapInArrow(segments, SEGMENTS), "token-files")
+    return stored(ordered.select("doc_id", "text").mapInArrow(tidy_batches(segments, ("encoder", vocabulary)), SEGMENTS), "token-files")
 
 
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}

@@ -70,11 +70,14 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _ids(self, atom: str) -> bytes:
+        mapped = atom.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([self.bytes_of[t.id] for t in self.model.tokenize(mapped)])
+
     def _atom(self, atom: str) -> bytes:
         found = self.atoms.get(atom)
         if found is None:
-            mapped = atom.encode().decode("latin-1").translate(self.alphabet)
-            found = self.atoms[atom] = b"".join([self.bytes_of[t.id] for t in self.model.tokenize(mapped)])
+            found = self.atoms[atom] = self._ids(atom)
         return found
 
     def _piece(self, piece: str) -> bytes:
@@ -82,9 +85,9 @@ class Encoder:
             return self._whole(piece)
         if self.words:
             piece = piece.lower()
-        # Letters alone, with or without the space before them, are one match of either pattern.
+        # Letters alone, with or without the space before them, are one match of either pattern, remembered as a piece.
         if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
-            return self._atom(piece)
+            return self._ids(piece)
         return b"".join(map(self._atom, self.pattern.findall(piece)))
 
     def _spaced(self, piece: str) -> bytes:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, prepare, stored
+from .common import documents, prepare, stored, tidy_batches
 from .features import adam, hash_sample, logistic
 
 #: A general list of insults, used beside the learned lexicons.
@@ -200,7 +200,7 @@ def _distinct_words(docs: DataFrame, tag: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(tags, pa.int32()), pa.array(words, pa.binary())], [tag, "word"])
 
     rows = docs.select(F.col(tag).cast("int"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(emit, f"{tag} int, word binary")
+    return rows.mapInArrow(tidy_batches(emit), f"{tag} int, word binary")
 
 
 def _telling_words(docs: DataFrame, tag: str, share: float, odds: float, both: bool) -> list[tuple[float, bytes]]:
@@ -256,7 +256,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
         yield sums()
 
     rows = docs.select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("binary").alias("text"))
-    parts = rows.mapInArrow(emit, "word binary, c1 long, c0 long")
+    parts = rows.mapInArrow(tidy_batches(emit), "word binary, c1 long, c0 long")
     return parts.groupBy("word").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
 
 
@@ -292,7 +292,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 8000) -> tuple[Classi
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fired, pa.int32())], ["doc_id", "votes"])
 
     texts = documents(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
-    voted = stored(texts.mapInArrow(vote, "doc_id long, votes int"), "votes")
+    voted = stored(texts.mapInArrow(tidy_batches(vote), "doc_id long, votes int"), "votes")
     counts = dict(voted.groupBy("votes").count().collect())  # at most one row per combination of voters
     own = _one_label(labels)
     known = {(v, y): n for v, y, n in voted.join(own, "doc_id").groupBy("votes", "toxic").count().collect()}
@@ -325,7 +325,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 8000) -> tuple[Classi
                 ["votes", "side", "x"],
             )
 
-    rows = sorted(sample.select("votes", "side", "text").mapInArrow(describe, "votes int, side int, x array<int>").collect())
+    rows = sorted(sample.select("votes", "side", "text").mapInArrow(tidy_batches(describe), "votes int, side int, x array<int>").collect())
     x = np.zeros((len(rows), len(words) + len(VOTERS) + 1))
     x[:, -1] = 1
     for i, r in enumerate(rows):
@@ -347,7 +347,7 @@ def score_toxicity(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """`docs` (doc_id and text, as documents) with score: doc_id, score of every row."""
     prepare(docs.sparkSession)
     rows = documents(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(_scorer(classifier), "doc_id long, score double")
+    return rows.mapInArrow(tidy_batches(_scorer(classifier)), "doc_id long, score double")
 
 
 def _scorer(c: Classifier):
@@ -379,4 +379,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
             (scored,) = scorer(iter([own]))
             yield batch.filter(pa.array(scored.column("score").to_numpy() < threshold))
 
-    return docs.select(*names).mapInArrow(keep, docs.schema)
+    return docs.select(*names).mapInArrow(tidy_batches(keep), docs.schema)
