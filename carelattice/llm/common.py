@@ -28,7 +28,9 @@ from carelattice.session import shared_folder
 
 def prepare(spark: SparkSession) -> int:
     """Let Python workers of a local session import this package; return the number of shuffle partitions.
-    On a cluster the package is installed on the executors, like any other."""
+    On a cluster the package is installed on the executors, like any other. Rows hold whole texts, so fewer of them go to
+    Python at a time than Spark's default of 10,000."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     if root not in sys.path:

@@ -39,7 +39,8 @@ MARKS = re.compile(rb"!{3,}|[!?]{4,}")
 LEXICONS = 6
 #: Voters in bit order: learned lexicons, general insults, patterns.
 VOTERS = [*(f"lexicon_{i}" for i in range(LEXICONS)), "insults", "you_insult", "shouting", "marks"]
-REMEMBERED = 400_000
+#: Distinct word forms a task counts before it sends them, and words a worker remembers the forms of.
+COUNTED, REMEMBERED = 400_000, 150_000
 #: Lengths in bytes of the beginnings of words that count as forms.
 BEGINNINGS = (5, 6, 7, 8)
 
@@ -249,7 +250,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                         known[w] = tuple(forms(w))
                     own.update(known[w])
                 counts[toxic].update(own - {b""})
-                if len(counts[0]) + len(counts[1]) > REMEMBERED:
+                if len(counts[0]) + len(counts[1]) > COUNTED:
                     yield sums()
                 if len(known) > REMEMBERED:
                     known.clear()
