@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -374,10 +374,15 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     scorer = _scorer(classifier)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = batch.column("text").fill_null("").cast(pa.binary())
-            own = pa.RecordBatch.from_arrays([batch.column("doc_id"), text], ["doc_id", "text"])
-            (scored,) = scorer(iter([own]))
-            yield batch.filter(pa.array(scored.column("score").to_numpy() < threshold))
+        whole: deque[pa.RecordBatch] = deque()
+
+        def texts() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                whole.append(batch)
+                text = batch.column("text").fill_null("").cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text], ["doc_id", "text"])
+
+        for scored in scorer(texts()):  # one batch of scores for each, and one memory for all
+            yield whole.popleft().filter(pa.array(scored.column("score").to_numpy() < threshold))
 
     return docs.select(*names).mapInArrow(tidy_batches(keep), docs.schema)
