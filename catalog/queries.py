@@ -655,7 +655,7 @@ def boosted_splits(t: Tables) -> DataFrame:
     fitted = boosting.fit_boosted(used, inputs, F.col("readmitted_30d"), weight, iterations=1, leaves=8, bins=32)
     rows = [
         (k, path, fitted.names[s.feature], round(s.threshold, 6), round(s.gain, 4), s.left, s.right)
-        for k, (path, s) in enumerate(fitted.trees[0].splits.items())
+        for k, (path, s) in enumerate(fitted.trees[0].splits.items() if fitted.trees else ())
     ]
     return t.spark.createDataFrame(
         rows, "step int, path string, feature string, threshold double, gain double, n_left long, n_right long"
