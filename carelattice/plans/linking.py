@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import linkage, metrics
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
+from ..session import cut_lineage
 from . import modelling
 
 
@@ -35,7 +36,8 @@ def link_by_model(a: DataFrame, b: DataFrame, truth: DataFrame, policy: SkewPoli
     """
     fitted = modelling.train_lists(a, b, truth, policy=policy)
     score = linkage.LinearScore(dict(zip(fitted.model.names, fitted.model.weights, strict=True)), fitted.model.intercept)
-    matches = linkage.best_matches(a, b, score, policy=policy)
+    # Read more than once: the pairs are compared once.
+    matches = cut_lineage(linkage.best_matches(a, b, score, policy=policy))
     return Linked(
         matches,
         metrics.end_to_end(matches, truth, b),

@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from carelattice.functions import similarity
 from carelattice.functions.text import jaro_winkler, jaro_winkler_bound, letter_bits
 from carelattice.operators import linkage, metrics, perturb, sampling
 from carelattice.operators.skew import SkewPolicy
@@ -300,3 +302,53 @@ def test_splits_keep_groups_whole(spark):
         assert all(r["n"] == 1 for r in sides)
         tests = sum(r["t"] for r in sides)
         assert tests == 30 if exact else 0 < tests < 97
+
+
+def test_similarity_by_values_is_the_column_to_the_last_bit(spark):
+    rng = random.Random(5)
+    words = ["", "é𝄞ab", "Łódź", "nan", "ab" * 20, "ba" * 20, "x" * 33] + [
+        "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 36 if n % 5 == 0 else 12))) for n in range(80)
+    ]
+    words = [*dict.fromkeys(words)]
+    df = spark.createDataFrame([(n, w) for n, w in enumerate(words)], "n int, w string")
+    pairs = df.alias("x").crossJoin(df.alias("y")).select(
+        F.col("x.n").alias("i"), F.col("y.n").alias("j"), jaro_winkler(F.col("x.w"), F.col("y.w")).alias("s")
+    ).collect()
+    i, j = (np.array([r[c] for r in pairs]) for c in "ij")
+    got = similarity.jaro_winkler_of(words, words)
+    assert got(i, j).tolist() == [r["s"] for r in pairs]
+    assert similarity.once_each(got, len(words), len(words))(i, j).tolist() == [r["s"] for r in pairs]
+    most, similarity.TABLE = similarity.TABLE, 10
+    try:
+        small = similarity.once_each(similarity.jaro_winkler_of(words, words), len(words), len(words))
+        assert small(i, j).tolist() == [r["s"] for r in pairs]
+    finally:
+        similarity.TABLE = most
+
+
+@pytest.mark.parametrize("sizes", [(500_000, 250_000), (7, 3)])
+def test_pairs_by_value_are_those_by_column(spark, sizes, monkeypatch):
+    monkeypatch.setattr(linkage, "PAIRS_PER_TILE", sizes[0])
+    monkeypatch.setattr(linkage, "PAIRS_AT_ONCE", sizes[1])
+    monkeypatch.setattr(linkage, "PAIRS_BY_COLUMN", 0)
+    a, b = people(spark, crowd(3, 90, "p"), crowd(4, 70, "b"))
+    truth = b.select("system_b_id", F.concat(F.lit("p"), F.substring("system_b_id", 2, 9)).alias("true_patient_id"))
+    b = b.withColumn("is_test", F.when(F.crc32("system_b_id") % 3 == 0, F.lit("yes")))
+    score = linkage.LinearScore({"first_sim": 6.0, "last_sim": 7.0, "zip_sim": 2.0, "ssn_agree": -1.0}, -8.0, digits=1)
+    ask = lambda: [
+        sorted(linkage.candidate_pairs(a, b, truth).collect()),
+        sorted(linkage.candidate_pairs(a, b).collect()),
+        sorted(linkage.weighted_pairs(a, b, truth, "is_test").collect(), key=str),
+        sorted(linkage.best_matches(a, b, score).collect()),
+    ]
+    by_value = ask()
+    plan = linkage.candidate_pairs(a, b)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    assert not linkage.candidate_pairs(a.limit(0), b).count()
+    # Pairs are added up in the task that forms them: no exchange between the two.
+    plan = linkage.weighted_pairs(a, b, truth, "is_test")._jdf.queryExecution().executedPlan().toString().splitlines()
+    formed = next(n for n, line in enumerate(plan) if "FlatMapCoGroupsInArrow" in line)
+    above = [line for line in plan[:formed] if "Exchange" in line or "HashAggregate" in line]
+    assert "HashAggregate" in above[-1]
+    monkeypatch.setattr(linkage, "PAIRS_BY_COLUMN", 10**9)
+    assert by_value == ask() and all(by_value)
