@@ -336,3 +336,25 @@ def test_rejected_pairs_name_what_is_missing(spark):
         2: "record_b.last, record_b.zip",
         3: "record_a.first, record_a.last, record_a.dob, record_a.zip",
     }
+
+
+def _stays(spark):
+    numbers = [((F.col("id") * (k + 3)) % 11).cast("double").alias(c) for k, c in enumerate(NUMERIC_FEATURES)]
+    texts = [F.concat(F.lit(c), F.col("id") % 3).alias(c) for c in CATEGORICAL_FEATURES]
+    return spark.range(60).select(F.col("id").alias("encounter_id"), F.col("id").alias("patient_id"), *numbers, *texts)
+
+
+@pytest.mark.parametrize("name", ["impute_values", "scale_values", "one_hot_values", "prepared_vector"])
+def test_fitted_columns_work_the_frame_out_once(spark, monkeypatch, name):
+    from catalog import queries
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(_):
+        seen.add(1)
+        return True
+
+    counted = _stays(spark).where(F.udf(look, "boolean")("encounter_id"))
+    monkeypatch.setattr(queries, "frame", lambda t: counted)
+    assert getattr(queries, name)(None).collect()
+    assert 0 < seen.value <= 60  # the split may be asked first
