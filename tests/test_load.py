@@ -164,3 +164,13 @@ def test_stray_quote_does_not_swallow_lines_declared_plain(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,y\n1,5" pipe\n2,b\n')
     rows = text_tables.read_text_table(spark, str(tmp_path / "a.csv"), multiline=False).collect()
     assert [tuple(r) for r in rows] == [("1", '5" pipe'), ("2", "b")]
+
+
+def test_concepts_are_made_distinct_before_anything_is_sorted(spark):
+    """Facts of the sources meet a hash aggregate first: sorting them all took memory that grew with the facts."""
+    rows = spark.range(40).select((F.col("id") % 3).cast("string").alias("CODE"), F.concat(F.lit("d"), F.col("id") % 5).alias("DESCRIPTION"), F.lit("S").alias("SYSTEM"))
+    found = load.code_dimension({source: rows for source, _ in load.CODE_SOURCES})
+    plan = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+    union = next(n for n, line in enumerate(plan) if "Union" in line)
+    assert "HashAggregate" in next(line for line in reversed(plan[:union]) if "Aggregate" in line)
+    assert {r["description"] for r in found.collect() if r["code_system"] == "S"} == {"d0"}
