@@ -358,3 +358,18 @@ def test_fitted_columns_work_the_frame_out_once(spark, monkeypatch, name):
     monkeypatch.setattr(queries, "frame", lambda t: counted)
     assert getattr(queries, name)(None).collect()
     assert 0 < seen.value <= 60  # the split may be asked first
+
+
+def test_learners_that_do_not_draw_per_task_get_all_cores(spark):
+    class Looks:
+        def __init__(self, any_order):
+            self.any_order = any_order
+
+        def fit(self, dataset):
+            tasks[self.any_order] = dataset.rdd.getNumPartitions()
+            return modelling.SQLTransformer(statement="SELECT * FROM __THIS__")
+
+    tasks = {}
+    rows = _stays(spark).withColumn("readmitted_30d", (F.col("encounter_id") % 2).cast("int"))
+    fitted = modelling.fit_risk_models(rows, {"a": lambda _: Looks(True), "b": lambda _: Looks(False)}, tasks=3)
+    assert list(fitted) == ["a", "b"] and tasks == {True: 8, False: 3}
