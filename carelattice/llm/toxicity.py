@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,31 +37,83 @@ INSULTS = (
 EDGES = b".,;:!?\"'()[]{}<>*%&$#|-_~`/\\"
 SHOUT = re.compile(rb"\b[A-Z]{3,}\b(?:\W+[A-Z]{3,}\b){2}")
 MARKS = re.compile(rb"!{3,}|[!?]{4,}")
+CAPITALS = bytes(65 if 65 <= c <= 90 else 32 for c in range(256))
+TWO_MARKS = (b"!!", b"??", b"!?", b"?!")
+YOU = (b"you", b"your", b"youre", b"you're")
 LEXICONS = 6
 #: Voters in bit order: learned lexicons, general insults, patterns.
 VOTERS = [*(f"lexicon_{i}" for i in range(LEXICONS)), "insults", "you_insult", "shouting", "marks"]
+#: Bit of words that address the reader, beside those of the voters.
+SAYS_YOU = 1 << 30
 #: Distinct word forms a task counts before it sends them, and words a worker remembers the forms of.
 COUNTED, REMEMBERED = 400_000, 150_000
 #: Lengths in bytes of the beginnings of words that count as forms.
 BEGINNINGS = (5, 6, 7, 8)
 
 
+#: Bytes of text whose words are looked up at once.
+PIECE_BYTES = 4 << 20
+
+
 class _Memory(dict):
-    """Raw word -> the values of its forms."""
+    """Raw word -> the bits of its voters, and the values of its forms."""
 
-    def __init__(self, values: dict[bytes, int]):
+    def __init__(self, masks: dict[bytes, int], values: dict[bytes, int]):
         super().__init__()
-        self.values_of = values
+        self.masks, self.values_of = masks, values
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
+    def __missing__(self, word: bytes) -> tuple[int, tuple[int, ...]]:
         if len(self) > REMEMBERED:
             self.clear()
-        found = self[word] = tuple(self.values_of[f] for f in forms(word) if f in self.values_of)
+        own, mask = forms(word), 0
+        for f in own:
+            mask |= self.masks.get(f, 0)
+        if own[0] in YOU:
+            mask |= SAYS_YOU
+        found = self[word] = mask, tuple(self.values_of[f] for f in own if f in self.values_of)
         return found
 
-    def of(self, words: list[bytes]) -> set[int]:
-        """The values that occur in a text."""
-        return {x for own in set(map(self.__getitem__, words)) for x in own}
+
+@dataclass(frozen=True)
+class _Words:
+    """Texts with their words in a row: where each text's begin, and what the memory holds of every word."""
+
+    bodies: list[bytes]
+    starts: np.ndarray
+    masks: np.ndarray
+    codes: np.ndarray
+    values: list[tuple[int, ...]]
+
+    def pairs(self, values: int) -> tuple[np.ndarray, np.ndarray]:
+        """(text, value) once each for every one of `values` values that occurs in a text, by text."""
+        counts = np.fromiter(map(len, self.values), np.int64, len(self.values))
+        places = np.flatnonzero(counts[self.codes] > 0)
+        text = np.searchsorted(self.starts, places, "right") - 1
+        code = self.codes[places]
+        flat = np.fromiter((v for own in self.values for v in own), np.int64, int(counts.sum()))
+        many = counts[code]
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        keys = np.unique(np.repeat(text, many) * values + flat[np.repeat((np.cumsum(counts) - counts)[code], many) + within])
+        return keys // max(1, values), keys % max(1, values)
+
+
+def _pieces(batch: pa.RecordBatch, memory: _Memory) -> Iterator[_Words]:
+    """The batch's texts, about `PIECE_BYTES` at a time; different words of a piece are looked up once."""
+    text = batch.column("text")
+    ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(text):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE_BYTES, "right")))
+        part = text.slice(at, to - at)
+        # Splits at the bytes that `bytes.split` splits at; an empty word may come first or last.
+        split = pc.ascii_split_whitespace(part.view(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        told = [memory[w] for w in coded.dictionary.view(pa.binary()).to_pylist()]
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        masks = np.fromiter((m for m, _ in told), np.int64, len(told))
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        yield _Words(part.to_pylist(), np.cumsum(sizes) - sizes, masks[codes], codes, [v for _, v in told])
+        at = to
 
 
 def bare(word: bytes) -> bytes:
@@ -83,20 +136,23 @@ def voter_masks(lexicon: list[bytes]) -> dict[bytes, int]:
     return masks
 
 
-def votes_of(body: bytes, words: list[bytes], memory: _Memory) -> int:
-    """The voters that fire on a text, as bits."""
-    fired = 0
-    for mask in memory.of(words):
-        fired |= mask
-    if fired:
-        for i, own in enumerate(map(memory.__getitem__, words)):
-            if own and any(bare(w) in (b"you", b"your", b"youre", b"you're") for w in words[max(0, i - 4) : i]):
-                fired |= 1 << VOTERS.index("you_insult")
-                break
-    if SHOUT.search(body):
-        fired |= 1 << VOTERS.index("shouting")
-    if MARKS.search(body):
-        fired |= 1 << VOTERS.index("marks")
+def votes_of(words: _Words) -> np.ndarray:
+    """The voters that fire on each text, as bits."""
+    told = words.masks & ((1 << len(VOTERS)) - 1)
+    # Every text has one word at least, if an empty one.
+    fired = np.bitwise_or.reduceat(told, words.starts) if len(told) else np.zeros(0, np.int64)
+    insults, yous = np.flatnonzero(told), np.flatnonzero(words.masks & SAYS_YOU)
+    if len(insults) and len(yous):
+        text = np.searchsorted(words.starts, insults, "right") - 1
+        before = np.searchsorted(yous, insults) - 1
+        near = (before >= 0) & (yous[before] >= np.maximum(insults - 4, words.starts[text]))
+        fired[text[near]] |= 1 << VOTERS.index("you_insult")
+    for i, body in enumerate(words.bodies):
+        # What the patterns need is looked for first: this is much faster than they are.
+        if b"AAA" in body.translate(CAPITALS) and SHOUT.search(body):
+            fired[i] |= 1 << VOTERS.index("shouting")
+        if any(m in body for m in TWO_MARKS) and MARKS.search(body):
+            fired[i] |= 1 << VOTERS.index("marks")
     return fired
 
 
@@ -261,11 +317,33 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
 
 
+#: Bits of the filter of labelled ids: at most so many, whatever the number of labels.
+FILTER_BITS = 1 << 26
+
+
+def _maybe_labelled(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """The rows of `docs` but for most whose id has no label: a bitmap of hashed ids, of bounded size, is looked up
+    before texts are shuffled. The join behind it decides."""
+    bits = min(FILTER_BITS, max(1 << 15, 1 << (16 * own.count()).bit_length()))
+    # Bits are numbered from 0, buckets from 1.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    marked = own.select(place.alias("__place"))
+    filled = marked.groupBy(F.bitmap_bucket_number("__place").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__place")).alias("__bits")
+    )
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    inside = F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1
+    held = docs.withColumn("__bucket", F.bitmap_bucket_number(place)).join(F.broadcast(filled), "__bucket").where(inside)
+    return held.select(*docs.columns)
+
+
 def mine_lexicon(docs: DataFrame, labels: DataFrame, support: int = 3, odds: float = 30.0, surprise: float = 15.0) -> list[bytes]:
     """Words that mark toxic texts, counted over all labelled rows (doc_id, toxic), the strongest first: in at least
     `support` toxic texts, with odds `odds` times those of other texts, and not by chance (likelihood ratio of the texts that
     hold the word, `surprise`, so that the rarer toxic texts are, the fewer of them tell). Only such words go to the driver."""
-    rows = documents(docs).join(_one_label(labels), "doc_id")
+    own = _one_label(labels)
+    rows = _maybe_labelled(documents(docs), own).join(own, "doc_id")
     totals = dict(rows.select("doc_id", F.col("toxic").cast("int")).groupBy("toxic").count().collect())
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
@@ -287,9 +365,9 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 8000) -> tuple[Classi
     masks = voter_masks(mine_lexicon(docs, labels))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Memory(masks)
+        memory = _Memory(masks, {})
         for batch in batches:
-            fired = [votes_of(t, t.split(), memory) for t in batch.column("text").to_pylist()]
+            fired = [v for words in _pieces(batch, memory) for v in votes_of(words).tolist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fired, pa.int32())], ["doc_id", "votes"])
 
     texts = documents(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -318,9 +396,12 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 8000) -> tuple[Classi
     words = {w: i for i, (_, w) in enumerate(_telling_words(sample, "side", 0.02, 8.0, True))}
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Memory(words)
+        memory = _Memory({}, words)
         for batch in batches:
-            rows = [sorted(memory.of(t.split())) for t in batch.column("text").to_pylist()]
+            rows: list[list[int]] = []
+            for piece in _pieces(batch, memory):
+                text, value = piece.pairs(len(words))
+                rows += [v.tolist() for v in np.split(value, np.searchsorted(text, np.arange(1, len(piece.bodies))))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("votes"), batch.column("side"), pa.array(rows, pa.list_(pa.int32()))],
                 ["votes", "side", "x"],
@@ -353,16 +434,16 @@ def score_toxicity(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 def _scorer(c: Classifier):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        votes, words = _Memory(c.masks), _Memory(c.words)
+        memory = _Memory(c.masks, c.words)
         for batch in batches:
-            out = []
-            for text in batch.column("text").to_pylist():
-                own = text.split()
-                fired = votes_of(text, own, votes)
-                total = c.bias + c.word_weights[sorted(words.of(own))].sum()
-                out.append(total + sum(w for v, w in enumerate(c.voter_weights) if fired >> v & 1))
-            scores = logistic(np.array(out, float))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
+            scores = [np.zeros(0)]
+            for words in _pieces(batch, memory):
+                patterns, own = np.unique(votes_of(words), return_inverse=True)
+                voted = [sum(w for v, w in enumerate(c.voter_weights) if p >> v & 1) for p in patterns.tolist()]
+                text, value = words.pairs(len(c.words))
+                told = np.bincount(text, c.word_weights[value], len(words.bodies))
+                scores.append(logistic(c.bias + told + np.array(voted, float)[own]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(scores))], ["doc_id", "score"])
 
     return score
 

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -375,6 +376,47 @@ def labelled(spark):
     return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def test_toxicity_votes_are_those_of_plain_python(spark):
+    texts = [
+        "", " ", "you are an IDIOT", " your a b c moron", "you a b c d moron", "AAB cde", "STOP THIS NOW", "STOP, THIS! NOW x",
+        "AB ABC ABCD\u00e9 EFG", "wow!!!", "what?!?!", "what?!", "\tgrue\x0bidiots \u00a0 you're\u2003trash,", "you", "idiot " * 500,
+    ]
+    masks = toxicity.voter_masks([b"grue", b"idiot*", b"you"])
+
+    def plain(body: bytes) -> int:
+        words, fired = body.split(), 0
+        for i, w in enumerate(words):
+            own = [masks[f] for f in toxicity.forms(w) if f in masks]
+            for m in own:
+                fired |= m
+            if own and any(toxicity.bare(x) in (b"you", b"your", b"youre", b"you're") for x in words[max(0, i - 4) : i]):
+                fired |= 1 << toxicity.VOTERS.index("you_insult")
+        shouted = re.search(rb"\b[A-Z]{3,}\b(?:\W+[A-Z]{3,}\b){2}", body)
+        marked = re.search(rb"!{3,}|[!?]{4,}", body)
+        return fired | bool(shouted) << toxicity.VOTERS.index("shouting") | bool(marked) << toxicity.VOTERS.index("marks")
+
+    bodies = [t.encode() for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(bodies, pa.binary())], ["text"])
+    for piece in (toxicity.PIECE_BYTES, 8):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(toxicity, "PIECE_BYTES", piece)
+            pieces = list(toxicity._pieces(batch, toxicity._Memory(masks, {b"moron": 0, b"trash": 1, b"idiot": 2})))
+        assert [v for p in pieces for v in toxicity.votes_of(p).tolist()] == [plain(b) for b in bodies]
+        values = [set(v.tolist()) for p in pieces for t, v in [p.pairs(3)] for v in np.split(v, np.searchsorted(t, np.arange(1, len(p.bodies))))]
+        assert values == [{n for n, w in enumerate(("moron", "trash", "idiot")) if w in toxicity_words(b)} for b in bodies]
+
+
+def toxicity_words(body: bytes) -> set[str]:
+    return {toxicity.bare(w).decode() for w in body.split()}
+
+
+def test_toxicity_leaves_texts_without_label_out_before_the_join(spark):
+    docs = spark.range(5000).selectExpr("if(id = 7, null, id) doc_id", "cast(id as string) text")
+    labels = spark.range(0, 5000, 50).selectExpr("id doc_id", "cast(id % 2 as int) toxic")
+    kept = {r[0] for r in toxicity._maybe_labelled(docs, toxicity._one_label(labels)).select("doc_id").collect()}
+    assert set(range(0, 5000, 50)) <= kept and len(kept) < 600
+
+
 def test_toxicity_and_quality(spark, none):
     docs, labels = labelled(spark)
     truth = {r[0]: (r[1], r[2]) for r in labels.collect() if r[0] is not None and r[1] is not None}
