@@ -352,3 +352,45 @@ def test_pairs_by_value_are_those_by_column(spark, sizes, monkeypatch):
     assert "HashAggregate" in above[-1]
     monkeypatch.setattr(linkage, "PAIRS_BY_COLUMN", 10**9)
     assert by_value == ask() and all(by_value)
+
+
+def test_pairs_are_compared_once_per_values_whatever_number_identifies_them(spark, monkeypatch):
+    """600 x 600 records of one block that differ in their numbers only, but for a few names: few pairs are compared, and the
+    table says the same as all pairs do."""
+    names = ["ann", "anne", None, "bob"]
+    row = lambda i, mark: (f"{mark}{i}", f"1950-01-{i % 28 + 1:02d}", names[i % 4], "Lee", f"{i:09d}" if i % 5 else "", "12345")
+    columns = "dob string, first string, last string, ssn string, zip string"
+    a = spark.createDataFrame([row(i, "p") for i in range(600)], f"patient_id string, {columns}")
+    b = spark.createDataFrame([row(i, "b") for i in range(300, 900)], f"system_b_id string, {columns}").withColumn("part", F.expr("system_b_id < 'b6'"))
+    truth = spark.createDataFrame([(f"b{i}", f"p{i}") for i in range(300, 600)], "system_b_id string, true_patient_id string")
+    monkeypatch.setattr(linkage, "PAIRS_BY_COLUMN", 0)
+    formed, cut = [], linkage.tiles
+    monkeypatch.setattr(linkage, "tiles", lambda *args: formed.append(cut(*args)) or formed[-1])
+    table = linkage.weighted_pairs(a, b, truth, "part")
+    assert [t.pairs for t in formed] == [8 * 16]  # of A: names and whether there is a number; of B also the part
+    of = [*linkage.DEFAULT_FEATURES, "is_match", "part"]
+    pairs = linkage.candidate_pairs(a, b, truth).join(b.select("system_b_id", "part"), "system_b_id")
+    want = pairs.groupBy(*of).count().collect()
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, want)) and sum(r["count"] for r in want) == 360_000
+
+    # Best matches of records that differ in nothing compared are looked for once.
+    formed.clear()
+    score = linkage.LinearScore({"first_sim": 6.0, "last_sim": 7.0}, -12.0, digits=9)
+    features = {"first_sim": linkage.name_similarity("first"), "last_sim": linkage.name_similarity("last")}
+    best = {r[0]: tuple(r)[1:] for r in linkage.best_matches(a, b, score, features).collect()}
+    assert [t.pairs for t in formed] == [4 * 4] and len(best) == 600
+    lowest = {n: min(f"p{i}" for i in range(600) if i % 4 == n) for n in range(4)}
+    assert all(best[f"b{i}"][0] == lowest[i % 4] for i in range(300, 900))
+
+
+def test_pairs_are_counted_alike_by_tile_and_by_column(spark, monkeypatch):
+    people = [(str(i), f"19{50 + i % 3}-01-01", f"na{i % 7}me{i % 11}", f"x{i % 13}", None if i % 3 else f"{i // 2:09d}", "12345") for i in range(200)]
+    columns = "dob string, first string, last string, ssn string, zip string"
+    a = spark.createDataFrame(people, f"patient_id string, {columns}")
+    b = spark.createDataFrame(people[::-1], f"system_b_id string, {columns}").withColumn("part", F.lit(None).cast("string"))
+    truth = b.selectExpr("system_b_id", "system_b_id true_patient_id")
+    seen = []
+    for most in (0, 10**9):
+        monkeypatch.setattr(linkage, "PAIRS_BY_COLUMN", most)
+        seen.append(sorted(map(str, linkage.weighted_pairs(a, b, truth, "part").collect())))
+    assert seen[0] == seen[1]
