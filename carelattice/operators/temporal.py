@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import DAY_MICROS, micros, plus_days
 from .running import running
-from .skew import DEFAULT_POLICY, HeavyKey, SkewPolicy, heavy_keys, same_key, split_off
+from .skew import DEFAULT_POLICY, HeavyKey, SkewPolicy, dealt, same_key, split_off, weighed_keys
 
 # Places within one microsecond, in the order they are passed.
 _INCLUSIVE_FACT, _PROBE, _STRICT_FACT, _LATE_PROBE = range(4)
@@ -104,13 +104,13 @@ def point_in_time(
     sums = {c: e for c, e in wanted_counts.items() if c in needed}
     latest = {r: e for r, e in wanted_readings.items() if r in needed}
 
-    heavy = heavy_keys(_entities(index, facts, entity, len(names)), [entity], policy, F.col("__times"))
+    heavy, rows = weighed_keys(_entities(index, facts, entity, len(names)), [entity], policy, F.col("__times"))
     if not heavy:
-        timeline = history.unionByName(asked, allowMissingColumns=True)
+        timeline = dealt(history.unionByName(asked, allowMissingColumns=True), [entity], rows)
         state = running(timeline, [entity], "__place", sums, latest, tie=["__rank", "__value"], heavy=[])
         answered = state.where(F.col("__probe").isNotNull())
     else:
-        answered = _with_heavy(history, asked, entity, sums, latest, heavy)
+        answered = _with_heavy(history, asked, entity, sums, latest, heavy, rows)
     if len(names) == 1:
         return answered.select(*index.columns, *[F.col(m).alias(o) for o, (_, m) in outputs.items()])
     # Bring the probes of one index row together; they are co-located by entity already.
@@ -206,6 +206,7 @@ def _with_heavy(
     sums: Mapping[str, Column],
     latest: Mapping[str, Column],
     heavy: Sequence[HeavyKey],
+    rows: float,
 ) -> DataFrame:
     """Ordinary entities as above; heavy ones with equal facts merged and equal probes asked once.
 
@@ -215,7 +216,7 @@ def _with_heavy(
     history_rest, history_heavy = split_off(history, [entity], heavy)
     asked_rest, asked_heavy = split_off(asked, [entity], heavy)
     rest = running(
-        history_rest.unionByName(asked_rest, allowMissingColumns=True),
+        dealt(history_rest.unionByName(asked_rest, allowMissingColumns=True), [entity], rows),
         [entity],
         "__place",
         sums,

@@ -222,3 +222,17 @@ def test_next_after_is_exact_far_in_the_future(spark):
         micros(F.col("next_ts")).alias("next")
     )
     assert got.first()["next"] == events.select(micros(F.col("ts")).alias("next")).first()["next"]
+
+
+def test_large_timelines_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch):
+    from carelattice.operators import skew
+
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = spark.range(500).selectExpr("id % 50 patient_id", "id * 1000 at", "id")
+    known = temporal.Facts(index, F.col("at"), {"n": F.lit(True)})
+    found = temporal.prior_counts(index, "patient_id", F.col("at"), [known])
+    assert found.rdd.getNumPartitions() > parts
+    assert {r["id"]: r["n"] for r in found.collect()} == {i: i // 50 for i in range(500)}
+    few = skew.dealt(index, ["patient_id"], 10 * parts)
+    assert few is index
