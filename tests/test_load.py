@@ -174,3 +174,27 @@ def test_concepts_are_made_distinct_before_anything_is_sorted(spark):
     union = next(n for n, line in enumerate(plan) if "Union" in line)
     assert "HashAggregate" in next(line for line in reversed(plan[:union]) if "Aggregate" in line)
     assert {r["description"] for r in found.collect() if r["code_system"] == "S"} == {"d0"}
+
+
+def test_compressed_exports_read_back_and_join_tasks_follow_rows(spark, tmp_path, monkeypatch):
+    from carelattice.operators import skew
+    from carelattice.session import kept
+    from carelattice.sources.text_tables import read_text_table, write_csv
+
+    rows = spark.range(25).selectExpr("cast(id as string) a", 'if(id % 2 = 0, \'say "x", y\', null) b').coalesce(1)
+    write_csv(rows, f"{tmp_path}/t.csv", compression="gzip", rows=10)
+    assert len(list((tmp_path / "t.csv").glob("*.csv.gz"))) == 3
+    back = read_text_table(spark, f"{tmp_path}/t.csv", multiline=False)
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect())) == sorted(map(str, kept(rows).collect()))
+
+
+def test_ids_move_rows_once_unless_copies_crowd_a_chunk(spark):
+    from carelattice.operators.running import dense_ids
+    from carelattice.operators.skew import SkewPolicy
+
+    rows = spark.range(400).selectExpr("if(id < 200, 'same', cast(id as string)) v", "if(id % 2 = 0 and id >= 200, null, 1) w")
+    plain, crowded = (dense_ids(rows, "k", SkewPolicy(floor=f, parts=4)) for f in (1_000_000, 10))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, crowded.collect()))
+    assert sorted(r["k"] for r in plain.collect()) == list(range(1, 401))
+    moved = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert moved(plain) < moved(crowded)
