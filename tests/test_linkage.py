@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 
 import duckdb
 import numpy as np
@@ -394,3 +395,35 @@ def test_pairs_are_counted_alike_by_tile_and_by_column(spark, monkeypatch):
         monkeypatch.setattr(linkage, "PAIRS_BY_COLUMN", most)
         seen.append(sorted(map(str, linkage.weighted_pairs(a, b, truth, "part").collect())))
     assert seen[0] == seen[1]
+
+
+@pytest.mark.parametrize("sizes", [(8_192, 16_000_000), (7, 10), (3, 16_000_000)])
+def test_candidate_pairs_leave_their_task_as_rectangles(spark, sizes, monkeypatch):
+    """Ids of a pair are not sent once per pair: a row stands for some records against some others. Copies, records without
+    an id, blocks of one record and rounded features give what pairs made one by one give."""
+    row = lambda i, mark: (None if i % 50 == 7 else f"{mark}{i // 2}", f"na{i % 7}m\u00e9"[: i % 6], f"x{i % 13}y" if i % 5 else None, f"19{50 + i % 3}-01-01" if i != 11 else "1999-09-09", None if i % 3 else f"{i // 4}", "12345"[: i % 5 + 1])
+    a, b = people(spark, [row(i, "p") for i in range(200)], [row(i, "b") for i in range(150)])
+    truth = spark.createDataFrame([(f"b{i}", f"p{i}") for i in (1, 2, 3, 3, 4)] + [("b5", None)], "system_b_id string, true_patient_id string")
+    features = {n: replace(f, digits=2) if isinstance(f, linkage.NameSimilarity) else f for n, f in linkage.DEFAULT_FEATURES.items()}
+    score = sum(map(F.col, features), F.lit(0.0)) / 6
+    want = sorted(map(str, linkage.candidate_pairs(a, b, truth, features).collect()))
+    best = sorted(map(str, linkage.best_matches(a, b, score, features).collect()))
+    monkeypatch.setattr(linkage, "PAIRS_BY_COLUMN", 0)
+    monkeypatch.setattr(linkage, "PAIRS_PER_ROW", sizes[0])
+    monkeypatch.setattr(linkage, "CODED", sizes[1])
+    seen, apart = [], linkage.EveryPair.apart
+    monkeypatch.setattr(linkage.EveryPair, "apart", lambda self, rows, *more: seen.append(rows) or apart(self, rows, *more))
+    pairs = linkage.candidate_pairs(a, b, truth, features)
+    assert sorted(map(str, pairs.collect())) == want and len(want) > 2_000
+    assert sorted(map(str, linkage.best_matches(a, b, score, features).collect())) == best
+    held = seen[0].select(F.size("__list_0") * F.size("__list_2")).toPandas().iloc[:, 0]
+    assert held.sum() == len(want) and held.max() <= sizes[0]
+    if sizes[0] > 7:
+        assert len(held) < len(want) / 20
+
+
+def test_numbers_are_rounded_as_spark_does(spark):
+    values = [x / 128 for x in range(129)] + [(m / p + m / q + 1) / 3 for p in range(1, 9) for q in range(1, 9) for m in range(9)]
+    frame = spark.createDataFrame([(x,) for x in values], "x double")
+    for digits in (0, 2, 6):
+        assert similarity.half_up(np.array(values), digits).tolist() == [r[0] for r in frame.select(F.round("x", digits)).collect()]
