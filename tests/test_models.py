@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import threading
 from datetime import datetime
 
 import numpy as np
@@ -373,3 +374,28 @@ def test_learners_that_do_not_draw_per_task_get_all_cores(spark):
     rows = _stays(spark).withColumn("readmitted_30d", (F.col("encounter_id") % 2).cast("int"))
     fitted = modelling.fit_risk_models(rows, {"a": lambda _: Looks(True), "b": lambda _: Looks(False)}, tasks=3)
     assert list(fitted) == ["a", "b"] and tasks == {True: 8, False: 3}
+
+
+def test_learners_are_fitted_side_by_side(spark):
+    together = threading.Barrier(2, timeout=60)
+
+    class Waits:
+        any_order = True
+
+        def fit(self, dataset):
+            together.wait()
+            return modelling.SQLTransformer(statement="SELECT * FROM __THIS__")
+
+    rows = _stays(spark).withColumn("readmitted_30d", (F.col("encounter_id") % 2).cast("int"))
+    assert list(modelling.fit_risk_models(rows, {"b": lambda _: Waits(), "a": lambda _: Waits()})) == ["b", "a"]
+
+
+def test_forest_keeps_the_node_of_each_row(stays):
+    made = modelling.risk_learners(trees=5, depth=6)["random_forest"]
+    trees = []
+    for kept in (True, False):
+        learner = made(0)
+        assert learner.getCacheNodeIds()
+        learners = {"random_forest": lambda _, f=learner.setCacheNodeIds(kept): f}
+        trees.append(modelling.fit_risk_models(stays, learners)["random_forest"].stages[-1].toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1]

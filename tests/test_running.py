@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from carelattice.operators import running as running_module
 from carelattice.operators.running import dense_ids, describe_all, medians, modes, quantiles, running
 from carelattice.operators.skew import SkewPolicy, heavy_keys
 
@@ -119,3 +120,25 @@ def test_quantiles_shuffle_counted_values_once(spark):
         assert got == want
     plan = medians(df, ["v"], ["g"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_a_value_is_held_against_fractions_near_it_only(spark):
+    fractions = [0.0, *(i / 255 for i in range(1, 255)), 0.999, 1.0]
+    values = [float(i * i % 997) for i in range(3000)] + [5.0] * 2000
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    found = {r["fraction"]: r["value"] for r in quantiles(df, ["a"], fractions).collect()}
+    ordered = sorted(values)
+    for f in fractions:
+        place = (len(ordered) - 1) * f
+        low = int(place)
+        high = min(low + 1, len(ordered) - 1)
+        assert found[f] == ordered[low] + (ordered[high] - ordered[low]) * (place - low)
+    near = F.size(running_module._near(sorted(fractions), F.col("id"), F.col("id") + 1, F.lit(100_000)))
+    assert spark.range(0, 100_000).agg(F.max(near)).first()[0] <= 8
+
+
+def test_fractions_of_one_or_two_rows(spark):
+    for values in ([3.0], [3.0, 5.0]):
+        df = spark.createDataFrame([(v,) for v in values], "a double")
+        found = {r["fraction"]: r["value"] for r in quantiles(df, ["a"], [0.0, 0.25, 0.5, 1.0]).collect()}
+        assert found == {f: values[0] + (values[-1] - values[0]) * f for f in (0.0, 0.25, 0.5, 1.0)}
